@@ -67,7 +67,7 @@ def grid_join(
     share a cell are checked by exact distance before anything is emitted.
     """
     usable = lines.where((F.size(segs) > 0) & (F.col(reach) > 0)).withColumn(
-        "_level", F.greatest(F.ceil(F.log(F.lit(4.0), F.col(reach).cast("double"))), F.lit(0)).cast("int")
+        "_level", F.greatest(F.ceil(F.log(4.0, F.col(reach).cast("double"))), F.lit(0)).cast("int")
     )
     # a reach of 4^level metres: no more than 32 levels exist for an int line count
     levels = sorted(r["_level"] for r in usable.select("_level").distinct().collect())
