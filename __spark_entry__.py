@@ -65,7 +65,7 @@ def q_grid_join(spark: SparkSession, d: str) -> DataFrame:
         (F.col("rpot_line_cnt") * LINE_CNT_METRES).alias("reach"),
     )
     points = a.mdt(spark, d).select("mdt_id", "gnss_utmkx", "gnss_utmky", "bts_market_nm")
-    return grid_join(points, lines, ["bts_market_nm"], "gnss_utmkx", "gnss_utmky").drop("segs")
+    return grid_join(points, lines, ["bts_market_nm"], "gnss_utmkx", "gnss_utmky")
 
 
 def _stations(spark: SparkSession, d: str) -> DataFrame:

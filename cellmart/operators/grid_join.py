@@ -48,6 +48,16 @@ def _covered_cells(segs: Column, reach: Column, size: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(segs, piece_cells)))
 
 
+def _segments_near(segs: Column, reach: Column, size: Column, gx: Column, gy: Column) -> Column:
+    """The segments whose widened box meets a cell, or a neighbour of it."""
+
+    def meets(a: Column, b: Column, g: Column) -> Column:
+        low, high = F.least(a, b) - reach, F.greatest(a, b) + reach
+        return (low <= (g + 2) * size) & (high >= (g - 1) * size)
+
+    return F.filter(segs, lambda s: meets(s["x1"], s["x2"], gx) & meets(s["y1"], s["y2"], gy))
+
+
 def grid_join(
     points: DataFrame,
     lines: DataFrame,
@@ -59,27 +69,35 @@ def grid_join(
 ) -> DataFrame:
     """One output row per (point row, line row) with equal ``by`` and distance < ``reach``.
 
+    The result has all columns of both sides but ``segs``.
+
     Every line lives on one grid level whose cell is at least as wide as its
     reach and at most four times wider, and is listed once under each cell it can
-    reach into; a point looks into its own cell on each level in use. So a line
-    meets a point at most once, duplicates on either side survive, and a few
-    far-reaching lines do not coarsen the grid for the rest. The candidates that
-    share a cell are checked by exact distance before anything is emitted.
+    reach into, with only the segments near that cell; a point looks into its own
+    cell on each level in use. So a line meets a point at most once, duplicates on
+    either side survive, and a few far-reaching lines do not coarsen the grid for
+    the rest. Candidates that share a cell are checked by exact distance before
+    anything is emitted.
     """
+    kept = [c for c in lines.columns if c != segs]
     usable = lines.where((F.size(segs) > 0) & (F.col(reach) > 0)).withColumn(
         "_level", F.greatest(F.ceil(F.log(4.0, F.col(reach).cast("double"))), F.lit(0)).cast("int")
     )
     # a reach of 4^level metres: no more than 32 levels exist for an int line count
     levels = sorted(r["_level"] for r in usable.select("_level").distinct().collect())
     if not levels:
-        extra = [c for c in lines.columns if c not in by]
+        extra = [c for c in kept if c not in by]
         return points.where(F.lit(False)).select(
             *points.columns, *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in extra]
         )
     side = F.pow(F.lit(4.0), F.col("_level"))
-    placed = usable.withColumn(
-        "_cell", F.explode(_covered_cells(F.col(segs), F.col(reach).cast("double"), side))
-    ).select(*lines.columns, "_level", F.col("_cell.gx").alias("_gx"), F.col("_cell.gy").alias("_gy"))
+    width = F.col(reach).cast("double")
+    placed = (
+        usable.withColumn("_cell", F.explode(_covered_cells(F.col(segs), width, side)))
+        .withColumn("_near", _segments_near(F.col(segs), width, side, F.col("_cell.gx"), F.col("_cell.gy")))
+        .where(F.size("_near") > 0)
+        .select(*kept, "_level", F.col("_cell.gx").alias("_gx"), F.col("_cell.gy").alias("_gy"), "_near")
+    )
 
     located = (
         points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -87,5 +105,6 @@ def grid_join(
         .withColumn("_gx", _cell(F.col(x), side))
         .withColumn("_gy", _cell(F.col(y), side))
     )
-    near = distance(F.col(x), F.col(y), F.col(segs)) < F.col(reach)
-    return dim_join(located, placed, [*by, "_level", "_gx", "_gy"], "inner", where=near).drop("_level", "_gx", "_gy")
+    close = distance(F.col(x), F.col(y), F.col("_near")) < F.col(reach)
+    joined = dim_join(located, placed, [*by, "_level", "_gx", "_gy"], "inner", where=close)
+    return joined.drop("_level", "_gx", "_gy", "_near")

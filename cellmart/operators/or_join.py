@@ -64,6 +64,15 @@ def or_bridge(facts: DataFrame, dim: DataFrame, how: str = "left", keys: tuple[s
     return or_join(facts.select(*keys).distinct(), dim, how, keys)
 
 
+def through_bridge(facts: DataFrame, bridge: DataFrame, keys: tuple[str, str] = KEYS) -> DataFrame:
+    """Facts joined to a stored bridge on their key pair: the OR join as one equi-join.
+
+    A bridge built with ``how`` left holds unmatched pairs too, so it yields the
+    left join; one built with inner yields the inner join.
+    """
+    return dim_join(facts, bridge, list(keys), "inner", null_safe=True)
+
+
 def or_join_sums(
     facts: DataFrame,
     dim: DataFrame,

@@ -45,6 +45,7 @@ def dim_join(
     how: str = "left",
     where: Column | None = None,
     small: bool | None = None,
+    null_safe: bool = False,
     salts: int = 16,
 ) -> DataFrame:
     """Join row-level facts to a dimension on equal ``on`` columns.
@@ -57,14 +58,15 @@ def dim_join(
     sends every row to the same place again.
 
     Apart from ``on`` the two sides share no column names; ``where`` may use
-    columns of both.
+    columns of both. With ``null_safe`` NULL keys equal each other.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
     small = fits_broadcast(dim) if small is None else small
     renamed = {k: f"_dim_{k}" for k in on}
     right = dim.withColumnsRenamed(renamed)
-    condition = reduce(lambda a, b: a & b, [F.col(k) == F.col(r) for k, r in renamed.items()])
+    pairs = [(F.col(k), F.col(r)) for k, r in renamed.items()]
+    condition = reduce(lambda a, b: a & b, [k.eqNullSafe(r) if null_safe else k == r for k, r in pairs])
     if where is not None:
         condition = condition & where
     if small:

@@ -87,7 +87,7 @@ def mdt_merge(mdt: DataFrame, bts: DataFrame, rpot: DataFrame, base: Days = None
         segments(wkt_points(F.col("rpot_geom"))).alias("segs"),
         (F.col("rpot_line_cnt").cast("long") * LINE_CNT_METRES).alias("reach"),
     )
-    hits = grid_join(usable, lines, ["bts_market_nm"], "gnss_utmkx", "gnss_utmky").drop("segs", "reach")
+    hits = grid_join(usable, lines, ["bts_market_nm"], "gnss_utmkx", "gnss_utmky").drop("reach")
     stations = bts.select(
         "bts_market_nm", "bts_alt_key", segments(wkt_points(F.col("rpot_geom"))).alias("station_segs")
     )

@@ -20,6 +20,10 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.parquet.filterPushdown": "true",
+    # keep bucketed scans for point lookups: only the key's bucket is read
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    # checkpointed intermediates go away with the frames that use them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # nanosecond Parquet timestamps are read as long and divided in the loader
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     # window state lives off-heap, with incremental snapshots
