@@ -14,7 +14,7 @@ from cellmart.operators.grid_join import grid_join
 from cellmart.operators.or_join import or_bridge, or_join
 from cellmart.operators.pit_join import with_validity
 from cellmart.operators.upsert import upsert
-from cellmart.functions.geo import segments, wkt_points
+from cellmart.functions.geo import with_segments
 from cellmart.functions.predicates import LINE_CNT_METRES, MARKETS, SIGNALS, USE_FLAGS
 from cellmart.plans import audit, batch, bi, conform, lookup
 from cellmart.session import scratch_path
@@ -58,12 +58,8 @@ def q_mdt_merge(spark: SparkSession, d: str) -> DataFrame:
 
 def q_grid_join(spark: SparkSession, d: str) -> DataFrame:
     """Every measurement with each reporting line of its vendor it is close to."""
-    lines = a.rpot(spark, d).select(
-        "bts_market_nm",
-        "rpot_seq",
-        segments(wkt_points(F.col("rpot_geom"))).alias("segs"),
-        (F.col("rpot_line_cnt") * LINE_CNT_METRES).alias("reach"),
-    )
+    reach = (F.col("rpot_line_cnt") * LINE_CNT_METRES).alias("reach")
+    lines = with_segments(a.rpot(spark, d).select("bts_market_nm", "rpot_seq", "rpot_geom", reach), "rpot_geom")
     points = a.mdt(spark, d).select("mdt_id", "gnss_utmkx", "gnss_utmky", "bts_market_nm")
     return grid_join(points, lines, ["bts_market_nm"], "gnss_utmkx", "gnss_utmky")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The text forms accepted, everything else parses to NULL.
@@ -33,15 +33,16 @@ def segments(points: Column) -> Column:
             a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
         )
 
-    first = F.element_at(points, 1)
-    # the size guard keeps sequence(1, 0) from counting down
-    return F.when(F.size(points) == 1, F.array(pair(first, first))).when(
-        F.size(points) > 1,
-        F.transform(
-            F.sequence(F.lit(1), F.size(points) - 1),
-            lambda i: pair(F.element_at(points, i), F.element_at(points, i + 1)),
-        ),
-    )
+    count = F.greatest(F.size(points) - 1, F.lit(1))
+    ends = F.slice(points, F.least(F.size(points), F.lit(2)), count)
+    return F.zip_with(F.slice(points, 1, count), ends, pair)
+
+
+def with_segments(df: DataFrame, wkt: str, name: str = "segs") -> DataFrame:
+    """Replace geometry text by its segments. The points are a column of their own
+    in between, so the text is parsed once per row and not once per use."""
+    parsed = df.withColumn("_points", wkt_points(F.col(wkt)))
+    return parsed.withColumn(name, segments(F.col("_points"))).drop("_points", wkt)
 
 
 def segment_distance(px: Column, py: Column, seg: Column) -> Column:

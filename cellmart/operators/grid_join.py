@@ -27,18 +27,17 @@ def _covered_cells(segs: Column, reach: Column, size: Column) -> Column:
             def span(a: str, b: str) -> tuple[Column, Column]:
                 step = (seg[b] - seg[a]) / pieces
                 start, end = seg[a] + step * i, seg[a] + step * (i + 1)
-                return (
-                    _cell(F.least(start, end) - reach, size),
-                    # one further cell absorbs the rounding of the cut points
-                    _cell(F.greatest(start, end) + reach, size),
-                )
+                # far wider than the rounding of the cut points, far narrower than a cell
+                margin = reach + F.lit(1e-6) + (F.abs(start) + F.abs(end)) * F.lit(1e-9)
+                return _cell(F.least(start, end) - margin, size), _cell(F.greatest(start, end) + margin, size)
 
             (x0, x1), (y0, y1) = span("x1", "x2"), span("y1", "y2")
             return F.flatten(
                 F.transform(
-                    F.sequence(x0 - 1, x1 + 1),
+                    F.sequence(x0, x1),
                     lambda gx: F.transform(
-                        F.sequence(y0 - 1, y1 + 1), lambda gy: F.struct(gx.alias("gx"), gy.alias("gy"))
+                        # as text, which array_distinct hashes; structs it compares pair by pair
+                        F.sequence(y0, y1), lambda gy: F.concat_ws("_", gx, gy)
                     ),
                 )
             )
@@ -94,9 +93,10 @@ def grid_join(
     width = F.col(reach).cast("double")
     placed = (
         usable.withColumn("_cell", F.explode(_covered_cells(F.col(segs), width, side)))
-        .withColumn("_near", _segments_near(F.col(segs), width, side, F.col("_cell.gx"), F.col("_cell.gy")))
+        .withColumns({f"_{axis}": F.split_part("_cell", F.lit("_"), F.lit(n)).cast("long") for n, axis in ((1, "gx"), (2, "gy"))})
+        .withColumn("_near", _segments_near(F.col(segs), width, side, F.col("_gx"), F.col("_gy")))
         .where(F.size("_near") > 0)
-        .select(*kept, "_level", F.col("_cell.gx").alias("_gx"), F.col("_cell.gy").alias("_gy"), "_near")
+        .select(*kept, "_level", "_gx", "_gy", "_near")
     )
 
     located = (

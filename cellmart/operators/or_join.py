@@ -101,31 +101,29 @@ def or_join_sums(
     def leg(number: int, k1: Column, k2: Column) -> Column:
         return F.struct(F.lit(number).alias("leg"), k1.alias("k1"), k2.alias("k2"))
 
-    exploded = facts.select(
-        *group,
-        *sums,
-        F.explode(
-            F.array(
-                leg(1, F.col(first), none), leg(2, none, F.col(second)), leg(3, F.col(first), F.col(second))
-            )
-        ).alias("_at"),
-    ).where((F.col("_at.leg") == 3) | F.coalesce(F.col("_at.k1"), F.col("_at.k2")).isNotNull())
+    def legs() -> Column:
+        both = leg(3, F.col(first), F.col(second))
+        return F.explode(F.array(leg(1, F.col(first), none), leg(2, none, F.col(second)), both)).alias("_at")
+
+    some_key = F.coalesce(F.col("_at.k1"), F.col("_at.k2")).isNotNull()
+    both_keys = F.col("_at.k1").isNotNull() & F.col("_at.k2").isNotNull()
     keyed = (
-        exploded.select(*group, *sums, "_at.*").groupBy(*group, "leg", "k1", "k2").agg(*[F.sum(s).alias(s) for s in sums])
+        facts.select(*group, *sums, legs())
+        .where((F.col("_at.leg") == 3) | some_key)
+        .select(*group, *sums, "_at.*")
+        .groupBy(*group, "leg", "k1", "k2")
+        .agg(*[F.sum(s).alias(s) for s in sums])
     )
-
-    def counted(number: int, on: list[str], sign: int) -> DataFrame:
-        rows = dim.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on]))
-        grouped = rows.groupBy(*dict.fromkeys([*on, *payload])).agg((F.count(F.lit(1)) * sign).alias("weight"))
-        return grouped.select(
-            F.lit(number).alias("d_leg"),
-            (F.col(first) if first in on else none).alias("d_k1"),
-            (F.col(second) if second in on else none).alias("d_k2"),
-            *payload,
-            "weight",
+    sign = F.when(F.col("d_leg") == 3, -1).otherwise(1)
+    matches = (
+        dim.select(*payload, legs())
+        .where(F.when(F.col("_at.leg") == 3, both_keys).otherwise(some_key))
+        .groupBy(
+            F.col("_at.leg").alias("d_leg"), F.col("_at.k1").alias("d_k1"), F.col("_at.k2").alias("d_k2"), *payload
         )
-
-    matches = counted(1, [first], 1).unionByName(counted(2, [second], 1)).unionByName(counted(3, [first, second], -1))
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .select("d_leg", "d_k1", "d_k2", *payload, (sign * F.col("copies")).alias("weight"))
+    )
     condition = (
         (F.col("leg") == F.col("d_leg"))
         & F.col("k1").eqNullSafe(F.col("d_k1"))
@@ -134,9 +132,25 @@ def or_join_sums(
     joined = keyed.join(matches, condition, "inner" if how == "inner" else "left")
     if how == "left":
         # only the pair leg knows both keys, so it alone decides that nothing matched
-        for name, column, known in ((first, "k1", "_in1"), (second, "k2", "_in2")):
-            members = dim.where(F.col(name).isNotNull()).select(F.col(name).alias(known)).distinct()
-            joined = joined.join(members, F.when(F.col("leg") == 3, F.col(column)) == F.col(known), "left")
+        members = (
+            dim.select(
+                F.explode(
+                    F.array(
+                        F.struct(F.lit(1).alias("leg"), F.col(first).alias("key")),
+                        F.struct(F.lit(2).alias("leg"), F.col(second).alias("key")),
+                    )
+                ).alias("_m")
+            )
+            .where(F.col("_m.key").isNotNull())
+            .select("_m.*")
+            .distinct()
+        )
+        for number, column, known in ((1, "k1", "_in1"), (2, "k2", "_in2")):
+            side = members.select(F.col("leg").alias(f"{known}_leg"), F.col("key").alias(known))
+            here = (F.when(F.col("leg") == 3, F.lit(number)) == F.col(f"{known}_leg")) & (
+                F.col(column) == F.col(known)
+            )
+            joined = joined.join(side, here, "left")
         unmatched = (F.col("leg") == 3) & F.col("_in1").isNull() & F.col("_in2").isNull()
         joined = joined.where(F.col("weight").isNotNull() | unmatched).withColumn(
             "weight", F.coalesce(F.col("weight"), F.lit(1))

@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellmart.functions.geo import distance, segments, wkt_points
+from cellmart.functions.geo import distance, with_segments
 from cellmart.functions.predicates import LINE_CNT_METRES, SIGNALS, hour_key, on_days, trigger_rule
 from cellmart.operators.grid_join import grid_join
 from cellmart.operators.or_join import or_join_sums
@@ -76,21 +76,23 @@ def mdt_merge(mdt: DataFrame, bts: DataFrame, rpot: DataFrame, base: Days = None
 
     The measurement is tested against the lines first; only hits meet the
     stations. As written, a measurement near k lines appears k times per station.
+    Each hit becomes thousands of rows, so hits are dealt out evenly over all
+    tasks before that, wherever the scan found them.
     """
     usable = (
         on_days(mdt, "base_date", base)
         .where(trigger_rule())
         .select("mdt_id", "gnss_utmkx", "gnss_utmky", "base_date", "bts_market_nm")
     )
-    lines = rpot.select(
-        "bts_market_nm",
-        segments(wkt_points(F.col("rpot_geom"))).alias("segs"),
-        (F.col("rpot_line_cnt").cast("long") * LINE_CNT_METRES).alias("reach"),
+    lines = with_segments(
+        rpot.select(
+            "bts_market_nm", "rpot_geom", (F.col("rpot_line_cnt").cast("long") * LINE_CNT_METRES).alias("reach")
+        ),
+        "rpot_geom",
     )
     hits = grid_join(usable, lines, ["bts_market_nm"], "gnss_utmkx", "gnss_utmky").drop("reach")
-    stations = bts.select(
-        "bts_market_nm", "bts_alt_key", segments(wkt_points(F.col("rpot_geom"))).alias("station_segs")
-    )
+    hits = hits.repartition(int(mdt.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    stations = with_segments(bts.select("bts_market_nm", "bts_alt_key", "rpot_geom"), "rpot_geom", "station_segs")
     return dim_join(hits, stations, ["bts_market_nm"], "inner").select(
         "mdt_id",
         "gnss_utmkx",

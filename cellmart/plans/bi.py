@@ -64,14 +64,16 @@ def volte_drop(
     contracts: DataFrame,
     products: DataFrame,
     base: Days = None,
-    keys: tuple[str, ...] = ("base_date",),
+    by: Column | None = None,
 ) -> DataFrame:
-    """Calls, dropped voice calls and their rate on eligible products.
+    """Calls, dropped voice calls and their rate on eligible products, per day or
+    per another expression over the calls, named ``period``.
 
     Both dimensions take part as row counts per key: a repeated contract or
     product multiplies the calls, as in the plain star join, without building
     the joined rows.
     """
+    period = F.col("base_date") if by is None else by
     eligible = (
         products.where(F.col("volte_eligible") == "Y").groupBy("product_id").agg(F.count(F.lit(1)).alias("copies"))
     )
@@ -79,7 +81,7 @@ def volte_drop(
     dropped = (F.col("drop_flag") == "Y") & volte
     per_contract = (
         dim_join(on_days(calls, "base_date", base), eligible, ["product_id"], "inner")
-        .groupBy("contract_id", *keys)
+        .groupBy("contract_id", period.alias("_period"))
         .agg(
             F.sum("copies").alias("total_calls"),
             F.sum(F.when(dropped, F.col("copies")).otherwise(0)).alias("dropped_volte"),
@@ -89,7 +91,7 @@ def volte_drop(
     weights = contracts.groupBy("contract_id").agg(F.count(F.lit(1)).alias("weight"))
     totals = (
         per_contract.join(weights, "contract_id")
-        .groupBy(*keys)
+        .groupBy("_period")
         .agg(
             *[
                 F.sum(F.col(c) * F.col("weight")).alias(c)
@@ -98,7 +100,7 @@ def volte_drop(
         )
     )
     return totals.select(
-        *keys,
+        F.col("_period").alias("base_date" if by is None else "period"),
         "total_calls",
         "dropped_volte",
         ratio(F.col("dropped_volte"), F.col("volte_calls")).alias("volte_drop_rate"),
@@ -138,13 +140,11 @@ def mart_volte(
     calls: DataFrame, contracts: DataFrame, products: DataFrame, run_id: str, base: Days = None
 ) -> DataFrame:
     """Voice drop rate per five minutes of call start, for the stored mart."""
-    started = calls.withColumn(
-        "window_start", F.window(F.try_to_timestamp("call_start_dt", F.lit(TIME_KEY)), "5 minutes")["start"]
-    )
-    rates = volte_drop(started, contracts, products, base, keys=("window_start",))
+    started = F.try_to_timestamp("call_start_dt", F.lit(TIME_KEY))
+    rates = volte_drop(calls, contracts, products, base, by=F.window(started, "5 minutes")["start"])
     return rates.select(
         F.lit(run_id).alias("run_id"),
-        "window_start",
+        F.col("period").alias("window_start"),
         F.col("volte_drop_rate").alias("drop_rate"),
         "total_calls",
         F.col("dropped_volte").alias("dropped_calls"),
