@@ -1,0 +1,207 @@
+"""Window cores and the streaming jobs on the hand-made rows."""
+
+from datetime import datetime
+
+import pytest
+
+import seed
+from cellmart.operators.pit_join import with_validity
+from cellmart.sources.readers import literal_rows
+from cellmart.sources.writers import append, overwrite_partitions
+from cellmart.streaming import jobs, windows
+
+START, END = datetime(2026, 8, 3, 12, 45), datetime(2026, 8, 3, 12, 50)
+LATE_CLOCK = seed.at("13:10:00")
+
+
+def record(n, cell, moment, minute_key=None, val=1, signal="SGI", use="Y"):
+    return (n, f"CELL_{cell}", f"CELL_{cell}_ALT", minute_key or seed.key(moment), "20260803", val, use, signal, moment)
+
+
+# outside minute 45, later than every window of interest
+REJECTED = record("900", "A", LATE_CLOCK)
+ACCEPTED = record("901", "A", LATE_CLOCK, minute_key="20260803124500")
+
+
+def by_station(df, *values):
+    return {r["bts_alt_key"]: tuple(r[v] for v in values) for r in df.collect()}
+
+
+def test_ltas_core(spark):
+    out = windows.ltas(seed.cdr(spark), seed.bts(spark))
+    assert {(r["window_start"], r["window_end"]) for r in out.collect()} == {(START, END)}
+    assert by_station(out, "total_val", "record_cnt") == {k: v[:2] for k, v in seed.WINDOWS.items()}
+
+
+def test_sgi_v1_core(spark):
+    out = windows.sgi_v1(seed.cdr(spark), seed.bts(spark))
+    assert by_station(out, "total_val", "record_cnt") == {k: (v[2], v[1]) for k, v in seed.WINDOWS.items()}
+
+
+def test_sgi_v2_core(spark):
+    out = windows.sgi_v2(seed.cdr(spark), seed.bts(spark))
+    assert by_station(out, "total_val", "record_cnt") == {k: (v[3], v[1]) for k, v in seed.WINDOWS.items()}
+
+
+def test_mdt_core(spark):
+    out = windows.mdt(seed.mdt(spark), seed.bts(spark))
+    assert by_station(out, "record_cnt") == {k: (v,) for k, v in seed.MDT_WINDOWS.items()}
+
+
+def test_small_sample(spark):
+    stations = seed.bts(spark).limit(3)
+    records = [r for r in seed.CDR if r[0] <= "005"]
+    records.append(record("006", "A", seed.at("12:46:00"), val=999))
+    out = windows.ltas(seed.cdr(spark, records), stations)
+    assert by_station(out, "total_val", "record_cnt") == {
+        "BTS_SEOUL_01": (300, 2), "BTS_BUSAN_01": (200, 2), "BTS_DAEGU_01": (300, 1),
+    }
+    v1 = windows.sgi_v1(seed.cdr(spark, records), stations)
+    assert by_station(v1, "total_val", "record_cnt") == {
+        "BTS_SEOUL_01": (300, 2), "BTS_BUSAN_01": (50, 2), "BTS_DAEGU_01": (300, 1),
+    }
+
+
+def test_unknown_cells(spark):
+    rows = [record("1", "X", START, val=7), record("2", "Y", START, val=None)]
+    facts, stations = seed.cdr(spark, rows), seed.bts(spark)
+    ltas = [tuple(r)[2:] for r in windows.ltas(facts, stations).collect()]
+    assert ltas == [(None, None, 7, 2)]
+    v1 = [tuple(r)[2:] for r in windows.sgi_v1(facts, stations).collect()]
+    assert v1 == [(None, None, 7, 2)]
+    v2 = sorted(tuple(r)[2:] for r in windows.sgi_v2(facts, stations).collect())
+    assert v2 == [("CELL_X", 7, 1), ("CELL_Y", None, 1)]
+
+
+def test_mdt_repeated_stations_count_each(spark):
+    stations = seed.bts(spark).unionByName(seed.bts(spark).where("cell_id = 'CELL_D'"))
+    out = by_station(windows.mdt(seed.mdt(spark), stations), "record_cnt")
+    assert out["BTS_INCH_01"] == (2,) and out["BTS_SUWN_01"] == (1,)
+
+
+def test_event_without_time_is_ignored(spark):
+    rows = [record("1", "A", START), ("2", "CELL_A", None, "20260803124500", "20260803", 5, "Y", "SGI", None)]
+    out = windows.ltas(seed.cdr(spark, rows), seed.bts(spark), None)
+    assert by_station(out, "record_cnt") == {"BTS_SEOUL_01": (1,)}
+
+
+class Job:
+    """One streaming job over a growing raw table."""
+
+    def __init__(self, spark, tmp_path, name):
+        self.spark, self.name = spark, name
+        self.source, self.sink, self.state = (str(tmp_path / n) for n in ("raw", "sink", "state"))
+
+    def add(self, rows):
+        table = jobs.JOBS[self.name][0]
+        make = seed.mdt if table == "cdr_mdt_smsng_raw" else seed.cdr
+        append(make(self.spark, rows).coalesce(1), self.source, table)
+        return self
+
+    def run(self, **options):
+        query = jobs.start(
+            self.spark, self.name, self.source, seed.bts(self.spark), self.sink, self.state, available_now=True, **options
+        )
+        query.awaitTermination()
+        return self
+
+    def rows(self):
+        return jobs.read_sink(self.spark, self.name, self.sink).collect()
+
+    def result(self, *values):
+        return {r["bts_alt_key"]: tuple(r[v] for v in values) for r in self.rows()}
+
+
+def test_open_window_is_not_emitted(spark, tmp_path):
+    assert Job(spark, tmp_path, "ltas").add(seed.CDR).run().rows() == []
+
+
+@pytest.mark.parametrize("late", [REJECTED, ACCEPTED], ids=["rejected", "accepted"])
+def test_any_later_row_closes_the_window(spark, tmp_path, late):
+    """A row the filter rejects still moves the watermark."""
+    job = Job(spark, tmp_path, "ltas").add(seed.CDR).run().add([late]).run()
+    assert job.result("total_val", "record_cnt") == {k: v[:2] for k, v in seed.WINDOWS.items()}
+
+
+def test_sgi_v1_closes_on_row_failing_both_conditions(spark, tmp_path):
+    late = record("900", "A", LATE_CLOCK, signal="OTHER")
+    job = Job(spark, tmp_path, "sgi_v1").add(seed.CDR).run().add([late]).run()
+    assert job.result("total_val", "record_cnt") == {k: (v[2], v[1]) for k, v in seed.WINDOWS.items()}
+
+
+def test_sgi_v2_stream(spark, tmp_path):
+    job = Job(spark, tmp_path, "sgi_v2").add([*seed.CDR, record("902", "Z", START, val=3), REJECTED]).run()
+    expected = {k: (v[3], v[1]) for k, v in seed.WINDOWS.items()}
+    assert job.result("total_val", "record_cnt") == {**expected, "CELL_Z": (3, 1)}
+
+
+def test_mdt_stream(spark, tmp_path):
+    late = ("MDT900", 0.0, 0.0, seed.key(LATE_CLOCK), "NOKIA", LATE_CLOCK)
+    job = Job(spark, tmp_path, "mdt").add([*seed.MDT, late]).run()
+    assert job.result("record_cnt") == {k: (v,) for k, v in seed.MDT_WINDOWS.items()}
+
+
+def test_late_row_is_dropped_and_restart_adds_nothing(spark, tmp_path):
+    job = Job(spark, tmp_path, "ltas").add(seed.CDR).run().add([REJECTED]).run()
+    before = sorted(map(repr, job.rows()))
+    job.add([record("903", "A", seed.at("12:45:30"), val=5)]).run()  # its window is closed
+    job.run()
+    job.run()
+    assert sorted(map(repr, job.rows())) == before
+
+
+def test_lateness_keeps_windows_open(spark, tmp_path):
+    job = Job(spark, tmp_path, "ltas").add(seed.CDR).run(lateness="1 hour").add([REJECTED]).run(lateness="1 hour")
+    assert job.rows() == []
+    job.add([record("904", "A", seed.at("12:45:30"), val=5)]).run(lateness="1 hour")
+    job.add([record("905", "A", seed.at("14:10:00"))]).run(lateness="1 hour")
+    assert job.result("total_val", "record_cnt")["BTS_SEOUL_01"] == (305, 3)
+
+
+def test_many_small_files_equal_batch(spark, tmp_path):
+    rows = [record(str(i), "ABCXY"[i % 5], seed.DAY.replace(hour=1 + i // 60, minute=i % 60), val=i) for i in range(240)]
+    job = Job(spark, tmp_path, "ltas")
+    for n in range(0, 240, 80):
+        job.add(rows[n : n + 80])
+    job.run(max_files=1, minute=None)
+    batch = windows.ltas(seed.cdr(spark, rows), seed.bts(spark), None)
+    # the last event is 04:59, so with ten seconds of lateness everything to 04:55 is out
+    expected = [r for r in batch.collect() if r["window_end"] <= seed.at("04:55:00")]
+    assert sorted(map(repr, job.rows())) == sorted(map(repr, expected))
+    assert len(expected) > 100
+
+
+def test_sink_is_partitioned_by_day(spark, tmp_path):
+    job = Job(spark, tmp_path, "ltas").add([*seed.CDR, REJECTED]).run()
+    assert spark.read.parquet(job.sink).select("window_date").distinct().count() == 1
+    import os
+
+    assert "window_date=2026-08-03" in os.listdir(job.sink)
+
+
+def test_versioned_stations_in_a_stream(spark, tmp_path, bag):
+    changes = [
+        ("CELL_A", "OLD", "R1", seed.at("01:00:00")),
+        ("CELL_A", "NEW", "R2", seed.at("12:45:20")),
+    ]
+    snapshots = spark.createDataFrame(changes, "cell_id string, bts_alt_key string, region_cd string, valid_from timestamp")
+    versions = with_validity(snapshots, "cell_id")
+    batch = jobs.ltas_versioned(seed.cdr(spark), versions)
+    assert by_station(batch, "total_val")["OLD"] == (100,)
+    assert by_station(batch, "total_val")["NEW"] == (200,)
+    source = str(tmp_path / "raw")
+    append(seed.cdr(spark, [*seed.CDR, REJECTED]), source, "cdr_sgi_raw")
+    from cellmart.sources.readers import tail_table
+
+    stream = tail_table(spark, source, "cdr_sgi_raw").withWatermark("event_time", jobs.LATENESS)
+    sink = str(tmp_path / "sink")
+    jobs.write_windows(jobs.ltas_versioned(stream, versions), sink, str(tmp_path / "state"), True).awaitTermination()
+    assert bag(jobs.read_sink(spark, "ltas", sink)) == bag(batch)
+
+
+def test_raw_table_can_be_replaced_by_day(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    overwrite_partitions(seed.cdr(spark), path, "cdr_sgi_raw")
+    overwrite_partitions(seed.cdr(spark).limit(2), path, "cdr_sgi_raw")
+    assert spark.read.parquet(path).count() == 2
+    assert literal_rows(spark, "bts_master", seed.BTS, seed.BTS_COLUMNS).count() == 10
