@@ -11,11 +11,19 @@ from pyspark.sql import types as T
 
 from cellmart import analogs as a
 from cellmart.operators.grid_join import grid_join
-from cellmart.operators.or_join import or_bridge, or_join
+from cellmart.operators.or_join import or_bridge, or_join, or_weights
 from cellmart.operators.pit_join import with_validity
 from cellmart.operators.upsert import upsert
 from cellmart.functions.geo import with_segments
-from cellmart.functions.predicates import LINE_CNT_METRES, MARKETS, SIGNALS, USE_FLAGS
+from cellmart.functions.predicates import (
+    LINE_CNT_METRES,
+    MARKETS,
+    RSRP_BAD,
+    RSRP_BANDS,
+    RSRP_GOOD,
+    SIGNALS,
+    USE_FLAGS,
+)
 from cellmart.plans import audit, batch, bi, conform, lookup
 from cellmart.session import scratch_path
 from cellmart.streaming import jobs, windows
@@ -77,6 +85,11 @@ def q_or_bridge(spark: SparkSession, d: str) -> DataFrame:
     return or_bridge(a.cdr(spark, d), _stations(spark, d))
 
 
+def q_or_weights(spark: SparkSession, d: str) -> DataFrame:
+    """The stored form of the OR join: weights per key and region."""
+    return or_weights(a.bts(spark, d), ["region_cd"]).drop("d_leg")
+
+
 def q_rsrp_bad_rate(spark: SparkSession, d: str) -> DataFrame:
     return bi.rsrp_bad_rate(a.mdt(spark, d), a.gpot(spark, d), a.bdri(spark, d))
 
@@ -287,7 +300,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     plain = [
-        q_ltas_hourly, q_sgi_use_v1, q_sgi_use_v2, q_mdt_merge, q_grid_join, q_or_bridge, q_rsrp_bad_rate,
+        q_ltas_hourly, q_sgi_use_v1, q_sgi_use_v2, q_mdt_merge, q_grid_join, q_or_bridge, q_or_weights, q_rsrp_bad_rate,
         q_volte_drop, q_partition_count, q_region_total, q_mart_rsrp, q_mart_volte, q_lookup_hash, q_lookup_part,
         q_lookup_by_call, q_lookup_batch, q_upsert, q_pit_join, q_win_ltas_versioned, q_fk_repair, q_domain_repair,
         q_clip_fill, q_time_keys, q_row_ids, q_dim_expand, q_load_summary, q_row_count_audit, q_eligible_counts,
@@ -312,7 +325,7 @@ def _pick_sql(record_id: str, choices: str) -> str:
     return f"(('0x' || substr(md5({record_id}), 1, 8))::UBIGINT % {choices})::BIGINT"
 
 
-_OR = "s.cell_id = b.cell_id OR s.alt_cell_id = b.alt_cell_id"
+_EITHER = "bts.cell_id = cdr.cell_id OR bts.alt_cell_id = cdr.alt_cell_id"
 
 # straight segments of the line views
 _SEGS = """
@@ -345,30 +358,28 @@ def _near(where: str) -> str:
              GROUP BY p.rid, s.rpot_seq HAVING min({_dist("p", "s")}) < any_value(s.rpot_line_cnt) * 3)"""
 
 
-_TRIGGER = """(bts_market_nm = 'ERICSSON' AND trigr_ev = 'PERIODIC') OR (bts_market_nm = 'NOKIA' AND trigr_ev IS NULL)
-    OR (bts_market_nm = 'SAMSUNG' AND trigr_ev = '')"""
+_TRIGGER = """bts_market_nm IN ('ERICSSON', 'NOKIA', 'SAMSUNG') AND trigr_ev IS NOT DISTINCT FROM
+    CASE bts_market_nm WHEN 'ERICSSON' THEN 'PERIODIC' WHEN 'SAMSUNG' THEN '' END"""
 
-_START = "time_bucket(INTERVAL 5 MINUTE, s.event_time)"
-_SPAN = f"{_START} AS window_start, {_START} + INTERVAL 5 MINUTE AS window_end"
-_MINUTE_45 = "substr(s.rqt_st_dt, 11, 2) = '45'"
+_START = "time_bucket(INTERVAL 5 MINUTE, event_time)"
+_SPAN = f"{_START} AS window_start, window_start + INTERVAL 5 MINUTE AS window_end"
+_MINUTE_45 = "rqt_st_dt[11:12] = '45'"
 
 
 def _window_body(job: str, where: str) -> str:
-    """The job as one direct join and group, as a user would write it."""
+    """The job as one direct join and group."""
     if job == "ltas":
-        return f"""SELECT {_SPAN}, b.bts_alt_key, b.region_cd, CAST(SUM(s.val) AS BIGINT) AS total_val,
-            COUNT(*) AS record_cnt FROM cdr s LEFT JOIN bts b ON s.cell_id = b.cell_id WHERE {where} GROUP BY ALL"""
+        return f"""SELECT {_SPAN}, bts_alt_key, region_cd, sum(val)::BIGINT AS total_val, count(*) AS record_cnt
+            FROM cdr LEFT JOIN bts USING (cell_id) WHERE {where} GROUP BY ALL"""
     if job == "sgi_v1":
-        return f"""SELECT {_SPAN}, b.bts_alt_key, b.region_cd,
-            CAST(SUM(CASE WHEN s.use_flag = 'Y' THEN s.val ELSE 0 END) AS BIGINT) AS total_val,
-            COUNT(*) AS record_cnt FROM cdr s LEFT JOIN bts b ON {_OR}
-            WHERE {where} AND s.signal_type IN ('S1AP', 'SGI') GROUP BY ALL"""
+        return f"""SELECT {_SPAN}, bts_alt_key, region_cd, sum(if(use_flag = 'Y', val, 0))::BIGINT AS total_val,
+            count(*) AS record_cnt FROM cdr LEFT JOIN bts ON {_EITHER}
+            WHERE {where} AND signal_type = ANY ({_list(SIGNALS)}) GROUP BY ALL"""
     if job == "sgi_v2":
-        return f"""SELECT {_SPAN}, coalesce(b.bts_alt_key, s.cell_id) AS bts_alt_key,
-            CAST(SUM(s.val) AS BIGINT) AS total_val, COUNT(*) AS record_cnt
-            FROM cdr s LEFT JOIN bts b ON s.cell_id = b.cell_id WHERE {where} GROUP BY ALL"""
-    return f"""SELECT {_SPAN}, b.bts_alt_key, COUNT(*) AS record_cnt
-        FROM mdt_raw s LEFT JOIN bts b ON s.bts_market_nm = b.bts_market_nm WHERE {where} GROUP BY ALL"""
+        return f"""SELECT {_SPAN}, ifnull(bts.bts_alt_key, cell_id) AS bts_alt_key, sum(val)::BIGINT AS total_val,
+            count(*) AS record_cnt FROM cdr LEFT JOIN bts USING (cell_id) WHERE {where} GROUP BY ALL"""
+    return f"""SELECT {_SPAN}, bts_alt_key, count(*) AS record_cnt
+        FROM mdt_raw LEFT JOIN bts USING (bts_market_nm) WHERE {where} GROUP BY ALL"""
 
 
 def _window_sql(job: str, where: str, closed_only: bool = False) -> str:
@@ -380,56 +391,65 @@ def _window_sql(job: str, where: str, closed_only: bool = False) -> str:
     return a.with_views(views, body)
 
 
-def _rsrp_sql(group: str, measures: str, lead: str = "") -> str:
+def _hits(condition: str) -> str:
+    """Rows meeting a condition, NULL when there is none."""
+    return f"nullif(count(*) FILTER (WHERE {condition}), 0)"
+
+
+def _rsrp_sql(keys: str, measures: str) -> str:
     return a.with_views(
         "mdt gpot bdri",
-        f"""SELECT {lead}{group}, {measures} FROM mdt m
-        JOIN gpot g ON split_part(m.gnss_metric_id, '_', 1) = CAST(g.gpot25_x AS VARCHAR)
-                   AND split_part(m.gnss_metric_id, '_', 2) = CAST(g.gpot25_y AS VARCHAR)
-        JOIN bdri bd ON g.bdri_cd = bd.bdri_cd GROUP BY {group}""",
+        f"""SELECT {keys}, {measures} FROM mdt
+        JOIN gpot ON gnss_metric_id.string_split('_')[1:2] = [gpot25_x::VARCHAR, gpot25_y::VARCHAR]
+        JOIN bdri USING (bdri_cd) GROUP BY ALL""",
     )
 
 
-def _volte_sql(select: str, group: str) -> str:
+_DROPPED = "count(*) FILTER (WHERE drop_flag = 'Y' AND volte_flag = 'Y')"
+_RATE = f"{_DROPPED} / nullif(count(*) FILTER (WHERE volte_flag = 'Y'), 0)::DOUBLE"
+
+
+def _volte_sql(select: str) -> str:
     return a.with_views(
         "calls contracts products",
-        f"""SELECT {select} FROM calls c JOIN contracts ct ON c.contract_id = ct.contract_id
-        JOIN products p ON c.product_id = p.product_id WHERE p.volte_eligible = 'Y' GROUP BY {group}""",
+        f"""SELECT {select} FROM products JOIN calls USING (product_id) JOIN contracts USING (contract_id)
+        WHERE volte_eligible = 'Y' GROUP BY ALL""",
     )
 
 
-_DROPPED = "CAST(SUM(CASE WHEN c.drop_flag = 'Y' AND c.volte_flag = 'Y' THEN 1 ELSE 0 END) AS BIGINT)"
-_RATE = f"{_DROPPED}::DOUBLE / nullif(SUM(CASE WHEN c.volte_flag = 'Y' THEN 1 ELSE 0 END), 0)"
-
-
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["q_ltas_hourly"] = a.with_views(
         "cdr bts",
-        """SELECT s.etl_date, substr(s.rqt_st_dt, 1, 10) AS base_hour, b.bts_alt_key, b.region_cd,
-        CAST(SUM(s.val) AS BIGINT) AS total_val, COUNT(*) AS record_cnt
-        FROM cdr s LEFT JOIN bts b ON s.cell_id = b.cell_id GROUP BY ALL""",
+        """SELECT etl_date, left(rqt_st_dt, 10) AS base_hour, bts_alt_key, region_cd, sum(val)::BIGINT AS total_val,
+        count(*) AS record_cnt FROM cdr LEFT JOIN bts USING (cell_id) GROUP BY ALL""",
     )
     sql["q_sgi_use_v1"] = a.with_views(
         "cdr bts",
-        f"""SELECT s.etl_date, s.cell_id, CAST(SUM(CASE WHEN s.use_flag = 'Y' THEN 1 ELSE 0 END) AS BIGINT) AS use_cnt
-        FROM cdr s LEFT JOIN bts b ON {_OR} WHERE s.signal_type IN ('S1AP', 'SGI') GROUP BY s.etl_date, s.cell_id""",
+        f"""SELECT etl_date, cdr.cell_id, count(*) FILTER (WHERE use_flag = 'Y') AS use_cnt
+        FROM cdr LEFT JOIN bts ON {_EITHER} WHERE signal_type = ANY ({_list(SIGNALS)}) GROUP BY ALL""",
     )
     sql["q_sgi_use_v2"] = a.with_views(
         "cdr bts",
-        f"""SELECT s.etl_date, coalesce(b.bts_alt_key, s.cell_id) AS cell_id, COUNT(*) AS use_cnt
-        FROM cdr s JOIN bts b ON {_OR} GROUP BY ALL""",
+        f"""SELECT etl_date, ifnull(bts_alt_key, cdr.cell_id) AS cell_id, count(*) AS use_cnt
+        FROM cdr JOIN bts ON {_EITHER} GROUP BY ALL""",
     )
     for how in ("left", "inner"):
         sql[f"q_or_join_{how}"] = a.with_views(
             "cdr bts",
-            f"""SELECT s.sgi_id, s.cell_id, s.alt_cell_id, b.bts_alt_key, b.region_cd
-            FROM cdr s {how.upper()} JOIN bts b ON {_OR}""",
+            f"""SELECT sgi_id, cdr.cell_id, cdr.alt_cell_id, bts_alt_key, region_cd
+            FROM cdr {how.upper()} JOIN bts ON {_EITHER}""",
         )
     sql["q_or_bridge"] = a.with_views(
         "cdr bts",
-        f"""SELECT s.cell_id, s.alt_cell_id, b.bts_alt_key, b.region_cd
-        FROM (SELECT DISTINCT cell_id, alt_cell_id FROM cdr) s LEFT JOIN bts b ON {_OR}""",
+        f"""SELECT DISTINCT ON (cdr.cell_id, cdr.alt_cell_id, bts_alt_key) cdr.cell_id, cdr.alt_cell_id, bts_alt_key,
+        region_cd FROM cdr LEFT JOIN bts ON {_EITHER}""",
+    )
+    sql["q_or_weights"] = a.with_views(
+        "bts",
+        """SELECT cell_id AS d_k1, NULL AS d_k2, region_cd, count(*) AS weight FROM bts GROUP BY ALL
+        UNION ALL SELECT NULL, alt_cell_id, region_cd, count(*) FROM bts GROUP BY ALL
+        UNION ALL SELECT cell_id, alt_cell_id, region_cd, -count(*) FROM bts GROUP BY ALL""",
     )
     sql["q_grid_join"] = a.with_views(
         "mdt rpot",
@@ -447,38 +467,33 @@ def oracle_sql() -> dict[str, str]:
         SELECT p.mdt_id, p.gnss_utmkx, p.gnss_utmky, x.bts_alt_key, x.distance_m, p.base_date
         FROM spread x JOIN points p ON x.rid = p.rid""",
     )
-    band = "m.dlearfcn_cd IN ('1550', '1650', '1694', '1700')"
-    hits = {
-        "rsrp_18_o75": f"{band} AND m.rsrp > -75",
-        "rsrp_18_u110": f"{band} AND m.rsrp <= -110",
+    band = f"dlearfcn_cd = ANY ({_list(RSRP_BANDS)})"
+    measures = {
+        "rsrp_18_o75": f"{band} AND rsrp > {RSRP_GOOD}",
+        "rsrp_18_u110": f"{band} AND rsrp <= {RSRP_BAD}",
         "rsrp_18_tot": band,
-        "rsrp_o75": "m.rsrp > -75",
-        "rsrp_u110": "m.rsrp <= -110",
+        "rsrp_o75": f"rsrp > {RSRP_GOOD}",
+        "rsrp_u110": f"rsrp <= {RSRP_BAD}",
     }
-    measures = ", ".join(f"CAST(SUM(CASE WHEN {c} THEN 1 END) AS BIGINT) AS {n}" for n, c in hits.items())
     sql["q_rsrp_bad_rate"] = _rsrp_sql(
-        "bd.sido_name, bd.gungu_name, bd.bemd_name, bd.bdri_name", f"{measures}, COUNT(*) AS rsrp_tot"
+        ", ".join(bi.AREA), ", ".join(f"{_hits(c)} AS {n}" for n, c in measures.items()) + ", count(*) AS rsrp_tot"
     )
     sql["q_mart_rsrp"] = _rsrp_sql(
-        "m.base_date, bd.sido_name, bd.gungu_name",
-        "COUNT(*) AS rsrp_tot, CAST(SUM(CASE WHEN m.rsrp <= -110 THEN 1 END) AS BIGINT) AS rsrp_u110",
-        "'R1' AS run_id, ",
+        "'R1' AS run_id, base_date, sido_name, gungu_name",
+        f"count(*) AS rsrp_tot, {_hits(measures['rsrp_u110'])} AS rsrp_u110",
     )
     sql["q_volte_drop"] = _volte_sql(
-        f"c.base_date, COUNT(*) AS total_calls, {_DROPPED} AS dropped_volte, {_RATE} AS volte_drop_rate",
-        "c.base_date",
+        f"base_date, count(*) AS total_calls, {_DROPPED} AS dropped_volte, {_RATE} AS volte_drop_rate"
     )
-    start = "time_bucket(INTERVAL 5 MINUTE, c.started)"
     sql["q_mart_volte"] = _volte_sql(
-        f"'R1' AS run_id, {start} AS window_start, {_RATE} AS drop_rate, COUNT(*) AS total_calls,"
-        f" {_DROPPED} AS dropped_calls",
-        start,
+        f"'R1' AS run_id, time_bucket(INTERVAL 5 MINUTE, started) AS window_start, {_RATE} AS drop_rate,"
+        f" count(*) AS total_calls, {_DROPPED} AS dropped_calls"
     )
-    sql["q_partition_count"] = a.with_views("cdr", "SELECT 'Q3' AS query_id, COUNT(*) AS row_cnt FROM cdr")
+    sql["q_partition_count"] = "SELECT 'Q3' AS query_id, count(*) AS row_cnt FROM events"
     sql["q_region_total"] = a.with_views(
         "cdr bts",
-        """SELECT 'Q4' AS query_id, b.region_cd, CAST(SUM(s.val) AS BIGINT) AS total_val
-        FROM cdr s JOIN bts b ON s.cell_id = b.cell_id GROUP BY b.region_cd""",
+        """SELECT 'Q4' AS query_id, region_cd, sum(val)::BIGINT AS total_val
+        FROM bts JOIN cdr USING (cell_id) GROUP BY ALL""",
     )
     columns = ", ".join(lookup.QUALITY)
     sql["q_lookup_hash"] = a.with_views(
@@ -514,15 +529,14 @@ def oracle_sql() -> dict[str, str]:
         sql[f"q_win_{job}"] = _window_sql(job, _MINUTE_45)
         sql[f"q_win_{job}_all"] = _window_sql(job, "true")
         sql[f"q_stream_{job}"] = _window_sql(job, _MINUTE_45, closed_only=True)
-    as_of = """FROM cdr s LEFT JOIN versions v ON s.cell_id = v.cell_id AND s.event_time >= v.valid_from
-        AND (v.valid_to IS NULL OR s.event_time < v.valid_to)"""
+    as_of = "FROM cdr ASOF LEFT JOIN versions v ON cdr.cell_id = v.cell_id AND cdr.event_time >= v.valid_from"
     sql["q_pit_join"] = a.with_views(
-        "cdr versions", f"SELECT s.sgi_id, s.cell_id, s.event_time, v.bts_alt_key, v.region_cd {as_of}"
+        "cdr versions", f"SELECT sgi_id, cdr.cell_id, event_time, bts_alt_key, region_cd {as_of}"
     )
     sql["q_win_ltas_versioned"] = a.with_views(
         "cdr versions",
-        f"""SELECT {_SPAN}, v.bts_alt_key, v.region_cd, CAST(SUM(s.val) AS BIGINT) AS total_val,
-        COUNT(*) AS record_cnt {as_of} GROUP BY ALL""",
+        f"""SELECT {_SPAN}, bts_alt_key, region_cd, sum(val)::BIGINT AS total_val, count(*) AS record_cnt
+        {as_of} GROUP BY ALL""",
     )
     sql["q_fk_repair"] = a.with_views(
         "cdr bts",
@@ -560,7 +574,7 @@ def oracle_sql() -> dict[str, str]:
         printf('CELL_%06d_ALT', c_custkey) AS alt_cell_id,
         'BTS_' || {region} || printf('_%04d', c_custkey) AS bts_alt_key,
         ({_list(MARKETS)})[c_custkey % {len(MARKETS)} + 1] AS bts_market_nm, {region} AS region_cd FROM customer"""
-    eligible = "CAST(SUM(CASE WHEN substr(rqt_st_dt, 11, 2) = '45' THEN 1 ELSE 0 END) AS BIGINT)"
+    eligible = f"count(*) FILTER (WHERE {_MINUTE_45})"
     sql["q_load_summary"] = a.with_views(
         "cdr mdt_raw bts",
         f"""SELECT 'bts_master' AS tbl, COUNT(*) AS row_cnt, CAST(NULL AS BIGINT) AS filter_pass_cnt FROM bts
@@ -576,8 +590,8 @@ def oracle_sql() -> dict[str, str]:
                ELSE 'mismatch' END AS status FROM counts"""
     sql["q_eligible_counts"] = a.with_views(
         "cdr mdt_raw",
-        """SELECT 'cdr_sgi_raw' AS tbl, COUNT(*) AS cnt FROM cdr WHERE substr(rqt_st_dt, 11, 2) = '45'
-        UNION ALL SELECT 'cdr_mdt_smsng_raw', COUNT(*) FROM mdt_raw WHERE substr(rqt_st_dt, 11, 2) = '45'""",
+        f"""SELECT 'cdr_sgi_raw' AS tbl, {eligible} AS cnt FROM cdr
+        UNION ALL SELECT 'cdr_mdt_smsng_raw', {eligible} FROM mdt_raw""",
     )
     sql["q_stream_batch_parity"] = a.with_views(
         "cdr bts",
@@ -603,7 +617,7 @@ def oracle_sql() -> dict[str, str]:
         COUNT(*) FILTER (window_end - window_start <> INTERVAL 5 MINUTE
                          OR epoch(window_start) % 300 <> 0) AS violations FROM ({_window_body(job, _MINUTE_45)})
         UNION ALL SELECT '{jobs.JOBS[job][2]}', 'bad_filter', COUNT(*) FROM ({_window_body(job, _MINUTE_45)})
-        WHERE window_start NOT IN (SELECT {_START} FROM {"mdt_raw" if job == "mdt" else "cdr"} s WHERE {_MINUTE_45})"""
+        WHERE window_start NOT IN (SELECT {_START} FROM {"mdt_raw" if job == "mdt" else "cdr"} WHERE {_MINUTE_45})"""
         for job in _CORES
     )
     sql["q_window_checks"] = a.with_views("cdr mdt_raw bts", checks)

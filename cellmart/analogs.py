@@ -83,7 +83,8 @@ def bts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             _text("s_suppkey").alias("cell_id"),
-            _text("s_nationkey").alias("alt_cell_id"),
+            # four stations share an alternate cell, at any scale
+            F.floor(F.col("s_suppkey") / 4).cast("string").alias("alt_cell_id"),
             F.col("s_name").alias("bts_alt_key"),
             _vendor("s_suppkey").alias("bts_market_nm"),
             (F.col("s_acctbal") / 100).alias("lat"),
@@ -249,7 +250,7 @@ SQL: dict[str, str] = {
                {_VENDOR.format(k="user_id")} AS bts_market_nm, ts AS event_time
         FROM events""",
     "bts": f"""
-        SELECT CAST(s_suppkey AS VARCHAR) AS cell_id, CAST(s_nationkey AS VARCHAR) AS alt_cell_id,
+        SELECT CAST(s_suppkey AS VARCHAR) AS cell_id, CAST(s_suppkey // 4 AS VARCHAR) AS alt_cell_id,
                s_name AS bts_alt_key, {_VENDOR.format(k="s_suppkey")} AS bts_market_nm, r_name AS region_cd,
                s_suppkey * 20.0::DOUBLE AS gx, s_suppkey * 10.0::DOUBLE AS gy, 30.0::DOUBLE AS dx,
                40.0::DOUBLE AS dy, s_suppkey % 4 = 0 AS is_point
@@ -319,8 +320,7 @@ SQL: dict[str, str] = {
         FROM events""",
     "versions": """
         SELECT CAST(user_id AS VARCHAR) AS cell_id, concat('BTS_', event_id) AS bts_alt_key,
-               json_extract_string(props, '$.k') AS region_cd, ts AS valid_from,
-               lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to
+               json_extract_string(props, '$.k') AS region_cd, ts AS valid_from
         FROM events WHERE event_type = 'signup'""",
 }
 

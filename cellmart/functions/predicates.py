@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ MARKETS = ("SAMSUNG", "ERICSSON", "NOKIA")
 RSRP_BANDS = ("1550", "1650", "1694", "1700")
 RSRP_GOOD, RSRP_BAD = -75, -110
 LINE_CNT_METRES = 3
+TRIGGERS = {"ERICSSON": "PERIODIC", "NOKIA": None, "SAMSUNG": ""}
 TIME_KEY, DATE_KEY = "yyyyMMddHHmmss", "yyyyMMdd"
 
 
@@ -40,12 +42,11 @@ def trigger_rule() -> Column:
 
     An empty string and NULL are different values here.
     """
-    market, trigger = F.col("bts_market_nm"), F.col("trigr_ev")
-    return (
-        ((market == "ERICSSON") & (trigger == "PERIODIC"))
-        | ((market == "NOKIA") & trigger.isNull())
-        | ((market == "SAMSUNG") & (trigger == ""))
-    )
+    rules = [
+        (F.col("bts_market_nm") == market) & F.col("trigr_ev").eqNullSafe(F.lit(trigger))
+        for market, trigger in TRIGGERS.items()
+    ]
+    return reduce(Column.__or__, rules)
 
 
 def flag_count(condition: Column) -> Column:

@@ -51,60 +51,65 @@ def row_index(df: DataFrame, name: str, order_by: Sequence[str] | None = None) -
 
 
 def exact_quantiles(
-    df: DataFrame, group: list[str], value: str, probs: dict[str, float], width: float = 0.01
+    df: DataFrame,
+    group: list[str],
+    value: str,
+    probs: dict[str, float],
+    width: float = 0.01,
+    finer: int = 10_000,
 ) -> DataFrame:
     """Interpolated quantiles per group, one column per entry of ``probs``.
 
-    Values are counted per distinct value, then per bucket of ``width``. Running
-    totals over the buckets (bounded by the value range) find the bucket of each
-    wanted rank, and only those buckets are opened. No group is sorted or
+    Values are counted per distinct value and the wanted ranks are located by
+    running totals, from coarse to fine: first over buckets of ``width`` (bounded
+    by the value range), then over ``finer`` parts of the buckets that hold a
+    rank, then over the distinct values of those parts. No group is sorted or
     buffered as a whole.
     """
     counted = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).alias("_v"))
+        .groupBy(*group, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_v") / F.lit(width)))
-    )
-    along = Window.partitionBy(*group).orderBy("_bucket")
-    buckets = (
-        counted.groupBy(*group, "_bucket")
-        .agg(F.sum("_n").alias("_in"))
-        .withColumn("_upto", F.sum("_in").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_before", F.col("_upto") - F.col("_in"))
-        .withColumn("_total", F.sum("_in").over(Window.partitionBy(*group)))
     )
+    rows = counted.withColumn("_scope", F.lit(0.0))
+    ranks = [(name, side, F.lit(float(p)) * (F.col("_total") - 1)) for name, p in probs.items() for side in ("lo", "hi")]
     wanted = F.array(
         *[
             F.struct(
                 F.lit(name).alias("name"),
-                (F.lit(float(p)) * (F.col("_total") - 1)).alias("rank"),
-                edge(F.lit(float(p)) * (F.col("_total") - 1)).cast("long").alias("row"),
                 F.lit(side).alias("side"),
+                rank.alias("rank"),
+                (F.floor(rank) if side == "lo" else F.ceil(rank)).cast("long").alias("row"),
             )
-            for name, p in probs.items()
-            for side, edge in (("lo", F.floor), ("hi", F.ceil))
+            for name, side, rank in ranks
         ]
     )
     targets = (
-        buckets.withColumn("_t", F.explode(wanted))
-        .where((F.col("_t.row") >= F.col("_before")) & (F.col("_t.row") < F.col("_upto")))
-        .select(*group, "_bucket", "_before", "_t.*")
-    )
-    inside = Window.partitionBy(*group, "_bucket").orderBy("_v")
-    opened = counted.join(targets.select(*group, "_bucket").distinct(), [*group, "_bucket"], "left_semi").withColumn(
-        "_last", F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    picked = opened.join(targets, [*group, "_bucket"]).where(
-        (F.col("row") < F.col("_before") + F.col("_last"))
-        & (F.col("row") >= F.col("_before") + F.col("_last") - F.col("_n"))
+        counted.groupBy(*group)
+        .agg(F.sum("_n").alias("_total"))
+        .select(*group, F.lit(0.0).alias("_scope"), F.lit(0).cast("long").alias("_before"), F.explode(wanted).alias("_t"))
+        .select(*group, "_scope", "_before", "_t.*")
     )
+    scope = [*group, "_scope"]
+    running = Window.partitionBy(*scope).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    first, last = F.col("_before") + F.col("_upto") - F.col("_in"), F.col("_before") + F.col("_upto")
+    for step in (width, width / finer, None):
+        part = F.col("_v") if step is None else F.floor(F.col("_v") / F.lit(step)).cast("double")
+        rows = rows.join(targets.select(*scope).distinct(), scope, "left_semi").withColumn("_part", part)
+        totals = rows.groupBy(*scope, "_part").agg(F.sum("_n").alias("_in")).withColumn("_upto", F.sum("_in").over(running))
+        targets = (
+            targets.join(totals, scope)
+            .where((F.col("row") >= first) & (F.col("row") < last))
+            .select(*group, F.col("_part").alias("_scope"), first.alias("_before"), "name", "side", "rank", "row")
+        )
+        rows = rows.select(*group, F.col("_part").alias("_scope"), "_v", "_n")
 
     def interpolated(name: str) -> Column:
         def at(side: str) -> Column:
-            return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("_v")))
+            return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("_scope")))
 
         rank = F.max(F.when(F.col("name") == name, F.col("rank")))
         return at("lo") + (at("hi") - at("lo")) * (rank - F.floor(rank))
 
-    return picked.groupBy(*group).agg(*[interpolated(n).alias(n) for n in probs])
+    # after the last step the scope is the value itself
+    return targets.groupBy(*group).agg(*[interpolated(n).alias(n) for n in probs])

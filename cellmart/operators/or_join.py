@@ -73,9 +73,40 @@ def through_bridge(facts: DataFrame, bridge: DataFrame, keys: tuple[str, str] =
     return dim_join(facts, bridge, list(keys), "inner", null_safe=True)
 
 
+def _legs(first: str, second: str) -> Column:
+    """One row per way to match: 1 by the first key, 2 by the second, 3 by the pair."""
+    none = F.lit(None).cast("string")
+
+    def leg(number: int, k1: Column, k2: Column) -> Column:
+        return F.struct(F.lit(number).alias("leg"), k1.alias("k1"), k2.alias("k2"))
+
+    both = leg(3, F.col(first), F.col(second))
+    return F.explode(F.array(leg(1, F.col(first), none), leg(2, none, F.col(second)), both)).alias("_at")
+
+
+def or_weights(dim: DataFrame, payload: list[str], keys: tuple[str, str] = KEYS) -> DataFrame:
+    """The dimension prepared for :func:`or_join_sums`: rows per leg, key and payload.
+
+    Pair rows carry a negative weight. At most three rows per dimension row; worth
+    storing when several jobs share the OR join.
+    """
+    some_key = F.coalesce(F.col("_at.k1"), F.col("_at.k2")).isNotNull()
+    both_keys = F.col("_at.k1").isNotNull() & F.col("_at.k2").isNotNull()
+    sign = F.when(F.col("d_leg") == 3, -1).otherwise(1)
+    return (
+        dim.select(*payload, _legs(*keys))
+        .where(F.when(F.col("_at.leg") == 3, both_keys).otherwise(some_key))
+        .groupBy(
+            F.col("_at.leg").alias("d_leg"), F.col("_at.k1").alias("d_k1"), F.col("_at.k2").alias("d_k2"), *payload
+        )
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .select("d_leg", "d_k1", "d_k2", *payload, (sign * F.col("copies")).alias("weight"))
+    )
+
+
 def or_join_sums(
     facts: DataFrame,
-    dim: DataFrame,
+    weights: DataFrame,
     group: list[str],
     sums: list[str],
     payload: list[str],
@@ -83,7 +114,7 @@ def or_join_sums(
     keys: tuple[str, str] = KEYS,
 ) -> DataFrame:
     """``SELECT group, payload, SUM(..) FROM facts OR-JOIN dim GROUP BY group, payload``
-    without ever building the joined rows.
+    without ever building the joined rows; ``weights`` is the dimension by :func:`or_weights`.
 
     The matches of a row are those on the first key, plus those on the second,
     minus those on both. So the measures are summed per key first (map-side, a
@@ -95,58 +126,28 @@ def or_join_sums(
     With ``how`` left, pairs matching on neither key go to the NULL payload.
     ``group`` may hold a stream's window column: all steps are append-safe.
     """
-    first, second = keys
-    none = F.lit(None).cast("string")
-
-    def leg(number: int, k1: Column, k2: Column) -> Column:
-        return F.struct(F.lit(number).alias("leg"), k1.alias("k1"), k2.alias("k2"))
-
-    def legs() -> Column:
-        both = leg(3, F.col(first), F.col(second))
-        return F.explode(F.array(leg(1, F.col(first), none), leg(2, none, F.col(second)), both)).alias("_at")
-
-    some_key = F.coalesce(F.col("_at.k1"), F.col("_at.k2")).isNotNull()
-    both_keys = F.col("_at.k1").isNotNull() & F.col("_at.k2").isNotNull()
     keyed = (
-        facts.select(*group, *sums, legs())
-        .where((F.col("_at.leg") == 3) | some_key)
+        facts.select(*group, *sums, _legs(*keys))
+        .where((F.col("_at.leg") == 3) | F.coalesce(F.col("_at.k1"), F.col("_at.k2")).isNotNull())
         .select(*group, *sums, "_at.*")
         .groupBy(*group, "leg", "k1", "k2")
         .agg(*[F.sum(s).alias(s) for s in sums])
     )
-    sign = F.when(F.col("d_leg") == 3, -1).otherwise(1)
-    matches = (
-        dim.select(*payload, legs())
-        .where(F.when(F.col("_at.leg") == 3, both_keys).otherwise(some_key))
-        .groupBy(
-            F.col("_at.leg").alias("d_leg"), F.col("_at.k1").alias("d_k1"), F.col("_at.k2").alias("d_k2"), *payload
-        )
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .select("d_leg", "d_k1", "d_k2", *payload, (sign * F.col("copies")).alias("weight"))
-    )
     condition = (
         (F.col("leg") == F.col("d_leg"))
         & F.col("k1").eqNullSafe(F.col("d_k1"))
         & F.col("k2").eqNullSafe(F.col("d_k2"))
     )
-    joined = keyed.join(matches, condition, "inner" if how == "inner" else "left")
+    joined = keyed.join(weights, condition, "inner" if how == "inner" else "left")
     if how == "left":
         # only the pair leg knows both keys, so it alone decides that nothing matched
         members = (
-            dim.select(
-                F.explode(
-                    F.array(
-                        F.struct(F.lit(1).alias("leg"), F.col(first).alias("key")),
-                        F.struct(F.lit(2).alias("leg"), F.col(second).alias("key")),
-                    )
-                ).alias("_m")
-            )
-            .where(F.col("_m.key").isNotNull())
-            .select("_m.*")
+            weights.where(F.col("d_leg") < 3)
+            .select(F.col("d_leg").alias("_leg"), F.coalesce("d_k1", "d_k2").alias("_key"))
             .distinct()
         )
         for number, column, known in ((1, "k1", "_in1"), (2, "k2", "_in2")):
-            side = members.select(F.col("leg").alias(f"{known}_leg"), F.col("key").alias(known))
+            side = members.select(F.col("_leg").alias(f"{known}_leg"), F.col("_key").alias(known))
             here = (F.when(F.col("leg") == 3, F.lit(number)) == F.col(f"{known}_leg")) & (
                 F.col(column) == F.col(known)
             )

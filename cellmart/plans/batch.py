@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cellmart.functions.geo import distance, with_segments
 from cellmart.functions.predicates import LINE_CNT_METRES, SIGNALS, hour_key, on_days, trigger_rule
 from cellmart.operators.grid_join import grid_join
-from cellmart.operators.or_join import or_join_sums
+from cellmart.operators.or_join import or_join_sums, or_weights
 from cellmart.operators.sizing import dim_join
 
 Days = str | Iterable[str] | None
@@ -47,7 +47,7 @@ def sgi_use_by_cell(cdr: DataFrame, bts: DataFrame, etl: Days = None, base: Days
         .groupBy("etl_date", "cell_id", "alt_cell_id")
         .agg(F.sum(used).alias("use_cnt"))
     )
-    return or_join_sums(pairs, bts, ["etl_date", "cell_id"], ["use_cnt"], [], "left")
+    return or_join_sums(pairs, or_weights(bts, []), ["etl_date", "cell_id"], ["use_cnt"], [], "left")
 
 
 def sgi_use_by_station(cdr: DataFrame, bts: DataFrame, etl: Days = None, base: Days = None) -> DataFrame:
@@ -58,10 +58,10 @@ def sgi_use_by_station(cdr: DataFrame, bts: DataFrame, etl: Days = None, base: D
         .groupBy("etl_date", "cell_id", "alt_cell_id")
         .agg(F.count(F.lit(1)).alias("use_cnt"))
     )
-    named = or_join_sums(
-        pairs, bts.where(F.col("bts_alt_key").isNotNull()), ["etl_date"], ["use_cnt"], ["bts_alt_key"]
-    )
-    unnamed = or_join_sums(pairs, bts.where(F.col("bts_alt_key").isNull()), ["etl_date", "cell_id"], ["use_cnt"], [])
+    with_key = or_weights(bts.where(F.col("bts_alt_key").isNotNull()), ["bts_alt_key"])
+    without_key = or_weights(bts.where(F.col("bts_alt_key").isNull()), [])
+    named = or_join_sums(pairs, with_key, ["etl_date"], ["use_cnt"], ["bts_alt_key"])
+    unnamed = or_join_sums(pairs, without_key, ["etl_date", "cell_id"], ["use_cnt"], [])
     return (
         named.withColumnRenamed("bts_alt_key", "cell_id")
         .unionByName(unnamed)

@@ -37,8 +37,9 @@ def by_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
     hits = dim_join(
         table.select(*QUALITY), asked.where(F.col("lookup_key").isNotNull()).distinct(), ["lookup_key"], "inner"
     )
+    # the list may repeat one key very often, so it is spread over salts
     return (
-        asked.join(hits.withColumn("_hit", F.lit(True)), "lookup_key", "left")
+        dim_join(asked, hits.withColumn("_hit", F.lit(True)), ["lookup_key"], "left", small=False)
         .withColumn("found", F.coalesce("_hit", F.lit(False)))
         .select(*QUALITY, "found")
     )

@@ -96,15 +96,19 @@ def create_tables(spark: SparkSession, database: str = MAIN) -> list[str]:
     return [create_table(spark, name, database) for name in TABLES]
 
 
-def write_bucketed(df: DataFrame, table: str, name: str, path: str | None = None, buckets: int | None = None) -> None:
+def write_bucketed(
+    df: DataFrame, table: str, name: str, path: str | None = None, buckets: int | None = None, files: int = 4
+) -> None:
     """Store a keyed table hash-bucketed and sorted on its key.
 
-    Rows are first shuffled into as many partitions as there are buckets, by the
-    same hash, so each bucket is one file.
+    Each task writes one of the ``files`` parts of one bucket, chosen by a hash of
+    the whole row: a bucket inflated by one busy key is shared by several tasks.
     """
     spec = TABLES[table]
     count = buckets or spec.buckets
-    writer = df.repartition(count, spec.bucket_by).write.mode("overwrite").format("parquet")
+    bucket = F.pmod(F.hash(spec.bucket_by), F.lit(count))
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(files)).cast("int")
+    writer = df.repartitionById(count * files, bucket * files + part).write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
     writer.bucketBy(count, spec.bucket_by).sortBy(spec.bucket_by).saveAsTable(name)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellmart.functions.predicates import SIGNALS, minute_is
-from cellmart.operators.or_join import or_join_sums
+from cellmart.operators.or_join import or_join_sums, or_weights
 
 WINDOW = "5 minutes"
 MINUTE = "45"
@@ -63,7 +63,8 @@ def sgi_v1(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataF
         F.when(F.col("use_flag") == "Y", F.col("val")).otherwise(0).alias("total_val"),
         F.lit(1).cast("long").alias("record_cnt"),
     )
-    sums = or_join_sums(rows, bts, ["window"], ["total_val", "record_cnt"], ["bts_alt_key", "region_cd"], "left")
+    station = ["bts_alt_key", "region_cd"]
+    sums = or_join_sums(rows, or_weights(bts, station), ["window"], ["total_val", "record_cnt"], station, "left")
     return _flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellmart.operators import or_join as module
-from cellmart.operators.or_join import or_bridge, or_join, or_join_sums, through_bridge
+from cellmart.operators.or_join import or_bridge, or_join, or_join_sums, or_weights, through_bridge
 
 
 def frames(spark, seed, rows=300, stations=40):
@@ -47,7 +47,7 @@ def test_rows_equal_direct_join(spark, bag, monkeypatch, how, small, seed):
 def test_sums_equal_direct_join(spark, bag, how, seed):
     facts, dim = frames(spark, seed)
     ones = facts.withColumn("n", F.lit(1).cast("long"))
-    got = or_join_sums(ones, dim, ["day"], ["n", "val"], ["station", "region"], how)
+    got = or_join_sums(ones, or_weights(dim, ["station", "region"]), ["day"], ["n", "val"], ["station", "region"], how)
     wanted = (
         direct(ones, dim, how).groupBy("day", "station", "region").agg(F.sum("n").alias("n"), F.sum("val").alias("val"))
     )
@@ -57,7 +57,7 @@ def test_sums_equal_direct_join(spark, bag, how, seed):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_sums_grouped_by_the_fact_cell(spark, bag, how):
     facts, dim = frames(spark, 5)
-    got = or_join_sums(facts.withColumn("n", F.lit(1).cast("long")), dim, ["day", "cell_id"], ["n"], [], how)
+    got = or_join_sums(facts.withColumn("n", F.lit(1).cast("long")), or_weights(dim, []), ["day", "cell_id"], ["n"], [], how)
     wanted = direct(facts, dim, how).groupBy("day", "cell_id").agg(F.count(F.lit(1)).alias("n"))
     assert bag(got) == bag(wanted)
 
@@ -75,7 +75,7 @@ def test_empty_dimension(spark):
     none = dim.where("false")
     assert or_join(facts, none, "inner").count() == 0
     assert or_join(facts, none, "left").count() == facts.count()
-    left = or_join_sums(facts, none, ["day"], ["val"], ["station"], "left").collect()
+    left = or_join_sums(facts, or_weights(none, ["station"]), ["day"], ["val"], ["station"], "left").collect()
     assert sum(r["val"] for r in left) == facts.agg(F.sum("val")).first()[0]
 
 
@@ -84,7 +84,8 @@ def test_no_nested_loops(spark, plan, bag):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for how in ("left", "inner"):
-            for df in (or_join(facts, dim, how), or_join_sums(facts, dim, ["day"], ["val"], ["station"], how)):
+            weights = or_weights(dim, ["station"])
+            for df in (or_join(facts, dim, how), or_join_sums(facts, weights, ["day"], ["val"], ["station"], how)):
                 text = plan(df)
                 assert "NestedLoop" not in text and "Cartesian" not in text
         text = plan(direct(facts, dim, "left"))
@@ -106,6 +107,6 @@ def test_hot_keys_do_not_multiply(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id"))).alias("alt_cell_id"),
         F.concat(F.lit("s"), F.col("id")).alias("station"),
     )
-    got = or_join_sums(facts, dim, ["day"], ["n"], ["station"])
+    got = or_join_sums(facts, or_weights(dim, ["station"]), ["day"], ["n"], ["station"])
     hot = {r["n"] for r in got.where("substr(station, 2) % 3 = 0").collect()}
     assert hot == {20000}  # 10,000 by cell and 10,000 by alternate cell, each station once
