@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellmart.functions.geo import distance
-from cellmart.operators.sizing import dim_join
+from cellmart.operators.sizing import BROADCAST_BYTES, dim_join, row_bytes
 
 # lines are cut to pieces of this many cells, so a diagonal's box stays small
 PIECE_CELLS = 4
@@ -82,13 +82,6 @@ def grid_join(
     usable = lines.where((F.size(segs) > 0) & (F.col(reach) > 0)).withColumn(
         "_level", F.greatest(F.ceil(F.log(4.0, F.col(reach).cast("double"))), F.lit(0)).cast("int")
     )
-    # a reach of 4^level metres: no more than 32 levels exist for an int line count
-    levels = sorted(r["_level"] for r in usable.select("_level").distinct().collect())
-    if not levels:
-        extra = [c for c in kept if c not in by]
-        return points.where(F.lit(False)).select(
-            *points.columns, *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in extra]
-        )
     side = F.pow(F.lit(4.0), F.col("_level"))
     width = F.col(reach).cast("double")
     placed = (
@@ -99,6 +92,16 @@ def grid_join(
         .select(*kept, "_level", "_gx", "_gy", "_near")
     )
 
+    # one pass for the levels in use (33 at most for an int line count) and the size
+    sizes = placed.groupBy("_level").agg(F.sum(row_bytes(placed)).alias("bytes")).collect()
+    if not sizes:
+        extra = [c for c in kept if c not in by]
+        return points.where(F.lit(False)).select(
+            *points.columns, *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in extra]
+        )
+    levels = sorted(r["_level"] for r in sizes)
+    small = sum(r["bytes"] for r in sizes) <= BROADCAST_BYTES
+
     located = (
         points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
         .withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels])))
@@ -106,5 +109,5 @@ def grid_join(
         .withColumn("_gy", _cell(F.col(y), side))
     )
     close = distance(F.col(x), F.col(y), F.col("_near")) < F.col(reach)
-    joined = dim_join(located, placed, [*by, "_level", "_gx", "_gy"], "inner", where=close)
+    joined = dim_join(located, placed, [*by, "_level", "_gx", "_gy"], "inner", where=close, small=small)
     return joined.drop("_level", "_gx", "_gy", "_near")

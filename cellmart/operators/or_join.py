@@ -121,7 +121,8 @@ def or_join_sums(
     hot key shrinks to one row per task), and each key's sum is multiplied by the
     number of dimension rows behind it: +n for a first-key or second-key match,
     -n for a match on the pair. Key sums times dimension rows is linear, even if
-    one key holds a third of both sides.
+    one key holds a third of both sides. Measures are whole numbers, so adding and
+    taking away is exact.
 
     With ``how`` left, pairs matching on neither key go to the NULL payload.
     ``group`` may hold a stream's window column: all steps are append-safe.

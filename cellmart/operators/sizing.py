@@ -11,12 +11,8 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the values in ``df``, by one aggregation that returns one row.
-
-    Plan estimates are guesses after explodes and joins; a broadcast is only
-    allowed on this measurement.
-    """
+def row_bytes(df: DataFrame) -> Column:
+    """Size of one row's values."""
     width: Column = F.lit(16)
     for field in df.schema.fields:
         name = F.col(f"`{field.name}`")
@@ -26,12 +22,18 @@ def measured_bytes(df: DataFrame) -> int:
             element = field.dataType.elementType
             slots = len(element.fields) if isinstance(element, T.StructType) else 1
             width = width + F.greatest(F.coalesce(F.size(name), F.lit(0)), F.lit(0)) * (8 * slots + 16)
-        elif isinstance(field.dataType, T.StructType):
-            width = width + 24 * len(field.dataType.fields)
         else:
             width = width + 8
-    total = df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"]
-    return total or 0
+    return width.cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the values in ``df``, by one aggregation that returns one row.
+
+    Plan estimates are guesses after explodes and joins; a broadcast is only
+    allowed on this measurement.
+    """
+    return df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from cellmart.operators import sizing
+from cellmart.operators import pit_join as module
 from cellmart.operators.pit_join import pit_join, with_validity
 
 T0 = datetime(2026, 1, 1)
@@ -35,7 +35,7 @@ def test_equal_start_keeps_the_last_by_tie(spark):
 
 @pytest.mark.parametrize("small", [True, False], ids=["broadcast", "salted"])
 def test_equals_range_join(spark, bag, monkeypatch, small):
-    monkeypatch.setattr(sizing, "fits_broadcast", lambda df: small)
+    monkeypatch.setattr(module, "fits_broadcast", lambda df: small)
     rng = random.Random(1)
 
     def moment():
