@@ -20,6 +20,10 @@ def _text(column: str):
     return F.col(column).cast("string")
 
 
+def _text_of(number, width: int = 2):
+    return F.lpad(number.cast("string"), width, "0")
+
+
 def _vendor(key: str):
     k = F.pmod(F.col(key), F.lit(3))
     return F.when(k == 0, "SAMSUNG").when(k == 1, "ERICSSON").otherwise("NOKIA")
@@ -148,7 +152,8 @@ def bdri(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("l_shipdate", DATE_KEY)
-    clock = F.format_string("%02d%02d%02d", F.col("l_suppkey") % 24, F.col("l_partkey") % 60, F.col("l_linenumber"))
+    hour, minute = _text_of(F.col("l_suppkey") % 24), _text_of(F.col("l_partkey") % 60)
+    clock = F.concat(hour, minute, _text_of(F.col("l_linenumber")))
     return _read(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("call_id"),
         _text("l_orderkey").alias("contract_id"),

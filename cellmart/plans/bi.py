@@ -11,9 +11,9 @@ from cellmart.functions.predicates import (
     RSRP_BAD,
     RSRP_BANDS,
     RSRP_GOOD,
-    TIME_KEY,
     flag_count,
     hit_count,
+    key_time,
     on_days,
     ratio,
 )
@@ -140,12 +140,14 @@ def mart_volte(
     calls: DataFrame, contracts: DataFrame, products: DataFrame, run_id: str, base: Days = None
 ) -> DataFrame:
     """Voice drop rate per five minutes of call start, for the stored mart."""
-    started = F.try_to_timestamp("call_start_dt", F.lit(TIME_KEY))
-    rates = volte_drop(calls, contracts, products, base, by=F.window(started, "5 minutes")["start"])
+    # the start of the five minutes as text, turned into a time once per result row
+    minute = F.substring("call_start_dt", 11, 2).try_cast("int")
+    start = F.concat(F.substring("call_start_dt", 1, 10), F.lpad((minute - minute % 5).cast("string"), 2, "0"))
+    rates = volte_drop(calls, contracts, products, base, by=start)
     return rates.select(
         F.lit(run_id).alias("run_id"),
-        F.col("period").alias("window_start"),
+        key_time("period").alias("window_start"),
         F.col("volte_drop_rate").alias("drop_rate"),
         "total_calls",
         F.col("dropped_volte").alias("dropped_calls"),
-    )
+    ).where(F.col("window_start").isNotNull())

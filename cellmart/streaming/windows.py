@@ -88,6 +88,10 @@ def mdt(measurements: DataFrame, bts: DataFrame, minute: str | None = MINUTE) ->
     per_vendor = (
         _windowed(measurements, minute).groupBy("window", "bts_market_nm").agg(F.count(F.lit(1)).alias("record_cnt"))
     )
+    if not measurements.isStreaming:
+        # every window meets thousands of stations: placed by window, those rows stay where they are
+        tasks = int(measurements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        per_vendor = per_vendor.repartition(tasks, "window")
     stations = bts.groupBy("bts_market_nm", "bts_alt_key").agg(F.count(F.lit(1)).alias("copies"))
     sums = (
         per_vendor.join(stations, "bts_market_nm", "left")
