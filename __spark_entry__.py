@@ -157,7 +157,8 @@ def _streamed(job: str, minute: str | None, spark: SparkSession, d: str) -> Data
     facts = (a.mdt_raw_of if job == "mdt" else a.cdr_of)(source)
     sink, state = scratch_path(spark, f"sink-{job}"), scratch_path(spark, f"state-{job}")
     result = jobs.closed_windows(job, facts, a.bts(spark, d), minute=minute)
-    jobs.write_windows(result, sink, state, available_now=True).awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    jobs.write_windows(result, sink, state, available_now=True, state_partitions=cores).awaitTermination()
     return jobs.read_sink(spark, job, sink)
 
 

@@ -139,7 +139,8 @@ def mart_rsrp(mdt: DataFrame, gpot: DataFrame, bdri: DataFrame, run_id: str, mon
 def mart_volte(
     calls: DataFrame, contracts: DataFrame, products: DataFrame, run_id: str, base: Days = None
 ) -> DataFrame:
-    """Voice drop rate per five minutes of call start, for the stored mart."""
+    """Voice drop rate per five minutes of call start, for the stored mart; calls
+    without a readable start come under NULL."""
     # the start of the five minutes as text, turned into a time once per result row
     minute = F.substring("call_start_dt", 11, 2).try_cast("int")
     start = F.concat(F.substring("call_start_dt", 1, 10), F.lpad((minute - minute % 5).cast("string"), 2, "0"))
@@ -150,4 +151,4 @@ def mart_volte(
         F.col("volte_drop_rate").alias("drop_rate"),
         "total_calls",
         F.col("dropped_volte").alias("dropped_calls"),
-    ).where(F.col("window_start").isNotNull())
+    )

@@ -35,11 +35,18 @@ def closed_windows(
 
 
 def write_windows(
-    result: DataFrame, sink_path: str, checkpoint: str, available_now: bool = False, poll: str = POLL
+    result: DataFrame,
+    sink_path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    poll: str = POLL,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append closed windows to a date-partitioned table, each exactly once.
 
     Restarting with the same checkpoint continues where the last run stopped.
+    ``state_partitions`` is fixed by the first run: about the cores of the cluster
+    serves a stream better than the partition count of large batch shuffles.
     """
     writer = (
         result.withColumn("window_date", F.to_date("window_start"))
@@ -50,7 +57,16 @@ def write_windows(
         .partitionBy("window_date")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    # the query keeps the settings it was started with
+    settings, name = result.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = settings.get(name)
+    settings.set(name, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        settings.set(name, before)
 
 
 def start(
@@ -64,11 +80,12 @@ def start(
     minute: str | None = windows.MINUTE,
     max_files: int | None = None,
     available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Start one job on its raw table; ``bts`` is read as of each micro-batch."""
+    """Start one job on its raw table, joined to ``bts`` as it is at the start."""
     source = tail_table(spark, source_path, JOBS[job][0], max_files)
     result = closed_windows(job, source, bts, lateness, minute)
-    return write_windows(result, sink_path, checkpoint, available_now)
+    return write_windows(result, sink_path, checkpoint, available_now, state_partitions=state_partitions)
 
 
 def read_sink(spark: SparkSession, job: str, sink_path: str) -> DataFrame:
