@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellmart.functions.geo import distance
-from cellmart.operators.sizing import BROADCAST_BYTES, dim_join, row_bytes
+from cellmart.operators.sizing import dim_join, row_bytes
 
 # lines are cut to pieces of this many cells, so a diagonal's box stays small
 PIECE_CELLS = 4
@@ -100,7 +100,7 @@ def grid_join(
             *points.columns, *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in extra]
         )
     levels = sorted(r["_level"] for r in sizes)
-    small = sum(r["bytes"] for r in sizes) <= BROADCAST_BYTES
+    size = sum(r["bytes"] for r in sizes)
 
     located = (
         points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -109,5 +109,5 @@ def grid_join(
         .withColumn("_gy", _cell(F.col(y), side))
     )
     close = distance(F.col(x), F.col(y), F.col("_near")) < F.col(reach)
-    joined = dim_join(located, placed, [*by, "_level", "_gx", "_gy"], "inner", where=close, small=small)
+    joined = dim_join(located, placed, [*by, "_level", "_gx", "_gy"], "inner", where=close, size=size)
     return joined.drop("_level", "_gx", "_gy", "_near")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellmart.operators.sizing import dim_join, fits_broadcast
+from cellmart.operators.sizing import dim_join, measured_bytes
 
 KEYS = ("cell_id", "alt_cell_id")
 
@@ -26,12 +26,12 @@ def or_join(left: DataFrame, right: DataFrame, how: str = "inner", keys: tuple[s
     """
     first, second = keys
     payload = [c for c in right.columns if c not in keys]
-    small = fits_broadcast(right)
+    size = measured_bytes(right)
 
     marked = left
     for name, flag in ((first, "_has1"), (second, "_has2")):
         members = right.select(name).where(F.col(name).isNotNull()).distinct().withColumn(flag, F.lit(True))
-        marked = dim_join(marked, members, [name], "left", small=small)
+        marked = dim_join(marked, members, [name], "left", size=size)
     has1, has2 = F.col("_has1").isNotNull(), F.col("_has2").isNotNull()
     if how == "inner":
         marked = marked.where(has1 | has2)
@@ -53,7 +53,7 @@ def or_join(left: DataFrame, right: DataFrame, how: str = "inner", keys: tuple[s
             for leg, name in ((1, first), (2, second))
         ],
     )
-    joined = dim_join(marked, stacked, ["_leg", "_key"], "left", small=small)
+    joined = dim_join(marked, stacked, ["_leg", "_key"], "left", size=2 * size)
     repeated = (F.col("_leg") == 2) & F.coalesce(F.col("_other") == F.col(first), F.lit(False))
     return joined.where(~repeated).select(*left.columns, *payload)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellmart.operators.sizing import dim_join, fits_broadcast
+from cellmart.operators.sizing import dim_join, measured_bytes
 
 
 def with_validity(snapshots: DataFrame, key: str, valid_from: str = "valid_from", ties: tuple[str, ...] = ()) -> DataFrame:
@@ -57,15 +57,15 @@ def pit_join(
         F.col("valid_to").alias("_to"),
         held.alias("_ended"),
     )
-    small = fits_broadcast(current.select(key, "_open.*").unionByName(ended.select(key, "_ended.*")))
-    matched = dim_join(events, current, [key], "left", where=F.col(at) >= F.col("_open_from"), small=small)
+    size = measured_bytes(current.select(key, "_open.*").unionByName(ended.select(key, "_ended.*")))
+    matched = dim_join(events, current, [key], "left", where=F.col(at) >= F.col("_open_from"), size=size)
     matched = dim_join(
         matched.withColumn("_day", F.to_date(at)),
         ended,
         [key, "_day"],
         "left",
         where=(F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_to")),
-        small=small,
+        size=size,
     )
     version = F.when(F.col("_ended._hit"), F.col("_ended")).otherwise(F.col("_open"))
     return matched.withColumn("_version", version).select(

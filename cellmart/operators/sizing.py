@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+# what repeating a dimension for every salt may add to a shuffle, over the whole cluster
+REPEAT_BYTES = 64 * 1024 * 1024 * 1024
+MIN_SALTS = 8
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -36,8 +39,11 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= limit
+def salt_count(df: DataFrame, size: int) -> int:
+    """As many salts as there are shuffle partitions, while a dimension of ``size``
+    bytes can be repeated that often within the budget."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(MIN_SALTS, min(tasks, REPEAT_BYTES // max(size, 1)))
 
 
 def dim_join(
@@ -46,17 +52,17 @@ def dim_join(
     on: list[str],
     how: str = "left",
     where: Column | None = None,
-    small: bool | None = None,
+    size: int | None = None,
     null_safe: bool = False,
-    salts: int = 16,
 ) -> DataFrame:
     """Join row-level facts to a dimension on equal ``on`` columns.
 
-    A dimension measured to be small is broadcast, so the fact is not moved at
-    all. Beyond the limit both sides are shuffled on the key and a salt: a fact
-    row takes one salt from a hash of its whole content, a dimension row is
-    repeated for every salt, so a key holding a third of the fact is spread over
-    ``salts`` tasks. The hash is a function of the row, so a recomputed task
+    A dimension measured to be small (or of known ``size`` in bytes) is broadcast,
+    so the fact is not moved at all. Beyond the limit both sides are shuffled on
+    the key and a salt: a fact row takes one salt from a hash of its whole content,
+    a dimension row is repeated for every salt, so a key holding a third of the
+    fact is spread over as many tasks as the dimension's size allows. AQE splits
+    what is still uneven. The hash is a function of the row, so a recomputed task
     sends every row to the same place again.
 
     Apart from ``on`` the two sides share no column names; ``where`` may use
@@ -64,15 +70,16 @@ def dim_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    small = fits_broadcast(dim) if small is None else small
+    size = measured_bytes(dim) if size is None else size
     renamed = {k: f"_dim_{k}" for k in on}
     right = dim.withColumnsRenamed(renamed)
     pairs = [(F.col(k), F.col(r)) for k, r in renamed.items()]
     condition = reduce(lambda a, b: a & b, [k.eqNullSafe(r) if null_safe else k == r for k, r in pairs])
     if where is not None:
         condition = condition & where
-    if small:
+    if size <= BROADCAST_BYTES:
         return fact.join(F.broadcast(right), condition, how).drop(*renamed.values())
+    salts = salt_count(fact, size)
     fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
     right = right.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = fact.join(right, condition & (F.col("_salt") == F.col("_dim_salt")), how)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from cellmart.functions.predicates import DATE_KEY, MARKETS, SIGNALS, TIME_KEY, USE_FLAGS, minute_is
 from cellmart.operators.numbering import row_index
-from cellmart.operators.sizing import dim_join, fits_broadcast
+from cellmart.operators.sizing import dim_join, measured_bytes
 
 # Ranges, defaults and the region list.
 VAL_DEFAULT, VAL_LOW, VAL_HIGH = 0, 0, 10_000_000
@@ -55,11 +55,11 @@ def repair_keys(cdr: DataFrame, bts: DataFrame, record_id: str = "sgi_id") -> Da
     substitutes = indexed.select(
         F.col("_index").alias("_pick"), F.col("cell_id").alias("_new_cell"), F.col("_alt").alias("_new_alt")
     )
-    small = fits_broadcast(known)
-    marked = dim_join(cdr, known, ["cell_id"], "left", small=small).withColumn(
+    size = measured_bytes(known)
+    marked = dim_join(cdr, known, ["cell_id"], "left", size=size).withColumn(
         "_pick", F.when(F.col("_known").isNull(), pick(F.col(record_id), count))
     )
-    repaired = dim_join(marked, substitutes, ["_pick"], "left", small=small)
+    repaired = dim_join(marked, substitutes, ["_pick"], "left", size=size)
     values = {
         "cell_id": F.coalesce("_new_cell", "cell_id"),
         "alt_cell_id": F.coalesce("_new_alt", "_alt", "alt_cell_id"),

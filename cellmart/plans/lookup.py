@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellmart.operators.sizing import dim_join
+from cellmart.operators.sizing import BROADCAST_BYTES, dim_join
 from cellmart.schemas import schema
 
 QUALITY = schema("call_quality_kudu").names
@@ -37,9 +37,10 @@ def by_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
     hits = dim_join(
         table.select(*QUALITY), asked.where(F.col("lookup_key").isNotNull()).distinct(), ["lookup_key"], "inner"
     )
-    # the list may repeat one key very often, so it is spread over salts
+    # not worth a second pass over the table to measure: taken as too large to
+    # broadcast, so a key the list repeats very often is spread over salts
     return (
-        dim_join(asked, hits.withColumn("_hit", F.lit(True)), ["lookup_key"], "left", small=False)
+        dim_join(asked, hits.withColumn("_hit", F.lit(True)), ["lookup_key"], "left", size=BROADCAST_BYTES + 1)
         .withColumn("found", F.coalesce("_hit", F.lit(False)))
         .select(*QUALITY, "found")
     )

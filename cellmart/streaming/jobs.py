@@ -106,8 +106,8 @@ def as_of_event_time(cdr: DataFrame, versions: DataFrame) -> DataFrame:
 def ltas_versioned(cdr: DataFrame, versions: DataFrame, minute: str | None = windows.MINUTE) -> DataFrame:
     """The station rollup with versioned stations: joined per record, since one
     window may span two versions."""
-    joined = windows._windowed(as_of_event_time(cdr, versions), minute)
+    joined = windows.windowed(as_of_event_time(cdr, versions), minute)
     sums = joined.groupBy("window", "bts_alt_key", "region_cd").agg(
         F.sum("val").alias("total_val"), F.count(F.lit(1)).alias("record_cnt")
     )
-    return windows._flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
+    return windows.flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")

@@ -18,7 +18,7 @@ WINDOW = "5 minutes"
 MINUTE = "45"
 
 
-def _windowed(rows: DataFrame, minute: str | None, also: Column | None = None) -> DataFrame:
+def windowed(rows: DataFrame, minute: str | None, also: Column | None = None) -> DataFrame:
     """Add ``window`` and keep the rows of the wanted minute.
 
     All row conditions sit inside one expression on the event time. Otherwise the
@@ -33,7 +33,7 @@ def _windowed(rows: DataFrame, minute: str | None, also: Column | None = None) -
     return rows.withColumn("window", F.window("event_time", WINDOW))
 
 
-def _flat(sums: DataFrame, *columns: str) -> DataFrame:
+def flat(sums: DataFrame, *columns: str) -> DataFrame:
     return sums.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *columns
     )
@@ -42,7 +42,7 @@ def _flat(sums: DataFrame, *columns: str) -> DataFrame:
 def ltas(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFrame:
     """Value and records per window, station and region."""
     per_cell = (
-        _windowed(cdr, minute)
+        windowed(cdr, minute)
         .groupBy("window", "cell_id")
         .agg(F.sum("val").alias("total_val"), F.count(F.lit(1)).alias("record_cnt"))
     )
@@ -51,12 +51,12 @@ def ltas(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFra
         .groupBy("window", "bts_alt_key", "region_cd")
         .agg(F.sum("total_val").alias("total_val"), F.sum("record_cnt").alias("record_cnt"))
     )
-    return _flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
+    return flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
 
 
 def sgi_v1(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFrame:
     """Used value and records of the signalling types, stations matched on either cell key."""
-    rows = _windowed(cdr, minute, F.col("signal_type").isin(*SIGNALS)).select(
+    rows = windowed(cdr, minute, F.col("signal_type").isin(*SIGNALS)).select(
         "window",
         "cell_id",
         "alt_cell_id",
@@ -65,13 +65,13 @@ def sgi_v1(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataF
     )
     station = ["bts_alt_key", "region_cd"]
     sums = or_join_sums(rows, or_weights(bts, station), ["window"], ["total_val", "record_cnt"], station, "left")
-    return _flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
+    return flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
 
 
 def sgi_v2(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFrame:
     """Value and records per window and station, or the record's cell when unknown."""
     per_cell = (
-        _windowed(cdr, minute)
+        windowed(cdr, minute)
         .groupBy("window", "cell_id")
         .agg(F.sum("val").alias("total_val"), F.count(F.lit(1)).alias("record_cnt"))
     )
@@ -80,13 +80,13 @@ def sgi_v2(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataF
         .groupBy("window", F.coalesce("_station", "cell_id").alias("bts_alt_key"))
         .agg(F.sum("total_val").alias("total_val"), F.sum("record_cnt").alias("record_cnt"))
     )
-    return _flat(sums, "bts_alt_key", "total_val", "record_cnt")
+    return flat(sums, "bts_alt_key", "total_val", "record_cnt")
 
 
 def mdt(measurements: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFrame:
     """Measurements per window for every station of the reporting vendor."""
     per_vendor = (
-        _windowed(measurements, minute).groupBy("window", "bts_market_nm").agg(F.count(F.lit(1)).alias("record_cnt"))
+        windowed(measurements, minute).groupBy("window", "bts_market_nm").agg(F.count(F.lit(1)).alias("record_cnt"))
     )
     if not measurements.isStreaming:
         # every window meets thousands of stations: placed by window, those rows stay where they are
@@ -98,4 +98,4 @@ def mdt(measurements: DataFrame, bts: DataFrame, minute: str | None = MINUTE) ->
         .groupBy("window", "bts_alt_key")
         .agg(F.sum(F.col("record_cnt") * F.coalesce("copies", F.lit(1))).alias("record_cnt"))
     )
-    return _flat(sums, "bts_alt_key", "record_cnt")
+    return flat(sums, "bts_alt_key", "record_cnt")

@@ -37,7 +37,7 @@ def direct(facts, dim, how):
 @pytest.mark.parametrize("small", [True, False], ids=["broadcast", "salted"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_rows_equal_direct_join(spark, bag, monkeypatch, how, small, seed):
-    monkeypatch.setattr(module, "fits_broadcast", lambda df: small)
+    monkeypatch.setattr(module, "measured_bytes", lambda df: 0 if small else 1 << 30)
     facts, dim = frames(spark, seed)
     assert bag(or_join(facts, dim, how)) == bag(direct(facts, dim, how))
 

@@ -35,7 +35,7 @@ def test_equal_start_keeps_the_last_by_tie(spark):
 
 @pytest.mark.parametrize("small", [True, False], ids=["broadcast", "salted"])
 def test_equals_range_join(spark, bag, monkeypatch, small):
-    monkeypatch.setattr(module, "fits_broadcast", lambda df: small)
+    monkeypatch.setattr(module, "measured_bytes", lambda df: 0 if small else 1 << 30)
     rng = random.Random(1)
 
     def moment():

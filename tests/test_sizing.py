@@ -5,7 +5,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cellmart import session
-from cellmart.operators.sizing import dim_join, fits_broadcast, measured_bytes
+from cellmart.operators.sizing import BROADCAST_BYTES, REPEAT_BYTES, dim_join, measured_bytes, salt_count
 
 
 def test_measured_size_sees_content(spark):
@@ -14,7 +14,6 @@ def test_measured_size_sees_content(spark):
     lists = narrow.withColumn("a", F.sequence(F.lit(1), F.lit(1000)))
     assert measured_bytes(narrow) < 10_000
     assert measured_bytes(wide) > 1_000_000 and measured_bytes(lists) > 1_000_000
-    assert fits_broadcast(narrow) and not fits_broadcast(wide, 100_000)
     assert measured_bytes(narrow.where("false")) == 0
 
 
@@ -25,8 +24,8 @@ def test_salted_equals_broadcast(spark, bag, how, null_safe):
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k")
     )
     dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), (None, 4), ("zz", 5)], "k string, v int")
-    one = dim_join(fact, dim, ["k"], how, small=True, null_safe=null_safe)
-    other = dim_join(fact, dim, ["k"], how, small=False, null_safe=null_safe)
+    one = dim_join(fact, dim, ["k"], how, size=0, null_safe=null_safe)
+    other = dim_join(fact, dim, ["k"], how, size=BROADCAST_BYTES + 1, null_safe=null_safe)
     assert bag(one) == bag(other) and one.columns == other.columns == ["id", "k", "v"]
 
 
@@ -37,7 +36,7 @@ def test_hot_key_spreads_over_tasks(spark):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        joined = dim_join(fact, dim, ["k"], small=False)
+        joined = dim_join(fact, dim, ["k"], size=BROADCAST_BYTES + 1)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -46,6 +45,17 @@ def test_hot_key_spreads_over_tasks(spark):
     assert sum(sizes) == 8000 and len(sizes) >= 8 and max(sizes) < 8000 / 3
 
 
+def test_salts_follow_cluster_and_size(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        df = spark.range(1)
+        assert salt_count(df, 1) == 2000
+        assert salt_count(df, REPEAT_BYTES // 100) == 100
+        assert salt_count(df, REPEAT_BYTES) == 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_unsupported_join(spark):
     with pytest.raises(ValueError):
         dim_join(spark.range(1), spark.range(1), ["id"], "full")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellmart.functions.geo import segments, with_segments, wkt_distance, wkt_points
-from cellmart.operators import grid_join as module
+from cellmart.operators import sizing
 from cellmart.operators.grid_join import grid_join
 from cellmart.plans.batch import mdt_merge
 from cellmart.sources.readers import literal_rows
@@ -61,7 +61,7 @@ def random_lines(rng, n):
 @pytest.mark.parametrize("small", [True, False], ids=["broadcast", "salted"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_grid_equals_brute_force(spark, bag, monkeypatch, small, seed):
-    monkeypatch.setattr(module, "BROADCAST_BYTES", 1 << 40 if small else -1)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 1 << 40 if small else -1)
     rng = random.Random(seed)
     points = [(i, rng.uniform(-400, 400), rng.uniform(-400, 400), rng.choice(["v1", "v2"])) for i in range(800)]
     points += [(0, *points[0][1:]), (990, None, 1.0, "v1"), (991, 0.0, 0.0, None)]
