@@ -233,12 +233,19 @@ def q_eligible_counts(spark: SparkSession, d: str) -> DataFrame:
     return audit.eligible_counts({"cdr_sgi_raw": a.cdr(spark, d), "cdr_mdt_smsng_raw": a.mdt_raw(spark, d)})
 
 
+# the first job over every minute, the others with the filter they run with
+_PARITY_MINUTE = {"ltas": None, "sgi_v1": windows.MINUTE, "sgi_v2": windows.MINUTE, "mdt": windows.MINUTE}
+
+
 def q_stream_batch_parity(spark: SparkSession, d: str) -> DataFrame:
-    """All windows of the batch core against those the stream has closed."""
-    on = ["window_start", "window_end", "bts_alt_key", "region_cd"]
-    expected = windows.ltas(a.cdr(spark, d), a.bts(spark, d), None)
-    compared = audit.parity(expected, _streamed("ltas", None, spark, d), on, ["total_val", "record_cnt"])
-    return audit.parity_summary("ltas", compared)
+    """All windows of each batch core against those its stream has closed."""
+    parts = []
+    for job, minute in _PARITY_MINUTE.items():
+        expected = _CORES[job](_FACTS[job](spark, d), a.bts(spark, d), minute)
+        on = [c for c in expected.columns if c not in ("total_val", "record_cnt")]
+        compared = audit.parity(expected, _streamed(job, minute, spark, d), on, ["record_cnt"])
+        parts.append(audit.parity_summary(job, compared))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _sinks(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -274,8 +281,8 @@ def q_window_checks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_latency_summary(spark: SparkSession, d: str) -> DataFrame:
-    summary = audit.latency_summary(a.timings(spark, d))
-    return summary.select("engine", "n", "max_sec", *[F.round(c, 6).alias(c) for c in ("avg_sec", "p95_sec", "p99_sec")])
+    rounded = [F.round(c, 6).alias(c) for c in ("avg_sec", "p95_sec", "p99_sec")]
+    return audit.latency_summary(a.timings(spark, d)).select("engine", "n", "max_sec", *rounded)
 
 
 def q_latency_alerts(spark: SparkSession, d: str) -> DataFrame:
@@ -443,8 +450,8 @@ def oracle_sql() -> dict[str, str]:
         )
     sql["q_or_bridge"] = a.with_views(
         "cdr bts",
-        f"""SELECT DISTINCT ON (cdr.cell_id, cdr.alt_cell_id, bts_alt_key) cdr.cell_id, cdr.alt_cell_id, bts_alt_key,
-        region_cd FROM cdr LEFT JOIN bts ON {_EITHER}""",
+        f"""SELECT DISTINCT cdr.cell_id, cdr.alt_cell_id, bts_alt_key, region_cd
+        FROM cdr LEFT JOIN bts ON {_EITHER}""",
     )
     sql["q_or_weights"] = a.with_views(
         "bts",
@@ -594,15 +601,16 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT 'cdr_sgi_raw' AS tbl, {eligible} AS cnt FROM cdr
         UNION ALL SELECT 'cdr_mdt_smsng_raw', {eligible} FROM mdt_raw""",
     )
-    sql["q_stream_batch_parity"] = a.with_views(
-        "cdr bts",
-        f""", w AS ({_window_body("ltas", "true")}),
-        split AS (SELECT *, window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND AS closed FROM w)
-        SELECT 'ltas' AS job, CAST(SUM(record_cnt) AS BIGINT) AS batch_count,
-               CAST(SUM(CASE WHEN closed THEN record_cnt ELSE 0 END) AS BIGINT) AS stream_count,
-               CAST(-SUM(CASE WHEN closed THEN 0 ELSE record_cnt END) AS BIGINT) AS diff,
-               CAST(SUM(CASE WHEN closed THEN 0 ELSE 1 END) AS BIGINT) AS differing_keys FROM split""",
+    both_sides = " UNION ALL ".join(
+        f"""SELECT '{job}' AS job, sum(record_cnt)::BIGINT AS batch_count,
+        coalesce(sum(record_cnt) FILTER (WHERE closed), 0)::BIGINT AS stream_count,
+        -coalesce(sum(record_cnt) FILTER (WHERE NOT closed), 0)::BIGINT AS diff,
+        count(*) FILTER (WHERE NOT closed) AS differing_keys
+        FROM (SELECT *, window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND AS closed
+              FROM ({_window_body(job, "true" if minute is None else _MINUTE_45)}))"""
+        for job, minute in _PARITY_MINUTE.items()
     )
+    sql["q_stream_batch_parity"] = a.with_views("cdr mdt_raw bts", both_sides)
     lacking = {"sgi_v2": {"region_cd"}, "mdt": {"region_cd", "total_val"}}
     newest_rows = " UNION ALL ".join(
         f"""(SELECT '{jobs.JOBS[job][2]}' AS tbl, window_start, window_end, bts_alt_key,

@@ -62,11 +62,6 @@ def trigger_rule() -> Column:
     return reduce(Column.__or__, rules)
 
 
-def flag_count(condition: Column) -> Column:
-    """Number of rows meeting a condition, 0 when there is none."""
-    return F.sum(F.when(condition, 1).otherwise(0))
-
-
 def hit_count(condition: Column) -> Column:
     """Number of rows meeting a condition, NULL when there is none."""
     return F.sum(F.when(condition, 1))

@@ -86,7 +86,8 @@ def grid_join(
     width = F.col(reach).cast("double")
     placed = (
         usable.withColumn("_cell", F.explode(_covered_cells(F.col(segs), width, side)))
-        .withColumns({f"_{axis}": F.split_part("_cell", F.lit("_"), F.lit(n)).cast("long") for n, axis in ((1, "gx"), (2, "gy"))})
+        .withColumn("_gx", F.split_part("_cell", F.lit("_"), F.lit(1)).cast("long"))
+        .withColumn("_gy", F.split_part("_cell", F.lit("_"), F.lit(2)).cast("long"))
         .withColumn("_near", _segments_near(F.col(segs), width, side, F.col("_gx"), F.col("_gy")))
         .where(F.size("_near") > 0)
         .select(*kept, "_level", "_gx", "_gy", "_near")

@@ -72,7 +72,9 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     rows = counted.withColumn("_scope", F.lit(0.0))
-    ranks = [(name, side, F.lit(float(p)) * (F.col("_total") - 1)) for name, p in probs.items() for side in ("lo", "hi")]
+    ranks = [
+        (name, side, F.lit(float(p)) * (F.col("_total") - 1)) for name, p in probs.items() for side in ("lo", "hi")
+    ]
     wanted = F.array(
         *[
             F.struct(
@@ -84,10 +86,11 @@ def exact_quantiles(
             for name, side, rank in ranks
         ]
     )
+    whole = [F.lit(0.0).alias("_scope"), F.lit(0).cast("long").alias("_before")]
     targets = (
         counted.groupBy(*group)
         .agg(F.sum("_n").alias("_total"))
-        .select(*group, F.lit(0.0).alias("_scope"), F.lit(0).cast("long").alias("_before"), F.explode(wanted).alias("_t"))
+        .select(*group, *whole, F.explode(wanted).alias("_t"))
         .select(*group, "_scope", "_before", "_t.*")
     )
     scope = [*group, "_scope"]
@@ -96,7 +99,8 @@ def exact_quantiles(
     for step in (width, width / finer, None):
         part = F.col("_v") if step is None else F.floor(F.col("_v") / F.lit(step)).cast("double")
         rows = rows.join(targets.select(*scope).distinct(), scope, "left_semi").withColumn("_part", part)
-        totals = rows.groupBy(*scope, "_part").agg(F.sum("_n").alias("_in")).withColumn("_upto", F.sum("_in").over(running))
+        totals = rows.groupBy(*scope, "_part").agg(F.sum("_n").alias("_in"))
+        totals = totals.withColumn("_upto", F.sum("_in").over(running))
         targets = (
             targets.join(totals, scope)
             .where((F.col("row") >= first) & (F.col("row") < last))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from cellmart.operators.sizing import dim_join, measured_bytes
 
 
-def with_validity(snapshots: DataFrame, key: str, valid_from: str = "valid_from", ties: tuple[str, ...] = ()) -> DataFrame:
+def with_validity(
+    snapshots: DataFrame, key: str, valid_from: str = "valid_from", ties: tuple[str, ...] = ()
+) -> DataFrame:
     """Add ``valid_to``: the start of the next version of the same key, NULL for the last.
 
     Two levels keep every window small: versions are ordered within (key, day),

@@ -11,7 +11,6 @@ from cellmart.functions.predicates import (
     RSRP_BAD,
     RSRP_BANDS,
     RSRP_GOOD,
-    flag_count,
     hit_count,
     key_time,
     on_days,

@@ -70,7 +70,8 @@ def repair_keys(cdr: DataFrame, bts: DataFrame, record_id: str = "sgi_id") -> Da
 def repair_domain(df: DataFrame, column: str, domain: Sequence[str], record_id: str) -> DataFrame:
     """Replace values outside a short list, NULL included."""
     listed = F.coalesce(F.col(column).isin(*domain), F.lit(False))
-    substitute = F.element_at(F.array(*[F.lit(v) for v in domain]), (pick(F.col(record_id), len(domain)) + 1).cast("int"))
+    position = (pick(F.col(record_id), len(domain)) + 1).cast("int")
+    substitute = F.element_at(F.array(*[F.lit(v) for v in domain]), position)
     return df.withColumn(column, F.when(listed, F.col(column)).otherwise(substitute))
 
 
