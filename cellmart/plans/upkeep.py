@@ -50,18 +50,17 @@ def analyze_partition(spark: SparkSession, table: str, value: str, database: str
     spark.sql(f"ANALYZE TABLE {database}.{table} PARTITION ({column}='{value}') COMPUTE STATISTICS")
 
 
-def file_sizes(df: DataFrame) -> DataFrame:
-    """Files behind a stored table with their sizes, from file metadata only."""
-    return df.select(
-        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")
-    ).distinct()
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Files behind a stored table with their sizes. Only the listing is used, no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return files.load(path).select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
 
 
 def compact(spark: SparkSession, path: str, table: str, out: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Rewrite a table to ``out`` in files of about ``target_bytes``, clustered on its
     sort column; returns the number of write tasks. The source stays readable."""
     source = read_table(spark, path, table)
-    total = file_sizes(source).agg(F.sum("file_size")).first()[0] or 0
+    total = file_sizes(spark, path).agg(F.sum("file_size")).first()[0] or 0
     tasks = max(1, ceil(total / target_bytes))
     write_clustered(source.select(*TABLES[table].schema.names), out, table, tasks)
     return tasks
