@@ -66,9 +66,11 @@ def exact_quantiles(
     rank, then over the distinct values of those parts. No group is sorted or
     buffered as a whole.
     """
+    # the group as one struct: structs compare NULL fields as equal, so a NULL group joins too
+    named, group = F.struct(*group).alias("_group"), ["_group"]
     counted = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("_v"))
+        .groupBy(named, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     rows = counted.withColumn("_scope", F.lit(0.0))
@@ -98,7 +100,9 @@ def exact_quantiles(
     first, last = F.col("_before") + F.col("_upto") - F.col("_in"), F.col("_before") + F.col("_upto")
     for step in (width, width / finer, None):
         part = F.col("_v") if step is None else F.floor(F.col("_v") / F.lit(step)).cast("double")
-        rows = rows.join(targets.select(*scope).distinct(), scope, "left_semi").withColumn("_part", part)
+        if step != width:
+            rows = rows.join(targets.select(*scope).distinct(), scope, "left_semi")
+        rows = rows.withColumn("_part", part)
         totals = rows.groupBy(*scope, "_part").agg(F.sum("_n").alias("_in"))
         totals = totals.withColumn("_upto", F.sum("_in").over(running))
         targets = (
@@ -116,4 +120,5 @@ def exact_quantiles(
         return at("lo") + (at("hi") - at("lo")) * (rank - F.floor(rank))
 
     # after the last step the scope is the value itself
-    return targets.groupBy(*group).agg(*[interpolated(n).alias(n) for n in probs])
+    found = targets.groupBy(*group).agg(*[interpolated(n).alias(n) for n in probs])
+    return found.select("_group.*", *probs)

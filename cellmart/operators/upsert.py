@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,16 +31,14 @@ def upsert(base: DataFrame, changes: DataFrame, key: list[str], order: list[str]
     """
     columns = base.columns
     newest = latest_per_key(changes.select(*columns), key, order)
-    old = base.select(*[F.col(c).alias(f"_old_{c}") for c in columns])
-    new = newest.select(*[F.col(c).alias(f"_new_{c}") for c in columns])
+    old = base.select(*[F.col(c).alias(f"_old_{c}") for c in columns], F.lit(True).alias("_old"))
+    new = newest.select(*[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_new"))
     same_key = reduce(lambda a, b: a & b, [F.col(f"_old_{k}") == F.col(f"_new_{k}") for k in key])
 
-    def seq(side: str):
+    def seq(side: str) -> Column:
         return F.struct(*[F.col(f"{side}{c}").alias(c) for c in order])
 
-    old_missing = F.col(f"_old_{key[0]}").isNull()
-    new_missing = F.col(f"_new_{key[0]}").isNull()
-    take_new = old_missing | (~new_missing & (seq("_new_") >= seq("_old_")))
+    take_new = F.col("_old").isNull() | (F.col("_new").isNotNull() & (seq("_new_") >= seq("_old_")))
     return old.join(new, same_key, "full_outer").select(
         *[F.when(take_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c) for c in columns]
     )

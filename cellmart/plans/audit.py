@@ -148,7 +148,9 @@ def latency_summary(timings: DataFrame, group: str = "engine", value: str = "ela
     basic = valid.groupBy(group).agg(
         F.avg(value).alias("avg_sec"), F.max(value).alias("max_sec"), F.count(F.lit(1)).alias("n")
     )
-    return basic.join(exact_quantiles(valid, [group], value, {"p95_sec": 0.95, "p99_sec": 0.99}), group)
+    ranks = exact_quantiles(valid, [group], value, {"p95_sec": 0.95, "p99_sec": 0.99})
+    same = F.col(group).eqNullSafe(F.col("_group"))
+    return basic.join(ranks.withColumnRenamed(group, "_group"), same).drop("_group")
 
 
 def latency_alerts(

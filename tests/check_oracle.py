@@ -28,6 +28,10 @@ def rows_of(columns: list[str], rows: list[tuple]) -> list[str]:
     return sorted(repr([r[i] for i in order]) for r in rows)
 
 
+FAMILIES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+            "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP"}
+
+
 def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> tuple[bool, str]:
     started = time.time()
     df = query(spark, sf_dir)
@@ -40,6 +44,10 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> tuple
     expected = cursor.fetchall()
     if sorted(columns) != sorted(df.columns):
         return False, f"columns {df.columns} / {columns}"
+    kinds = {c[0]: str(c[1]) for c in cursor.description}
+    wrong = {n: (t, kinds[n]) for n, t in df.dtypes if FAMILIES.get(t) != kinds[n]}
+    if wrong:
+        return False, f"types {wrong}"
     mine, theirs = rows_of(df.columns, [tuple(r) for r in got]), rows_of(columns, expected)
     if mine != theirs:
         extra, missing = [r for r in mine if r not in set(theirs)][:3], [r for r in theirs if r not in set(mine)][:3]

@@ -145,6 +145,8 @@ def test_upsert(spark):
     )
     got = {tuple(r) for r in upsert(base, changes, ["k"], ["seq"]).collect()}
     assert got == {("a", 3, "new"), ("b", 5, "old"), ("c", 1, "same"), ("d", 1, "added")}
+    keyless = spark.createDataFrame([(None, 1, "kept")], base.schema)
+    assert upsert(base.unionByName(keyless), changes, ["k"], ["seq"]).where("k IS NULL").first()["v"] == "kept"
     assert upsert(base.limit(0), changes, ["k"], ["seq"]).count() == 4
     assert upsert(base, changes.limit(0), ["k"], ["seq"]).count() == 3
 
