@@ -10,6 +10,10 @@ from cellmart.operators.sizing import dim_join, row_bytes
 
 # lines are cut to pieces of this many cells, so a diagonal's box stays small
 PIECE_CELLS = 4
+# a longer line moves to a coarser level, so the cells listed for one line stay bounded
+LINE_CELLS = 1024
+# infinite and NaN coordinates match nothing; metres on any map end far below this
+FARTHEST = 1e18
 
 
 def _cell(value: Column, size: Column) -> Column:
@@ -27,8 +31,8 @@ def _covered_cells(segs: Column, reach: Column, size: Column) -> Column:
             def span(a: str, b: str) -> tuple[Column, Column]:
                 step = (seg[b] - seg[a]) / pieces
                 start, end = seg[a] + step * i, seg[a] + step * (i + 1)
-                # far wider than the rounding of the cut points, far narrower than a cell
-                margin = reach + F.lit(1e-6) + (F.abs(start) + F.abs(end)) * F.lit(1e-9)
+                # wider than the rounding of the cut points, far narrower than a cell
+                margin = reach + F.lit(1e-6) + (F.abs(start) + F.abs(end)) * F.lit(1e-14)
                 return _cell(F.least(start, end) - margin, size), _cell(F.greatest(start, end) + margin, size)
 
             (x0, x1), (y0, y1) = span("x1", "x2"), span("y1", "y2")
@@ -47,6 +51,25 @@ def _covered_cells(segs: Column, reach: Column, size: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(segs, piece_cells)))
 
 
+def _finite(seg: Column) -> Column:
+    ends = [F.abs(seg[c]) < FARTHEST for c in ("x1", "y1", "x2", "y2")]
+    return ends[0] & ends[1] & ends[2] & ends[3]
+
+
+def _cell_side(segs: Column, reach: Column) -> Column:
+    """Least useful cell width for a line: its reach, a share of its length, and
+    enough to stay clear of the rounding of very large coordinates."""
+    length = F.aggregate(
+        segs,
+        F.lit(0.0),
+        lambda total, s: total + F.greatest(F.abs(s["x2"] - s["x1"]), F.abs(s["y2"] - s["y1"])),
+    )
+    outmost = F.array_max(
+        F.transform(segs, lambda s: F.greatest(F.abs(s["x1"]), F.abs(s["y1"]), F.abs(s["x2"]), F.abs(s["y2"])))
+    )
+    return F.greatest(reach, length / LINE_CELLS, outmost * F.lit(1e-12))
+
+
 def _segments_near(segs: Column, reach: Column, size: Column, gx: Column, gy: Column) -> Column:
     """The segments whose widened box meets a cell, or a neighbour of it."""
 
@@ -71,19 +94,21 @@ def grid_join(
     The result has all columns of both sides but ``segs``.
 
     Every line lives on one grid level whose cell is at least as wide as its
-    reach and at most four times wider, and is listed once under each cell it can
-    reach into, with only the segments near that cell; a point looks into its own
-    cell on each level in use. So a line meets a point at most once, duplicates on
+    reach (and a small share of its length) and at most four times wider, and is
+    listed once under each cell it can reach into, with only the segments near that
+    cell; a point looks into its own cell on each level in use. So a line meets a point at most once, duplicates on
     either side survive, and a few far-reaching lines do not coarsen the grid for
     the rest. Candidates that share a cell are checked by exact distance before
     anything is emitted.
     """
     kept = [c for c in lines.columns if c != segs]
-    usable = lines.where((F.size(segs) > 0) & (F.col(reach) > 0)).withColumn(
-        "_level", F.greatest(F.ceil(F.log(4.0, F.col(reach).cast("double"))), F.lit(0)).cast("int")
+    width = F.col(reach).cast("double")
+    usable = (
+        lines.withColumn(segs, F.filter(segs, _finite))
+        .where((F.size(segs) > 0) & (F.col(reach) > 0))
+        .withColumn("_level", F.greatest(F.ceil(F.log(4.0, _cell_side(F.col(segs), width))), F.lit(0)).cast("int"))
     )
     side = F.pow(F.lit(4.0), F.col("_level"))
-    width = F.col(reach).cast("double")
     placed = (
         usable.withColumn("_cell", F.explode(_covered_cells(F.col(segs), width, side)))
         .withColumn("_gx", F.split_part("_cell", F.lit("_"), F.lit(1)).cast("long"))
@@ -93,7 +118,7 @@ def grid_join(
         .select(*kept, "_level", "_gx", "_gy", "_near")
     )
 
-    # one pass for the levels in use (33 at most for an int line count) and the size
+    # one pass for the levels in use (a few dozen at most) and the size
     sizes = placed.groupBy("_level").agg(F.sum(row_bytes(placed)).alias("bytes")).collect()
     if not sizes:
         extra = [c for c in kept if c not in by]
@@ -104,7 +129,7 @@ def grid_join(
     size = sum(r["bytes"] for r in sizes)
 
     located = (
-        points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+        points.where((F.abs(x) < FARTHEST) & (F.abs(y) < FARTHEST))
         .withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels])))
         .withColumn("_gx", _cell(F.col(x), side))
         .withColumn("_gy", _cell(F.col(y), side))

@@ -27,7 +27,7 @@ def upsert(base: DataFrame, changes: DataFrame, key: list[str], order: list[str]
     """``base`` (one row per key) with newer rows of ``changes`` replacing or added.
 
     On equal ``order`` the change wins. One full outer join on the key: a base
-    table bucketed by it is not shuffled.
+    table bucketed by it is read in place while its buckets are enough tasks.
     """
     columns = base.columns
     newest = latest_per_key(changes.select(*columns), key, order)

@@ -151,6 +151,21 @@ def test_upsert(spark):
     assert upsert(base, changes.limit(0), ["k"], ["seq"]).count() == 3
 
 
+def test_upsert_leaves_a_bucketed_base_in_place(spark, quality, plan):
+    writers.create_databases(spark)
+    writers.write_bucketed(quality, "call_quality_kudu", "cellmart.quality_base")
+    merged = upsert(spark.table("cellmart.quality_base"), quality.limit(5), ["lookup_key"], ["base_date"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(merged)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SelectedBucketsCount: 32 out of 32" in text
+    shuffled = [line for line in text.splitlines() if "Arguments: hashpartitioning(_old_lookup_key" in line]
+    assert shuffled == [] and "hashpartitioning(" in text
+    assert merged.count() == 200
+
+
 def test_published_versions(spark, quality):
     newer = quality.limit(3).withColumn("base_date", F.lit("20260101"))
     first = writers.publish_upsert(spark, quality, newer, ["lookup_key"], ["base_date"], "quality_now")
