@@ -122,7 +122,9 @@ def q_lookup_hash(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_lookup_part(spark: SparkSession, d: str) -> DataFrame:
-    return lookup.by_key_and_date(a.quality(spark, d), "LOOKUP_KEY_00001", "19970528")
+    table = a.quality(spark, d)
+    day = lookup.by_key(table, "LOOKUP_KEY_00001").first()["base_date"]
+    return lookup.by_key_and_date(table, "LOOKUP_KEY_00001", day)
 
 
 def q_lookup_by_call(spark: SparkSession, d: str) -> DataFrame:
@@ -509,7 +511,8 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["q_lookup_part"] = a.with_views(
         "quality",
-        f"SELECT {columns} FROM quality WHERE lookup_key = 'LOOKUP_KEY_00001' AND base_date = '19970528'",
+        f"""SELECT {columns} FROM quality WHERE lookup_key = 'LOOKUP_KEY_00001' AND base_date IN
+        (SELECT strftime(o_orderdate, '%Y%m%d') FROM orders WHERE o_orderkey = 1)""",
     )
     sql["q_lookup_by_call"] = a.with_views(
         "quality",

@@ -55,22 +55,25 @@ def exact_quantiles(
     group: list[str],
     value: str,
     probs: dict[str, float],
-    width: float = 0.01,
+    width: float | None = None,
     finer: int = 10_000,
 ) -> DataFrame:
     """Interpolated quantiles per group, one column per entry of ``probs``.
 
     Values are counted per distinct value and the wanted ranks are located by
-    running totals, from coarse to fine: first over buckets of ``width`` (bounded
-    by the value range), then over ``finer`` parts of the buckets that hold a
-    rank, then over the distinct values of those parts. No group is sorted or
-    buffered as a whole.
+    running totals, from coarse to fine: first over buckets of ``width`` (unless
+    given, the measured value range over ``finer``), then over ``finer`` parts of
+    the buckets that hold a rank, then over the distinct values of those parts. No
+    group is sorted or buffered as a whole.
     """
+    df = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    if width is None:
+        low, high = df.agg(F.min(value).cast("double"), F.max(value).cast("double")).first()
+        width = (high - low) / finer if low is not None and high > low else 1.0
     # the group as one struct: structs compare NULL fields as equal, so a NULL group joins too
     named, group = F.struct(*group).alias("_group"), ["_group"]
     counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(named, F.col(value).cast("double").alias("_v"))
+        df.groupBy(named, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     rows = counted.withColumn("_scope", F.lit(0.0))

@@ -136,7 +136,7 @@ def test_history_and_range(spark):
     assert tuple(audit.time_range({"log": log}, "start_time").first())[1:] == (T0 - timedelta(hours=59), T0)
 
 
-@pytest.mark.parametrize("width", [0.01, 1000.0])
+@pytest.mark.parametrize("width", [0.01, 1000.0, None])
 def test_quantiles_are_exact(spark, width):
     rng = random.Random(3)
     rows = [("a", rng.expovariate(0.1)) for _ in range(2000)] + [("a", 2.5)] * 1000 + [("b", 1.0), ("b", 2.0), ("c", 4.0), (None, 8.0), (None, 9.0)]
