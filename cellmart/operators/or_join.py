@@ -134,25 +134,14 @@ def or_join_sums(
         .groupBy(*group, "leg", "k1", "k2")
         .agg(*[F.sum(s).alias(s) for s in sums])
     )
-    condition = (
-        (F.col("leg") == F.col("d_leg"))
-        & F.col("k1").eqNullSafe(F.col("d_k1"))
-        & F.col("k2").eqNullSafe(F.col("d_k2"))
-    )
-    joined = keyed.join(weights, condition, "inner" if how == "inner" else "left")
+    size = measured_bytes(weights)
+    rows = weights.withColumnsRenamed({"d_leg": "leg", "d_k1": "k1", "d_k2": "k2"})
+    joined = dim_join(keyed, rows, ["leg", "k1", "k2"], how, size=size, null_safe=True)
     if how == "left":
         # only the pair leg knows both keys, so it alone decides that nothing matched
-        members = (
-            weights.where(F.col("d_leg") < 3)
-            .select(F.col("d_leg").alias("_leg"), F.coalesce("d_k1", "d_k2").alias("_key"))
-            .distinct()
-        )
         for number, column, known in ((1, "k1", "_in1"), (2, "k2", "_in2")):
-            side = members.select(F.col("_leg").alias(f"{known}_leg"), F.col("_key").alias(known))
-            here = (F.when(F.col("leg") == 3, F.lit(number)) == F.col(f"{known}_leg")) & (
-                F.col(column) == F.col(known)
-            )
-            joined = joined.join(side, here, "left")
+            members = rows.where(F.col("leg") == number).select(F.lit(3).alias("leg"), column).distinct()
+            joined = dim_join(joined, members.withColumn(known, F.lit(True)), ["leg", column], "left", size=size)
         unmatched = (F.col("leg") == 3) & F.col("_in1").isNull() & F.col("_in2").isNull()
         joined = joined.where(F.col("weight").isNotNull() | unmatched).withColumn(
             "weight", F.coalesce(F.col("weight"), F.lit(1))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cellmart.functions.predicates import SIGNALS, minute_is
 from cellmart.operators.or_join import or_join_sums, or_weights
+from cellmart.operators.sizing import dim_join
 
 WINDOW = "5 minutes"
 MINUTE = "45"
@@ -94,7 +95,7 @@ def mdt(measurements: DataFrame, bts: DataFrame, minute: str | None = MINUTE) ->
         per_vendor = per_vendor.repartition(tasks, "window")
     stations = bts.groupBy("bts_market_nm", "bts_alt_key").agg(F.count(F.lit(1)).alias("copies"))
     sums = (
-        per_vendor.join(stations, "bts_market_nm", "left")
+        dim_join(per_vendor, stations, ["bts_market_nm"], "left")
         .groupBy("window", "bts_alt_key")
         .agg(F.sum(F.col("record_cnt") * F.coalesce("copies", F.lit(1))).alias("record_cnt"))
     )

@@ -43,8 +43,10 @@ def test_rows_equal_direct_join(spark, bag, monkeypatch, how, small, seed):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("small", [True, False], ids=["broadcast", "salted"])
 @pytest.mark.parametrize("seed", [3, 4])
-def test_sums_equal_direct_join(spark, bag, how, seed):
+def test_sums_equal_direct_join(spark, bag, monkeypatch, how, small, seed):
+    monkeypatch.setattr(module, "measured_bytes", lambda df: 0 if small else 1 << 30)
     facts, dim = frames(spark, seed)
     ones = facts.withColumn("n", F.lit(1).cast("long"))
     got = or_join_sums(ones, or_weights(dim, ["station", "region"]), ["day"], ["n", "val"], ["station", "region"], how)
@@ -79,7 +81,8 @@ def test_empty_dimension(spark):
     assert sum(r["val"] for r in left) == facts.agg(F.sum("val")).first()[0]
 
 
-def test_no_nested_loops(spark, plan, bag):
+def test_no_nested_loops(spark, plan, monkeypatch):
+    monkeypatch.setattr(module, "measured_bytes", lambda df: 1 << 30)
     facts, dim = frames(spark, 8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
