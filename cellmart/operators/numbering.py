@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellmart.operators.sizing import spread_key
 from cellmart.session import shared_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
@@ -16,20 +17,19 @@ def row_index(df: DataFrame, name: str, order_by: Sequence[str] | None = None) -
     """Number rows 0..n-1 in column ``name``; returns the frame and n.
 
     Each partition numbers its own rows and adds the count of the partitions
-    before it. Rows are numbered in ``order_by`` order after a range shuffle (the
-    scan position breaks ties, so equal rows still split), or in scan order
-    without any shuffle. The numbered rows are checkpointed before they are
+    before it. Rows are numbered in ``order_by`` order after a range shuffle (a hash
+    breaks ties, so a hot value still splits), or in scan order without any shuffle. The numbered rows are checkpointed before they are
     counted: both passes then read the same partitions, also after a task is lost.
     """
     spark = df.sparkSession
     shared_dir(spark)
     if order_by:
-        order = [*order_by, "_scan"]
+        order = [*order_by, "_spread"]
         df = (
-            df.withColumn("_scan", F.monotonically_increasing_id())
+            df.withColumn("_spread", spread_key(df))
             .repartitionByRange(*order)
             .sortWithinPartitions(*order)
-            .drop("_scan")
+            .drop("_spread")
         )
     numbered = df.withColumn("_position", F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright("_position", _LOCAL_BITS)

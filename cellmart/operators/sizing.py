@@ -39,6 +39,16 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
 
 
+def spread_key(df: DataFrame) -> Column:
+    """A hash that differs between the rows of a hot key, and between copies of one
+    row in different input partitions.
+
+    It depends on the row's content and partition, never on the order rows arrive
+    in, so a task that runs again after a loss sends every row to the same place.
+    """
+    return F.xxhash64(*df.columns, F.spark_partition_id())
+
+
 def salt_count(df: DataFrame, size: int) -> int:
     """As many salts as there are shuffle partitions, while a dimension of ``size``
     bytes can be repeated that often within the budget."""
@@ -59,11 +69,10 @@ def dim_join(
 
     A dimension measured to be small (or of known ``size`` in bytes) is broadcast,
     so the fact is not moved at all. Beyond the limit both sides are shuffled on
-    the key and a salt: a fact row takes one salt from a hash of its whole content,
-    a dimension row is repeated for every salt, so a key holding a third of the
+    the key and a salt: a fact row takes one salt (see :func:`spread_key`), a
+    dimension row is repeated for every salt, so a key holding a third of the
     fact is spread over as many tasks as the dimension's size allows. AQE splits
-    what is still uneven. The hash is a function of the row, so a recomputed task
-    sends every row to the same place again.
+    what is still uneven.
 
     Apart from ``on`` the two sides share no column names; ``where`` may use
     columns of both. With ``null_safe`` NULL keys equal each other.
@@ -80,7 +89,7 @@ def dim_join(
     if size <= BROADCAST_BYTES:
         return fact.join(F.broadcast(right), condition, how).drop(*renamed.values())
     salts = salt_count(fact, size)
-    fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
+    fact = fact.withColumn("_salt", F.pmod(spread_key(fact), F.lit(salts)).cast("int"))
     right = right.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = fact.join(right, condition & (F.col("_salt") == F.col("_dim_salt")), how)
     return joined.drop("_salt", "_dim_salt", *renamed.values())

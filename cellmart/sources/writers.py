@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellmart.operators.sizing import spread_key
 from cellmart.operators.upsert import upsert
 from cellmart.schemas import MAIN, RESULTS, STAGING, TABLES, Table
 from cellmart.session import scratch_path
@@ -45,16 +46,16 @@ def clustered(df: DataFrame, table: str, partitions: int | None = None) -> DataF
     """Range-cluster on the table's sort column, so file and row-group ranges skip well.
 
     The partition column leads the range, which keeps each file inside few
-    partitions, and the scan position ends it, so a key with very many rows
-    spreads over several files.
+    partitions, and a hash ends it, so a key with very many rows spreads over
+    several files.
     """
     spec = TABLES[table]
     df = _partitioned(df, spec)
     lead = [c for c in (spec.partition_column, spec.sort_by or spec.bucket_by) if c]
-    keys = [*lead, "_scan"]
-    placed = df.withColumn("_scan", F.monotonically_increasing_id())
+    keys = [*lead, "_spread"]
+    placed = df.withColumn("_spread", spread_key(df))
     ranged = placed.repartitionByRange(partitions, *keys) if partitions else placed.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys).drop("_scan")
+    return ranged.sortWithinPartitions(*keys).drop("_spread")
 
 
 def write_clustered(df: DataFrame, path: str, table: str, partitions: int | None = None) -> None:
@@ -66,7 +67,8 @@ def ingest_slice(spark: SparkSession, source: DataFrame, path: str, table: str,
     """Copy one partition of a source warehouse (or a whole dimension) into our table."""
     spec = TABLES[table]
     if value is not None:
-        source = source.where(F.col(spec.partition_column) == value)
+        part = F.to_date(spec.day_of).cast("string") if spec.day_of else F.col(spec.partition_column)
+        source = source.where(part == value)
     overwrite_partitions(source.select(*spec.schema.names), path, table)
 
 
@@ -107,8 +109,8 @@ def write_bucketed(
     spec = TABLES[table]
     count = buckets or spec.buckets
     bucket = F.pmod(F.hash(spec.bucket_by), F.lit(count))
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(files)).cast("int")
-    writer = df.repartitionById(count * files, bucket * files + part).write.mode("overwrite").format("parquet")
+    placed = df.withColumn("_task", bucket * files + F.pmod(spread_key(df), F.lit(files)).cast("int"))
+    writer = placed.repartitionById(count * files, "_task").drop("_task").write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
     writer.bucketBy(count, spec.bucket_by).sortBy(spec.bucket_by).saveAsTable(name)

@@ -29,8 +29,9 @@ def test_salted_equals_broadcast(spark, bag, how, null_safe):
     assert bag(one) == bag(other) and one.columns == other.columns == ["id", "k", "v"]
 
 
-def test_hot_key_spreads_over_tasks(spark):
-    fact = spark.range(8000).select("id", F.lit("hot").alias("k"))
+@pytest.mark.parametrize("copies", [False, True], ids=["distinct rows", "one row copied"])
+def test_hot_key_spreads_over_tasks(spark, copies):
+    fact = spark.range(0, 8000, 1, 50).select((F.lit(1) if copies else F.col("id")).alias("id"), F.lit("hot").alias("k"))
     dim = spark.createDataFrame([("hot", 1)], "k string, v int")
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}
     for k, v in settings.items():

@@ -91,6 +91,9 @@ def test_ingest_slice(spark, tmp_path, quality):
     writers.ingest_slice(spark, quality, path, "call_quality_iceberg", "20251202")
     out = readers.read_table(spark, path, "call_quality_iceberg")
     assert {r[0] for r in out.select("base_date").distinct().collect()} == {"20251201", "20251202"}
+    raw = str(tmp_path / "raw")
+    writers.ingest_slice(spark, seed.cdr(spark), raw, "cdr_sgi_raw", "2026-08-03")
+    assert readers.read_table(spark, raw, "cdr_sgi_raw").count() == 12
     bts = str(tmp_path / "bts")
     full = readers.literal_rows(spark, "bts_master", [("c", "a", "k", "NOKIA", 1.0, 2.0, "R", None, 3)])
     writers.ingest_slice(spark, full, bts, "bts_master")
