@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 import seed
+from cellmart.operators import sizing
 from cellmart.operators.pit_join import with_validity
 from cellmart.sources.readers import literal_rows
 from cellmart.sources.writers import append, overwrite_partitions
@@ -141,6 +142,19 @@ def test_mdt_stream(spark, tmp_path):
     assert job.result("record_cnt") == {k: (v,) for k, v in seed.MDT_WINDOWS.items()}
 
 
+@pytest.mark.parametrize("name", ["sgi_v1", "mdt"])
+def test_streams_with_a_dimension_too_large_to_broadcast(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    if name == "mdt":
+        rows = [*seed.MDT, ("MDT900", 0.0, 0.0, seed.key(LATE_CLOCK), "NOKIA", LATE_CLOCK)]
+        wanted = {k: (v,) for k, v in seed.MDT_WINDOWS.items()}
+    else:
+        rows = [*seed.CDR, record("902", "Z", START, val=3), REJECTED]
+        wanted = {**{k: (v[1],) for k, v in seed.WINDOWS.items()}, None: (1,)}
+    job = Job(spark, tmp_path, name).add(rows).run(state_partitions=2)
+    assert job.result("record_cnt") == wanted
+
+
 def test_late_row_is_dropped_and_restart_adds_nothing(spark, tmp_path):
     job = Job(spark, tmp_path, "ltas").add(seed.CDR).run().add([REJECTED]).run()
     before = sorted(map(repr, job.rows()))
