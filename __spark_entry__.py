@@ -28,6 +28,14 @@ from cellmart.plans import audit, batch, bi, conform, lookup
 from cellmart.session import scratch_path
 from cellmart.streaming import jobs, windows
 
+try:
+    import corpus_pipeline
+    from cellmart.llm import entry as corpus
+except ModuleNotFoundError as missing:  # the corpus operators may be left out; what they need may not
+    if missing.name not in ("corpus_pipeline", "cellmart.llm"):
+        raise
+    corpus_pipeline = corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE_DIR = "/root/testdata/sf0.001"
@@ -324,6 +332,8 @@ def queries() -> dict[str, Query]:
         found[f"q_win_{job}"] = partial(_window, job, windows.MINUTE)
         found[f"q_win_{job}_all"] = partial(_window, job, None)
         found[f"q_stream_{job}"] = partial(_stream, job)
+    if corpus:
+        found |= corpus.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
@@ -652,4 +662,8 @@ def oracle_sql() -> dict[str, str]:
         WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 24 HOUR ORDER BY ts DESC, event_id LIMIT 50"""
     sql["q_time_range"] = """SELECT 'cdr_sgi_raw' AS tbl, min(ts) AS min_time, max(ts) AS max_time FROM events
         UNION ALL SELECT 'cdr_mdt_smsng', min(l_shipdate), max(l_shipdate) FROM lineitem"""
+    if corpus:
+        sql |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
