@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellmart.llm import exact_dedup, langid, mixing, packing, simhash
+from cellmart.llm import (
+    exact_dedup,
+    html_extract,
+    langid,
+    line_chunks,
+    mixing,
+    packing,
+    simhash,
+    substring,
+    topk,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,10 +40,23 @@ def op2_source_mix(spark: SparkSession, d: str) -> DataFrame:
     return rows.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
+def op3_html_extract(spark: SparkSession, d: str) -> DataFrame:
+    return html_extract.extract(_table(spark, d, "pages"))
+
+
 def op4_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_table(spark, d, "documents")).drop("mark")
 
 
+def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    rows = line_chunks.drop_repeated_lines(_table(spark, d, "documents"))
+    return rows.select("doc_id", "lines", "removed_lines", "text")
+
+
+def op6_exact_topk(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(_table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     decisions = exact_dedup.decide(_table(spark, d, "documents"))
     digest = F.lower(F.hex("digest")).alias("text_sha256")
@@ -43,6 +67,32 @@ def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(_table(spark, d, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring.repeated_spans(_table(spark, d, "documents")).drop("mark")
+
+
+def op10_warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.archive(_table(spark, d, "pages"))
+
+
+OP6_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+      AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER best::INTEGER AS rank, vec_id, score
+FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 20
+"""
+
 OP7_SQL = r"""
 WITH named AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -54,10 +104,27 @@ FROM named
 WINDOW same AS (PARTITION BY text_sha256)
 """
 
+OP10_SQL = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+grouped AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM grouped
+"""
+
+QUERIES = (
+    op1_simhash, op2_source_mix, op3_html_extract, op4_best_fit_packing, op5_line_dedup, op6_exact_topk, op7_exact_dedup,
+    op8_language_id, op9_substring_dedup, op10_warc,
+)
+
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_source_mix, op4_best_fit_packing, op7_exact_dedup, op8_language_id)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    """SQL for what it can express; the other queries are tested against brute force, round trips and held-out labels."""
+    return {"op6_exact_topk": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op10_warc": OP10_SQL}
