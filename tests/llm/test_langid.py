@@ -1,0 +1,74 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from cellmart.llm import langid
+
+WORDS = {"en": "the and of that with for this are", "de": "der die und nicht ein mit sich auch", "fr": "le les et que dans une pour est"}
+
+
+def rows_for(n):
+    rows = []
+    for i in range(n):
+        lang = list(WORDS)[i % 3]
+        words = WORDS[lang].split()
+        rows.append((i, " ".join(words[(i * 7 + k * k) % 8] for k in range(3 + i % 9)), lang))
+    return rows
+
+
+def test_languages_of_held_out_documents(docs_of):
+    rows = rows_for(300)
+    got = langid.identify(docs_of(rows)).collect()
+    assert len(got) == 300
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert r.lang_pred == rows[r.doc_id][2] and 0.5 < r.score <= 1
+
+
+def test_model_is_naive_bayes_over_the_rows_that_may_be_learned_from(docs_of):
+    rows = rows_for(60) + [(60, "", "en"), (61, None, "xx"), (62, "abc", None)]
+    model = langid.fit(docs_of(rows), buckets=512)
+    counts = {x: np.full(512, langid.SMOOTHING) for x in model.langs}
+    number = dict.fromkeys(model.langs, 0)
+    for i, text, lang in rows:
+        if lang in counts and text is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            number[lang] += 1
+            for found in langid._buckets(text, 512, langid.GRAMS):
+                np.add.at(counts[lang], found, 1)
+    for k, lang in enumerate(model.langs):
+        assert np.allclose(model.table[:, k], np.log(counts[lang] / counts[lang].sum()), atol=1e-5)
+        assert model.prior[k] == pytest.approx(np.log(number[lang] / sum(number.values())))
+    text = "le der the zzz"
+    scores = model.prior.copy()
+    for found in langid._buckets(text, 512, langid.GRAMS):
+        scores += model.table[found].sum(0)
+    assert model.score([text])[0] == [model.langs[int(scores.argmax())]]
+
+
+def test_labels_sources_and_ids_are_no_inputs(docs_of):
+    rows = rows_for(120)
+    one = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs_of(rows)).collect()}
+    changed = [(i, t, "de" if zlib.crc32(str(i).encode()) % 4 == 2 else x) for i, t, x in rows]
+    other = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs_of(changed)).collect()}
+    assert one == other
+
+
+def test_blocks_do_not_change_the_grams(monkeypatch):
+    text = "Ein langer Text mit vielen Wörtern " * 20
+    whole = np.sort(np.concatenate(list(langid._buckets(text, 4096, (1, 2, 3)))))
+    monkeypatch.setattr(langid, "BLOCK", 17)
+    assert (np.sort(np.concatenate(list(langid._buckets(text, 4096, (1, 2, 3))))) == whole).all()
+
+
+def test_awkward_rows(awkward, docs_of):
+    got = langid.identify(awkward).collect()
+    assert len(got) == awkward.count()
+    assert {r.doc_id: r.lang_pred for r in got if r.doc_id in (3, 4, 5, 8)} == dict.fromkeys((3, 4, 5, 8), "und")
+    assert all(r.held_out and r.lang_pred in ("und", "en") for r in got if r.doc_id is None)
+    kept = langid.keep_identified(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "1", "2", "6", "7", "None"]
+    assert langid.identify(awkward.limit(0)).count() == 0
+    unlabelled = docs_of([(1, "some words", None), (2, "more", None)])
+    assert {(r.lang_pred, r.score) for r in langid.identify(unlabelled).collect()} == {("und", 0.0)}

@@ -1,0 +1,91 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from cellmart.llm import packing
+from cellmart.llm.tokens import PATTERN, Encoder
+
+
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(packing.tokenizer_path())
+
+
+TEXTS = [
+    "", "  a\n\n b", "it's we'll\t\tx", "日本 語 テキスト", "x <|endoftext|> y", "a  b   c \n", "À 123 ½ ²³ ª º ¼", "  x\u0085", "😀 👍🏽",
+    "x" * 20_000, "a b " * 3000, "\n" * 50, "word\r\nnext", "\x00\x1f odd", "ﬁ Ǆ ɏ ɐ",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_ids_are_those_of_tokenizers(text):
+    import public_tokenizers
+
+    assert PATTERN == public_tokenizers.PATTERN
+    assert list(Encoder(packing.tokenizer_path()).ids(text)) == tokenizer().encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("total", [1, 5, 2047, 2048, 2049, 4096, 5000])
+def test_cuts(total):
+    found = packing.cuts(total)
+    assert [a for a, _ in found] == [sum(n for _, n in found[:i]) for i in range(len(found))]
+    assert sum(n for _, n in found) == total and all(n == 2048 for _, n in found[1:]) and 1 <= found[0][1] <= 2048
+
+
+def seats(runs):
+    out = defaultdict(list)
+    for length, rank, count, sequence, each, offset in runs:
+        for k in range(count):
+            out[sequence + k // each].append((offset + k % each * length, length, rank + k))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_planned_slots_are_gapless_and_as_good_as_best_fit(seed):
+    rng = random.Random(seed)
+    capacity = 64
+    counts = Counter(rng.choice([1, 64, 33, 20, rng.randrange(1, 65)]) for _ in range(rng.choice([5, 400])))
+    placed = seats(packing.plan_slots(counts, capacity))
+    assert Counter((n, r) for s in placed.values() for _, n, r in s) == Counter((n, r) for n, c in counts.items() for r in range(c))
+    for s in placed.values():
+        at = 0
+        for offset, length, _ in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    spaces: list[int] = []
+    for length in sorted(counts.elements(), reverse=True):
+        fits = [x for x in spaces if x >= length]
+        if fits:
+            spaces.remove(min(fits))
+        spaces.append((min(fits) if fits else capacity) - length)
+    assert len(placed) == len(spaces)
+
+
+def test_documents(docs_of, awkward, words, monkeypatch):
+    monkeypatch.setattr(packing, "BIN_ROWS", 3)
+    rows = [(i, " ".join(words(i, n))) for i, n in enumerate([1, 5, 5, 5, 5, 5, 5, 5, 300, 2000, 3500])] + [(90, None), (91, "")]
+    got = packing.pack(docs_of(rows)).collect()
+    tk, by_doc, by_sequence = tokenizer(), defaultdict(list), defaultdict(list)
+    for r in got:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    for i, text in rows:
+        ids = np.array([*tk.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        found = sorted(by_doc[i], key=lambda r: r.piece)
+        assert [(r.start, r.length) for r in found] == packing.cuts(len(ids)) and [r.piece for r in found] == list(range(len(found)))
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in found)
+    for s in by_sequence.values():
+        at = 0
+        for r in sorted(s, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048
+    got = packing.pack(awkward).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
+    assert Counter(r.doc_id for r in got if r.piece == 0) == Counter(r.doc_id for r in awkward.collect())
+    assert packing.pack(awkward.limit(0)).count() == 0
