@@ -19,23 +19,33 @@ from cellmart.llm.labelled_pages import labelled_pages
 # pages with their own article markup that the model is fitted on besides the labelled ones
 TRAIN_PAGES = 2000
 SMOOTHING = 0.5
+# a labelled page of this package counts as so many
+LABELLED_WEIGHT = 8
 # elements that say what they hold: these label the pages of the table
 _MAIN = ("article", "main")
 _OTHER = ("nav", "aside", "footer", "form", "menu", "dialog")
 
 
 def features(tree: Tree) -> list[list[str]]:
-    """Per element: its tag, class words, and bins of own text, of links in it, and of sentence marks."""
+    """Per element: its class words, and one feature of its tag, the bin of its own text's length and that of the links in it.
+
+    Tag and bins go together, since length and links of a text depend on each other and count once.
+    """
     out = []
     for node in tree.nodes:
-        found = [f"tag={node.tag}", *(f"word={w}" for w in node.words)]
+        kind = f"tag={node.tag}"
         if node.chars:
-            found.append(f"chars={min(int(math.log2(node.chars)), 9)}")
-            found.append(f"links={round(4 * node.linked / node.chars)}")
-        out.append(found)
+            kind += f" links={round(2 * node.linked / node.chars)} chars={min(int(math.log2(node.chars)) // 2, 4)}"
+        out.append([kind, *(f"word={w}" for w in node.words)])
     return out
 
 
+def _coarser(kind: str) -> list[str]:
+    """A feature of tag, links and length, and what is left of it without length and without both."""
+    parts = kind.split(" ")
+    return [" ".join(parts[:n]) for n in range(len(parts), 0, -1)]
+
+
 @dataclass
 class Model:
     """Counts of labels, of features by label, and of child labels by parent label."""
@@ -47,15 +57,16 @@ class Model:
     def learn(self, tree: Tree, labels: Sequence[int], weight: int = 1) -> None:
         for node, found, own in zip(tree.nodes, features(tree), labels, strict=True):
             self.label[own] += weight
-            for f in found:
+            for f in (*_coarser(found[0]), *found[1:]):
                 self.feature[f, own] += weight
             if node.parent >= 0:
                 self.step[labels[node.parent], own] += weight
 
     def evidence(self, found: Sequence[str]) -> float:
-        """Log odds of main text from an element's features; what was never seen says nothing."""
+        """Log odds of main text from an element's features; what was never seen says nothing, a text of unseen length what its tag and links say."""
         out = 0.0
-        for f in found:
+        known = next((f for f in _coarser(found[0]) if self.feature[f, 0] or self.feature[f, 1]), None)
+        for f in (known, *found[1:]):
             a, b = self.feature[f, 1], self.feature[f, 0]
             if a or b:
                 out += math.log((a + SMOOTHING) / (self.label[1] + 2 * SMOOTHING)) - math.log((b + SMOOTHING) / (self.label[0] + 2 * SMOOTHING))
@@ -113,7 +124,7 @@ def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES, html: str = "html") ->
     """
     model = Model()
     for page, labels in labelled_pages():
-        model.learn(parse(page), labels)
+        model.learn(parse(page), labels, LABELLED_WEIGHT)
     text = col(html)
     total = pages.count()
     share = min(1.0, train_pages / max(total, 1))
