@@ -1,0 +1,82 @@
+import random
+import re
+
+from cellmart.llm import substring
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def late_repeats(rows, n):
+    """Documents that hold ``n`` words in a row of a document before them."""
+    first, found = {}, set()
+    for i, text in sorted(r for r in rows if r[1]):
+        words = [w.lower() for w in WORD.findall(text)]
+        for k in range(len(words) - n + 1):
+            if first.setdefault(tuple(words[k : k + n]), i) != i:
+                found.add(i)
+    return found
+
+
+def corpus(words):
+    """Documents of distinct words; some hold a passage, anywhere in a line, over lines or at an edge."""
+    rng = random.Random(3)
+    passages = [words(1000 + i, 51 + i, 1 << 40) for i in range(6)] + [words(2000, 17, 1 << 40)]
+    # a passage has its own white space wherever it stands
+    passages = [[w + rng.choice([" ", " ", "  ", "\n"]) for w in p] for p in passages]
+    rows = []
+    for i in range(120):
+        body = words(i, 40 + i, 1 << 40)
+        if i % 2:
+            passage = passages[i % 7]
+            at = rng.choice([0, len(body), rng.randrange(len(body))])
+            body = [*body[:at], *(w.upper() if i % 5 == 0 else w for w in passage), *body[at:]]
+        rows.append((i, "".join(w if w[-1].isspace() else w + rng.choice([" ", " ", "  ", "\n"]) for w in body)))
+    return rows, passages
+
+
+def test_passages_are_found_wherever_they_stand(docs_of, words):
+    rows, passages = corpus(words)
+    got = substring.repeated_spans(docs_of(rows)).collect()
+    texts = dict(rows)
+    assert {r.doc_id for r in got} == late_repeats(rows, 50)
+    shared = {w.lower().strip() for p in passages for w in p}
+    for r in got:
+        span = texts[r.doc_id][r.start : r.end]
+        found = [w.lower() for w in WORD.findall(span)]
+        assert span == span.strip() and len(found) == r.words and set(found) <= shared
+        assert r.keep_id < r.doc_id and " ".join(found) in " ".join(texts[r.keep_id].lower().split())
+
+
+def test_what_stays_is_the_original_by_offsets(docs_of, words):
+    rows, _ = corpus(words)
+    docs, texts = docs_of(rows), dict(rows)
+    spans = substring.repeated_spans(docs)
+    cleaned = substring.remove_spans(docs, spans).collect()
+    cut = {r.doc_id for r in spans.collect()}
+    assert len(cleaned) == len(rows)
+    for r in cleaned:
+        assert "".join(texts[r.doc_id][a:b] for a, b in r.kept) == r.text
+        assert (r.text == texts[r.doc_id]) == (r.doc_id not in cut)
+
+
+def test_one_hot_passage(docs_of, words):
+    passage = " ".join(words(7, 60, 1 << 40))
+    rows = [(i, f"{' '.join(words(i + 50, 30, 1 << 40))} {passage if i % 3 == 0 else ''}") for i in range(300)]
+    got = substring.repeated_spans(docs_of(rows, 9)).collect()
+    assert {r.doc_id for r in got} == set(range(3, 300, 3)) and {r.keep_id for r in got} == {0}
+
+
+def test_blocks_do_not_change_units(words, monkeypatch):
+    text = "\n".join(" ".join(words(i, 37, 1 << 40)) for i in range(30)) + " ÄÖ ﬁ İ 漢字"
+    lower = substring._lower()
+    whole = [x.tolist() for x in substring.units_of(text, lower)]
+    monkeypatch.setattr(substring, "BLOCK", 41)
+    assert [x.tolist() for x in substring.units_of(text, lower)] == whole
+
+
+def test_awkward_rows(awkward):
+    got = substring.repeated_spans(awkward).collect()
+    assert {(r.doc_id, r.keep_id, r.words) for r in got} == {(7, 6, 60_000)}
+    cleaned = substring.remove_spans(awkward, substring.repeated_spans(awkward))
+    assert cleaned.columns == [*awkward.columns, "kept_"] and cleaned.count() == awkward.count()
+    assert substring.repeated_spans(awkward.limit(0)).count() == 0
