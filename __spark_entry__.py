@@ -15,15 +15,7 @@ from cellmart.operators.or_join import or_bridge, or_join, or_weights
 from cellmart.operators.pit_join import with_validity
 from cellmart.operators.upsert import upsert
 from cellmart.functions.geo import with_segments
-from cellmart.functions.predicates import (
-    LINE_CNT_METRES,
-    MARKETS,
-    RSRP_BAD,
-    RSRP_BANDS,
-    RSRP_GOOD,
-    SIGNALS,
-    USE_FLAGS,
-)
+from cellmart.functions.predicates import LINE_CNT_METRES, SIGNALS, USE_FLAGS
 from cellmart.plans import audit, batch, bi, conform, lookup
 from cellmart.session import scratch_path
 from cellmart.streaming import jobs, windows
@@ -337,10 +329,6 @@ def queries() -> dict[str, Query]:
     return found
 
 
-def _list(values: tuple[str, ...]) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
-
-
 def _pick_sql(record_id: str, choices: str) -> str:
     return f"(('0x' || substr(md5({record_id}), 1, 8))::UBIGINT % {choices})::BIGINT"
 
@@ -378,12 +366,13 @@ def _near(where: str) -> str:
              GROUP BY p.rid, s.rpot_seq HAVING min({_dist("p", "s")}) < any_value(s.rpot_line_cnt) * 3)"""
 
 
-_TRIGGER = """bts_market_nm IN ('ERICSSON', 'NOKIA', 'SAMSUNG') AND trigr_ev IS NOT DISTINCT FROM
-    CASE bts_market_nm WHEN 'ERICSSON' THEN 'PERIODIC' WHEN 'SAMSUNG' THEN '' END"""
+# fixed values: which trigger each vendor reports
+_TRIGGER = """((bts_market_nm = 'ERICSSON' AND trigr_ev = 'PERIODIC') OR (bts_market_nm = 'NOKIA' AND trigr_ev IS NULL)
+    OR (bts_market_nm = 'SAMSUNG' AND trigr_ev = ''))"""
 
 _START = "time_bucket(INTERVAL 5 MINUTE, event_time)"
 _SPAN = f"{_START} AS window_start, window_start + INTERVAL 5 MINUTE AS window_end"
-_MINUTE_45 = "rqt_st_dt[11:12] = '45'"
+_MINUTE_45 = "substr(rqt_st_dt, 11, 2) = '45'"
 
 
 def _window_body(job: str, where: str) -> str:
@@ -392,11 +381,11 @@ def _window_body(job: str, where: str) -> str:
         return f"""SELECT {_SPAN}, bts_alt_key, region_cd, sum(val)::BIGINT AS total_val, count(*) AS record_cnt
             FROM cdr LEFT JOIN bts USING (cell_id) WHERE {where} GROUP BY ALL"""
     if job == "sgi_v1":
-        return f"""SELECT {_SPAN}, bts_alt_key, region_cd, sum(if(use_flag = 'Y', val, 0))::BIGINT AS total_val,
+        return f"""SELECT {_SPAN}, bts_alt_key, region_cd, sum(CASE WHEN use_flag = 'Y' THEN val ELSE 0 END)::BIGINT AS total_val,
             count(*) AS record_cnt FROM cdr LEFT JOIN bts ON {_EITHER}
-            WHERE {where} AND signal_type = ANY ({_list(SIGNALS)}) GROUP BY ALL"""
+            WHERE {where} AND signal_type IN ('S1AP', 'SGI') GROUP BY ALL"""
     if job == "sgi_v2":
-        return f"""SELECT {_SPAN}, ifnull(bts.bts_alt_key, cell_id) AS bts_alt_key, sum(val)::BIGINT AS total_val,
+        return f"""SELECT {_SPAN}, coalesce(bts.bts_alt_key, cell_id) AS bts_alt_key, sum(val)::BIGINT AS total_val,
             count(*) AS record_cnt FROM cdr LEFT JOIN bts USING (cell_id) WHERE {where} GROUP BY ALL"""
     return f"""SELECT {_SPAN}, bts_alt_key, count(*) AS record_cnt
         FROM mdt_raw LEFT JOIN bts USING (bts_market_nm) WHERE {where} GROUP BY ALL"""
@@ -413,26 +402,27 @@ def _window_sql(job: str, where: str, closed_only: bool = False) -> str:
 
 def _hits(condition: str) -> str:
     """Rows meeting a condition, NULL when there is none."""
-    return f"nullif(count(*) FILTER (WHERE {condition}), 0)"
+    return f"sum(CASE WHEN {condition} THEN 1 END)::BIGINT"
 
 
 def _rsrp_sql(keys: str, measures: str) -> str:
     return a.with_views(
         "mdt gpot bdri",
         f"""SELECT {keys}, {measures} FROM mdt
-        JOIN gpot ON gnss_metric_id.string_split('_')[1:2] = [gpot25_x::VARCHAR, gpot25_y::VARCHAR]
+        JOIN gpot ON split_part(gnss_metric_id, '_', 1) = CAST(gpot25_x AS VARCHAR)
+                 AND split_part(gnss_metric_id, '_', 2) = CAST(gpot25_y AS VARCHAR)
         JOIN bdri USING (bdri_cd) GROUP BY ALL""",
     )
 
 
-_DROPPED = "count(*) FILTER (WHERE drop_flag = 'Y' AND volte_flag = 'Y')"
-_RATE = f"{_DROPPED} / nullif(count(*) FILTER (WHERE volte_flag = 'Y'), 0)::DOUBLE"
+_DROPPED = "sum(CASE WHEN volte_flag = 'Y' AND drop_flag = 'Y' THEN 1 ELSE 0 END)::BIGINT"
+_RATE = f"{_DROPPED}::DOUBLE / nullif(sum(CASE WHEN volte_flag = 'Y' THEN 1 ELSE 0 END), 0)"
 
 
 def _volte_sql(select: str) -> str:
     return a.with_views(
         "calls contracts products",
-        f"""SELECT {select} FROM products JOIN calls USING (product_id) JOIN contracts USING (contract_id)
+        f"""SELECT {select} FROM calls JOIN contracts USING (contract_id) JOIN products USING (product_id)
         WHERE volte_eligible = 'Y' GROUP BY ALL""",
     )
 
@@ -441,17 +431,17 @@ def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["q_ltas_hourly"] = a.with_views(
         "cdr bts",
-        """SELECT etl_date, left(rqt_st_dt, 10) AS base_hour, bts_alt_key, region_cd, sum(val)::BIGINT AS total_val,
+        """SELECT etl_date, substr(rqt_st_dt, 1, 10) AS base_hour, bts_alt_key, region_cd, sum(val)::BIGINT AS total_val,
         count(*) AS record_cnt FROM cdr LEFT JOIN bts USING (cell_id) GROUP BY ALL""",
     )
     sql["q_sgi_use_v1"] = a.with_views(
         "cdr bts",
-        f"""SELECT etl_date, cdr.cell_id, count(*) FILTER (WHERE use_flag = 'Y') AS use_cnt
-        FROM cdr LEFT JOIN bts ON {_EITHER} WHERE signal_type = ANY ({_list(SIGNALS)}) GROUP BY ALL""",
+        f"""SELECT etl_date, cdr.cell_id, sum(CASE WHEN use_flag = 'Y' THEN 1 ELSE 0 END)::BIGINT AS use_cnt
+        FROM cdr LEFT JOIN bts ON {_EITHER} WHERE signal_type IN ('S1AP', 'SGI') GROUP BY ALL""",
     )
     sql["q_sgi_use_v2"] = a.with_views(
         "cdr bts",
-        f"""SELECT etl_date, ifnull(bts_alt_key, cdr.cell_id) AS cell_id, count(*) AS use_cnt
+        f"""SELECT etl_date, coalesce(bts_alt_key, cdr.cell_id) AS cell_id, count(*) AS use_cnt
         FROM cdr JOIN bts ON {_EITHER} GROUP BY ALL""",
     )
     for how in ("left", "inner"):
@@ -487,13 +477,14 @@ def oracle_sql() -> dict[str, str]:
         SELECT p.mdt_id, p.gnss_utmkx, p.gnss_utmky, x.bts_alt_key, x.distance_m, p.base_date
         FROM spread x JOIN points p ON x.rid = p.rid""",
     )
-    band = f"dlearfcn_cd = ANY ({_list(RSRP_BANDS)})"
+    # fixed values: bands and limits of signal strength
+    band = "dlearfcn_cd IN ('1550', '1650', '1694', '1700')"
     measures = {
-        "rsrp_18_o75": f"{band} AND rsrp > {RSRP_GOOD}",
-        "rsrp_18_u110": f"{band} AND rsrp <= {RSRP_BAD}",
+        "rsrp_18_o75": f"{band} AND rsrp > -75",
+        "rsrp_18_u110": f"{band} AND rsrp <= -110",
         "rsrp_18_tot": band,
-        "rsrp_o75": f"rsrp > {RSRP_GOOD}",
-        "rsrp_u110": f"rsrp <= {RSRP_BAD}",
+        "rsrp_o75": "rsrp > -75",
+        "rsrp_u110": "rsrp <= -110",
     }
     sql["q_rsrp_bad_rate"] = _rsrp_sql(
         ", ".join(bi.AREA), ", ".join(f"{_hits(c)} AS {n}" for n, c in measures.items()) + ", count(*) AS rsrp_tot"
@@ -513,7 +504,7 @@ def oracle_sql() -> dict[str, str]:
     sql["q_region_total"] = a.with_views(
         "cdr bts",
         """SELECT 'Q4' AS query_id, region_cd, sum(val)::BIGINT AS total_val
-        FROM bts JOIN cdr USING (cell_id) GROUP BY ALL""",
+        FROM cdr JOIN bts USING (cell_id) GROUP BY ALL""",
     )
     columns = ", ".join(lookup.QUALITY)
     sql["q_lookup_hash"] = a.with_views(
@@ -569,20 +560,19 @@ def oracle_sql() -> dict[str, str]:
         LEFT JOIN stations r ON k.cell_id IS NULL AND r.n = {_pick_sql("s.sgi_id", "total.c")}""",
     )
 
-    def domain(column: str, values: tuple[str, ...]) -> str:
-        listed = _list(values)
+    def domain(column: str, first: str, second: str) -> str:
         return (
-            f"CASE WHEN {column} IN (SELECT unnest({listed})) THEN {column}"
-            f" ELSE ({listed})[{_pick_sql('sgi_id', str(len(values)))} + 1] END AS {column}"
+            f"CASE WHEN {column} IN ('{first}', '{second}') THEN {column}"
+            f" WHEN {_pick_sql('sgi_id', '2')} = 0 THEN '{first}' ELSE '{second}' END AS {column}"
         )
 
     sql["q_domain_repair"] = a.with_views(
-        "cdr", f"SELECT sgi_id, {domain('signal_type', SIGNALS)}, {domain('use_flag', USE_FLAGS)} FROM cdr"
+        "cdr", f"SELECT sgi_id, {domain('signal_type', 'S1AP', 'SGI')}, {domain('use_flag', 'Y', 'N')} FROM cdr"
     )
-    sql["q_clip_fill"] = f"""SELECT CAST(event_id AS VARCHAR) AS mdt_id,
-        least(greatest(coalesce(value * 1000, {conform.X_DEFAULT}), {conform.X_LOW}), {conform.X_HIGH})::DOUBLE
+    sql["q_clip_fill"] = """SELECT CAST(event_id AS VARCHAR) AS mdt_id,
+        least(greatest(coalesce(value * 1000, 961000), 900000), 1100000)::DOUBLE
             AS gnss_utmkx,
-        least(greatest(coalesce(value * 2000, {conform.Y_DEFAULT}), {conform.Y_LOW}), {conform.Y_HIGH})::DOUBLE
+        least(greatest(coalesce(value * 2000, 1946000), 1900000), 2100000)::DOUBLE
             AS gnss_utmky FROM events"""
     sql["q_time_keys"] = a.with_views("cdr", "SELECT sgi_id, etl_date, rqt_st_dt FROM cdr")
     sql["q_row_ids"] = a.with_views(
@@ -590,11 +580,15 @@ def oracle_sql() -> dict[str, str]:
         """SELECT sgi_id AS source_id,
         'SGI' || lpad(CAST(row_number() OVER (ORDER BY event_time) - 1 AS VARCHAR), 12, '0') AS sgi_id FROM cdr""",
     )
-    region = f"({_list(conform.REGIONS)})[c_custkey % {len(conform.REGIONS)} + 1]"
+    # fixed values: regions and vendors in rotation
+    region = (
+        "(['SEOUL', 'BUSAN', 'DAEGU', 'INCHEON', 'GWANGJU', 'DAEJEON', 'ULSAN', 'SUWON', 'JEJU', 'CHANGWON'])"
+        "[c_custkey % 10 + 1]"
+    )
     sql["q_dim_expand"] = f"""SELECT printf('CELL_%06d', c_custkey) AS cell_id,
         printf('CELL_%06d_ALT', c_custkey) AS alt_cell_id,
         'BTS_' || {region} || printf('_%04d', c_custkey) AS bts_alt_key,
-        ({_list(MARKETS)})[c_custkey % {len(MARKETS)} + 1] AS bts_market_nm, {region} AS region_cd FROM customer"""
+        (['SAMSUNG', 'ERICSSON', 'NOKIA'])[c_custkey % 3 + 1] AS bts_market_nm, {region} AS region_cd FROM customer"""
     eligible = f"count(*) FILTER (WHERE {_MINUTE_45})"
     sql["q_load_summary"] = a.with_views(
         "cdr mdt_raw bts",

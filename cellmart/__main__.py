@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
+
 from cellmart.plans import audit, bi, daily, lookup, upkeep
 from cellmart.session import build_session
 from cellmart.sources.writers import create_databases, create_tables, load_drop
@@ -57,7 +59,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.action == "batch":
         daily.BATCH[args.job](tables, args.etl_date, args.base_date)
     elif args.action == "report":
-        _report(tables, args).show(1000, False)
+        _print(_report(tables, args))
     elif args.action == "mart" and args.name == "rsrp":
         daily.fill_rsrp_mart(tables, args.run_id, args.base_month)
     elif args.action == "mart":
@@ -65,7 +67,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.action == "load":
         load_drop(spark, args.staging, args.warehouse)
     elif args.action == "lookup":
-        _find(tables, args).show(truncate=False)
+        _print(_find(tables, args))
     elif args.action == "audit":
         _audit(tables, args)
     elif args.action == "stream":
@@ -84,6 +86,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         ).awaitTermination()
 
 
+def _print(rows: DataFrame) -> None:
+    """Every row, tab-separated below the column names; one partition at a time reaches the driver."""
+    print(*rows.columns, sep="\t")
+    for row in rows.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def _report(tables: daily.Warehouse, args: argparse.Namespace):
     if args.name == "rsrp":
         return bi.rsrp_bad_rate(
@@ -108,9 +117,9 @@ def _audit(tables: daily.Warehouse, args: argparse.Namespace) -> None:
     raw = {n: tables.read(n) for n in ("cdr_sgi_raw", "cdr_mdt_smsng_raw")}
     counted = {**raw, "bts_master": tables.read("bts_master")}
     expected = tables.spark.createDataFrame([], "tbl string, expected long")
-    audit.row_count_audit(counted, expected).show(truncate=False)
-    audit.eligible_counts(raw).show(truncate=False)
-    audit.time_range(raw).show(truncate=False)
+    _print(audit.row_count_audit(counted, expected))
+    _print(audit.eligible_counts(raw))
+    _print(audit.time_range(raw))
 
 
 if __name__ == "__main__":

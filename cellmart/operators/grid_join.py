@@ -12,8 +12,10 @@ from cellmart.operators.sizing import dim_join, row_bytes
 PIECE_CELLS = 4
 # a longer line moves to a coarser level, so the cells listed for one line stay bounded
 LINE_CELLS = 1024
-# infinite and NaN coordinates match nothing; metres on any map end far below this
-FARTHEST = 1e18
+# a line's own cells are numbered below this on its level (see _cell_side), so no point beyond can match there
+CELLS_OUT = 1e13
+# stands for lengths that overflow
+LONGEST = 1.7e308
 
 
 def _cell(value: Column, size: Column) -> Column:
@@ -24,7 +26,7 @@ def _covered_cells(segs: Column, reach: Column, size: Column) -> Column:
     """Cells touched by the boxes around the pieces of each segment, widened by ``reach``."""
 
     def piece_cells(seg: Column) -> Column:
-        length = F.greatest(F.abs(seg["x2"] - seg["x1"]), F.abs(seg["y2"] - seg["y1"]))
+        length = F.least(F.greatest(F.abs(seg["x2"] - seg["x1"]), F.abs(seg["y2"] - seg["y1"])), F.lit(LONGEST))
         pieces = F.greatest(F.ceil(length / (size * PIECE_CELLS)), F.lit(1)).cast("long")
 
         def cells(i: Column) -> Column:
@@ -52,7 +54,7 @@ def _covered_cells(segs: Column, reach: Column, size: Column) -> Column:
 
 
 def _finite(seg: Column) -> Column:
-    ends = [F.abs(seg[c]) < FARTHEST for c in ("x1", "y1", "x2", "y2")]
+    ends = [F.abs(seg[c]) < float("inf") for c in ("x1", "y1", "x2", "y2")]
     return ends[0] & ends[1] & ends[2] & ends[3]
 
 
@@ -67,7 +69,7 @@ def _cell_side(segs: Column, reach: Column) -> Column:
     outmost = F.array_max(
         F.transform(segs, lambda s: F.greatest(F.abs(s["x1"]), F.abs(s["y1"]), F.abs(s["x2"]), F.abs(s["y2"])))
     )
-    return F.greatest(reach, length / LINE_CELLS, outmost * F.lit(1e-12))
+    return F.least(F.greatest(reach, length / LINE_CELLS, outmost * F.lit(1e-12)), F.lit(LONGEST / 16))
 
 
 def _segments_near(segs: Column, reach: Column, size: Column, gx: Column, gy: Column) -> Column:
@@ -129,8 +131,8 @@ def grid_join(
     size = sum(r["bytes"] for r in sizes)
 
     located = (
-        points.where((F.abs(x) < FARTHEST) & (F.abs(y) < FARTHEST))
-        .withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels])))
+        points.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels])))
+        .where((F.abs(F.col(x) / side) < CELLS_OUT) & (F.abs(F.col(y) / side) < CELLS_OUT))
         .withColumn("_gx", _cell(F.col(x), side))
         .withColumn("_gy", _cell(F.col(y), side))
     )

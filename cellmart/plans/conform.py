@@ -116,8 +116,8 @@ def stations_from_index(index: DataFrame, column: str = "i") -> DataFrame:
 
 
 def expand_stations(spark: SparkSession, seed: DataFrame, rows: int) -> DataFrame:
-    """``rows`` stations: the first seed rows while they suffice, else generated ones."""
-    indexed, available = row_index(seed, "_n")
+    """``rows`` stations: the first seed rows by cell while they suffice, else generated ones."""
+    indexed, available = row_index(seed, "_n", ["cell_id"])
     if rows <= available:
         return indexed.where(F.col("_n") < rows).drop("_n")
     return stations_from_index(spark.range(rows).withColumnRenamed("id", "i"))

@@ -5,12 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellmart.plans import batch, bi
-from cellmart.sources.readers import read_table
+from cellmart.schemas import TABLES
+from cellmart.session import scratch_path
+from cellmart.sources.readers import exists, read_table
 from cellmart.sources.writers import overwrite_partitions
 
 
+def stored_copy(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class Warehouse:
     """Stored tables below one folder, one subfolder per table."""
 
@@ -58,15 +67,33 @@ BATCH: dict[str, Callable[[Warehouse, str, str], None]] = {
 }
 
 
+def store_run(tables: Warehouse, table: str, rows: DataFrame, run_id: str) -> None:
+    """Add a run to a mart, replacing what the same run stored in the partitions it now fills.
+
+    Rows of other runs in these partitions, the one of unreadable starts included, are written back with it.
+    """
+    spec = TABLES[table]
+    new = stored_copy(rows, table)
+    if not exists(tables.spark, tables.path(table)):
+        tables.replace(table, new)
+        return
+    part = F.to_date(spec.day_of) if spec.day_of else F.col(spec.partition_column)
+    touched = new.select(part.alias("_part")).distinct()
+    others = tables.read(table).where(~F.col("run_id").eqNullSafe(run_id)).withColumn("_own", part)
+    others = others.join(touched, F.col("_own").eqNullSafe(F.col("_part")), "left_semi").select(*new.columns)
+    # read before its partitions are replaced
+    tables.replace(table, new.unionByName(stored_copy(others, table)))
+
+
 def fill_rsrp_mart(tables: Warehouse, run_id: str, month: str | None = None) -> None:
     rows = bi.mart_rsrp(
         tables.read("cdr_mdt_smsng"), tables.read("tbm_gpot25"), tables.read("tbm_bdri"), run_id, month
     )
-    tables.replace("mstr_rsrp_bad_rate_result", batch.stamped(rows, "computed_at"))
+    store_run(tables, "mstr_rsrp_bad_rate_result", batch.stamped(rows, "computed_at"), run_id)
 
 
 def fill_volte_mart(tables: Warehouse, run_id: str, base_date: str) -> None:
     rows = bi.mart_volte(
         tables.read("lte_call_fact"), tables.read("contract_dim"), tables.read("product_dim"), run_id, base_date
     )
-    tables.replace("mstr_volte_drop_result", batch.stamped(rows, "computed_at"))
+    store_run(tables, "mstr_volte_drop_result", batch.stamped(rows, "computed_at"), run_id)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellmart.operators.sizing import BROADCAST_BYTES, dim_join
+from cellmart.operators.sizing import dim_join
 from cellmart.schemas import schema
 
 QUALITY = schema("call_quality_kudu").names
+# how often one row of the key list may stand for a key
+BLOCK = 4096
 BY_CALL = schema("call_quality_kudu_by_call").names
 
 
@@ -30,18 +32,23 @@ def by_call(table: DataFrame, call_id: str, first: str, last: str) -> DataFrame:
 def by_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
     """A whole key list in one job: every listed key with its row and ``found``.
 
-    The list is first reduced to its distinct keys and sent to the table, so the
-    table is not shuffled for a list of moderate size.
+    The list is first reduced to its distinct keys with their counts and sent to the table, so the
+    table is not shuffled for a list of moderate size. Keys and hits then meet one to one, and only the result repeats a row as often
+    as the list has its key, in blocks that are dealt out.
     """
     asked = keys.select("lookup_key")
     hits = dim_join(
         table.select(*QUALITY), asked.where(F.col("lookup_key").isNotNull()).distinct(), ["lookup_key"], "inner"
     )
-    # not worth a second pass over the table to measure: taken as too large to
-    # broadcast, so a key the list repeats very often is spread over salts
+    counted = asked.groupBy("lookup_key").agg(F.count(F.lit(1)).alias("_n"))
+    # one row of a key for every BLOCK times it is listed
+    last = F.floor((F.col("_n") - 1) / BLOCK)
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    blocks = blocks.withColumn("_times", F.least(F.lit(BLOCK), F.col("_n") - F.col("_block") * BLOCK).cast("int"))
     return (
-        dim_join(asked, hits.withColumn("_hit", F.lit(True)), ["lookup_key"], "left", size=BROADCAST_BYTES + 1)
+        blocks.join(hits.withColumn("_hit", F.lit(True)), "lookup_key", "left")
         .withColumn("found", F.coalesce("_hit", F.lit(False)))
+        .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
         .select(*QUALITY, "found")
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,15 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(fields).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, in whatever store the path names."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def tail_table(spark: SparkSession, path: str, table: str, max_files: int | None = None) -> DataFrame:
     """The same table as an append-only stream of files."""
     spec = TABLES[table]

@@ -1,22 +1,20 @@
-"""Hand-made rows: ten stations, twelve call records, ten measurements of one day."""
+"""Rows made up for the tests: ten stations, twelve call records, ten measurements of one day."""
+
 
 from datetime import datetime, timedelta
 
 BTS_COLUMNS = ["cell_id", "alt_cell_id", "bts_alt_key", "bts_market_nm", "region_cd"]
 BTS = [
-    (f"CELL_{c}", f"CELL_{c}_ALT", f"BTS_{key}_01", vendor, region)
-    for c, key, vendor, region in (
-        ("A", "SEOUL", "SAMSUNG", "SEOUL"),
-        ("B", "BUSAN", "SAMSUNG", "BUSAN"),
-        ("C", "DAEGU", "ERICSSON", "DAEGU"),
-        ("D", "INCH", "NOKIA", "INCHEON"),
-        ("E", "GWNG", "SAMSUNG", "GWANGJU"),
-        ("F", "DAEJ", "ERICSSON", "DAEJEON"),
-        ("G", "ULSAN", "SAMSUNG", "ULSAN"),
-        ("H", "SUWN", "NOKIA", "SUWON"),
-        ("I", "JEJU", "SAMSUNG", "JEJU"),
-        ("J", "CHNG", "ERICSSON", "CHANGWON"),
-    )
+    ("CELL_A", "CELL_A_ALT", "BTS_NORTH_01", "ERICSSON", "NORTH"),
+    ("CELL_B", "CELL_B_ALT", "BTS_COAST_01", "ERICSSON", "COAST"),
+    ("CELL_C", "CELL_C_ALT", "BTS_RIDGE_01", "SAMSUNG", "NORTH"),
+    ("CELL_D", "CELL_D_ALT", "BTS_PORT_01", "NOKIA", "COAST"),
+    ("CELL_E", "CELL_E_ALT", "BTS_LAKE_01", "ERICSSON", "SOUTH"),
+    ("CELL_F", "CELL_F_ALT", "BTS_MOOR_01", "SAMSUNG", "SOUTH"),
+    ("CELL_G", "CELL_G_ALT", "BTS_FORD_01", "SAMSUNG", "INLAND"),
+    ("CELL_H", "CELL_H_ALT", "BTS_MILL_01", "NOKIA", "INLAND"),
+    ("CELL_I", "CELL_I_ALT", "BTS_DALE_01", "ERICSSON", "INLAND"),
+    ("CELL_J", "CELL_J_ALT", "BTS_HILL_01", "SAMSUNG", "NORTH"),
 ]
 
 DAY = datetime(2026, 8, 3)
@@ -37,54 +35,52 @@ CDR_COLUMNS = [
 CDR = [
     (n, f"CELL_{c}", f"CELL_{c}_ALT", key(at(t)), "20260803", val, use, signal, at(t))
     for n, c, t, val, use, signal in (
-        ("001", "A", "12:45:00", 100, "Y", "SGI"),
-        ("002", "A", "12:45:30", 200, "Y", "S1AP"),
-        ("003", "B", "12:45:10", 150, "N", "SGI"),
-        ("004", "B", "12:45:20", 50, "Y", "S1AP"),
-        ("005", "C", "12:45:40", 300, "Y", "SGI"),
-        ("006", "D", "12:45:05", 80, "Y", "SGI"),
-        ("007", "E", "12:45:15", 120, "Y", "S1AP"),
-        ("008", "F", "12:45:25", 90, "N", "SGI"),
-        ("009", "G", "12:45:35", 210, "Y", "SGI"),
-        ("010", "H", "12:45:45", 175, "Y", "S1AP"),
-        ("011", "A", "12:50:00", 999, "Y", "SGI"),
-        ("012", "I", "12:40:00", 60, "Y", "SGI"),
+        ("101", "A", "12:45:03", 41, "Y", "S1AP"),
+        ("102", "A", "12:45:52", 27, "Y", "SGI"),
+        ("103", "B", "12:45:17", 33, "N", "S1AP"),
+        ("104", "B", "12:45:48", 19, "Y", "SGI"),
+        ("105", "C", "12:45:29", 64, "Y", "S1AP"),
+        ("106", "D", "12:45:11", 8, "Y", "SGI"),
+        ("107", "E", "12:45:37", 15, "N", "SGI"),
+        ("108", "F", "12:45:22", 77, "Y", "S1AP"),
+        ("109", "G", "12:45:58", 23, "Y", "S1AP"),
+        ("110", "H", "12:45:44", 50, "Y", "SGI"),
+        ("111", "A", "12:50:05", 6, "Y", "S1AP"),
+        ("112", "J", "12:40:30", 91, "Y", "SGI"),
     )
 ]
 
 MDT_COLUMNS = ["mdt_id", "gnss_utmkx", "gnss_utmky", "rqt_st_dt", "bts_market_nm", "event_time"]
 MDT = [
-    (f"MDT{i + 1:03d}", 961000.0 + 1000 * i, 1946000.0 + 1000 * i, key(at(t)), vendor, at(t))
-    for i, (vendor, t) in enumerate(
-        (
-            ("SAMSUNG", "12:45:00"),
-            ("SAMSUNG", "12:45:15"),
-            ("ERICSSON", "12:45:30"),
-            ("NOKIA", "12:45:45"),
-            ("SAMSUNG", "12:45:10"),
-            ("ERICSSON", "12:45:20"),
-            ("SAMSUNG", "12:45:35"),
-            ("SAMSUNG", "12:46:00"),
-            ("NOKIA", "12:40:00"),
-            ("ERICSSON", "12:50:00"),
-        )
+    (n, x, y, key(at(t)), vendor, at(t))
+    for n, x, y, vendor, t in (
+        ("m1", 955200.0, 1931400.0, "ERICSSON", "12:45:02"),
+        ("m2", 957900.0, 1930100.0, "SAMSUNG", "12:45:09"),
+        ("m3", 951300.0, 1938800.0, "SAMSUNG", "12:45:21"),
+        ("m4", 953700.0, 1935500.0, "NOKIA", "12:45:33"),
+        ("m5", 958800.0, 1939900.0, "ERICSSON", "12:45:41"),
+        ("m6", 950600.0, 1932200.0, "ERICSSON", "12:45:50"),
+        ("m7", 952100.0, 1937300.0, "SAMSUNG", "12:45:59"),
+        ("m8", 956400.0, 1933600.0, "NOKIA", "12:41:00"),
+        ("m9", 954500.0, 1936700.0, "SAMSUNG", "12:47:30"),
+        ("m10", 959100.0, 1934900.0, "ERICSSON", "12:52:10"),
     )
 ]
 
 # station -> (ltas total, ltas count, v1 total, v2 total); counts are equal in the three jobs
 WINDOWS = {
-    "BTS_SEOUL_01": (300, 2, 300, 300),
-    "BTS_BUSAN_01": (200, 2, 50, 200),
-    "BTS_DAEGU_01": (300, 1, 300, 300),
-    "BTS_INCH_01": (80, 1, 80, 80),
-    "BTS_GWNG_01": (120, 1, 120, 120),
-    "BTS_DAEJ_01": (90, 1, 0, 90),
-    "BTS_ULSAN_01": (210, 1, 210, 210),
-    "BTS_SUWN_01": (175, 1, 175, 175),
+    "BTS_NORTH_01": (68, 2, 68, 68),
+    "BTS_COAST_01": (52, 2, 19, 52),
+    "BTS_RIDGE_01": (64, 1, 64, 64),
+    "BTS_PORT_01": (8, 1, 8, 8),
+    "BTS_LAKE_01": (15, 1, 0, 15),
+    "BTS_MOOR_01": (77, 1, 77, 77),
+    "BTS_FORD_01": (23, 1, 23, 23),
+    "BTS_MILL_01": (50, 1, 50, 50),
 }
 MDT_WINDOWS = {
-    "BTS_SEOUL_01": 4, "BTS_BUSAN_01": 4, "BTS_DAEGU_01": 2, "BTS_INCH_01": 1, "BTS_GWNG_01": 4,
-    "BTS_DAEJ_01": 2, "BTS_ULSAN_01": 4, "BTS_SUWN_01": 1, "BTS_JEJU_01": 4, "BTS_CHNG_01": 2,
+    "BTS_NORTH_01": 3, "BTS_COAST_01": 3, "BTS_RIDGE_01": 3, "BTS_PORT_01": 1, "BTS_LAKE_01": 3,
+    "BTS_MOOR_01": 3, "BTS_FORD_01": 3, "BTS_MILL_01": 1, "BTS_DALE_01": 3, "BTS_HILL_01": 3,
 }
 
 

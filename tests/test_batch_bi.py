@@ -205,3 +205,33 @@ def test_marts_are_filled(spark, areas, tmp_path):
     tables.replace("product_dim", literal_rows(spark, "product_dim", [("p1", "n", "Y")]))
     daily.fill_volte_mart(tables, "run", "20251201")
     assert tables.read("mstr_volte_drop_result").first()["drop_rate"] == 1.0
+
+
+def test_marts_keep_other_runs(spark, areas, tmp_path):
+    """Two days whose calls share a window day at midnight, and calls whose start cannot be read."""
+    tables = daily.Warehouse(spark, str(tmp_path))
+    calls = [
+        ("1", "k1", "p1", "20251201001000", "Y", "Y", "20251201"),
+        ("2", "k1", "p1", "20251201120000", "Y", "N", "20251201"),
+        ("3", "k1", "p1", "no time", "Y", "N", "20251201"),
+        ("4", "k1", "p1", "20251201235800", "Y", "Y", "20251202"),
+        ("5", "k1", "p1", "no time", "Y", "Y", "20251202"),
+    ]
+    tables.replace("lte_call_fact", literal_rows(spark, "lte_call_fact", calls, CALLS))
+    tables.replace("contract_dim", literal_rows(spark, "contract_dim", [("k1", "s", "x")]))
+    tables.replace("product_dim", literal_rows(spark, "product_dim", [("p1", "n", "Y")]))
+    for run_id, day in (("R1", "20251201"), ("R2", "20251202"), ("R2", "20251202")):
+        daily.fill_volte_mart(tables, run_id, day)
+    mart = tables.read("mstr_volte_drop_result")
+    got = sorted((r.run_id, str(r.window_start), r.total_calls) for r in mart.collect())
+    assert got == [
+        ("R1", "2025-12-01 00:10:00", 1), ("R1", "2025-12-01 12:00:00", 1), ("R1", "None", 1),
+        ("R2", "2025-12-01 23:55:00", 1), ("R2", "None", 1),
+    ]
+    tables.replace("cdr_mdt_smsng", mdt(spark, SIGNAL))
+    tables.replace("tbm_gpot25", areas[0])
+    tables.replace("tbm_bdri", areas[1])
+    for run_id in ("R1", "R2", "R2"):
+        daily.fill_rsrp_mart(tables, run_id, "202507")
+    counts = tables.read("mstr_rsrp_bad_rate_result").groupBy("run_id").count().collect()
+    assert {r["run_id"]: r["count"] for r in counts} == {"R1": 2, "R2": 2}

@@ -67,7 +67,7 @@ def test_conformed_records(spark):
     rows = out.orderBy("sgi_id").collect()
     assert out.columns == raw.columns
     assert [r["sgi_id"] for r in rows] == [f"SGI{i:012d}" for i in range(12)]
-    assert rows[0]["event_time"] == seed.at("12:40:00") and rows[0]["rqt_st_dt"] == "20260803124000"
+    assert rows[0]["event_time"] == seed.at("12:40:30") and rows[0]["rqt_st_dt"] == "20260803124030"
     assert {r["val"] for r in rows} == {0} and {r["etl_date"] for r in rows} == {"20260803"}
     assert {r["use_flag"] for r in rows} <= {"Y", "N"}
     mdt = conform.conform_mdt(seed.mdt(spark).withColumn("bts_market_nm", F.lit("x")), order_by=["mdt_id"])
@@ -78,7 +78,9 @@ def test_conformed_records(spark):
 
 def test_expanded_stations(spark):
     few = conform.expand_stations(spark, seed.bts(spark), 4)
-    assert {r["cell_id"] for r in few.collect()} <= {c for c, *_ in seed.BTS} and few.count() == 4
+    assert {r["cell_id"] for r in few.collect()} == {"CELL_A", "CELL_B", "CELL_C", "CELL_D"}
+    few = conform.expand_stations(spark, seed.bts(spark).repartition(7, "region_cd"), 4)
+    assert {r["cell_id"] for r in few.collect()} == {"CELL_A", "CELL_B", "CELL_C", "CELL_D"}
     many = conform.expand_stations(spark, seed.bts(spark), 25)
     row = many.where("cell_id = 'CELL_000013'").first()
     assert tuple(row) == ("CELL_000013", "CELL_000013_ALT", "BTS_INCHEON_0013", "ERICSSON", "INCHEON")
@@ -118,7 +120,7 @@ def test_latest_and_checked_windows(spark):
     sinks = {"l": windows.ltas(cdr, bts, None), "m": windows.mdt(seed.mdt(spark), bts, None)}
     out = audit.latest_windows(sinks, 2).collect()
     assert [(r["tbl"], r["window_start"].minute, r["bts_alt_key"]) for r in out if r["tbl"] == "l"] == [
-        ("l", 50, "BTS_SEOUL_01"), ("l", 45, "BTS_BUSAN_01"),
+        ("l", 50, "BTS_NORTH_01"), ("l", 45, "BTS_COAST_01"),
     ]
     assert sum(r["tbl"] == "m" and r["total_val"] is None for r in out) == 2
     assert audit.window_violations(sinks["l"]).count() == 0

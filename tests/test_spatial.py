@@ -95,15 +95,17 @@ def test_reaches_of_very_different_size(spark):
 
 def test_extreme_coordinates(spark, bag):
     inf, nan = float("inf"), float("nan")
-    places = [(1.0, 1.0), (inf, 0.0), (nan, 0.0), (0.0, -inf), (1e15, 1e15), (3e17, 0.0), (1e6, 1e6), (5e5, 5e5 + 2)]
+    places = [(1.0, 1.0), (inf, 0.0), (nan, 0.0), (0.0, -inf), (1e15, 1e15), (3e17, 0.0), (1e6, 1e6), (5e5, 5e5 + 2),
+              (5.0, 1.0), (1.1e18, 0.0), (1e100, 1e100), (1e300, 0.0), (-1e150, 2.0), (1e18, 0.5)]
     p = spark.createDataFrame([(i, x, y, "v") for i, (x, y) in enumerate(places)], "id long, x double, y double, vendor string")
     texts = ["POINT(0 0)", "POINT(1e15 1e15)", "POINT(3e17 0)", "POINT(1e400 0)", "LINESTRING(0 0, 1e6 1e6)",
-             "LINESTRING(0 0, 1e7 1e7, 1e400 0)"]
+             "LINESTRING(0 0, 1e7 1e7, 1e400 0)", "LINESTRING(0 0, 2000000000000000000 0)", "POINT(1.1e18 0)",
+             "POINT(1e100 1e100)", "POINT(1e300 0)", "POINT(-1e150 2)"]
     lines = spark.createDataFrame([(i, g, 3, "v") for i, g in enumerate(texts)], "line int, g string, reach int, vendor string")
     got = grid_join(p, with_segments(lines, "g"), ["vendor"], "x", "y")
     brute = p.join(lines, "vendor").where(wkt_distance(F.col("x"), F.col("y"), F.col("g")) < F.col("reach"))
     assert bag(got, "id", "line") == bag(brute, "id", "line")
-    assert {(r["id"], r["line"]) for r in got.collect()} >= {(0, 0), (4, 1), (5, 2), (6, 4), (7, 4), (7, 5)}
+    assert {(r["id"], r["line"]) for r in got.collect()} >= {(0, 0), (4, 1), (5, 2), (6, 4), (7, 4), (7, 5), (8, 6), (9, 7), (10, 8), (11, 9), (12, 10), (13, 6)}
 
 
 def test_no_usable_line(spark):

@@ -51,15 +51,15 @@ def test_mdt_core(spark):
 
 def test_small_sample(spark):
     stations = seed.bts(spark).limit(3)
-    records = [r for r in seed.CDR if r[0] <= "005"]
-    records.append(record("006", "A", seed.at("12:46:00"), val=999))
+    records = [r for r in seed.CDR if r[0] <= "105"]
+    records.append(record("113", "A", seed.at("12:46:00"), val=999))
     out = windows.ltas(seed.cdr(spark, records), stations)
     assert by_station(out, "total_val", "record_cnt") == {
-        "BTS_SEOUL_01": (300, 2), "BTS_BUSAN_01": (200, 2), "BTS_DAEGU_01": (300, 1),
+        "BTS_NORTH_01": (68, 2), "BTS_COAST_01": (52, 2), "BTS_RIDGE_01": (64, 1),
     }
     v1 = windows.sgi_v1(seed.cdr(spark, records), stations)
     assert by_station(v1, "total_val", "record_cnt") == {
-        "BTS_SEOUL_01": (300, 2), "BTS_BUSAN_01": (50, 2), "BTS_DAEGU_01": (300, 1),
+        "BTS_NORTH_01": (68, 2), "BTS_COAST_01": (19, 2), "BTS_RIDGE_01": (64, 1),
     }
 
 
@@ -77,13 +77,13 @@ def test_unknown_cells(spark):
 def test_mdt_repeated_stations_count_each(spark):
     stations = seed.bts(spark).unionByName(seed.bts(spark).where("cell_id = 'CELL_D'"))
     out = by_station(windows.mdt(seed.mdt(spark), stations), "record_cnt")
-    assert out["BTS_INCH_01"] == (2,) and out["BTS_SUWN_01"] == (1,)
+    assert out["BTS_PORT_01"] == (2,) and out["BTS_MILL_01"] == (1,)
 
 
 def test_event_without_time_is_ignored(spark):
     rows = [record("1", "A", START), ("2", "CELL_A", None, "20260803124500", "20260803", 5, "Y", "SGI", None)]
     out = windows.ltas(seed.cdr(spark, rows), seed.bts(spark), None)
-    assert by_station(out, "record_cnt") == {"BTS_SEOUL_01": (1,)}
+    assert by_station(out, "record_cnt") == {"BTS_NORTH_01": (1,)}
 
 
 class Job:
@@ -169,7 +169,7 @@ def test_lateness_keeps_windows_open(spark, tmp_path):
     assert job.rows() == []
     job.add([record("904", "A", seed.at("12:45:30"), val=5)]).run(lateness="1 hour")
     job.add([record("905", "A", seed.at("14:10:00"))]).run(lateness="1 hour")
-    assert job.result("total_val", "record_cnt")["BTS_SEOUL_01"] == (305, 3)
+    assert job.result("total_val", "record_cnt")["BTS_NORTH_01"] == (73, 3)
 
 
 @pytest.mark.parametrize("name", sorted(jobs.JOBS))
@@ -213,8 +213,8 @@ def test_versioned_stations_in_a_stream(spark, tmp_path, bag):
     snapshots = spark.createDataFrame(changes, "cell_id string, bts_alt_key string, region_cd string, valid_from timestamp")
     versions = with_validity(snapshots, "cell_id")
     batch = jobs.ltas_versioned(seed.cdr(spark), versions)
-    assert by_station(batch, "total_val")["OLD"] == (100,)
-    assert by_station(batch, "total_val")["NEW"] == (200,)
+    assert by_station(batch, "total_val")["OLD"] == (41,)
+    assert by_station(batch, "total_val")["NEW"] == (27,)
     source = str(tmp_path / "raw")
     append(seed.cdr(spark, [*seed.CDR, REJECTED]), source, "cdr_sgi_raw")
     from cellmart.sources.readers import tail_table
