@@ -152,8 +152,8 @@ def _window(job: str, minute: str | None, spark: SparkSession, d: str) -> DataFr
     return _plain(_CORES[job](_FACTS[job](spark, d), a.bts(spark, d), minute))
 
 
-def _streamed(job: str, minute: str | None, spark: SparkSession, d: str) -> DataFrame:
-    """Run the job over the events file as a stream until it is drained; read its sink."""
+def _streamed(job: str, minute: str | None, spark: SparkSession, d: str, newest: int | None = None) -> DataFrame:
+    """Run the job over the events file as a stream until it is drained; read its sink, or the days of its newest rows."""
     fields = spark.read.parquet(f"{d}/events.parquet").schema
     source = spark.readStream.schema(fields).option("pathGlobFilter", "events.parquet").parquet(d)
     facts = (a.mdt_raw_of if job == "mdt" else a.cdr_of)(source)
@@ -161,7 +161,8 @@ def _streamed(job: str, minute: str | None, spark: SparkSession, d: str) -> Data
     result = jobs.closed_windows(job, facts, a.bts(spark, d), minute=minute)
     cores = spark.sparkContext.defaultParallelism
     jobs.write_windows(result, sink, state, available_now=True, state_partitions=cores).awaitTermination()
-    return jobs.read_sink(spark, job, sink)
+    since = None if newest is None else jobs.newest_days(spark, job, sink, newest)
+    return jobs.read_sink(spark, job, sink, since)
 
 
 def _stream(job: str, spark: SparkSession, d: str) -> DataFrame:
@@ -251,13 +252,14 @@ def q_stream_batch_parity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sinks(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {
-        jobs.JOBS[job][2]: _CORES[job](_FACTS[job](spark, d), a.bts(spark, d), windows.MINUTE) for job in _CORES
-    }
+    """What each job has written to its sink."""
+    return {jobs.JOBS[job][2]: _streamed(job, windows.MINUTE, spark, d) for job in _CORES}
 
 
 def q_latest_windows(spark: SparkSession, d: str) -> DataFrame:
-    return _plain(audit.latest_windows(_sinks(spark, d)))
+    newest = 10
+    sinks = {jobs.JOBS[job][2]: _streamed(job, windows.MINUTE, spark, d, newest) for job in _CORES}
+    return _plain(audit.latest_windows(sinks, newest))
 
 
 def q_window_checks(spark: SparkSession, d: str) -> DataFrame:
@@ -391,13 +393,15 @@ def _window_body(job: str, where: str) -> str:
         FROM mdt_raw LEFT JOIN bts USING (bts_market_nm) WHERE {where} GROUP BY ALL"""
 
 
+def _closed(job: str) -> str:
+    """The windows that the job's stream has closed at the end of its input."""
+    return f"""SELECT * FROM ({_window_body(job, _MINUTE_45)})
+            WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"""
+
+
 def _window_sql(job: str, where: str, closed_only: bool = False) -> str:
     views = "mdt_raw bts" if job == "mdt" else "cdr bts"
-    body = _window_body(job, where)
-    if closed_only:
-        body = f"""SELECT * FROM ({body})
-            WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"""
-    return a.with_views(views, body)
+    return a.with_views(views, _closed(job) if closed_only else _window_body(job, where))
 
 
 def _hits(condition: str) -> str:
@@ -623,7 +627,7 @@ def oracle_sql() -> dict[str, str]:
         f"""(SELECT '{jobs.JOBS[job][2]}' AS tbl, window_start, window_end, bts_alt_key,
         {"NULL" if "region_cd" in lacking.get(job, ()) else "region_cd"} AS region_cd,
         {"NULL" if "total_val" in lacking.get(job, ()) else "total_val"}::BIGINT AS total_val, record_cnt
-        FROM ({_window_body(job, _MINUTE_45)})
+        FROM ({_closed(job)})
         ORDER BY window_start DESC, bts_alt_key NULLS LAST, region_cd NULLS LAST LIMIT 10)"""
         for job in _CORES
     )
@@ -631,8 +635,8 @@ def oracle_sql() -> dict[str, str]:
     checks = " UNION ALL ".join(
         f"""SELECT '{jobs.JOBS[job][2]}' AS tbl, 'bad_window' AS kind,
         COUNT(*) FILTER (window_end - window_start <> INTERVAL 5 MINUTE
-                         OR epoch(window_start) % 300 <> 0) AS violations FROM ({_window_body(job, _MINUTE_45)})
-        UNION ALL SELECT '{jobs.JOBS[job][2]}', 'bad_filter', COUNT(*) FROM ({_window_body(job, _MINUTE_45)})
+                         OR epoch(window_start) % 300 <> 0) AS violations FROM ({_closed(job)})
+        UNION ALL SELECT '{jobs.JOBS[job][2]}', 'bad_filter', COUNT(*) FROM ({_closed(job)})
         WHERE window_start NOT IN (SELECT {_START} FROM {"mdt_raw" if job == "mdt" else "cdr"} WHERE {_MINUTE_45})"""
         for job in _CORES
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellmart.operators.sizing import spread_key
+from cellmart.operators.sizing import dim_join, spread_key
 from cellmart.session import shared_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
@@ -55,21 +55,16 @@ def exact_quantiles(
     group: list[str],
     value: str,
     probs: dict[str, float],
-    width: float | None = None,
-    finer: int = 10_000,
+    parts: int = 256,
 ) -> DataFrame:
     """Interpolated quantiles per group, one column per entry of ``probs``.
 
     Values are counted per distinct value and the wanted ranks are located by
-    running totals, from coarse to fine: first over buckets of ``width`` (unless
-    given, the measured value range over ``finer``), then over ``finer`` parts of
-    the buckets that hold a rank, then over the distinct values of those parts. No
-    group is sorted or buffered as a whole.
+    running totals, from coarse to fine: first over ``parts`` parts of a group with about as many distinct values each, whatever their
+    range, then over as many parts of those that hold a rank, then over the distinct values of these. An outlier or an infinite value
+    does not widen the parts, so no task sorts more than a small share of a group.
     """
     df = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    if width is None:
-        low, high = df.agg(F.min(value).cast("double"), F.max(value).cast("double")).first()
-        width = (high - low) / finer if low is not None and high > low else 1.0
     # the group as one struct: structs compare NULL fields as equal, so a NULL group joins too
     named, group = F.struct(*group).alias("_group"), ["_group"]
     counted = (
@@ -101,10 +96,16 @@ def exact_quantiles(
     scope = [*group, "_scope"]
     running = Window.partitionBy(*scope).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
     first, last = F.col("_before") + F.col("_upto") - F.col("_in"), F.col("_before") + F.col("_upto")
-    for step in (width, width / finer, None):
-        part = F.col("_v") if step is None else F.floor(F.col("_v") / F.lit(step)).cast("double")
-        if step != width:
+    borders = F.array(*[F.lit(i / parts) for i in range(parts + 1)])
+    for step in ("groups", "parts", "values"):
+        if step != "groups":
             rows = rows.join(targets.select(*scope).distinct(), scope, "left_semi")
+        if step == "values":
+            part = F.col("_v")
+        else:
+            between = rows.groupBy(*scope).agg(F.percentile_approx("_v", borders, 40 * parts).alias("_borders"))
+            rows = dim_join(rows, between, scope, "inner")
+            part = F.coalesce(F.array_max(F.filter("_borders", lambda x: x <= F.col("_v"))), F.lit(float("-inf")))
         rows = rows.withColumn("_part", part)
         totals = rows.groupBy(*scope, "_part").agg(F.sum("_n").alias("_in"))
         totals = totals.withColumn("_upto", F.sum("_in").over(running))
@@ -120,7 +121,9 @@ def exact_quantiles(
             return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("_scope")))
 
         rank = F.max(F.when(F.col("name") == name, F.col("rank")))
-        return at("lo") + (at("hi") - at("lo")) * (rank - F.floor(rank))
+        # equal neighbours may be infinite
+        between = at("lo") + (at("hi") - at("lo")) * (rank - F.floor(rank))
+        return F.when(at("lo") == at("hi"), at("lo")).otherwise(between)
 
     # after the last step the scope is the value itself
     found = targets.groupBy(*group).agg(*[interpolated(n).alias(n) for n in probs])

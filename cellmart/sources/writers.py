@@ -69,6 +69,9 @@ def ingest_slice(spark: SparkSession, source: DataFrame, path: str, table: str,
     if value is not None:
         part = F.to_date(spec.day_of).cast("string") if spec.day_of else F.col(spec.partition_column)
         source = source.where(part == value)
+        if spec.day_of and spec.partition_column in source.columns:
+            # a stored source is read in this day's partition only
+            source = source.where(F.col(spec.partition_column) == F.lit(value).cast("date"))
     overwrite_partitions(source.select(*spec.schema.names), path, table)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,11 +89,28 @@ def start(
     return write_windows(result, sink_path, checkpoint, available_now, state_partitions=state_partitions)
 
 
-def read_sink(spark: SparkSession, job: str, sink_path: str) -> DataFrame:
-    """Committed windows of a job's sink."""
-    table = JOBS[job][2]
-    fields = T.StructType([*schema(table).fields, T.StructField("window_date", T.DateType())])
-    return spark.read.schema(fields).parquet(sink_path).select(*schema(table).names)
+def _stored(spark: SparkSession, job: str, sink_path: str) -> DataFrame:
+    fields = T.StructType([*schema(JOBS[job][2]).fields, T.StructField("window_date", T.DateType())])
+    return spark.read.schema(fields).parquet(sink_path)
+
+
+def read_sink(spark: SparkSession, job: str, sink_path: str, since: date | None = None) -> DataFrame:
+    """Committed windows of a job's sink; of the days from ``since`` on, only those are read."""
+    rows = _stored(spark, job, sink_path)
+    if since is not None:
+        rows = rows.where(F.col("window_date") >= F.lit(since))
+    return rows.select(*schema(JOBS[job][2]).names)
+
+
+def newest_days(spark: SparkSession, job: str, sink_path: str, rows: int) -> date | None:
+    """The first of the newest days that hold ``rows`` rows of a sink between them, from a count per day."""
+    per_day = _stored(spark, job, sink_path).groupBy("window_date").count().orderBy(F.desc("window_date"))
+    day, held = None, 0
+    for found in per_day.toLocalIterator():
+        day, held = found["window_date"], held + found["count"]
+        if held >= rows:
+            break
+    return day
 
 
 def as_of_event_time(cdr: DataFrame, versions: DataFrame) -> DataFrame:

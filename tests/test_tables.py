@@ -85,6 +85,16 @@ def test_partition_values_stay_text_and_days_survive(spark, tmp_path):
     assert readers.read_table(spark, path, "tfm_s1ap_sgi_use_dd_v1").count() == 1
 
 
+def test_a_day_of_a_stored_table_is_read_by_partition(spark, tmp_path, plan, monkeypatch):
+    raw = str(tmp_path / "raw")
+    writers.overwrite_partitions(seed.cdr(spark), raw, "cdr_sgi_raw")
+    plans = []
+    monkeypatch.setattr(writers, "overwrite_partitions", lambda df, path, table: plans.append(plan(df)))
+    writers.ingest_slice(spark, readers.read_table(spark, raw, "cdr_sgi_raw"), "unused", "cdr_sgi_raw", "2026-08-03")
+    filters = next(line for line in plans[0].splitlines() if line.startswith("PartitionFilters"))
+    assert "event_date" in filters and "2026-08-03" in filters
+
+
 def test_ingest_slice(spark, tmp_path, quality):
     path = str(tmp_path / "q")
     writers.ingest_slice(spark, quality, path, "call_quality_iceberg", "20251201")

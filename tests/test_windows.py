@@ -205,6 +205,19 @@ def test_sink_is_partitioned_by_day(spark, tmp_path):
     assert "window_date=2026-08-03" in os.listdir(job.sink)
 
 
+def test_newest_days_of_a_sink_are_read_by_partition(spark, tmp_path, plan):
+    from datetime import date, timedelta
+
+    rows = [record(str(i), "ABC"[i % 3], seed.at("12:45:00") + timedelta(days=i // 3)) for i in range(12)]
+    job = Job(spark, tmp_path, "ltas").add(rows).add([record("99", "A", seed.at("12:45:00") + timedelta(days=9))]).run()
+    day = jobs.newest_days(spark, "ltas", job.sink, 4)
+    assert day == date(2026, 8, 5) and jobs.newest_days(spark, "ltas", job.sink, 99) == date(2026, 8, 3)
+    newest = jobs.read_sink(spark, "ltas", job.sink, day)
+    assert newest.count() == 6
+    filters = next(line for line in plan(newest).splitlines() if line.startswith("PartitionFilters"))
+    assert "window_date" in filters
+
+
 def test_versioned_stations_in_a_stream(spark, tmp_path, bag):
     changes = [
         ("CELL_A", "OLD", "R1", seed.at("01:00:00")),
