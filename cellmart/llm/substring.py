@@ -95,8 +95,18 @@ def units_of(text: str, lower: np.ndarray, window: int = WINDOW) -> tuple[np.nda
     return _sums(hashes, firsts), starts[firsts], ends[after - 1], after - firsts
 
 
-def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``rank, mark, unit, digest, start, end, words`` per unit of every text. ``rank`` is the id; rows without come last."""
+def pairs_of(digest: np.ndarray, start: np.ndarray, end: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Digest, start, end and sizes of each two adjacent units."""
+    both = _mix(digest[:-1] * np.uint64(5) + _mix(digest[1:]))
+    return both, start[:-1], end[1:], words[:-1] + (words[1:] << 16)
+
+
+def pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``rank, mark, unit, digest, start, end, sizes`` per pair of adjacent units of every text, ``unit`` being the first.
+
+    ``rank`` is the id; rows without come last. ``sizes`` holds the words of the first unit in its lower half and those of the second
+    in its upper.
+    """
     rank = F.coalesce(col(doc_id).cast("long"), F.lit(_LAST_ID)).alias("rank")
     given = docs.select(rank, text_hash(doc_id, text).alias("mark"), col(text).alias("text")).where("text is not null")
 
@@ -107,6 +117,7 @@ def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
             marks = batch.column(1).to_numpy(zero_copy_only=False)
             for at in range(0, batch.num_rows, 512):
                 found = [units_of(x.as_py(), lower, window) for x in batch.column(2)[at : at + 512]]
+                found = [pairs_of(*x) for x in found]
                 sizes = [len(x[0]) for x in found]
                 if not sum(sizes):
                     continue
@@ -121,9 +132,9 @@ def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
                     pa.array(end, pa.int64()),
                     pa.array(words, pa.int32()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["rank", "mark", "unit", "digest", "start", "end", "words"])
+                yield pa.RecordBatch.from_arrays(columns, ["rank", "mark", "unit", "digest", "start", "end", "sizes"])
 
-    return given.mapInArrow(run, "rank long, mark long, unit int, digest long, start long, end long, words int")
+    return given.mapInArrow(run, "rank long, mark long, unit int, digest long, start long, end long, sizes int")
 
 
 def repeated_spans(
@@ -135,16 +146,16 @@ def repeated_spans(
 ) -> DataFrame:
     """What to remove: ``doc_id, mark, start, end, words, keep_id``, offsets in code points of the original text.
 
-    Lines are cut into units (see :func:`units_of`), since a passage may lie inside a line. A unit's digest is grouped
-    over all documents, summed in the scan tasks; the document with the smallest id keeps it, rows without an id coming
-    last, and in every other document it is removed if the run of such units it stands in has ``min_words - 2 * window`` words or
-    more. That is what is left of a passage of ``min_words`` after its edges, so each such passage
-    is found; shorter repeats, and repeats within one document, stay.
+    Lines are cut into units (see :func:`units_of`), since a passage may lie inside a line. The digest of two adjacent units is grouped
+    over all documents, summed in the scan tasks; the document with the smallest id keeps them, rows without an id coming
+    last, and in every other document they are removed if the run of such pairs they stand in has ``min_words - 2 * window`` words or
+    more. That is what is left of a passage of ``min_words`` after its edges, and more than one unit, so each such passage
+    is found; common units that do not follow each other elsewhere, shorter repeats, and repeats within one document stay.
 
     Rows with the same id are one document. NULL, empty and white texts have no units. An empty table
     gives an empty result. Other columns are not read; ids are integers.
     """
-    found = stored(units(docs, doc_id, text, window), "units")
+    found = stored(pairs(docs, doc_id, text, window), "pairs")
     owners = (
         found.groupBy("digest")
         .agg(F.min("rank").alias("owner"), F.max("rank").alias("last"))
@@ -154,11 +165,14 @@ def repeated_spans(
     # AQE splits a digest that very many documents share
     copies = found.join(owners, "digest").where("rank <> owner")
     # repeated rows have the same units
-    copies = copies.groupBy("rank", "mark", "unit").agg(*[F.first(c).alias(c) for c in ("start", "end", "words", "owner")])
+    copies = copies.groupBy("rank", "mark", "unit").agg(*[F.first(c).alias(c) for c in ("start", "end", "sizes", "owner")])
     order = Window.partitionBy("rank", "mark").orderBy("unit")
     runs = copies.withColumn("run", F.col("unit") - F.row_number().over(order))
+    # each first unit, and the second of the last pair
+    first, second = F.col("sizes").bitwiseAND(F.lit(0xFFFF)), F.shiftright("sizes", 16)
+    words = F.sum(first) + F.max_by(second, "unit")
     spans = runs.groupBy("rank", "mark", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.min("owner").alias("owner")
+        F.min("start").alias("start"), F.max("end").alias("end"), words.alias("words"), F.min("owner").alias("owner")
     )
     own = F.when(F.col("rank") != _LAST_ID, F.col("rank")).cast(docs.schema[doc_id].dataType).alias("doc_id")
     keep = F.col("owner").cast(docs.schema[doc_id].dataType).alias("keep_id")
