@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellmart.operators.sizing import spread_key
 from cellmart.operators.upsert import upsert
 from cellmart.schemas import MAIN, RESULTS, STAGING, TABLES, Table
-from cellmart.session import scratch_path
 
 
 def _partitioned(df: DataFrame, spec: Table) -> DataFrame:
@@ -130,14 +131,21 @@ def load_drop(spark: SparkSession, staging: str, warehouse: str) -> None:
 
 
 def publish_upsert(
-    spark: SparkSession, base: DataFrame, changes: DataFrame, key: list[str], order: list[str], view: str
+    spark: SparkSession,
+    base: DataFrame,
+    changes: DataFrame,
+    key: list[str],
+    order: list[str],
+    view: str,
+    table: str = "call_quality_kudu",
+    buckets: int | None = None,
 ) -> str:
-    """Write the merged table to a fresh version folder and point ``view`` at it.
+    """Store the merged table as a new version in the warehouse, bucketed like ``table``, and point ``view`` at it last.
 
-    The folder being read is never overwritten, so a failed run leaves the old
-    version in place.
+    The version being read is never overwritten, so a failed run leaves it in place. The view is in the catalog: other
+    sessions see the switch, and a lookup through it reads one bucket. Returns the version's name.
     """
-    path = scratch_path(spark, view)
-    upsert(base, changes, key, order).write.parquet(path)
-    spark.read.parquet(path).createOrReplaceTempView(view)
-    return path
+    version = f"{view}_v{uuid.uuid4().hex}"
+    write_bucketed(upsert(base, changes, key, order), table, version, buckets=buckets)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {version}")
+    return version

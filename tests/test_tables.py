@@ -179,14 +179,19 @@ def test_upsert_leaves_a_bucketed_base_in_place(spark, quality, plan):
     assert merged.count() == 200
 
 
-def test_published_versions(spark, quality):
+def test_published_versions(spark, quality, plan):
     newer = quality.limit(3).withColumn("base_date", F.lit("20260101"))
     first = writers.publish_upsert(spark, quality, newer, ["lookup_key"], ["base_date"], "quality_now")
     assert spark.table("quality_now").where("base_date = '20260101'").count() == 3
     again = newer.withColumn("base_date", F.lit("20260102"))
     second = writers.publish_upsert(spark, spark.table("quality_now"), again, ["lookup_key"], ["base_date"], "quality_now")
     assert first != second and spark.table("quality_now").count() == 200
-    assert spark.read.parquet(first).where("base_date = '20260102'").count() == 0
+    assert spark.table(first).where("base_date = '20260102'").count() == 0
+    # another session reads the new version, and one bucket of it for a key
+    other = spark.newSession().table("quality_now")
+    assert other.where("base_date = '20260102'").count() == 3
+    found = plan(other.where("lookup_key = 'LOOKUP_KEY_00001'"))
+    assert "SelectedBucketsCount: 1 out of 32" in found
 
 
 def test_clustered_write_orders_files(spark, tmp_path):
