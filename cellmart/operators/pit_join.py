@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellmart.operators.sizing import dim_join, measured_bytes
 
+# widths, in days, of the cells a version may be listed under, and how many cells of one width it may take
+WIDTHS = (1, 32, 1024, 32768)
+CELLS = 32
+
 
 def with_validity(
     snapshots: DataFrame, key: str, valid_from: str = "valid_from", ties: tuple[str, ...] = ()
@@ -37,39 +41,59 @@ def with_validity(
     )
 
 
+def _listed(versions: DataFrame, valid_from: str) -> DataFrame:
+    """Ended versions with the widths and the first and last cell of days they are listed under."""
+    days = F.datediff("valid_to", valid_from) + 1
+    width = F.coalesce(*[F.when(days <= w * CELLS, w) for w in WIDTHS[:-1]], F.lit(WIDTHS[-1]))
+    ended = versions.where(F.col(valid_from) < F.col("valid_to")).withColumn("_width", width)
+    first, last = (_cell(F.to_date(c), F.col("_width")) for c in (valid_from, "valid_to"))
+    return ended.withColumn("_first", first).withColumn("_last", last)
+
+
+def _cell(day: Column, width: Column) -> Column:
+    return F.floor(F.unix_date(day) / width)
+
+
 def pit_join(
     events: DataFrame, versions: DataFrame, key: str, at: str = "event_time", valid_from: str = "valid_from"
 ) -> DataFrame:
     """Left join of ``events`` (batch or stream) to the version in force at ``at``.
 
     ``versions`` carries ``valid_to`` from :func:`with_validity`. Ended versions
-    are repeated for each day they cover and joined on (key, day), so an event is
-    compared with the versions of its own day only; the one open version of a key
-    is joined on the key alone. An event matches at most one version.
+    are listed under cells of a day, a month, some years or a century, the narrowest that needs
+    about ``CELLS`` of them, and joined on (key, cell) once for each width in use; the one open
+    version of a key is joined on the key alone. An event is compared with the versions of its own
+    cells only, and matches at most one version.
     """
     payload = [c for c in versions.columns if c not in (key, valid_from, "valid_to")]
     held = F.struct(*[F.col(c) for c in payload], F.lit(True).alias("_hit"))
     current = versions.where(F.col("valid_to").isNull()).select(
         key, F.col(valid_from).alias("_open_from"), held.alias("_open")
     )
-    ended = versions.where(F.col(valid_from) < F.col("valid_to")).select(
+    ended = _listed(versions, valid_from).select(
         key,
-        F.explode(F.sequence(F.to_date(valid_from), F.to_date("valid_to"))).alias("_day"),
+        "_width",
+        F.explode(F.sequence("_first", "_last")).alias("_cell"),
         F.col(valid_from).alias("_from"),
         F.col("valid_to").alias("_to"),
         held.alias("_ended"),
     )
     size = measured_bytes(current.select(key, "_open.*").unionByName(ended.select(key, "_ended.*")))
     matched = dim_join(events, current, [key], "left", where=F.col(at) >= F.col("_open_from"), size=size)
-    matched = dim_join(
-        matched.withColumn("_day", F.to_date(at)),
-        ended,
-        [key, "_day"],
-        "left",
-        where=(F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_to")),
-        size=size,
-    )
-    version = F.when(F.col("_ended._hit"), F.col("_ended")).otherwise(F.col("_open"))
-    return matched.withColumn("_version", version).select(
+    found = []
+    # one row per width in use
+    for width in sorted(r["_width"] for r in ended.select("_width").distinct().collect()):
+        start, end, hit = (f"{c}_{width}" for c in ("_from", "_to", "_ended"))
+        listed = ended.where(F.col("_width") == width).drop("_width")
+        matched = dim_join(
+            matched.withColumn("_cell", _cell(F.to_date(at), F.lit(width))),
+            listed.withColumnsRenamed({"_from": start, "_to": end, "_ended": hit}),
+            [key, "_cell"],
+            "left",
+            where=(F.col(at) >= F.col(start)) & (F.col(at) < F.col(end)),
+            size=size,
+        ).drop("_cell", start, end)
+        found.append(F.when(F.col(f"{hit}._hit"), F.col(hit)))
+    return matched.withColumn("_version", F.coalesce(*found, F.col("_open"))).select(
         *events.columns, *[F.col(f"_version.{c}").alias(c) for c in payload]
     )

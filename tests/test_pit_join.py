@@ -57,3 +57,16 @@ def test_equals_range_join(spark, bag, monkeypatch, small):
     got = pit_join(events, versions, "cell_id")
     assert bag(got) == bag(direct, "id", "cell_id", "event_time", "station")
     assert got.count() == 1000
+
+
+def test_long_versions_take_few_rows(spark, bag):
+    starts = [datetime(1950, 1, 1), datetime(2000, 1, 1), datetime(2026, 1, 1), datetime(2026, 1, 2, 5), datetime(2026, 3, 1)]
+    snapshots = spark.createDataFrame([("a", f"v{i}", t) for i, t in enumerate(starts)], VERSIONS)
+    versions = with_validity(snapshots, "cell_id")
+    listed = module._listed(versions, "valid_from")
+    assert listed.selectExpr("max(_last - _first)").first()[0] <= module.CELLS
+    assert {r["_width"] for r in listed.collect()} == {1, 32, 1024}
+    times = [datetime(1949, 12, 31)] + [t + d for t in starts for d in (timedelta(0), timedelta(hours=30), -timedelta(seconds=1))]
+    events = spark.createDataFrame([(i, "a", t) for i, t in enumerate(times)], EVENTS)
+    got = {r["event_time"]: r["station"] for r in pit_join(events, versions, "cell_id").collect()}
+    assert got == {t: next((f"v{i}" for i in range(4, -1, -1) if starts[i] <= t), None) for t in times}
