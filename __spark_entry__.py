@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -12,12 +13,15 @@ from pyspark.sql import types as T
 from cellmart import analogs as a
 from cellmart.operators.grid_join import grid_join
 from cellmart.operators.or_join import or_bridge, or_join, or_weights
-from cellmart.operators.pit_join import with_validity
+from cellmart.operators.pit_join import pit_join, with_validity
 from cellmart.operators.upsert import upsert
 from cellmart.functions.geo import with_segments
+from cellmart.functions import predicates
 from cellmart.functions.predicates import LINE_CNT_METRES, SIGNALS, USE_FLAGS
-from cellmart.plans import audit, batch, bi, conform, lookup
+from cellmart.plans import audit, batch, bi, conform, daily, lookup, upkeep
+from cellmart.schemas import TABLES
 from cellmart.session import scratch_path
+from cellmart.sources import readers, writers
 from cellmart.streaming import jobs, windows
 
 try:
@@ -117,18 +121,29 @@ def q_mart_volte(spark: SparkSession, d: str) -> DataFrame:
 # ---- lookups and upsert ---------------------------------------------------
 
 
+def _keyed(rows: DataFrame, table: str) -> DataFrame:
+    """``rows`` stored as a keyed table, read through the catalog. A name of its own keeps runs apart."""
+    name = f"{table}_{uuid.uuid4().hex}"
+    writers.write_bucketed(rows, table, name, path=scratch_path(rows.sparkSession, name))
+    return rows.sparkSession.table(name)
+
+
 def q_lookup_hash(spark: SparkSession, d: str) -> DataFrame:
-    return lookup.by_key(a.quality(spark, d), "LOOKUP_KEY_00001")
+    return lookup.by_key(_keyed(a.quality(spark, d), "call_quality_kudu"), "LOOKUP_KEY_00001")
 
 
 def q_lookup_part(spark: SparkSession, d: str) -> DataFrame:
-    table = a.quality(spark, d)
-    day = lookup.by_key(table, "LOOKUP_KEY_00001").first()["base_date"]
-    return lookup.by_key_and_date(table, "LOOKUP_KEY_00001", day)
+    """One key of the day that holds the first order, in the table partitioned by day."""
+    day = spark.read.parquet(f"{d}/orders.parquet").where("o_orderkey = 1").agg(F.max("o_orderdate")).first()[0]
+    path = scratch_path(spark, "dated")
+    writers.write_clustered(a.quality(spark, d), path, "call_quality_iceberg")
+    table = readers.read_table(spark, path, "call_quality_iceberg")
+    return lookup.by_key_and_date(table, "LOOKUP_KEY_00001", f"{day:%Y%m%d}")
 
 
 def q_lookup_by_call(spark: SparkSession, d: str) -> DataFrame:
-    return lookup.by_call(lookup.quality_by_call(a.quality(spark, d)), "CALL_00099", "19960101", "19991231")
+    table = _keyed(lookup.quality_by_call(a.quality(spark, d)), "call_quality_kudu_by_call")
+    return lookup.by_call(table, "CALL_00099", "19960101", "19991231")
 
 
 def q_lookup_batch(spark: SparkSession, d: str) -> DataFrame:
@@ -139,7 +154,112 @@ def q_lookup_batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_upsert(spark: SparkSession, d: str) -> DataFrame:
-    return upsert(a.quality(spark, d), a.quality_changes(spark, d), ["lookup_key"], UPSERT_ORDER)
+    """The nightly change set merged into the stored keyed table."""
+    base = _keyed(a.quality(spark, d), "call_quality_kudu")
+    return upsert(base, a.quality_changes(spark, d), ["lookup_key"], UPSERT_ORDER)
+
+
+# ---- stored tables --------------------------------------------------------
+
+
+def _written(spark: SparkSession, table: str, *parts: DataFrame) -> DataFrame:
+    """A table written part by part, each replacing the partitions it holds, and read back."""
+    path = scratch_path(spark, table)
+    for rows in parts:
+        writers.overwrite_partitions(rows.select(*TABLES[table].schema.names), path, table)
+    return readers.read_table(spark, path, table)
+
+
+def _last_day(spark: SparkSession, d: str):
+    return spark.read.parquet(f"{d}/events.parquet").agg(F.max("ts")).first()[0]
+
+
+def q_stored_days(spark: SparkSession, d: str) -> DataFrame:
+    """All days of the records stored, the last one replaced by doubled values; rows per day of the whole table."""
+    records = a.cdr(spark, d)
+    again = records.where(F.col("etl_date") == f"{_last_day(spark, d):%Y%m%d}").withColumn("val", F.col("val") * 2)
+    stored = _written(spark, "cdr_sgi", records, again)
+    return stored.groupBy("etl_date").agg(F.count(F.lit(1)).alias("row_cnt"), F.sum("val").alias("total_val"))
+
+
+def q_stored_day(spark: SparkSession, d: str) -> DataFrame:
+    """The month of the last event, by the prefix of its partition values, and in it the last day by its partition."""
+    last = _last_day(spark, d)
+    stored = _written(spark, "cdr_sgi", a.cdr(spark, d)).where(F.col("etl_date").startswith(f"{last:%Y%m}"))
+    return predicates.on_days(stored, "etl_date", f"{last:%Y%m%d}").select("sgi_id", "cell_id", "val", "etl_date")
+
+
+def q_ingested_slices(spark: SparkSession, d: str) -> DataFrame:
+    """The first and last day of a stored raw table, copied slice by slice into another."""
+    source = _written(spark, "cdr_sgi_raw", a.cdr(spark, d))
+    path = scratch_path(spark, "slices")
+    days = source.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+    for day in sorted(set(days)):
+        writers.ingest_slice(spark, source, path, "cdr_sgi_raw", day.isoformat())
+    copied = readers.read_table(spark, path, "cdr_sgi_raw")
+    return copied.select("sgi_id", "cell_id", "val", F.col("event_date").cast("string").alias("event_date"))
+
+
+def q_loaded_drop(spark: SparkSession, d: str) -> DataFrame:
+    """A raw drop with nanosecond times as whole numbers and a dimension with its own file schema, loaded twice after a
+    purge: facts are appended, the dimension is replaced."""
+    staging, house = scratch_path(spark, "staging"), scratch_path(spark, "house")
+    nanos = (F.unix_micros("event_time") * 1000 + 999).alias("event_time")
+    for name, rows in (("cdr_sgi_raw", a.cdr(spark, d)), ("cdr_mdt_smsng_raw", a.mdt_raw(spark, d))):
+        rows = rows.select(*TABLES[name].schema.names)
+        rows.select(*rows.drop("event_time").columns, nanos).write.parquet(f"{staging}/{name}.parquet")
+        writers.append(rows, f"{house}/{name}", name)
+        writers.reload(rows.where("mdt_id = '1'" if "mdt_id" in rows.columns else "sgi_id = '1'"), f"{house}/{name}", name)
+    a.bts(spark, d).write.parquet(f"{staging}/bts_master.parquet")
+    for _ in range(2):
+        writers.load_drop(spark, staging, house)
+
+    def counted(name: str) -> DataFrame:
+        rows = readers.read_table(spark, f"{house}/{name}", name)
+        newest = F.max("event_time") if "event_time" in rows.columns else F.lit(None).cast("timestamp")
+        return rows.agg(F.count(F.lit(1)).alias("row_cnt"), newest.alias("newest")).select(F.lit(name).alias("tbl"), "*")
+
+    return _plain(reduce(DataFrame.unionByName, [counted(n) for n in ("cdr_sgi_raw", "cdr_mdt_smsng_raw", "bts_master")]))
+
+
+def q_seed_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The stations written as CSV with a header and read back with their types; empty text stays empty."""
+    path = scratch_path(spark, "seed")
+    rows = a.bts(spark, d).withColumn("region_cd", F.when(F.col("rpot_line_cnt") > 10, F.col("region_cd")).otherwise(""))
+    rows = rows.withColumn("alt_cell_id", F.when(F.col("rpot_line_cnt") != 1, F.col("alt_cell_id")))
+    rows.write.option("header", True).option("emptyValue", '""').option("nullValue", "\\N").csv(path)
+    return readers.read_seed(spark, path, "bts_master").select("cell_id", "alt_cell_id", "bts_alt_key", "region_cd", "rpot_line_cnt")
+
+
+def q_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """A table written in many files, compacted into few clustered ones."""
+    path, out = scratch_path(spark, "many"), scratch_path(spark, "few")
+    records = a.cdr(spark, d).select(*TABLES["cdr_sgi"].schema.names)
+    writers.overwrite_partitions(records.repartition(8), path, "cdr_sgi")
+    upkeep.compact(spark, path, "cdr_sgi", out)
+    rows = readers.read_table(spark, out, "cdr_sgi")
+    return rows.groupBy("etl_date", "cell_id").agg(F.count(F.lit(1)).alias("row_cnt"), F.sum("val").alias("total_val"))
+
+
+def _mart(spark: SparkSession, table: str, runs: dict[str, DataFrame], order: tuple[str, ...]) -> DataFrame:
+    """Runs stored one after the other; the mart as it is after the last."""
+    tables = daily.Warehouse(spark, scratch_path(spark, "marts"))
+    for run_id in order:
+        daily.store_run(tables, table, batch.stamped(runs[run_id], "computed_at"), run_id)
+    return tables.read(table).select(*[c for c in TABLES[table].schema.names if c != "computed_at"])
+
+
+def q_mart_rsrp_stored(spark: SparkSession, d: str) -> DataFrame:
+    runs = {r: bi.mart_rsrp(a.mdt(spark, d), a.gpot(spark, d), a.bdri(spark, d), r) for r in ("R1", "R2")}
+    return _mart(spark, "mstr_rsrp_bad_rate_result", runs, ("R1", "R2"))
+
+
+def q_mart_volte_stored(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs over the same windows, calls of the first product with unreadable starts among them."""
+    started = F.when(F.col("product_id") == "1", "unreadable").otherwise(F.col("call_start_dt"))
+    records = a.calls(spark, d).withColumn("call_start_dt", started)
+    runs = {r: bi.mart_volte(records, a.contracts(spark, d), a.products(spark, d), r) for r in ("R1", "R2")}
+    return _plain(_mart(spark, "mstr_volte_drop_result", runs, ("R1", "R2")))
 
 
 # ---- windows --------------------------------------------------------------
@@ -152,13 +272,16 @@ def _window(job: str, minute: str | None, spark: SparkSession, d: str) -> DataFr
     return _plain(_CORES[job](_FACTS[job](spark, d), a.bts(spark, d), minute))
 
 
-def _streamed(job: str, minute: str | None, spark: SparkSession, d: str, newest: int | None = None) -> DataFrame:
+def _streamed(
+    job: str, minute: str | None, spark: SparkSession, d: str, newest: int | None = None, versions: DataFrame | None = None
+) -> DataFrame:
     """Run the job over the events file as a stream until it is drained; read its sink, or the days of its newest rows."""
     fields = spark.read.parquet(f"{d}/events.parquet").schema
     source = spark.readStream.schema(fields).option("pathGlobFilter", "events.parquet").parquet(d)
     facts = (a.mdt_raw_of if job == "mdt" else a.cdr_of)(source)
     sink, state = scratch_path(spark, f"sink-{job}"), scratch_path(spark, f"state-{job}")
-    result = jobs.closed_windows(job, facts, a.bts(spark, d), minute=minute)
+    stations = a.bts(spark, d) if versions is None else versions
+    result = jobs.closed_windows(job, facts, stations, minute=minute, versioned=versions is not None)
     cores = spark.sparkContext.defaultParallelism
     jobs.write_windows(result, sink, state, available_now=True, state_partitions=cores).awaitTermination()
     since = None if newest is None else jobs.newest_days(spark, job, sink, newest)
@@ -172,12 +295,27 @@ def _stream(job: str, spark: SparkSession, d: str) -> DataFrame:
 def q_pit_join(spark: SparkSession, d: str) -> DataFrame:
     versions = with_validity(a.station_versions(spark, d), "cell_id")
     records = a.cdr(spark, d).select("sgi_id", "cell_id", "event_time")
-    return _plain(jobs.as_of_event_time(records, versions))
+    return _plain(pit_join(records, versions, "cell_id"))
+
+
+def _versions(spark: SparkSession, d: str) -> DataFrame:
+    """Dated stations with their vendors."""
+    dated = a.station_versions(spark, d)
+    vendor = F.element_at(F.array(*map(F.lit, ("SAMSUNG", "ERICSSON", "NOKIA"))), (F.col("cell_id").cast("long") % 3 + 1).cast("int"))
+    return with_validity(dated.withColumn("bts_market_nm", vendor), "cell_id")
+
+
+def _win_versioned(job: str, spark: SparkSession, d: str) -> DataFrame:
+    return _plain(jobs.VERSIONED[job](_FACTS[job](spark, d), _versions(spark, d)))
+
+
+def _stream_versioned(job: str, spark: SparkSession, d: str) -> DataFrame:
+    return _plain(_streamed(job, windows.MINUTE, spark, d, versions=_versions(spark, d)))
 
 
 def q_win_ltas_versioned(spark: SparkSession, d: str) -> DataFrame:
     versions = with_validity(a.station_versions(spark, d), "cell_id")
-    return _plain(jobs.ltas_versioned(a.cdr(spark, d), versions, None))
+    return _plain(windows.ltas_versioned(a.cdr(spark, d), versions, None))
 
 
 # ---- conforming -----------------------------------------------------------
@@ -317,7 +455,8 @@ def queries() -> dict[str, Query]:
         q_lookup_by_call, q_lookup_batch, q_upsert, q_pit_join, q_win_ltas_versioned, q_fk_repair, q_domain_repair,
         q_clip_fill, q_time_keys, q_row_ids, q_dim_expand, q_load_summary, q_row_count_audit, q_eligible_counts,
         q_stream_batch_parity, q_latest_windows, q_window_checks, q_latency_summary, q_latency_alerts,
-        q_recent_history, q_time_range,
+        q_recent_history, q_time_range, q_stored_days, q_stored_day, q_ingested_slices, q_loaded_drop, q_seed_csv,
+        q_compacted, q_mart_rsrp_stored, q_mart_volte_stored,
     ]
     found: dict[str, Query] = {f.__name__: f for f in plain}
     found["q_or_join_left"] = partial(_or_join, "left")
@@ -326,6 +465,10 @@ def queries() -> dict[str, Query]:
         found[f"q_win_{job}"] = partial(_window, job, windows.MINUTE)
         found[f"q_win_{job}_all"] = partial(_window, job, None)
         found[f"q_stream_{job}"] = partial(_stream, job)
+    for job in jobs.VERSIONED:
+        if f"q_win_{job}_versioned" not in found:
+            found[f"q_win_{job}_versioned"] = partial(_win_versioned, job)
+        found[f"q_stream_{job}_versioned"] = partial(_stream_versioned, job)
     if corpus:
         found |= corpus.queries() | {"pipeline": corpus_pipeline.run}
     return found
@@ -554,6 +697,60 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT {_SPAN}, bts_alt_key, region_cd, sum(val)::BIGINT AS total_val, count(*) AS record_cnt
         {as_of} GROUP BY ALL""",
     )
+    dated = f""", dated AS (SELECT *, {a._VENDOR.format(k="CAST(cell_id AS BIGINT)")} AS bts_market_nm,
+                                   lead(valid_from) OVER (PARTITION BY cell_id ORDER BY valid_from) AS valid_to FROM versions)"""
+    by_moment = {
+        "ltas": ("cdr", f"bts_alt_key, region_cd, sum(val)::BIGINT AS total_val, count(*) AS record_cnt {as_of}"),
+        "sgi_v2": (
+            "cdr",
+            f"coalesce(bts_alt_key, cdr.cell_id) AS bts_alt_key, sum(val)::BIGINT AS total_val, count(*) AS record_cnt {as_of}",
+        ),
+        "mdt": (
+            "mdt_raw",
+            """bts_alt_key, count(*) AS record_cnt FROM mdt_raw r LEFT JOIN dated v ON r.bts_market_nm = v.bts_market_nm
+            AND r.event_time >= v.valid_from AND (v.valid_to IS NULL OR r.event_time < v.valid_to)""",
+        ),
+    }
+    for job, (view, body) in by_moment.items():
+        whole = f"SELECT {_SPAN}, {body} WHERE {_MINUTE_45} GROUP BY ALL"
+        closed = f"SELECT * FROM ({whole}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"
+        sql.setdefault(f"q_win_{job}_versioned", a.with_views(f"{view} versions", f"{dated} {whole}"))
+        sql[f"q_stream_{job}_versioned"] = a.with_views(f"{view} versions", f"{dated} {closed}")
+    last_day = "(SELECT strftime(max(ts), '%Y%m%d') FROM events)"
+    sql["q_stored_days"] = a.with_views(
+        "cdr",
+        f"""SELECT etl_date, count(*) AS row_cnt, sum(CASE WHEN etl_date = {last_day} THEN 2 * val ELSE val END)::BIGINT AS total_val
+        FROM cdr GROUP BY etl_date""",
+    )
+    sql["q_stored_day"] = a.with_views("cdr", f"SELECT sgi_id, cell_id, val, etl_date FROM cdr WHERE etl_date = {last_day}")
+    sql["q_ingested_slices"] = a.with_views(
+        "cdr",
+        """SELECT sgi_id, cell_id, val, strftime(event_time, '%Y-%m-%d') AS event_date FROM cdr
+        WHERE CAST(event_time AS DATE) IN (SELECT CAST(min(ts) AS DATE) FROM events UNION SELECT CAST(max(ts) AS DATE) FROM events)""",
+    )
+    sql["q_loaded_drop"] = """SELECT 'cdr_sgi_raw' AS tbl, 2 * count(*) + count(*) FILTER (WHERE event_id = 1) AS row_cnt,
+        max(ts) AS newest FROM events
+        UNION ALL SELECT 'cdr_mdt_smsng_raw', 2 * count(*) + count(*) FILTER (WHERE event_id = 1), max(ts) FROM events
+        UNION ALL SELECT 'bts_master', count(*), NULL FROM supplier"""
+    sql["q_seed_csv"] = a.with_views(
+        "bts",
+        """SELECT cell_id, CASE WHEN s.s_suppkey % 20 <> 0 THEN alt_cell_id END AS alt_cell_id, bts_alt_key,
+        CASE WHEN s.s_suppkey % 20 > 9 THEN region_cd ELSE '' END AS region_cd,
+        CAST(s.s_suppkey % 20 + 1 AS INTEGER) AS rpot_line_cnt
+        FROM bts JOIN supplier s ON bts.cell_id = CAST(s.s_suppkey AS VARCHAR)""",
+    )
+    sql["q_compacted"] = a.with_views(
+        "cdr", "SELECT etl_date, cell_id, count(*) AS row_cnt, sum(val)::BIGINT AS total_val FROM cdr GROUP BY ALL"
+    )
+    both_runs = "FROM ({}) CROSS JOIN (VALUES ('R1'), ('R2')) runs(run_id)"
+    rsrp = _rsrp_sql(
+        "base_date, sido_name, gungu_name",
+        f"count(*) AS rsrp_tot, {_hits(measures['rsrp_u110'])} AS rsrp_u110",
+    )
+    sql["q_mart_rsrp_stored"] = f"SELECT * {both_runs.format(rsrp)}"
+    starts = "CASE WHEN product_id <> '1' THEN time_bucket(INTERVAL 5 MINUTE, started) END"
+    volte = _volte_sql(f"{starts} AS window_start, {_RATE} AS drop_rate, count(*) AS total_calls, {_DROPPED} AS dropped_calls")
+    sql["q_mart_volte_stored"] = f"SELECT * {both_runs.format(volte)}"
     sql["q_fk_repair"] = a.with_views(
         "cdr bts",
         f""", stations AS (SELECT cell_id, alt_cell_id, row_number() OVER (ORDER BY cell_id) - 1 AS n FROM bts),

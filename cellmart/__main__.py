@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame
 
 from cellmart.plans import audit, bi, daily, lookup, upkeep
 from cellmart.session import build_session
-from cellmart.sources.writers import create_databases, create_tables, load_drop
+from cellmart.operators.pit_join import with_validity
+from cellmart.schemas import MAIN, TABLES, schema
+from cellmart.sources.readers import read_table, read_versions
+from cellmart.sources.writers import create_databases, create_tables, ingest_slice, load_drop, publish_keyed, publish_upsert
 from cellmart.streaming import jobs
 
 
@@ -32,13 +35,24 @@ def _arguments() -> argparse.ArgumentParser:
     stream.add_argument("job", choices=sorted(jobs.JOBS))
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--lateness", default=jobs.LATENESS)
-    stream.add_argument("--max-files", type=int)
+    stream.add_argument("--max-files", type=int, default=jobs.MAX_FILES)
+    stream.add_argument("--versioned", action="store_true", help="stations as they were at each record's time")
     stream.add_argument("--state-partitions", type=int)
     stream.add_argument("--drain", action="store_true", help="stop once all present files are processed")
     actions.add_parser("load", help="load a staged drop").add_argument("staging")
     find = actions.add_parser("lookup", help="show one key; with --date from the dated table")
     find.add_argument("key")
     find.add_argument("--date")
+    merge = actions.add_parser("upsert", help="merge a change set into the keyed table, by the catalog")
+    merge.add_argument("changes", help="folder with the changes")
+    ingest = actions.add_parser("ingest", help="copy one partition, or a whole dimension, of another warehouse")
+    ingest.add_argument("source")
+    ingest.add_argument("table", choices=sorted(TABLES))
+    ingest.add_argument("--value")
+    pack = actions.add_parser("compact", help="rewrite a table in fewer files: keyed ones in place, others to --out")
+    pack.add_argument("table", choices=sorted(TABLES))
+    pack.add_argument("--out")
+    actions.add_parser("parity", help="compare a job's sink with the batch result").add_argument("job", choices=sorted(jobs.JOBS))
     actions.add_parser("audit", help="show row counts, eligible rows and newest windows")
     actions.add_parser("create", help="declare databases and tables in the catalog")
     actions.add_parser("analyze", help="refresh metadata and statistics of the declared tables")
@@ -72,18 +86,62 @@ def main(argv: Sequence[str] | None = None) -> None:
         _audit(tables, args)
     elif args.action == "stream":
         source, _, sink = jobs.JOBS[args.job]
+        if args.versioned and args.job not in jobs.VERSIONED:
+            raise SystemExit(f"{args.job} has no versioned form")
+        stations = tables.read("bts_master")
+        if args.versioned:
+            stations = with_validity(read_versions(spark, tables.path("bts_master"), "bts_master"), "cell_id")
         jobs.start(
             spark,
             args.job,
             tables.path(source),
-            tables.read("bts_master"),
+            stations,
             tables.path(sink),
             args.checkpoint,
             lateness=args.lateness,
             max_files=args.max_files,
             available_now=args.drain,
             state_partitions=args.state_partitions,
+            versioned=args.versioned,
         ).awaitTermination()
+    elif args.action == "upsert":
+        _upsert(tables, args)
+    elif args.action == "ingest":
+        source = read_table(spark, f"{args.source.rstrip('/')}/{args.table}", args.table)
+        ingest_slice(spark, source, tables.path(args.table), args.table, args.value)
+    elif args.action == "compact" and TABLES[args.table].buckets:
+        publish_keyed(_keyed(tables, args.table), _view(args.table), args.table, files=1)
+    elif args.action == "compact":
+        if not args.out:
+            raise SystemExit("--out names the folder to write to")
+        upkeep.compact(spark, tables.path(args.table), args.table, args.out)
+    elif args.action == "parity":
+        source, core, _ = jobs.JOBS[args.job]
+        expected = core(tables.read(source), tables.read("bts_master"))
+        on = [c for c in expected.columns if c not in ("total_val", "record_cnt")]
+        found = jobs.read_sink(spark, args.job, tables.path(jobs.JOBS[args.job][2]))
+        _print(audit.parity_summary(args.job, audit.parity(expected, found, on, ["record_cnt"])))
+
+
+def _view(table: str) -> str:
+    """The catalog's pointer to the current version of a keyed table."""
+    return f"{MAIN}.{table}_now"
+
+
+def _keyed(tables: daily.Warehouse, table: str) -> DataFrame:
+    """A keyed table through the catalog, so that a key reads one bucket; before its first upsert, its folder."""
+    return tables.spark.table(_view(table)) if tables.spark.catalog.tableExists(_view(table)) else tables.read(table)
+
+
+def _upsert(tables: daily.Warehouse, args: argparse.Namespace) -> None:
+    """Merge, then rebuild the table keyed by call from the result."""
+    name, spark = "call_quality_kudu", tables.spark
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {MAIN}")
+    changes = spark.read.schema(schema(name)).parquet(args.changes)
+    order = ["base_date", *[c for c in schema(name).names if c not in ("base_date", "lookup_key")]]
+    publish_upsert(spark, _keyed(tables, name), changes, ["lookup_key"], order, _view(name))
+    by_call = "call_quality_kudu_by_call"
+    publish_keyed(lookup.quality_by_call(spark.table(_view(name))), _view(by_call), by_call)
 
 
 def _print(rows: DataFrame) -> None:
@@ -110,7 +168,7 @@ def _report(tables: daily.Warehouse, args: argparse.Namespace):
 def _find(tables: daily.Warehouse, args: argparse.Namespace):
     if args.date:
         return lookup.by_key_and_date(tables.read("call_quality_iceberg"), args.key, args.date)
-    return lookup.by_key(tables.read("call_quality_kudu"), args.key)
+    return lookup.by_key(_keyed(tables, "call_quality_kudu"), args.key)
 
 
 def _audit(tables: daily.Warehouse, args: argparse.Namespace) -> None:

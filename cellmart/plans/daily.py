@@ -11,7 +11,7 @@ from cellmart.plans import batch, bi
 from cellmart.schemas import TABLES
 from cellmart.session import scratch_path
 from cellmart.sources.readers import exists, read_table
-from cellmart.sources.writers import overwrite_partitions
+from cellmart.sources.writers import append, overwrite_partitions
 
 
 def stored_copy(rows: DataFrame, label: str) -> DataFrame:
@@ -70,19 +70,25 @@ BATCH: dict[str, Callable[[Warehouse, str, str], None]] = {
 def store_run(tables: Warehouse, table: str, rows: DataFrame, run_id: str) -> None:
     """Add a run to a mart, replacing what the same run stored in the partitions it now fills.
 
-    Rows of other runs in these partitions, the one of unreadable starts included, are written back with it.
+    A run that is not there yet is appended. If it is, rows of other runs in these partitions, the one of unreadable
+    starts included, are written back with it.
     """
     spec = TABLES[table]
+    part = F.to_date(spec.day_of) if spec.day_of else F.col(spec.partition_column)
+
+    def gathered(some: DataFrame) -> DataFrame:
+        """A partition's rows in one task, or a few if they are many: a file each."""
+        return some.withColumn("_own", part).hint("rebalance", "_own").drop("_own")
+
     new = stored_copy(rows, table)
-    if not exists(tables.spark, tables.path(table)):
-        tables.replace(table, new)
+    if not exists(tables.spark, tables.path(table)) or tables.read(table).where(F.col("run_id") == run_id).isEmpty():
+        append(gathered(new), tables.path(table), table)
         return
-    part = F.to_date(spec.day_of) if spec.day_of else F.col(spec.partition_column)
     touched = new.select(part.alias("_part")).distinct()
     others = tables.read(table).where(~F.col("run_id").eqNullSafe(run_id)).withColumn("_own", part)
     others = others.join(touched, F.col("_own").eqNullSafe(F.col("_part")), "left_semi").select(*new.columns)
     # read before its partitions are replaced
-    tables.replace(table, new.unionByName(stored_copy(others, table)))
+    tables.replace(table, gathered(new.unionByName(stored_copy(others, table))))
 
 
 def fill_rsrp_mart(tables: Warehouse, run_id: str, month: str | None = None) -> None:

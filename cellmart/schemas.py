@@ -44,6 +44,11 @@ class Table:
             return "window_date" if self.day_of == "window_start" else "event_date"
         return self.partition_by
 
+    @property
+    def is_dim(self) -> bool:
+        """Replaced whole, and kept in versions."""
+        return not self.partition_column and not self.buckets
+
 
 # Table names, column names and types of the data model.
 TABLES: dict[str, Table] = {

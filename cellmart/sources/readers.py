@@ -11,8 +11,11 @@ from cellmart.schemas import TABLES, schema
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A stored table with its declared schema, so partition values stay text."""
+    """A stored table with its declared schema, so partition values stay text; of a dimension, the newest version."""
     spec = TABLES[table]
+    if spec.is_dim and exists(spark, f"{path}/published"):
+        newest = _published(spark, path).agg(F.max_by("version", "published_at")).first()[0]
+        path = f"{path}/versions/version={newest}"
     fields = spec.schema
     if spec.day_of:
         fields = T.StructType([*fields.fields, T.StructField(spec.partition_column, T.DateType(), True)])
@@ -28,6 +31,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _published(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("version string, published_at timestamp").parquet(f"{path}/published")
+
+
+def read_versions(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Every published version of a dimension, with ``valid_from``: when it was published."""
+    fields = T.StructType([*schema(table).fields, T.StructField("version", T.StringType())])
+    stored = spark.read.schema(fields).parquet(f"{path}/versions")
+    # one row per version
+    dated = _published(spark, path).withColumnRenamed("published_at", "valid_from")
+    return stored.join(F.broadcast(dated), "version").drop("version")
+
+
 def tail_table(spark: SparkSession, path: str, table: str, max_files: int | None = None) -> DataFrame:
     """The same table as an append-only stream of files."""
     spec = TABLES[table]

@@ -25,9 +25,23 @@ def _target(df: DataFrame, spec: Table, mode: str):
     return writer.partitionBy(spec.partition_column) if spec.partition_column else writer
 
 
+def publish_dim(df: DataFrame, path: str) -> None:
+    """Store a dimension as a new version and name it the current one last.
+
+    Files of earlier versions stay, so a stream or a query that reads one of them goes on, and joins can go back in time.
+    """
+    version = uuid.uuid4().hex
+    df.write.option("compression", "zstd").parquet(f"{path}/versions/version={version}")
+    named = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+    named.write.mode("append").parquet(f"{path}/published")
+
+
 def overwrite_partitions(df: DataFrame, path: str, table: str) -> None:
-    """Replace the partitions present in ``df``; an unpartitioned table is replaced whole."""
+    """Replace the partitions present in ``df``; of a dimension, a new version is published."""
     spec = TABLES[table]
+    if spec.is_dim:
+        publish_dim(df, path)
+        return
     _target(_partitioned(df, spec), spec, "overwrite").parquet(path)
 
 
@@ -130,6 +144,23 @@ def load_drop(spark: SparkSession, staging: str, warehouse: str) -> None:
         append(read_raw(spark, f"{staging}/{table}.parquet", table), f"{warehouse}/{table}", table)
 
 
+def _switch(spark: SparkSession, view: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {version}")
+
+
+def publish_keyed(
+    rows: DataFrame, view: str, table: str = "call_quality_kudu", buckets: int | None = None, files: int = 4
+) -> str:
+    """Store ``rows`` as a new bucketed version of a keyed table and point ``view`` at it last; returns the version's name.
+
+    Written from the view itself, it is a compaction: ``files`` parts per bucket, whatever there were before.
+    """
+    version = f"{view}_v{uuid.uuid4().hex}"
+    write_bucketed(rows, table, version, buckets=buckets, files=files)
+    _switch(rows.sparkSession, view, version)
+    return version
+
+
 def publish_upsert(
     spark: SparkSession,
     base: DataFrame,
@@ -145,7 +176,4 @@ def publish_upsert(
     The version being read is never overwritten, so a failed run leaves it in place. The view is in the catalog: other
     sessions see the switch, and a lookup through it reads one bucket. Returns the version's name.
     """
-    version = f"{view}_v{uuid.uuid4().hex}"
-    write_bucketed(upsert(base, changes, key, order), table, version, buckets=buckets)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {version}")
-    return version
+    return publish_keyed(upsert(base, changes, key, order), view, table, buckets)

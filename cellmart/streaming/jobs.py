@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cellmart.operators.pit_join import pit_join
 from cellmart.schemas import schema
 from cellmart.sources.readers import tail_table
 from cellmart.streaming import windows
 
 LATENESS = "10 seconds"
 POLL = "30 seconds"
+# files a micro-batch takes at most, so that a first start on a full table is no single batch
+MAX_FILES = 10_000
 
 # job -> (source table, core, sink table)
 JOBS: dict[str, tuple[str, Callable[..., DataFrame], str]] = {
@@ -25,13 +26,27 @@ JOBS: dict[str, tuple[str, Callable[..., DataFrame], str]] = {
     "sgi_v2": ("cdr_sgi_raw", windows.sgi_v2, "sgi_5min_flink_v2"),
     "mdt": ("cdr_mdt_smsng_raw", windows.mdt, "mdt_5min_flink"),
 }
+# jobs whose core can take dated stations instead of those of the start
+VERSIONED: dict[str, Callable[..., DataFrame]] = {
+    "ltas": windows.ltas_versioned,
+    "sgi_v2": windows.sgi_v2_versioned,
+    "mdt": windows.mdt_versioned,
+}
 
 
 def closed_windows(
-    job: str, source: DataFrame, bts: DataFrame, lateness: str = LATENESS, minute: str | None = windows.MINUTE
+    job: str,
+    source: DataFrame,
+    bts: DataFrame,
+    lateness: str = LATENESS,
+    minute: str | None = windows.MINUTE,
+    versioned: bool = False,
 ) -> DataFrame:
-    """The job's result on a stream, each window emitted once it is past the watermark."""
-    core = JOBS[job][1]
+    """The job's result on a stream, each window emitted once it is past the watermark.
+
+    With ``versioned``, ``bts`` holds dated stations from ``with_validity``, and each record meets those of its time.
+    """
+    core = VERSIONED[job] if versioned else JOBS[job][1]
     return core(source.withWatermark("event_time", lateness), bts, minute)
 
 
@@ -79,13 +94,18 @@ def start(
     checkpoint: str,
     lateness: str = LATENESS,
     minute: str | None = windows.MINUTE,
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
     available_now: bool = False,
     state_partitions: int | None = None,
+    versioned: bool = False,
 ) -> StreamingQuery:
-    """Start one job on its raw table, joined to ``bts`` as it is at the start."""
+    """Start one job on its raw table, joined to ``bts`` as it is at the start.
+
+    A new version of the stations leaves the files of the old one in place, so the job goes on with those and takes the
+    new ones at its next start; ``versioned`` jobs take each record's own.
+    """
     source = tail_table(spark, source_path, JOBS[job][0], max_files)
-    result = closed_windows(job, source, bts, lateness, minute)
+    result = closed_windows(job, source, bts, lateness, minute, versioned)
     return write_windows(result, sink_path, checkpoint, available_now, state_partitions=state_partitions)
 
 
@@ -111,21 +131,3 @@ def newest_days(spark: SparkSession, job: str, sink_path: str, rows: int) -> dat
         if held >= rows:
             break
     return day
-
-
-def as_of_event_time(cdr: DataFrame, versions: DataFrame) -> DataFrame:
-    """Records with the station version valid at their event time (batch or stream).
-
-    ``versions`` holds ``cell_id``, station columns, ``valid_from`` and ``valid_to``.
-    """
-    return pit_join(cdr, versions, "cell_id")
-
-
-def ltas_versioned(cdr: DataFrame, versions: DataFrame, minute: str | None = windows.MINUTE) -> DataFrame:
-    """The station rollup with versioned stations: joined per record, since one
-    window may span two versions."""
-    joined = windows.windowed(as_of_event_time(cdr, versions), minute)
-    sums = joined.groupBy("window", "bts_alt_key", "region_cd").agg(
-        F.sum("val").alias("total_val"), F.count(F.lit(1)).alias("record_cnt")
-    )
-    return windows.flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")

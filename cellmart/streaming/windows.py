@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cellmart.functions.predicates import SIGNALS, minute_is
 from cellmart.operators.or_join import or_join_sums, or_weights
+from cellmart.operators.pit_join import pit_join
 from cellmart.operators.sizing import dim_join
 
 WINDOW = "5 minutes"
@@ -55,6 +56,17 @@ def ltas(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFra
     return flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
 
 
+def ltas_versioned(cdr: DataFrame, versions: DataFrame, minute: str | None = MINUTE) -> DataFrame:
+    """:func:`ltas` with the station version in force at each record; joined per record, since one window may span
+    two versions. ``versions`` holds station columns, ``valid_from`` and ``valid_to``."""
+    stations = versions.select("cell_id", "bts_alt_key", "region_cd", "valid_from", "valid_to")
+    joined = windowed(pit_join(cdr, stations, "cell_id"), minute)
+    sums = joined.groupBy("window", "bts_alt_key", "region_cd").agg(
+        F.sum("val").alias("total_val"), F.count(F.lit(1)).alias("record_cnt")
+    )
+    return flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
+
+
 def sgi_v1(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFrame:
     """Used value and records of the signalling types, stations matched on either cell key."""
     rows = windowed(cdr, minute, F.col("signal_type").isin(*SIGNALS)).select(
@@ -84,6 +96,38 @@ def sgi_v2(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataF
     return flat(sums, "bts_alt_key", "total_val", "record_cnt")
 
 
+def sgi_v2_versioned(cdr: DataFrame, versions: DataFrame, minute: str | None = MINUTE) -> DataFrame:
+    """:func:`sgi_v2` with the station version in force at each record."""
+    stations = versions.select("cell_id", F.col("bts_alt_key").alias("_station"), "valid_from", "valid_to")
+    joined = windowed(pit_join(cdr, stations, "cell_id"), minute)
+    sums = joined.groupBy("window", F.coalesce("_station", "cell_id").alias("bts_alt_key")).agg(
+        F.sum("val").alias("total_val"), F.count(F.lit(1)).alias("record_cnt")
+    )
+    return flat(sums, "bts_alt_key", "total_val", "record_cnt")
+
+
+def mdt_versioned(measurements: DataFrame, versions: DataFrame, minute: str | None = MINUTE) -> DataFrame:
+    """:func:`mdt` with the stations a vendor had at each measurement; what a vendor reports at one moment is counted
+    before it meets them."""
+    per_moment = (
+        windowed(measurements, minute)
+        # a number, since a second event time beside the window would be refused
+        .groupBy("window", F.unix_micros("event_time").alias("_moment"), "bts_market_nm")
+        .agg(F.count(F.lit(1)).alias("record_cnt"))
+    )
+    spans = [F.unix_micros(c).alias(f"_{c}") for c in ("valid_from", "valid_to")]
+    stations = versions.select("bts_market_nm", "bts_alt_key", *spans)
+    in_force = (F.col("_moment") >= F.col("_valid_from")) & (
+        F.col("_valid_to").isNull() | (F.col("_moment") < F.col("_valid_to"))
+    )
+    sums = (
+        dim_join(per_moment, stations, ["bts_market_nm"], "left", where=in_force)
+        .groupBy("window", "bts_alt_key")
+        .agg(F.sum("record_cnt").alias("record_cnt"))
+    )
+    return flat(sums, "bts_alt_key", "record_cnt")
+
+
 def mdt(measurements: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFrame:
     """Measurements per window for every station of the reporting vendor."""
     per_vendor = (

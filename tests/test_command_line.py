@@ -5,6 +5,7 @@ import pytest
 import seed
 from cellmart.__main__ import main
 from cellmart.plans import daily
+from cellmart.schemas import MAIN
 from cellmart.sources import readers
 
 
@@ -45,3 +46,31 @@ def test_shown_results(tables, capsys, spark):
     tables.replace("call_quality_kudu", readers.literal_rows(spark, "call_quality_kudu", [row]))
     run(tables, "lookup", "K1")
     assert "C1" in capsys.readouterr().out
+
+
+def test_keyed_table_by_catalog(tables, capsys, spark, tmp_path):
+    name = "call_quality_kudu"
+    old = [("K1", "C1", -70, -9, "N", "20251201", "{}"), ("K2", "C2", -71, -9, "N", "20251201", "{}")]
+    tables.replace(name, readers.literal_rows(spark, name, old))
+    changes = str(tmp_path / "changes")
+    readers.literal_rows(spark, name, [("K1", "C9", -80, -9, "Y", "20251202", "{}")]).write.parquet(changes)
+    run(tables, "upsert", changes)
+    run(tables, "compact", name)
+    run(tables, "lookup", "K1")
+    shown = capsys.readouterr().out
+    assert "C9" in shown and "C1" not in shown
+    view = spark.table(f"{MAIN}.{name}_now")
+    assert view.count() == 2 and spark.table(f"{MAIN}.call_quality_kudu_by_call_now").count() == 2
+
+
+def test_ingest_compact_and_parity(tables, capsys, spark, tmp_path):
+    other = daily.Warehouse(spark, str(tmp_path / "other"))
+    main(["--warehouse", other.root, "ingest", tables.root, "cdr_sgi_raw", "--value", "2026-08-03"])
+    main(["--warehouse", other.root, "ingest", tables.root, "bts_master"])
+    assert other.read("cdr_sgi_raw").count() == 13 and other.read("bts_master").count() == 10
+    run(tables, "compact", "cdr_sgi_raw", "--out", str(tmp_path / "few"))
+    assert readers.read_table(spark, str(tmp_path / "few"), "cdr_sgi_raw").count() == 13
+    for _ in range(2):
+        run(tables, "stream", "sgi_v2", "--checkpoint", str(tmp_path / "cp"), "--drain", "--state-partitions", "2")
+    run(tables, "parity", "sgi_v2")
+    assert "sgi_v2" in capsys.readouterr().out

@@ -194,6 +194,15 @@ def test_published_versions(spark, quality, plan):
     assert "SelectedBucketsCount: 1 out of 32" in found
 
 
+def test_compacted_keyed_table_keeps_its_buckets(spark, quality, plan, bag):
+    writers.publish_keyed(quality.repartition(8), "quality_packed")
+    before = bag(spark.table("quality_packed"))
+    version = writers.publish_keyed(spark.table("quality_packed"), "quality_packed", files=1)
+    assert bag(spark.table("quality_packed")) == before
+    assert spark.table(version).select(F.input_file_name()).distinct().count() <= 32
+    assert "SelectedBucketsCount: 1 out of 32" in plan(spark.table("quality_packed").where("lookup_key = 'LOOKUP_KEY_00001'"))
+
+
 def test_clustered_write_orders_files(spark, tmp_path):
     rows = [(f"s{i}", f"c{i % 50:02d}" if i % 3 else "hot", "20251201") for i in range(900)]
     frame = readers.literal_rows(spark, "cdr_sgi", rows, ["sgi_id", "cell_id", "etl_date"]).repartition(5)

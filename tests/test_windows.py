@@ -7,7 +7,7 @@ import pytest
 import seed
 from cellmart.operators import sizing
 from cellmart.operators.pit_join import with_validity
-from cellmart.sources.readers import literal_rows
+from cellmart.sources.readers import literal_rows, read_table, read_versions
 from cellmart.sources.writers import append, overwrite_partitions
 from cellmart.streaming import jobs, windows
 
@@ -225,7 +225,7 @@ def test_versioned_stations_in_a_stream(spark, tmp_path, bag):
     ]
     snapshots = spark.createDataFrame(changes, "cell_id string, bts_alt_key string, region_cd string, valid_from timestamp")
     versions = with_validity(snapshots, "cell_id")
-    batch = jobs.ltas_versioned(seed.cdr(spark), versions)
+    batch = windows.ltas_versioned(seed.cdr(spark), versions)
     assert by_station(batch, "total_val")["OLD"] == (41,)
     assert by_station(batch, "total_val")["NEW"] == (27,)
     source = str(tmp_path / "raw")
@@ -234,7 +234,7 @@ def test_versioned_stations_in_a_stream(spark, tmp_path, bag):
 
     stream = tail_table(spark, source, "cdr_sgi_raw").withWatermark("event_time", jobs.LATENESS)
     sink = str(tmp_path / "sink")
-    jobs.write_windows(jobs.ltas_versioned(stream, versions), sink, str(tmp_path / "state"), True).awaitTermination()
+    jobs.write_windows(windows.ltas_versioned(stream, versions), sink, str(tmp_path / "state"), True).awaitTermination()
     assert bag(jobs.read_sink(spark, "ltas", sink)) == bag(batch)
 
 
@@ -244,3 +244,21 @@ def test_raw_table_can_be_replaced_by_day(spark, tmp_path):
     overwrite_partitions(seed.cdr(spark).limit(2), path, "cdr_sgi_raw")
     assert spark.read.parquet(path).count() == 2
     assert literal_rows(spark, "bts_master", seed.BTS, seed.BTS_COLUMNS).count() == 10
+
+
+def test_stations_replaced_under_a_running_stream(spark, tmp_path):
+    raw, dim, sink, state = (str(tmp_path / n) for n in ("raw", "dim", "sink", "state"))
+    overwrite_partitions(seed.bts(spark), dim, "bts_master")
+    append(seed.cdr(spark), raw, "cdr_sgi_raw")
+    query = jobs.start(spark, "ltas", raw, read_table(spark, dim, "bts_master"), sink, state, state_partitions=2)
+    try:
+        query.processAllAvailable()
+        overwrite_partitions(seed.bts(spark).limit(1), dim, "bts_master")
+        append(seed.cdr(spark, [REJECTED]), raw, "cdr_sgi_raw")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert jobs.read_sink(spark, "ltas", sink).count() == len(seed.WINDOWS)
+    assert read_table(spark, dim, "bts_master").count() == 1
+    dated = read_versions(spark, dim, "bts_master")
+    assert dated.groupBy("valid_from").count().orderBy("valid_from").select("count").collect() == [(10,), (1,)]
