@@ -31,12 +31,10 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support:
     rows = stored(docs.select(col(doc_id).alias("doc_id"), text_digest(col(text)).alias("digest")), "digests")
     named = rows.select(F.hex("digest").alias("digest"))
     # at most 1 / support digests, whatever the number of rows
-    found = named.freqItems(["digest"], support).first()
-    candidates = [x for x in (found[0] or []) if x is not None]
-    spark = docs.sparkSession
-    named = spark.createDataFrame([(x,) for x in candidates], "name string").select(F.unhex("name").alias("digest"))
+    found = named.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("name"))
+    candidates = found.select(F.unhex("name").alias("digest"))
     counted = (
-        rows.join(F.broadcast(named), "digest", "left_semi")
+        rows.join(F.broadcast(candidates), "digest", "left_semi")
         .groupBy("digest")
         .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     )
