@@ -121,7 +121,7 @@ def fit(
     named = docs.select(
         col(lang).cast("string").alias("lang"),
         col(text).alias("text"),
-        F.shiftrightunsigned(F.xxhash64(col(doc_id), F.lit("fit")), 11).alias("h"),
+        F.shiftrightunsigned(F.xxhash64(col(doc_id), col(text), F.lit("fit")), 11).alias("h"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(col(doc_id)))
     rows = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not rows:
