@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +53,23 @@ def matched(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], how: s
     return left.join(small(right), condition, how)
 
 
+def pieces_of(text: Column, spans: Column) -> Column:
+    """Array of the pieces of a text that an array of structs ``start, end`` (code points) names.
+
+    Cut in Python, where a place in a string is found at once: in time that follows the text, however many pieces there are.
+    """
+
+    @F.arrow_udf("array<string>")
+    def cut(texts: pa.Array, places: pa.Array) -> pa.Array:
+        found = []
+        for text, place in zip(texts, places, strict=True):
+            value = text.as_py()
+            found.append(None if value is None or not place.is_valid else [value[x["start"] : x["end"]] for x in place.as_py()])
+        return pa.array(found, pa.list_(pa.string()))
+
+    return cut(text, spans)
+
+
 def one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row of each key: the one with the smallest hash of all its columns, so reruns choose alike."""
     rank = fresh(df, "_rank")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellmart.llm.common import col, fresh, matched, stored, text_hash
+from cellmart.llm.common import col, fresh, matched, pieces_of, stored, text_hash
 
 # lines whose hashes decide whether a chunk ends
 WINDOW = 2
@@ -88,10 +88,10 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     texts = docs.select(col(doc_id), col(text)).withColumn(own, text_hash(doc_id, text))
     joined = matched(texts, stored(listed, "candidates"), [(doc_id, key), (own, mark)], "inner")
-    each = joined.select(col(key).alias("doc_id"), col(mark).alias("mark"), col(text).alias("text"), F.explode(cuts).alias("c"))
-    body = F.substring("text", (F.col("c.start") + 1).cast("int"), (F.col("c.end") - F.col("c.start")).cast("int"))
+    bodies = F.arrays_zip(col(cuts).alias("c"), pieces_of(col(text), col(cuts)).alias("body"))
+    each = joined.select(col(key).alias("doc_id"), col(mark).alias("mark"), F.inline(bodies))
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", F.col("c.chunk").alias("chunk")).alias("rank")
-    each = stored(each.select(rank, "c.*", body.alias("body")).distinct(), "bodies")
+    each = stored(each.select(rank, "c.*", "body").distinct(), "bodies")
     winners = each.groupBy("digest", "body").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = each.join(winners.drop("n"), ["digest", "body"]).where("rank <> first")
     return copies.select("rank.doc_id", "rank.mark", "chunk", "start", "end", "lines")
@@ -114,15 +114,17 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     )
     joined = matched(docs.withColumn(own, text_hash(doc_id, text)), stored(listed, "gone"), [(doc_id, key), (own, mark)], "left")
     # what lies between the removed chunks, each with the line feed after it
-    step = F.aggregate(
-        col(cuts),
-        F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")),
-        lambda a, x: F.struct(
-            F.concat(a["text"], F.substring(col(text), (a["at"] + 1).cast("int"), (x["start"] - a["at"]).cast("int"))).alias("text"),
-            (x["end"] + 1).alias("at"),
+    n, length = F.size(col(cuts)), F.length(col(text)).cast("long")
+    between = F.transform(
+        F.sequence(F.lit(0), n),
+        lambda i: F.struct(
+            F.when(i == 0, 0).otherwise(F.get(col(cuts), i - 1)["end"] + 1).cast("long").alias("start"),
+            F.when(i == n, length).otherwise(F.get(col(cuts), i)["start"]).alias("end"),
         ),
-        lambda a: F.concat(a["text"], F.substring(col(text), (a["at"] + 1).cast("int"), F.length(col(text)))),
     )
+    # only texts that lose something go to Python
+    some = F.when(col(cuts).isNotNull(), col(text))
+    step = F.array_join(pieces_of(some, F.when(col(cuts).isNotNull(), between)), "")
     # a text that loses its last chunk loses the line feed before it
     ended = F.element_at(col(cuts), -1)["end"] == F.length(col(text))
     out = F.when(col(cuts).isNull(), col(text)).when(ended, F.regexp_replace(step, "\n$", "")).otherwise(step)
