@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -325,12 +325,14 @@ def hex_of(fp: str = "fp") -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
 
 
-def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", grouped: Callable[..., DataFrame] = near_groups
+) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one whose id names it, all columns as they were.
 
     If several rows have that id, one with the smallest hash of id and text stays. Only the keys of dropped rows travel.
     """
-    groups = stored(near_groups(docs, doc_id, text), "near")
+    groups = stored(grouped(docs, doc_id, text), "near")
     named = F.col("doc_id").eqNullSafe(F.col("component_id"))
     # as many rows as repeat the component's id
     order = Window.partitionBy("root").orderBy("mark")
