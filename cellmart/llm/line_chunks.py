@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,8 +48,25 @@ def chunks_of(text: str, window: int = WINDOW, mean: int = MEAN_LINES) -> list[t
     return found
 
 
-def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, mark, chunk, start, end, lines, digest`` per chunk of two lines or more."""
+def runs_of(text: str) -> list[tuple[int, int, int, int]]:
+    """Start, end, lines and digest, as in :func:`chunks_of`, of every ``MIN_LINES`` lines in a row; they overlap."""
+    found, ends, at = [], [], 0
+    starts: list[int] = []
+    for line in text.split("\n"):
+        starts.append(at)
+        ends.append(at + len(line))
+        at += len(line) + 1
+    for start, end in zip(starts, ends[MIN_LINES - 1 :], strict=False):
+        body = text[start:end].encode("utf-8", "surrogatepass")
+        found.append((start, end, MIN_LINES, xxhash.xxh64_intdigest(body)))
+    return found
+
+
+def chunks(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cut: Callable[[str], list[tuple[int, int, int, int]]] | None = None
+) -> DataFrame:
+    """``doc_id, mark, chunk, start, end, lines, digest`` per chunk of two lines or more; ``cut`` is :func:`chunks_of` unless given."""
+    cut = cut or chunks_of
     given = docs.select(col(doc_id).alias("doc_id"), text_hash(doc_id, text).alias("mark"), col(text).alias("text"))
     fields = [given.schema["doc_id"], given.schema["mark"]]
     schema = T.StructType([*fields, *T.StructType.fromDDL("chunk int, start long, end long, lines int, digest long").fields])
@@ -59,7 +76,7 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             rows, found = [], []
             for i, value in enumerate(batch.column(2)):
                 if value.is_valid:
-                    for k, (start, end, lines, digest) in enumerate(chunks_of(value.as_py())):
+                    for k, (start, end, lines, digest) in enumerate(cut(value.as_py())):
                         if lines >= MIN_LINES:
                             rows.append(i)
                             found.append((k, start, end, lines, digest - (1 << 64) if digest >> 63 else digest))
@@ -71,7 +88,9 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return given.mapInArrow(run, schema)
 
 
-def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_chunks(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cut: Callable[[str], list[tuple[int, int, int, int]]] | None = None
+) -> DataFrame:
     """Chunks to remove: ``doc_id, mark, chunk, start, end, lines``.
 
     Digests that occur twice anywhere name the candidates; only their text is fetched, and rows are grouped by digest
@@ -79,7 +98,7 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     text); counts and minima are summed in the scan tasks.
     """
     # repeated rows are one document
-    found = stored(chunks(docs, doc_id, text).distinct(), "chunks")
+    found = stored(chunks(docs, doc_id, text, cut).distinct(), "chunks")
     twice = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
     candidates = found.join(twice, "digest", "left_semi")
     cuts, key, mark, own = (fresh(docs, n) for n in ("_cuts", "_chunk_id", "_chunk_mark", "_mark"))
@@ -97,15 +116,31 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return copies.select("rank.doc_id", "rank.mark", "chunk", "start", "end", "lines")
 
 
-def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with repeated chunks of lines cut out of the texts, and the columns ``lines`` and ``removed_lines`` added.
+def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As :func:`repeated_chunks`, for every passage of ``MIN_LINES`` lines or more that an earlier place holds, at full length.
+
+    Every ``MIN_LINES`` (two) lines in a row are compared, wherever a chunk would end; what follows or overlaps is one span.
+    The first occurrence of each line stays.
+    """
+    copies = repeated_chunks(docs, doc_id, text, runs_of)
+    order = Window.partitionBy("doc_id", "mark").orderBy("chunk")
+    spans = copies.withColumn("run", F.col("chunk") - F.row_number().over(order)).groupBy("doc_id", "mark", "run")
+    lines = (F.count(F.lit(1)) + (MIN_LINES - 1)).cast("int")
+    spans = spans.agg(F.min("chunk").alias("chunk"), F.min("start").alias("start"), F.max("end").alias("end"), lines.alias("lines"))
+    return spans.drop("run")
+
+
+def drop_repeated_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repeated: Callable[..., DataFrame] = repeated_chunks
+) -> DataFrame:
+    """``docs`` with repeated chunks (or what ``repeated`` names) of lines cut out of the texts, and the columns ``lines`` and ``removed_lines`` added.
 
     ``lines`` counts the original lines. A chunk goes with the line feed that ends it. What is removed anywhere is
     kept once, in the earliest place. NULL texts stay NULL (no lines); an empty text is one line; rows that
     repeat id and text are one document and are treated alike. An empty table gives an empty result. Other columns stay as they
     are; a name that is taken gets an underscore.
     """
-    gone = repeated_chunks(docs, doc_id, text)
+    gone = repeated(docs, doc_id, text)
     key, mark, cuts, own, counted, removed = (
         fresh(docs, n) for n in ("_gone_id", "_gone_mark", "_cuts", "_mark", "lines", "removed_lines")
     )

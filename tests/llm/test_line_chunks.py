@@ -75,3 +75,23 @@ def test_awkward_rows(awkward, docs_of):
     assert line_chunks.drop_repeated_lines(awkward.limit(0)).count() == 0
     clash = df.withColumnRenamed("n_chars", "lines")
     assert line_chunks.drop_repeated_lines(clash).columns[-2:] == ["lines_", "removed_lines"]
+
+
+def test_every_repeated_passage_goes(docs_of):
+    rng = random.Random(5)
+    passages = [lines_of(100 + n, n) for n in (2, 3, 4, 7)]
+    rows = []
+    for i in range(60):
+        own, at = lines_of(i + 1000, rng.randrange(9)), rng.randrange(9)
+        rows.append((i, "\n".join([*own[:at], *passages[i % 4], *own[at:]])))
+    rows.append((70, "\n".join(["a", "b", "c", "a", "b", "c", "a", "b"])))
+    seen, expected = set(), {}
+    for i, text in rows:
+        lines, gone = text.split("\n"), set()
+        for k, pair in enumerate(zip(lines, lines[1:], strict=False)):
+            if pair in seen:
+                gone |= {k, k + 1}
+            seen.add(pair)
+        expected[i] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone))
+    got = line_chunks.drop_repeated_lines(docs_of(rows), repeated=line_chunks.repeated_runs).collect()
+    assert {r.doc_id: (r.text, r.removed_lines) for r in got} == expected
