@@ -15,7 +15,17 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike"
     " strong sub sup time tt u var wbr".split()
 )
-RAW = frozenset("script style textarea title xmp noscript template iframe svg math select button object canvas audio video".split())
+RAW = frozenset("script style textarea title noscript template iframe select button object canvas audio video".split())
+FOREIGN = frozenset(("svg", "math"))
+# formulas and drawings stand in their line
+_IN_FOREIGN = frozenset(
+    "svg math mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt mroot munder mover munderover mmultiscripts mprescripts none mspace mstyle"
+    " mpadded mphantom menclose mfenced merror maction mtable mtr mlabeledtr mtd semantics annotation annotation-xml g defs desc path text tspan"
+    " textpath circle ellipse line polygon polyline rect use symbol marker mask pattern clippath image lineargradient radialgradient stop filter"
+    " metadata switch view".split()
+)
+# an attribute value without quotes takes the slash before the end of its tag
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/$")
 # what a start tag ends if it is still open, up to the element that holds it
 _ENDS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -56,16 +66,17 @@ def _words(attributes: str) -> tuple[str, ...]:
 
 
 def parse(page: str) -> Tree:
-    """Block elements with their texts, references decoded. Comments, head matter, scripts, styles and controls carry no text."""
+    """Block elements with their texts, references decoded. Comments, head matter, scripts, styles, controls and
+    fallbacks of embedded content carry no text; formulas and labels of drawings do, and ``xmp`` holds text as it stands."""
     tree = Tree()
     nodes, texts = tree.nodes, tree.texts
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with the node their text belongs to
     links, broken, at = 0, True, 0
 
-    def text(raw: str) -> None:
+    def text(raw: str, decoded: bool = False) -> None:
         nonlocal broken
         if raw and stack[-1][1] >= 0:
-            raw = html.unescape(raw)
+            raw = raw if decoded else html.unescape(raw)
             if raw.strip():
                 size = len(raw.strip())
                 node = nodes[stack[-1][1]]
@@ -80,7 +91,8 @@ def parse(page: str) -> Tree:
         closing, tag, attributes = match.group(1), (match.group(2) or "").lower(), match.group(3) or ""
         if not tag:
             continue
-        inline = tag in INLINE
+        foreign = tag in FOREIGN or any(t in FOREIGN for t, _ in stack)
+        inline = tag in INLINE or (foreign and tag in _IN_FOREIGN)
         if tag == "br":
             text(" ")
             continue
@@ -91,13 +103,15 @@ def parse(page: str) -> Tree:
                 del stack[depth:]
             broken = broken or not inline
             continue
+        if foreign and attributes.endswith("/") and not _UNQUOTED.search(attributes):
+            continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             if end:
                 at = end.end()
             elif tag in ("script", "style", "title", "textarea"):
                 at = len(page)
-            broken = broken or tag not in ("svg", "math", "button", "select")
+            broken = broken or tag not in ("button", "select")
             continue
         if not inline:
             opened, holders = _ENDS.get(tag, (("p",), ()))
@@ -118,5 +132,11 @@ def parse(page: str) -> Tree:
             owner = len(nodes) - 1
         stack.append((tag, owner))
         links += tag == "a"
+        if tag == "xmp":
+            end = re.compile(r"</xmp\s*>", re.I).search(page, at)
+            text(page[at : end.start() if end else len(page)], decoded=True)
+            at = end.end() if end else len(page)
+            stack.pop()
+            broken = True
     text(page[at:])
     return tree

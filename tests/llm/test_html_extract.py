@@ -86,3 +86,11 @@ def test_table(spark):
     assert all(len(r.text) == r.n_chars for r in rows) and [r.n_chars > 0 for r in rows if r.page_id == 1] == [True, True]
     assert {r.text for r in rows if r.page_id != 1} == {""}
     assert html_extract.extract(df.limit(0)).count() == 0
+
+
+def test_formulas_and_literal_text_stay(model):
+    formula = "<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><mspace width='1em'/></math>"
+    page = f"<main><article><h1>Title</h1><p>{P}<svg class='icon' width=1 /></p><p>So {formula} holds. {P}</p><xmp>if a <b> c &amp; d</xmp><p>{P}<svg><path d='M0'/><title>icon</title><text>Label</text></svg> end</p></article></main>"
+    text = html_extract.main_text(page, model)
+    assert text.count(P.strip()) == 3 and "So E=mc2 holds." in text and "if a <b> c &amp; d" in text
+    assert "Label" in text and "icon" not in text and text.endswith("end")
