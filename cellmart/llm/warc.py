@@ -14,6 +14,7 @@ from cellmart.session import scratch_path
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
+_LINE = VERSION.strip()
 # payloads from this size on are written once
 MIN_SHARED = 100
 SEGMENT_BYTES = 64 * 1024
@@ -28,13 +29,14 @@ _HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
 
 def chunked(payload: str, most: int = CHUNK_BYTES) -> str:
-    """Chunked transfer framing. Chunks end between characters, and inside anything that looks like a record's first line."""
+    """Chunked transfer framing. Chunks end between characters, and inside anything that looks like a record's first line,
+    or would with the line feed that ends the chunk."""
     parts = []
     step = max(most // 4, 1)
     for piece in payload.split(VERSION) if VERSION in payload else [payload]:
         parts += [piece[i : i + step] for i in range(0, len(piece), step)]
         parts += [VERSION[:4], VERSION[4:]]
-    parts = parts[:-2]
+    parts = [x for p in parts[:-2] for x in ([p[:-4], p[-4:]] if p.endswith(_LINE) else [p])]
     return "".join(f"{len(p.encode()):x}\r\n{p}\r\n" for p in parts) + "0\r\n\r\n"
 
 
@@ -69,6 +71,8 @@ def _segments(block: str, most: int) -> list[str]:
         end = min(at + most, len(raw))
         while end < len(raw) and end > at + 1 and (raw[end] & 0xC0) == 0x80:
             end -= 1
+        if raw[at:end].endswith(_LINE.encode()):
+            end -= 1
         parts.append(raw[at:end].decode())
         at = end
     return parts or [""]
@@ -80,8 +84,9 @@ def _record(block: str, fields: list[tuple[str, object]]) -> str:
 
 
 def _uri(url: str | None) -> str | None:
-    """A header value on one line."""
-    return None if url is None else " ".join(url.split())
+    """A header value on one line; its last character is escaped if the line would end like a record's first one."""
+    line = None if url is None else " ".join(url.split())
+    return f"{line[:-1]}%{ord(line[-1]):x}" if line and line.endswith(_LINE) else line
 
 
 def _urn(*parts: object) -> str:

@@ -103,3 +103,16 @@ def test_framing(text):
     with pytest.raises(ValueError):
         warc.unchunked(framed.encode()[:-6])
     assert warc.unchunked(b"3;name=x\r\nabc\r\n0\r\nTrailer: y\r\n\r\n") == b"abc"
+
+
+def test_framing_makes_no_first_line(spark):
+    line = warc.VERSION.strip()
+    step = warc.CHUNK_BYTES // 4
+    texts = [line, f"page {line}", "x" * (step - len(line)) + line + "y" * 50, f"{line}{warc.VERSION}{line}", "z" * 40 + line * 30]
+    for text in texts:
+        assert warc.VERSION not in warc.chunked(text) and warc.unchunked(warc.chunked(text).encode()).decode() == text
+    for most in range(9, 90):
+        parts = warc._segments(texts[-1] + "end", most)
+        assert "".join(parts) == texts[-1] + "end" and not any(p.endswith(line) for p in parts) and max(map(len, parts)) <= most
+    rows = [(i, f"http://a/{line}", text) for i, text in enumerate(texts)]
+    assert found(spark, rows, segment_bytes=130) == brute(rows)
