@@ -68,7 +68,7 @@ def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return substring.repeated_spans(_table(spark, d, "documents")).drop("mark")
+    return substring.repeated_spans(_table(spark, d, "documents"), within=True).drop("mark")
 
 
 def op10_warc(spark: SparkSession, d: str) -> DataFrame:

@@ -143,6 +143,7 @@ def repeated_spans(
     window: int = WINDOW,
     doc_id: str = "doc_id",
     text: str = "text",
+    within: bool = False,
 ) -> DataFrame:
     """What to remove: ``doc_id, mark, start, end, words, keep_id``, offsets in code points of the original text.
 
@@ -150,20 +151,26 @@ def repeated_spans(
     over all documents, summed in the scan tasks; the document with the smallest id keeps them, rows without an id coming
     last, and in every other document they are removed if the run of such pairs they stand in has ``min_words - 2 * window`` words or
     more. That is what is left of a passage of ``min_words`` after its edges, and more than one unit, so each such passage
-    is found; common units that do not follow each other elsewhere, shorter repeats, and repeats within one document stay.
+    is found; common units that do not follow each other elsewhere and shorter repeats stay.
 
-    Rows with the same id are one document. NULL, empty and white texts have no units. An empty table
+    With ``within``, the earliest occurrence by id, mark and place in the text keeps a passage and every other one is removed, also those in
+    the same document or in another row of the same id; an occurrence that overlaps the kept one goes from where it repeats. Without it, rows
+    with the same id are one document, and repeats inside one stay. Rows without an id are documents by their text;
+    ``keep_id`` is NULL if such a row keeps. Repeated rows are one document. NULL, empty and white texts have no units. An empty table
     gives an empty result. Other columns are not read; ids are integers.
     """
     found = stored(pairs(docs, doc_id, text, window), "pairs")
-    owners = (
-        found.groupBy("digest")
-        .agg(F.min("rank").alias("owner"), F.max("rank").alias("last"))
-        .where("owner < last")
-        .drop("last")
-    )
+    # few digests occur twice; only their rows are compared
+    twice = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    found = stored(found.join(twice, "digest", "left_semi"), "repeated")
+    # rows without an id are told apart by their mark, others are documents by their id
+    nameless = F.when(F.col("rank") == _LAST_ID, F.col("mark"))
+    place = ["rank", nameless] if not within else ["rank", "mark", "unit"]
+    found = found.withColumn("place", F.struct(*[F.coalesce(c, F.lit(0)).alias(f"p{i}") for i, c in enumerate(place)]))
+    owners = found.groupBy("digest").agg(F.min("place").alias("first"))
+    owners = owners.withColumn("owner", F.col("first.p0"))
     # AQE splits a digest that very many documents share
-    copies = found.join(owners, "digest").where("rank <> owner")
+    copies = found.join(owners, "digest").where("place <> first")
     # repeated rows have the same units
     copies = copies.groupBy("rank", "mark", "unit").agg(*[F.first(c).alias(c) for c in ("start", "end", "sizes", "owner")])
     order = Window.partitionBy("rank", "mark").orderBy("unit")
@@ -175,7 +182,7 @@ def repeated_spans(
         F.min("start").alias("start"), F.max("end").alias("end"), words.alias("words"), F.min("owner").alias("owner")
     )
     own = F.when(F.col("rank") != _LAST_ID, F.col("rank")).cast(docs.schema[doc_id].dataType).alias("doc_id")
-    keep = F.col("owner").cast(docs.schema[doc_id].dataType).alias("keep_id")
+    keep = F.when(F.col("owner") != _LAST_ID, F.col("owner")).cast(docs.schema[doc_id].dataType).alias("keep_id")
     return spans.where(F.col("words") >= max(min_words - 2 * window, 1)).select(own, "mark", "start", "end", "words", keep)
 
 

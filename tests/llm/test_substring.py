@@ -80,3 +80,22 @@ def test_awkward_rows(awkward):
     cleaned = substring.remove_spans(awkward, substring.repeated_spans(awkward))
     assert cleaned.columns == [*awkward.columns, "kept_"] and cleaned.count() == awkward.count()
     assert substring.repeated_spans(awkward.limit(0)).count() == 0
+
+
+def test_repeats_within_documents_and_among_rows_without_an_id(docs_of, words):
+    passage, other = words(1, 120, 1 << 40), words(2, 90, 1 << 40)
+    rows = [(1, " ".join(passage * 20)), (2, " ".join(words(3, 80, 1 << 40))), (3, " ".join(words(4, 60, 1 << 40))), (3, " ".join([*words(4, 60, 1 << 40), "end"]))]
+    rows += [(None, " ".join([*other, *words(i, 40, 1 << 40)])) for i in (10, 11, 12)]
+    docs = docs_of(rows)
+    spans = substring.repeated_spans(docs, within=True)
+    cleaned = substring.remove_spans(docs, spans).collect()
+    left = {r.text for r in cleaned if r.doc_id == 1}.pop().split()
+    # what is left of twenty copies is one, and the edges of a span
+    assert 120 <= len(left) <= 120 + 2 * substring.WINDOW and left[:120] == passage
+    assert {r.text for r in cleaned if r.doc_id == 2} == {rows[1][1]}
+    nameless = [r.text.split() for r in cleaned if r.doc_id is None]
+    assert sum(t[: len(other)] == other for t in nameless) == 1
+    assert sum(len(t) <= 40 + 2 * substring.WINDOW for t in nameless) == 2
+    twins = sorted(len(r.text.split()) for r in cleaned if r.doc_id == 3)
+    assert twins[0] <= 2 * substring.WINDOW and twins[1] >= 60
+    assert {r.keep_id for r in spans.collect() if r.doc_id is None} == {None}
