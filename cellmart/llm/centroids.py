@@ -66,7 +66,7 @@ def seeds(rows: DataFrame, clusters: int, seed: int) -> np.ndarray:
     """The vectors with the smallest SHA-256 of ``seed:vec_id``, in that order; equal ids by their components."""
     named = rows.where(F.col("vec_id").isNotNull()).withColumn("h", F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256))
     first = named.orderBy("h", "v").limit(clusters).select("v").collect()
-    return np.array([r.v for r in first], np.int64).reshape(len(first), -1)
+    return np.array([r.v for r in first], np.int64) if first else np.zeros((0, 0), np.int64)
 
 
 def cluster(

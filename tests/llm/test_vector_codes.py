@@ -1,0 +1,108 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cellmart.llm import vector_codes
+
+SCHEMA = "vec_id long, embedding array<double>, label string"
+
+
+def slow(rows, parts=8, entries=16, rounds=6):
+    good = [(i, [math.floor(4096 * x) for x in v], lab) for i, v, lab in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = max(1, -(-max((len(v) for _, v, _ in good), default=1) // parts))
+    good = [(i, v + [0] * (width * parts - len(v)), lab) for i, v, lab in good]
+    first = sorted((i, v) for i, v, _ in good if i is not None)[:entries]
+    if not first:
+        return []
+    books = [[v[p * width : (p + 1) * width] for _, v in first] for p in range(parts)]
+
+    def near(p, part):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e, strict=True)), n) for n, e in enumerate(books[p]))
+
+    for turn in range(rounds + 1):
+        found = [[near(p, v[p * width : (p + 1) * width]) for p in range(parts)] for _, v, _ in good]
+        if turn == rounds:
+            break
+        for p in range(parts):
+            for n in range(len(first)):
+                own = [v[p * width : (p + 1) * width] for (_, v, _), f in zip(good, found, strict=True) if f[p][1] == n]
+                if own:
+                    books[p][n] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    name = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    errors = [sum(d for d, _ in f) for f in found]
+    by_label = {}
+    for (_, _, lab), e in zip(good, errors, strict=True):
+        by_label[lab] = by_label.get(lab, 0) + e
+    out = [(i, "".join(f"{n:02x}" for _, n in f), e, by_label[lab], name) for (i, _, lab), f, e in zip(good, found, errors, strict=True)]
+    return sorted(out, key=repr)
+
+
+def found(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in vector_codes.compress(df, **options).collect()), key=repr)
+
+
+def some(seed, n, dims=16, scale=1.0):
+    rng = np.random.default_rng(seed)
+    return [(i, [float(x) for x in rng.normal(size=dims) * scale], "abc"[i % 3] if i % 5 else None) for i in range(n)]
+
+
+def test_equals_brute_force(spark):
+    rows = some(1, 150)
+    assert found(spark, rows) == slow(rows)
+
+
+def test_components_beyond_doubles_stay_exact(spark):
+    rows = some(2, 60, 8, scale=2e4)
+    assert found(spark, rows) == slow(rows)
+
+
+def test_ties_and_a_hot_group(spark):
+    rows = [(i, [float(x % 3) for x in range(i % 4, i % 4 + 8)], "x") for i in range(90)] + [(200 + i, [0.5] * 8, "y") for i in range(60)]
+    assert found(spark, rows) == slow(rows)
+
+
+def test_awkward_rows(spark):
+    rows = [*some(3, 12), (None, [1.0] * 16, "a"), (2, [0.25] * 16, None), (50, None, "a"), (51, [math.nan] * 16, "a"), (52, [math.inf, 1.0], "a"), (53, [None, 1.0], "a")]
+    rows += [(60, [1.0, 2.0, 3.0], "b"), (61, [], "b")]
+    assert found(spark, rows) == slow(rows)
+    assert found(spark, []) == [] and found(spark, [(None, [1.0], "a")]) == []
+    one = some(4, 1)
+    assert found(spark, one) == slow(one)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame(some(5, 20), SCHEMA)
+    more = df.selectExpr("*", "'x' AS v", "1 AS error", "'c' AS code", "2 AS label_error")
+    assert sorted(vector_codes.compress(more).collect()) == sorted(vector_codes.compress(df).collect())
+
+
+def test_too_large_components_stop(spark):
+    with pytest.raises(Exception, match="component beyond"):
+        found(spark, [(1, [1e30] * 8, "a")])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 60), st.integers(1, 6), st.sampled_from([2, 5, 300, 10**7, 6 * 10**8]))
+def test_tree_finds_what_all_entries_give(seed, n, dims, reach):
+    rng = np.random.default_rng(seed)
+    entries, x = rng.integers(-reach, reach + 1, (n, dims)), rng.integers(-reach, reach + 1, (40, dims))
+    x = np.r_[x, entries[:5]]
+    number, square, taken = vector_codes.Gnat(entries).nearest(x)
+    apart = x.astype(object)[:, None] - entries.astype(object)[None]
+    squares = (apart * apart).sum(2)
+    assert number.tolist() == [int(np.argmin(s)) for s in squares] and square.tolist() == [min(s) for s in squares]
+    assert taken <= len(x) * n
+
+
+def test_tree_skips_subtrees():
+    rng = np.random.default_rng(7)
+    centres = rng.integers(-100_000, 100_000, (16, 8))
+    entries = (centres[:, None] + rng.integers(-50, 50, (16, 16, 8))).reshape(-1, 8)
+    x = entries[rng.integers(0, len(entries), 500)] + rng.integers(-20, 20, (500, 8))
+    taken = vector_codes.Gnat(entries).nearest(x)[2]
+    assert taken < 0.3 * len(x) * len(entries)
