@@ -18,8 +18,8 @@ def connected(edges: DataFrame) -> DataFrame:
     """Edges ``(u, v)`` of longs to stars: one row ``(node, root)`` per node other than a root.
 
     Alternates two contractions until nothing changes. Each is a minimum per node (summed in the
-    scan tasks) and a join back, so a hub's neighbours are never together in one row, and Spark can split a hot
-    hub in the join. The number of rounds grows with the logarithm of the longest path. Loops are ignored; an
+    scan tasks, then stored) and a join back, so a hub's neighbours are never together in one row, and the join, being one of two
+    tables, is split by Spark where a hub is hot. The number of rounds grows with the logarithm of the longest path. Loops are ignored; an
     empty table gives an empty result.
     """
     larger, smaller = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
@@ -27,10 +27,10 @@ def connected(edges: DataFrame) -> DataFrame:
     before, now = None, _mark(edges)
     while now != before:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
+        lowest = stored(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low")), "lowest")
         # every larger neighbour to the node's lowest
-        edges = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        lowest = edges.groupBy("u").agg(F.min("v").alias("low"))
+        edges = stored(both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct(), "raised")
+        lowest = stored(edges.groupBy("u").agg(F.min("v").alias("low")), "lowest")
         # every smaller neighbour, and the node, to the lowest
         moved = edges.join(lowest, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v")
         edges = stored(moved.unionByName(lowest.select("u", F.col("low").alias("v"))).distinct(), "edges")

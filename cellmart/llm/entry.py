@@ -15,6 +15,7 @@ from cellmart.llm import (
     line_chunks,
     mixing,
     packing,
+    quality,
     simhash,
     substring,
     topk,
@@ -85,6 +86,10 @@ def op12_centroid_clusters(spark: SparkSession, d: str) -> DataFrame:
     return centroids.cluster(_table(spark, d, "embeddings"))
 
 
+def op13_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.judge(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 OP6_SQL = """
 WITH whole AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
@@ -202,6 +207,7 @@ FROM final JOIN whole USING (r) JOIN c{rounds} b USING (c)
 QUERIES = (
     op1_simhash, op2_source_mix, op3_html_extract, op4_best_fit_packing, op5_line_dedup, op6_exact_topk, op7_exact_dedup,
     op8_language_id, op9_substring_dedup, op10_warc, op11_vector_codes, op12_centroid_clusters,
+    op13_quality,
 )
 
 
