@@ -299,10 +299,12 @@ def q_pit_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, d: str) -> DataFrame:
-    """Dated stations with their vendors."""
+    """Dated stations with their vendors and alternate cells."""
     dated = a.station_versions(spark, d)
     vendor = F.element_at(F.array(*map(F.lit, ("SAMSUNG", "ERICSSON", "NOKIA"))), (F.col("cell_id").cast("long") % 3 + 1).cast("int"))
-    return with_validity(dated.withColumn("bts_market_nm", vendor), "cell_id")
+    # four cells share an alternate one, as in the stations without dates
+    other = F.floor(F.col("cell_id").cast("long") / 4).cast("string")
+    return with_validity(dated.withColumns({"bts_market_nm": vendor, "alt_cell_id": other}), "cell_id")
 
 
 def _win_versioned(job: str, spark: SparkSession, d: str) -> DataFrame:
@@ -698,8 +700,18 @@ def oracle_sql() -> dict[str, str]:
         {as_of} GROUP BY ALL""",
     )
     dated = f""", dated AS (SELECT *, {a._VENDOR.format(k="CAST(cell_id AS BIGINT)")} AS bts_market_nm,
+                                   CAST(CAST(cell_id AS BIGINT) // 4 AS VARCHAR) AS alt_cell_id,
                                    lead(valid_from) OVER (PARTITION BY cell_id ORDER BY valid_from) AS valid_to FROM versions)"""
+    # a version reached by both keys counts once
+    either = """(SELECT sgi_id, v.cell_id, v.valid_from FROM cdr r JOIN dated v ON r.cell_id = v.cell_id AND {at}
+            UNION SELECT sgi_id, v.cell_id, v.valid_from FROM cdr r JOIN dated v ON r.alt_cell_id = v.alt_cell_id AND {at})"""
+    either = either.format(at="r.event_time >= v.valid_from AND (v.valid_to IS NULL OR r.event_time < v.valid_to)")
     by_moment = {
+        "sgi_v1": (
+            "cdr",
+            f"""v.bts_alt_key, v.region_cd, sum(CASE WHEN use_flag = 'Y' THEN val ELSE 0 END)::BIGINT AS total_val, count(*) AS record_cnt
+            FROM cdr LEFT JOIN {either} m USING (sgi_id) LEFT JOIN dated v ON m.cell_id = v.cell_id AND m.valid_from = v.valid_from""",
+        ),
         "ltas": ("cdr", f"bts_alt_key, region_cd, sum(val)::BIGINT AS total_val, count(*) AS record_cnt {as_of}"),
         "sgi_v2": (
             "cdr",
@@ -712,7 +724,8 @@ def oracle_sql() -> dict[str, str]:
         ),
     }
     for job, (view, body) in by_moment.items():
-        whole = f"SELECT {_SPAN}, {body} WHERE {_MINUTE_45} GROUP BY ALL"
+        signals = " AND signal_type IN ('S1AP', 'SGI')" if job == "sgi_v1" else ""
+        whole = f"SELECT {_SPAN}, {body} WHERE {_MINUTE_45}{signals} GROUP BY ALL"
         closed = f"SELECT * FROM ({whole}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"
         sql.setdefault(f"q_win_{job}_versioned", a.with_views(f"{view} versions", f"{dated} {whole}"))
         sql[f"q_stream_{job}_versioned"] = a.with_views(f"{view} versions", f"{dated} {closed}")

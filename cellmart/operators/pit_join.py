@@ -41,16 +41,16 @@ def with_validity(
     )
 
 
-def _listed(versions: DataFrame, valid_from: str) -> DataFrame:
+def listed(versions: DataFrame, valid_from: str) -> DataFrame:
     """Ended versions with the widths and the first and last cell of days they are listed under."""
     days = F.datediff("valid_to", valid_from) + 1
     width = F.coalesce(*[F.when(days <= w * CELLS, w) for w in WIDTHS[:-1]], F.lit(WIDTHS[-1]))
     ended = versions.where(F.col(valid_from) < F.col("valid_to")).withColumn("_width", width)
-    first, last = (_cell(F.to_date(c), F.col("_width")) for c in (valid_from, "valid_to"))
+    first, last = (cell_of(F.to_date(c), F.col("_width")) for c in (valid_from, "valid_to"))
     return ended.withColumn("_first", first).withColumn("_last", last)
 
 
-def _cell(day: Column, width: Column) -> Column:
+def cell_of(day: Column, width: Column) -> Column:
     return F.floor(F.unix_date(day) / width)
 
 
@@ -70,7 +70,7 @@ def pit_join(
     current = versions.where(F.col("valid_to").isNull()).select(
         key, F.col(valid_from).alias("_open_from"), held.alias("_open")
     )
-    ended = _listed(versions, valid_from).select(
+    ended = listed(versions, valid_from).select(
         key,
         "_width",
         F.explode(F.sequence("_first", "_last")).alias("_cell"),
@@ -84,10 +84,10 @@ def pit_join(
     # one row per width in use
     for width in sorted(r["_width"] for r in ended.select("_width").distinct().collect()):
         start, end, hit = (f"{c}_{width}" for c in ("_from", "_to", "_ended"))
-        listed = ended.where(F.col("_width") == width).drop("_width")
+        own = ended.where(F.col("_width") == width).drop("_width")
         matched = dim_join(
-            matched.withColumn("_cell", _cell(F.to_date(at), F.lit(width))),
-            listed.withColumnsRenamed({"_from": start, "_to": end, "_ended": hit}),
+            matched.withColumn("_cell", cell_of(F.to_date(at), F.lit(width))),
+            own.withColumnsRenamed({"_from": start, "_to": end, "_ended": hit}),
             [key, "_cell"],
             "left",
             where=(F.col(at) >= F.col(start)) & (F.col(at) < F.col(end)),

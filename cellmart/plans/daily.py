@@ -9,17 +9,11 @@ from pyspark.sql import functions as F
 
 from cellmart.plans import batch, bi
 from cellmart.schemas import TABLES
-from cellmart.session import scratch_path
+from cellmart.session import stored
 from cellmart.sources.readers import exists, read_table
 from cellmart.sources.writers import append, overwrite_partitions
 
 
-def stored_copy(rows: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 class Warehouse:
     """Stored tables below one folder, one subfolder per table."""
 
@@ -80,7 +74,7 @@ def store_run(tables: Warehouse, table: str, rows: DataFrame, run_id: str) -> No
         """A partition's rows in one task, or a few if they are many: a file each."""
         return some.withColumn("_own", part).hint("rebalance", "_own").drop("_own")
 
-    new = stored_copy(rows, table)
+    new = stored(rows, table)
     if not exists(tables.spark, tables.path(table)) or tables.read(table).where(F.col("run_id") == run_id).isEmpty():
         append(gathered(new), tables.path(table), table)
         return
@@ -88,7 +82,7 @@ def store_run(tables: Warehouse, table: str, rows: DataFrame, run_id: str) -> No
     others = tables.read(table).where(~F.col("run_id").eqNullSafe(run_id)).withColumn("_own", part)
     others = others.join(touched, F.col("_own").eqNullSafe(F.col("_part")), "left_semi").select(*new.columns)
     # read before its partitions are replaced
-    tables.replace(table, gathered(new.unionByName(stored_copy(others, table))))
+    tables.replace(table, gathered(new.unionByName(stored(others, table))))
 
 
 def fill_rsrp_mart(tables: Warehouse, run_id: str, month: str | None = None) -> None:

@@ -29,6 +29,7 @@ JOBS: dict[str, tuple[str, Callable[..., DataFrame], str]] = {
 # jobs whose core can take dated stations instead of those of the start
 VERSIONED: dict[str, Callable[..., DataFrame]] = {
     "ltas": windows.ltas_versioned,
+    "sgi_v1": windows.sgi_v1_versioned,
     "sgi_v2": windows.sgi_v2_versioned,
     "mdt": windows.mdt_versioned,
 }

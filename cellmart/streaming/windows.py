@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellmart.functions.predicates import SIGNALS, minute_is
-from cellmart.operators.or_join import or_join_sums, or_weights
+from cellmart.operators.or_join import KEYS, or_join_sums, or_weights
 from cellmart.operators.pit_join import pit_join
+from cellmart.operators.pit_sums import NO_LEG, covered, pit_sums
 from cellmart.operators.sizing import dim_join
 
 WINDOW = "5 minutes"
@@ -81,6 +82,53 @@ def sgi_v1(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataF
     return flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
 
 
+def _nothing(dated: DataFrame) -> DataFrame:
+    """The row that events without a version in force meet: no key, no station, always in force."""
+    known = {"leg": F.lit(NO_LEG), "weight": F.lit(1), "valid_from": F.lit("0001-01-01").cast("timestamp")}
+    return dated.sparkSession.range(1).select(
+        *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in dated.schema.fields]
+    )
+
+
+def sgi_v1_versioned(cdr: DataFrame, versions: DataFrame, minute: str | None = MINUTE) -> DataFrame:
+    """:func:`sgi_v1` with the stations in force at each record, matched on either cell key.
+
+    The matches of a record are the versions in force of its first key, plus those of its second, minus those of both: a version
+    reached by both counts once. Each way has its own key; sums per stretch between changes meet the versions
+    (:func:`pit_sums`). Records that reach no version in force come under NULL.
+    """
+    first, second = KEYS
+    some = cdr.select(first, second, "rqt_st_dt", "signal_type", "use_flag", "val", "event_time")
+    rows = windowed(covered(some, versions, KEYS), minute, F.col("signal_type").isin(*SIGNALS))
+    none, in1, in2 = F.lit(None).cast("string"), F.col(f"_in_{first}"), F.col(f"_in_{second}")
+
+    def leg(number: int, k1: Column, k2: Column) -> Column:
+        return F.struct(F.lit(number).alias("leg"), k1.alias("k1"), k2.alias("k2"))
+
+    ways = [
+        (in1, leg(1, F.col(first), none)),
+        (in2, leg(2, none, F.col(second))),
+        (in1 & in2, leg(3, F.col(first), F.col(second))),
+        (~in1 & ~in2, leg(NO_LEG, none, none)),
+    ]
+    legs = F.filter(F.array(*[F.when(held, way) for held, way in ways]), lambda x: x.isNotNull())
+    rows = rows.select(
+        "window",
+        "event_time",
+        F.when(F.col("use_flag") == "Y", F.col("val")).otherwise(0).alias("total_val"),
+        F.lit(1).cast("long").alias("record_cnt"),
+        F.explode(legs).alias("_at"),
+    ).select("window", "event_time", "total_val", "record_cnt", "_at.*")
+    station = ["bts_alt_key", "region_cd"]
+    sides = F.explode(F.array(leg(1, F.col(first), none), leg(2, none, F.col(second)), leg(3, F.col(first), F.col(second)))).alias("_at")
+    dated = versions.select(*station, "valid_from", "valid_to", sides).select("_at.*", *station, "valid_from", "valid_to")
+    whole_key = F.when(F.col("leg") == 3, F.col("k1").isNotNull() & F.col("k2").isNotNull()).otherwise(F.coalesce("k1", "k2").isNotNull())
+    dated = dated.where(whole_key).withColumn("weight", F.when(F.col("leg") == 3, -1).otherwise(1))
+    dated = dated.unionByName(_nothing(dated))
+    sums = pit_sums(rows, dated, ["leg", "k1", "k2"], ["total_val", "record_cnt"], station, "record_cnt", every=WINDOW)
+    return flat(sums, "bts_alt_key", "region_cd", "total_val", "record_cnt")
+
+
 def sgi_v2(cdr: DataFrame, bts: DataFrame, minute: str | None = MINUTE) -> DataFrame:
     """Value and records per window and station, or the record's cell when unknown."""
     per_cell = (
@@ -107,24 +155,24 @@ def sgi_v2_versioned(cdr: DataFrame, versions: DataFrame, minute: str | None = M
 
 
 def mdt_versioned(measurements: DataFrame, versions: DataFrame, minute: str | None = MINUTE) -> DataFrame:
-    """:func:`mdt` with the stations a vendor had at each measurement; what a vendor reports at one moment is counted
-    before it meets them."""
-    per_moment = (
-        windowed(measurements, minute)
-        # a number, since a second event time beside the window would be refused
-        .groupBy("window", F.unix_micros("event_time").alias("_moment"), "bts_market_nm")
-        .agg(F.count(F.lit(1)).alias("record_cnt"))
-    )
-    spans = [F.unix_micros(c).alias(f"_{c}") for c in ("valid_from", "valid_to")]
-    stations = versions.select("bts_market_nm", "bts_alt_key", *spans)
-    in_force = (F.col("_moment") >= F.col("_valid_from")) & (
-        F.col("_valid_to").isNull() | (F.col("_moment") < F.col("_valid_to"))
-    )
-    sums = (
-        dim_join(per_moment, stations, ["bts_market_nm"], "left", where=in_force)
-        .groupBy("window", "bts_alt_key")
-        .agg(F.sum("record_cnt").alias("record_cnt"))
+    """:func:`mdt` with the stations a vendor had at each measurement.
+
+    Measurements are counted per stretch between a vendor's changes, so rows follow changes and stations, not measurements
+    times stations; see :func:`pit_sums`.
+    """
+    vendor = "bts_market_nm"
+    rows = windowed(covered(measurements.select(vendor, "rqt_st_dt", "event_time"), versions, [vendor]), minute)
+    known = F.col(f"_in_{vendor}")
+    rows = rows.select(
+        "window",
+        "event_time",
+        F.when(known, 1).otherwise(NO_LEG).alias("leg"),
+        F.when(known, F.col(vendor)).alias("k1"),
+        F.lit(1).cast("long").alias("record_cnt"),
     )
+    stations = versions.where(F.col(vendor).isNotNull()).select(F.lit(1).alias("leg"), F.col(vendor).alias("k1"), "bts_alt_key", "valid_from", "valid_to", F.lit(1).alias("weight"))
+    dated = stations.unionByName(_nothing(stations))
+    sums = pit_sums(rows, dated, ["leg", "k1"], ["record_cnt"], ["bts_alt_key"], "record_cnt", every=WINDOW)
     return flat(sums, "bts_alt_key", "record_cnt")
 
 
