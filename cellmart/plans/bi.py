@@ -58,15 +58,15 @@ def rsrp_bad_rate(
     )
 
 
-def volte_drop(
+def volte_parts(
     calls: DataFrame,
     contracts: DataFrame,
     products: DataFrame,
     base: Days = None,
     by: Column | None = None,
 ) -> DataFrame:
-    """Calls, dropped voice calls and their rate on eligible products, per day or
-    per another expression over the calls, named ``period``.
+    """Calls, dropped and all voice calls on eligible products per ``period``: the day, or
+    another expression over the calls. Sums over parts of the calls add up.
 
     Both dimensions take part as row counts per key: a repeated contract or
     product multiplies the calls, as in the plain star join, without building
@@ -88,9 +88,9 @@ def volte_drop(
         )
     )
     weights = contracts.groupBy("contract_id").agg(F.count(F.lit(1)).alias("weight"))
-    totals = (
+    return (
         per_contract.join(weights, "contract_id")
-        .groupBy("_period")
+        .groupBy(F.col("_period").alias("period"))
         .agg(
             *[
                 F.sum(F.col(c) * F.col("weight")).alias(c)
@@ -98,8 +98,20 @@ def volte_drop(
             ]
         )
     )
+
+
+def volte_drop(
+    calls: DataFrame,
+    contracts: DataFrame,
+    products: DataFrame,
+    base: Days = None,
+    by: Column | None = None,
+) -> DataFrame:
+    """Calls, dropped voice calls and their rate on eligible products, per day or
+    per another expression over the calls, named ``period``; see :func:`volte_parts`."""
+    totals = volte_parts(calls, contracts, products, base, by)
     return totals.select(
-        F.col("_period").alias("base_date" if by is None else "period"),
+        F.col("period").alias("base_date" if by is None else "period"),
         "total_calls",
         "dropped_volte",
         ratio(F.col("dropped_volte"), F.col("volte_calls")).alias("volte_drop_rate"),
@@ -135,15 +147,18 @@ def mart_rsrp(mdt: DataFrame, gpot: DataFrame, bdri: DataFrame, run_id: str, mon
     )
 
 
+def five_minutes() -> Column:
+    """The start of the five minutes of a call as text, to be turned into a time once per result row."""
+    minute = F.substring("call_start_dt", 11, 2).try_cast("int")
+    return F.concat(F.substring("call_start_dt", 1, 10), F.lpad((minute - minute % 5).cast("string"), 2, "0"))
+
+
 def mart_volte(
     calls: DataFrame, contracts: DataFrame, products: DataFrame, run_id: str, base: Days = None
 ) -> DataFrame:
     """Voice drop rate per five minutes of call start, for the stored mart; calls
     without a readable start come under NULL."""
-    # the start of the five minutes as text, turned into a time once per result row
-    minute = F.substring("call_start_dt", 11, 2).try_cast("int")
-    start = F.concat(F.substring("call_start_dt", 1, 10), F.lpad((minute - minute % 5).cast("string"), 2, "0"))
-    rates = volte_drop(calls, contracts, products, base, by=start)
+    rates = volte_drop(calls, contracts, products, base, by=five_minutes())
     return rates.select(
         F.lit(run_id).alias("run_id"),
         key_time("period").alias("window_start"),

@@ -90,6 +90,28 @@ def ingest_slice(spark: SparkSession, source: DataFrame, path: str, table: str,
     overwrite_partitions(source.select(*spec.schema.names), path, table)
 
 
+def ingest_slices(spark: SparkSession, source: DataFrame, path: str, table: str, at_once: int = 31) -> None:
+    """Copy every partition of a source table, oldest first, ``at_once`` partitions per job.
+
+    A job that runs again replaces the partitions it holds, so a copy that broke off is simply started again.
+    """
+    spec = TABLES[table]
+    part = F.to_date(spec.day_of).cast("string") if spec.day_of else F.col(spec.partition_column)
+    stored = spec.partition_column if spec.partition_column in source.columns else None
+    # of a stored source these are folder names, no rows
+    named = (F.col(stored).cast("string") if stored else part).alias("part")
+    values = [r["part"] for r in source.select(named).distinct().orderBy("part").toLocalIterator()]
+    for at in range(0, len(values), at_once):
+        some = values[at : at + at_once]
+        known = [v for v in some if v is not None]
+        slices = named.isin(*known) | (F.lit(None in some) & named.isNull())
+        rows = source.where(slices)
+        if stored and known:
+            kind = source.schema[stored].dataType
+            rows = source.where(F.col(stored).isin(*[F.lit(v).cast(kind) for v in known]) | (F.lit(None in some) & F.col(stored).isNull()))
+        overwrite_partitions(rows.select(*spec.schema.names), path, table)
+
+
 def create_databases(spark: SparkSession) -> None:
     for name in (MAIN, STAGING, RESULTS):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
