@@ -20,7 +20,7 @@ from cellmart.functions import predicates
 from cellmart.functions.predicates import LINE_CNT_METRES, SIGNALS, USE_FLAGS
 from cellmart.plans import audit, batch, bi, conform, daily, lookup, upkeep
 from cellmart.schemas import TABLES
-from cellmart.session import scratch_path
+from cellmart.session import scratch_path, shared_dir
 from cellmart.sources import keyed, readers, writers
 from cellmart.streaming import jobs, marts, windows
 
@@ -120,30 +120,52 @@ def q_mart_volte(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- lookups and upsert ---------------------------------------------------
 
+_MADE: dict[tuple[str, ...], str] = {}
 
-def _keyed(rows: DataFrame, table: str) -> DataFrame:
-    """``rows`` stored as a keyed table, read through the catalog. A name of its own keeps runs apart."""
-    name = f"{table}_{uuid.uuid4().hex}"
-    writers.write_bucketed(rows, table, name, path=scratch_path(rows.sparkSession, name))
-    return rows.sparkSession.table(name)
+
+def _once(spark: SparkSession, what: str, d: str, build: Callable[[str], None]) -> str:
+    """The name of a table that lookups and checks read, built at its first use in an application."""
+    key = (spark.sparkContext.applicationId, what, d)
+    if key not in _MADE:
+        name = f"{what}_{uuid.uuid4().hex}"
+        build(name)
+        _MADE[key] = name
+    return _MADE[key]
+
+
+def _keyed(spark: SparkSession, d: str, table: str) -> DataFrame:
+    """A keyed table stored in its buckets, read through the catalog. A name of its own keeps runs apart."""
+
+    def build(name: str) -> None:
+        rows = a.quality(spark, d)
+        rows = lookup.quality_by_call(rows) if table == "call_quality_kudu_by_call" else rows
+        writers.write_bucketed(rows, table, name, path=scratch_path(spark, name))
+
+    return spark.table(_once(spark, table, d, build))
+
+
+def _dated(spark: SparkSession, d: str) -> DataFrame:
+    """The table partitioned by day."""
+
+    def build(name: str) -> None:
+        writers.write_clustered(a.quality(spark, d), f"{shared_dir(spark)}/{name}", "call_quality_iceberg")
+
+    path = f"{shared_dir(spark)}/{_once(spark, 'dated', d, build)}"
+    return readers.read_table(spark, path, "call_quality_iceberg")
 
 
 def q_lookup_hash(spark: SparkSession, d: str) -> DataFrame:
-    return lookup.by_key(_keyed(a.quality(spark, d), "call_quality_kudu"), "LOOKUP_KEY_00001")
+    return lookup.by_key(_keyed(spark, d, "call_quality_kudu"), "LOOKUP_KEY_00001")
 
 
 def q_lookup_part(spark: SparkSession, d: str) -> DataFrame:
     """One key of the day that holds the first order, in the table partitioned by day."""
     day = spark.read.parquet(f"{d}/orders.parquet").where("o_orderkey = 1").agg(F.max("o_orderdate")).first()[0]
-    path = scratch_path(spark, "dated")
-    writers.write_clustered(a.quality(spark, d), path, "call_quality_iceberg")
-    table = readers.read_table(spark, path, "call_quality_iceberg")
-    return lookup.by_key_and_date(table, "LOOKUP_KEY_00001", f"{day:%Y%m%d}")
+    return lookup.by_key_and_date(_dated(spark, d), "LOOKUP_KEY_00001", f"{day:%Y%m%d}")
 
 
 def q_lookup_by_call(spark: SparkSession, d: str) -> DataFrame:
-    table = _keyed(lookup.quality_by_call(a.quality(spark, d)), "call_quality_kudu_by_call")
-    return lookup.by_call(table, "CALL_00099", "19960101", "19991231")
+    return lookup.by_call(_keyed(spark, d, "call_quality_kudu_by_call"), "CALL_00099", "19960101", "19991231")
 
 
 def q_lookup_batch(spark: SparkSession, d: str) -> DataFrame:
@@ -155,7 +177,7 @@ def q_lookup_batch(spark: SparkSession, d: str) -> DataFrame:
 
 def q_upsert(spark: SparkSession, d: str) -> DataFrame:
     """The nightly change set merged into the stored keyed table."""
-    base = _keyed(a.quality(spark, d), "call_quality_kudu")
+    base = _keyed(spark, d, "call_quality_kudu")
     return upsert(base, a.quality_changes(spark, d), ["lookup_key"], UPSERT_ORDER)
 
 
@@ -315,20 +337,39 @@ def _window(job: str, minute: str | None, spark: SparkSession, d: str) -> DataFr
     return _plain(_CORES[job](_FACTS[job](spark, d), a.bts(spark, d), minute))
 
 
-def _streamed(
-    job: str, minute: str | None, spark: SparkSession, d: str, newest: int | None = None, versions: DataFrame | None = None
-) -> DataFrame:
-    """Run the job over the events file as a stream until it is drained; read its sink, or the days of its newest rows."""
+def _started(job: str, minute: str | None, spark: SparkSession, d: str, sink: str, versions: DataFrame | None = None):
+    """The job as a stream over the events file, which ends when it is drained."""
     fields = spark.read.parquet(f"{d}/events.parquet").schema
     source = spark.readStream.schema(fields).option("pathGlobFilter", "events.parquet").parquet(d)
     facts = (a.mdt_raw_of if job == "mdt" else a.cdr_of)(source)
-    sink, state = scratch_path(spark, f"sink-{job}"), scratch_path(spark, f"state-{job}")
+    state = scratch_path(spark, f"state-{job}")
     stations = a.bts(spark, d) if versions is None else versions
     result = jobs.closed_windows(job, facts, stations, minute=minute, versioned=versions is not None)
     cores = spark.sparkContext.defaultParallelism
-    jobs.write_windows(result, sink, state, available_now=True, state_partitions=cores).awaitTermination()
-    since = None if newest is None else jobs.newest_days(spark, job, sink, newest)
-    return jobs.read_sink(spark, job, sink, since)
+    return jobs.write_windows(result, sink, state, available_now=True, state_partitions=cores)
+
+
+def _streamed(job: str, minute: str | None, spark: SparkSession, d: str, versions: DataFrame | None = None) -> DataFrame:
+    sink = scratch_path(spark, f"sink-{job}")
+    _started(job, minute, spark, d, sink, versions).awaitTermination()
+    return jobs.read_sink(spark, job, sink)
+
+
+def _drained(spark: SparkSession, d: str, minutes: dict[str, str | None]) -> dict[str, str]:
+    """The sinks of the jobs, whose streams run side by side at their first use in an application."""
+    app, shared, running = spark.sparkContext.applicationId, shared_dir(spark), []
+    for job, minute in minutes.items():
+        key = (app, f"sink-{job}-{minute}", d)
+        if key not in _MADE:
+            _MADE[key] = f"sink-{job}_{uuid.uuid4().hex}"
+            running.append((key, _started(job, minute, spark, d, f"{shared}/{_MADE[key]}")))
+    for key, query in running:
+        try:
+            query.awaitTermination()
+        except Exception:
+            _MADE.pop(key, None)
+            raise
+    return {job: f"{shared}/{_MADE[(app, f'sink-{job}-{minute}', d)]}" for job, minute in minutes.items()}
 
 
 def _stream(job: str, spark: SparkSession, d: str) -> DataFrame:
@@ -425,24 +466,26 @@ _PARITY_MINUTE = {"ltas": None, "sgi_v1": windows.MINUTE, "sgi_v2": windows.MINU
 
 def q_stream_batch_parity(spark: SparkSession, d: str) -> DataFrame:
     """All windows of each batch core against those its stream has closed."""
-    parts = []
+    parts, sinks = [], _drained(spark, d, _PARITY_MINUTE)
     for job, minute in _PARITY_MINUTE.items():
         expected = _CORES[job](_FACTS[job](spark, d), a.bts(spark, d), minute)
         on = [c for c in expected.columns if c not in ("total_val", "record_cnt")]
-        compared = audit.parity(expected, _streamed(job, minute, spark, d), on, ["record_cnt"])
+        compared = audit.parity(expected, jobs.read_sink(spark, job, sinks[job]), on, ["record_cnt"])
         parts.append(audit.parity_summary(job, compared))
     return reduce(DataFrame.unionByName, parts)
 
 
 def _sinks(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """What each job has written to its sink."""
-    return {jobs.JOBS[job][2]: _streamed(job, windows.MINUTE, spark, d) for job in _CORES}
+    sinks = _drained(spark, d, dict.fromkeys(_CORES, windows.MINUTE))
+    return {jobs.JOBS[job][2]: jobs.read_sink(spark, job, sinks[job]) for job in _CORES}
 
 
 def q_latest_windows(spark: SparkSession, d: str) -> DataFrame:
-    newest = 10
-    sinks = {jobs.JOBS[job][2]: _streamed(job, windows.MINUTE, spark, d, newest) for job in _CORES}
-    return _plain(audit.latest_windows(sinks, newest))
+    """The newest rows of what each job has written, read from the newest days that hold as many."""
+    newest, sinks = 10, _drained(spark, d, dict.fromkeys(_CORES, windows.MINUTE))
+    rows = {jobs.JOBS[j][2]: jobs.read_sink(spark, j, path, jobs.newest_days(spark, j, path, newest)) for j, path in sinks.items()}
+    return _plain(audit.latest_windows(rows, newest))
 
 
 def q_window_checks(spark: SparkSession, d: str) -> DataFrame:
@@ -486,6 +529,16 @@ def q_time_range(spark: SparkSession, d: str) -> DataFrame:
     return _plain(audit.time_range({"cdr_sgi_raw": a.cdr(spark, d), "cdr_mdt_smsng": a.mdt(spark, d)}))
 
 
+def setup(spark: SparkSession, d: str) -> dict[str, Callable[[], object]]:
+    """What builds the stored tables and sinks that these queries read; each query builds its own if it was not done before."""
+    return {
+        "q_lookup_hash": lambda: _keyed(spark, d, "call_quality_kudu"),
+        "q_lookup_by_call": lambda: _keyed(spark, d, "call_quality_kudu_by_call"),
+        "q_lookup_part": lambda: _dated(spark, d),
+        "q_latest_windows": lambda: _drained(spark, d, dict.fromkeys(_CORES, windows.MINUTE)),
+    }
+
+
 # ---- contract -------------------------------------------------------------
 
 

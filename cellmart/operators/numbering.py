@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellmart.operators.sizing import dim_join, spread_key
-from cellmart.session import shared_dir
+from cellmart.operators.sizing import spread_key
+from cellmart.session import shared_dir, stored
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
 
@@ -55,76 +55,46 @@ def exact_quantiles(
     group: list[str],
     value: str,
     probs: dict[str, float],
-    parts: int = 256,
+    parts: int | None = None,
 ) -> DataFrame:
     """Interpolated quantiles per group, one column per entry of ``probs``.
 
-    Values are counted per distinct value and the wanted ranks are located by
-    running totals, from coarse to fine: first over ``parts`` parts of a group with about as many distinct values each, whatever their
-    range, then over as many parts of those that hold a rank, then over the distinct values of these. An outlier or an infinite value
-    does not widen the parts, so no task sorts more than a small share of a group.
+    Values are counted per distinct value and stored once, dealt out in ranges of (group, value): ``parts`` of them, or as many as
+    shuffles have. Totals per group and part tell which part holds each wanted rank; only those parts are read again, and
+    within each the running counts find the value. A group with very many values lies in many parts, so no task sorts it whole.
     """
     df = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     # the group as one struct: structs compare NULL fields as equal, so a NULL group joins too
-    named, group = F.struct(*group).alias("_group"), ["_group"]
-    counted = (
-        df.groupBy(named, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    rows = counted.withColumn("_scope", F.lit(0.0))
-    ranks = [
-        (name, side, F.lit(float(p)) * (F.col("_total") - 1)) for name, p in probs.items() for side in ("lo", "hi")
-    ]
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(side).alias("side"),
-                rank.alias("rank"),
-                (F.floor(rank) if side == "lo" else F.ceil(rank)).cast("long").alias("row"),
-            )
-            for name, side, rank in ranks
-        ]
-    )
-    whole = [F.lit(0.0).alias("_scope"), F.lit(0).cast("long").alias("_before")]
-    targets = (
-        counted.groupBy(*group)
-        .agg(F.sum("_n").alias("_total"))
-        .select(*group, *whole, F.explode(wanted).alias("_t"))
-        .select(*group, "_scope", "_before", "_t.*")
-    )
-    scope = [*group, "_scope"]
-    running = Window.partitionBy(*scope).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
-    first, last = F.col("_before") + F.col("_upto") - F.col("_in"), F.col("_before") + F.col("_upto")
-    borders = F.array(*[F.lit(i / parts) for i in range(parts + 1)])
-    for step in ("groups", "parts", "values"):
-        if step != "groups":
-            rows = rows.join(targets.select(*scope).distinct(), scope, "left_semi")
-        if step == "values":
-            part = F.col("_v")
-        else:
-            between = rows.groupBy(*scope).agg(F.percentile_approx("_v", borders, 40 * parts).alias("_borders"))
-            rows = dim_join(rows, between, scope, "inner")
-            part = F.coalesce(F.array_max(F.filter("_borders", lambda x: x <= F.col("_v"))), F.lit(float("-inf")))
-        rows = rows.withColumn("_part", part)
-        totals = rows.groupBy(*scope, "_part").agg(F.sum("_n").alias("_in"))
-        totals = totals.withColumn("_upto", F.sum("_in").over(running))
-        targets = (
-            targets.join(totals, scope)
-            .where((F.col("row") >= first) & (F.col("row") < last))
-            .select(*group, F.col("_part").alias("_scope"), first.alias("_before"), "name", "side", "rank", "row")
-        )
-        rows = rows.select(*group, F.col("_part").alias("_scope"), "_v", "_n")
+    named, keys = F.struct(*group).alias("_group"), ["_group", "_part"]
+    counted = df.groupBy(named, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = counted.repartitionByRange(parts, "_group", "_v") if parts else counted.repartitionByRange("_group", "_v")
+    rows = stored(ranged.withColumn("_part", F.spark_partition_id()), "counts")
+
+    upto = F.sum("_in").over(Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+    whole = F.sum("_in").over(Window.partitionBy("_group"))
+    totals = rows.groupBy(*keys).agg(F.sum("_n").alias("_in")).select(*keys, (upto - F.col("_in")).alias("_before"), upto.alias("_upto"), whole.alias("_total"))
+    wanted = []
+    for name, p in probs.items():
+        rank = F.lit(float(p)) * (F.col("_total") - 1)
+        for side, row in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
+            wanted.append(F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), rank.alias("rank"), row.cast("long").alias("row")))
+    # a few rows per group
+    targets = totals.withColumn("_t", F.explode(F.array(*wanted))).where((F.col("_t.row") >= F.col("_before")) & (F.col("_t.row") < F.col("_upto")))
+    targets = targets.select(*keys, "_before", "_t.*")
+    held = targets.groupBy(*keys).agg(F.first("_before").alias("_before"), F.collect_list(F.struct("name", "side", "rank", "row")).alias("_ts"))
+    within = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("_before") + F.sum("_n").over(within)
+    found = rows.join(held, keys).select("_group", "_v", last.alias("_last"), (last - F.col("_n")).alias("_first"), "_ts")
+    hits = F.filter("_ts", lambda t: (t["row"] >= F.col("_first")) & (t["row"] < F.col("_last")))
+    found = found.select("_group", "_v", F.inline(hits))
 
     def interpolated(name: str) -> Column:
         def at(side: str) -> Column:
-            return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("_scope")))
+            return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("_v")))
 
         rank = F.max(F.when(F.col("name") == name, F.col("rank")))
         # equal neighbours may be infinite
         between = at("lo") + (at("hi") - at("lo")) * (rank - F.floor(rank))
         return F.when(at("lo") == at("hi"), at("lo")).otherwise(between)
 
-    # after the last step the scope is the value itself
-    found = targets.groupBy(*group).agg(*[interpolated(n).alias(n) for n in probs])
-    return found.select("_group.*", *probs)
+    return found.groupBy("_group").agg(*[interpolated(n).alias(n) for n in probs]).select("_group.*", *probs)

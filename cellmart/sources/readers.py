@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,12 +22,9 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder is there, in whatever store the path names."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except AnalysisException:
-        return False
-    return True
+    """Whether a folder is there, in whatever store the path names; nothing below it is listed."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder))
 
 
 def _published(spark: SparkSession, path: str) -> DataFrame:
