@@ -52,7 +52,7 @@ def op4_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    rows = line_chunks.drop_repeated_lines(_table(spark, d, "documents"), repeated=line_chunks.repeated_runs)
+    rows = line_chunks.drop_repeated_lines(_table(spark, d, "documents"), repeated=line_chunks.grown_chunks)
     return rows.select("doc_id", "lines", "removed_lines", "text")
 
 

@@ -65,7 +65,8 @@ def runs_of(text: str) -> list[tuple[int, int, int, int]]:
 def chunks(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cut: Callable[[str], list[tuple[int, int, int, int]]] | None = None
 ) -> DataFrame:
-    """``doc_id, mark, chunk, start, end, lines, digest`` per chunk of two lines or more; ``cut`` is :func:`chunks_of` unless given."""
+    """``doc_id, mark, chunk, start, end, lines, digest`` per chunk of two lines or more, ``chunk`` being the number of its first line;
+    ``cut`` is :func:`chunks_of` unless given."""
     cut = cut or chunks_of
     given = docs.select(col(doc_id).alias("doc_id"), text_hash(doc_id, text).alias("mark"), col(text).alias("text"))
     fields = [given.schema["doc_id"], given.schema["mark"]]
@@ -76,10 +77,12 @@ def chunks(
             rows, found = [], []
             for i, value in enumerate(batch.column(2)):
                 if value.is_valid:
-                    for k, (start, end, lines, digest) in enumerate(cut(value.as_py())):
+                    whole, line, at = value.as_py(), 0, 0
+                    for start, end, lines, digest in cut(whole):
+                        line, at = line + whole.count("\n", at, start), start
                         if lines >= MIN_LINES:
                             rows.append(i)
-                            found.append((k, start, end, lines, digest - (1 << 64) if digest >> 63 else digest))
+                            found.append((line, start, end, lines, digest - (1 << 64) if digest >> 63 else digest))
             own = pa.RecordBatch.from_arrays(batch.columns[:2], ["doc_id", "mark"]).take(pa.array(rows, pa.int64()))
             types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             values = [pa.array([x[j] for x in found], t) for j, t in enumerate(types)]
@@ -88,10 +91,22 @@ def chunks(
     return given.mapInArrow(run, schema)
 
 
+def _outside(found: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows of ``found`` that do not lie within one of their text's ``spans``."""
+    listed = spans.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_of")).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
+    joined = matched(found, stored(listed, "covered"), [("doc_id", "_id"), ("mark", "_of")], "left")
+    inside = F.exists("_spans", lambda x: (x["start"] <= F.col("start")) & (x["end"] >= F.col("end")))
+    return joined.where(~F.coalesce(inside, F.lit(False))).select(*found.columns)
+
+
 def repeated_chunks(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cut: Callable[[str], list[tuple[int, int, int, int]]] | None = None
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    cut: Callable[[str], list[tuple[int, int, int, int]]] | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """Chunks to remove: ``doc_id, mark, chunk, start, end, lines``.
+    """Chunks to remove: ``doc_id, mark, chunk, start, end, lines``; those within the spans ``known``, which go anyway, are passed over.
 
     Digests that occur twice anywhere name the candidates; only their text is fetched, and rows are grouped by digest
     and text, which compares the bytes. Of equal chunks the one of the smallest id stays (no id last; then the first in the
@@ -101,6 +116,8 @@ def repeated_chunks(
     found = stored(chunks(docs, doc_id, text, cut).distinct(), "chunks")
     twice = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
     candidates = found.join(twice, "digest", "left_semi")
+    if known is not None:
+        candidates = _outside(candidates, known)
     cuts, key, mark, own = (fresh(docs, n) for n in ("_cuts", "_chunk_id", "_chunk_mark", "_mark"))
     listed = candidates.groupBy(F.col("doc_id").alias(key), F.col("mark").alias(mark)).agg(
         F.collect_list(F.struct("chunk", "start", "end", "lines", "digest")).alias(cuts)
@@ -112,21 +129,31 @@ def repeated_chunks(
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", F.col("c.chunk").alias("chunk")).alias("rank")
     each = stored(each.select(rank, "c.*", "body").distinct(), "bodies")
     winners = each.groupBy("digest", "body").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = each.join(winners.drop("n"), ["digest", "body"]).where("rank <> first")
+    # stored, so that the join is one of two tables and Spark splits a chunk that very many documents share
+    copies = each.join(stored(winners.drop("n"), "winners"), ["digest", "body"]).where("rank <> first")
     return copies.select("rank.doc_id", "rank.mark", "chunk", "start", "end", "lines")
 
 
-def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """As :func:`repeated_chunks`, for every passage of ``MIN_LINES`` lines or more that an earlier place holds, at full length.
+def grown_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As :func:`repeated_chunks`, with every repeated chunk grown to both sides, line by line: all passages of ``MIN_LINES``
+    lines or more that an earlier place holds go at full length.
 
-    Every ``MIN_LINES`` (two) lines in a row are compared, wherever a chunk would end; what follows or overlaps is one span.
-    The first occurrence of each line stays.
+    Chunks between content-defined boundaries are compared first and take most of what repeats. A passage also reaches
+    into the chunks at its edges, or lies within one; so every two lines in a row that no removed chunk
+    covers are compared by digest and bytes as well, and what overlaps or adjoins a chunk becomes part of its span. The first occurrence of each
+    two lines stays: it is never in a removed chunk, since that has an earlier copy.
     """
-    copies = repeated_chunks(docs, doc_id, text, runs_of)
-    order = Window.partitionBy("doc_id", "mark").orderBy("chunk")
-    spans = copies.withColumn("run", F.col("chunk") - F.row_number().over(order)).groupBy("doc_id", "mark", "run")
-    lines = (F.count(F.lit(1)) + (MIN_LINES - 1)).cast("int")
-    spans = spans.agg(F.min("chunk").alias("chunk"), F.min("start").alias("start"), F.max("end").alias("end"), lines.alias("lines"))
+    whole = stored(repeated_chunks(docs, doc_id, text), "whole")
+    rest = repeated_chunks(docs, doc_id, text, runs_of, known=whole)
+    every = whole.unionByName(rest)
+    order = Window.partitionBy("doc_id", "mark").orderBy("chunk", "lines")
+    last = F.max(F.col("chunk") + F.col("lines")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (last.isNull() | (F.col("chunk") > last)).cast("int")
+    spans = every.withColumn("opens", opens).withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    lines = (F.max(F.col("chunk") + F.col("lines")) - F.min("chunk")).cast("int")
+    spans = spans.groupBy("doc_id", "mark", "run").agg(
+        F.min("chunk").alias("chunk"), F.min("start").alias("start"), F.max("end").alias("end"), lines.alias("lines")
+    )
     return spans.drop("run")
 
 

@@ -16,7 +16,7 @@ BINS = 256
 QUERY_ROWS = 4096
 # scores a task holds at a time
 AT_ONCE = 1 << 21
-# the largest score kept apart; beyond it scores count as equal
+# scores and the width of their range must fit a long; a larger score stops the job
 LIMIT = 1 << 61
 _EXACT = 1 << 53
 
@@ -50,6 +50,29 @@ def _matrix(lists: pa.Array, dims: int) -> np.ndarray:
     return out
 
 
+def _exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers that doubles cannot hold, exact, by halves.
+
+    Each component is ``high * 2^26 + low``; sums of products of halves fit longs. They are put together modulo 2^64, which is
+    exact where the score fits; beside them a sum in doubles tells whether it does. If not, the job stops.
+    """
+    half = float(1 << 26)
+    highs = [np.floor(x / half) for x in (a, b)]
+    if max(np.abs(x).max(initial=0) for x in highs) >= half:
+        raise OverflowError(f"a component of 2^52 or more: scores may not fit {LIMIT}")
+    parts = [[(x - high * half).astype(np.int64), high.astype(np.int64)] for x, high in zip((a, b), highs, strict=True)]
+    total, rough = np.zeros((len(a), len(b)), np.int64), np.zeros((len(a), len(b)))
+    for at in range(0, a.shape[1], 1024):
+        for i, left in enumerate(parts[0]):
+            for j, right in enumerate(parts[1]):
+                product = left[:, at : at + 1024] @ right[:, at : at + 1024].T
+                total += product << (26 * (i + j))
+                rough += product * 2.0 ** (26 * (i + j))
+    if rough.size and np.abs(rough).max() > LIMIT:
+        raise OverflowError(f"a score beyond {LIMIT} in size")
+    return total
+
+
 class _Block:
     """Queries of one pass, with where each k-th score is known to lie: in ``low`` .. ``low + span - 1``."""
 
@@ -74,8 +97,7 @@ class _Block:
             # sums of integers below 2^53 are exact in doubles, in any order
             found = (self.vectors @ vectors.T).astype(np.int64)
         else:
-            whole = np.vectorize(int, otypes=[object])
-            found = np.clip(whole(self.vectors) @ whole(vectors).T, -LIMIT, LIMIT).astype(np.int64)
+            found = _exact_products(self.vectors, vectors)
         order = np.argsort(self.ids, kind="stable")
         at = np.searchsorted(self.ids, ids, sorter=order)
         while (inside := at < len(order)).any():
@@ -190,7 +212,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_i
     they ended in zeros. A query's own row is any row with its id; otherwise repeated rows are candidates each, and an
     id that several query rows have is answered once, for its smallest vector. With fewer than ``k``
     candidates all are returned; without queries the result is empty. ``queries`` is a condition on the column
-    ``vec_id``.
+    ``vec_id``. Scores are exact; one beyond 2^61 in size, or a component beyond 2^52 among such, stops the job.
     """
     rows = stored(quantized(vectors, vec_id, embedding), "vectors")
     asked = rows.where(queries).groupBy("vec_id").agg(F.min("v").alias("v"))

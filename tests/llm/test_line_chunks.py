@@ -77,9 +77,23 @@ def test_awkward_rows(awkward, docs_of):
     assert line_chunks.drop_repeated_lines(clash).columns[-2:] == ["lines_", "removed_lines"]
 
 
+def test_chunks_come_first_and_grow(docs_of):
+    """A long block is found as chunks; its edges and what surrounds them only by growing."""
+    block = lines_of(1, 60)
+    rows = [(i, "\n".join([*lines_of(50 + i, 5), *block[i : 60 - i], *lines_of(90 + i, 5)])) for i in range(6)]
+    docs = docs_of(rows)
+    whole = {r.doc_id: r.n for r in line_chunks.repeated_chunks(docs).groupBy("doc_id").agg({"lines": "sum"}).withColumnRenamed("sum(lines)", "n").collect()}
+    grown = line_chunks.grown_chunks(docs).collect()
+    assert sorted((r.doc_id, r.chunk, r.lines) for r in grown) == [(i, 5, 60 - 2 * i) for i in range(1, 6)]
+    assert all(20 < whole[i] < 60 - 2 * i for i in range(1, 6))
+    texts = dict(rows)
+    for r in grown:
+        assert texts[r.doc_id][r.start : r.end].split("\n") == block[r.doc_id : 60 - r.doc_id]
+
+
 def test_every_repeated_passage_goes(docs_of):
     rng = random.Random(5)
-    passages = [lines_of(100 + n, n) for n in (2, 3, 4, 7)]
+    passages = [lines_of(100 + n, n) for n in (2, 3, 4, 40)]
     rows = []
     for i in range(60):
         own, at = lines_of(i + 1000, rng.randrange(9)), rng.randrange(9)
@@ -93,5 +107,5 @@ def test_every_repeated_passage_goes(docs_of):
                 gone |= {k, k + 1}
             seen.add(pair)
         expected[i] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone))
-    got = line_chunks.drop_repeated_lines(docs_of(rows), repeated=line_chunks.repeated_runs).collect()
+    got = line_chunks.drop_repeated_lines(docs_of(rows), repeated=line_chunks.grown_chunks).collect()
     assert {r.doc_id: (r.text, r.removed_lines) for r in got} == expected

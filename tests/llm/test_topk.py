@@ -58,3 +58,14 @@ def test_vectors_that_take_no_part(spark):
 def test_scores_beyond_doubles_stay_exact(spark):
     rows = [(i, [float(2**22 + i), float(2**21 - i), 1.0], "x") for i in range(0, 60)]
     assert found(spark, rows) == brute(rows)
+
+
+def test_products_by_halves_are_exact_or_stop(spark):
+    rng = np.random.default_rng(1)
+    a, b = (np.floor(rng.normal(size=(n, 70)) * 2.0**25) for n in (5, 7))
+    whole = np.vectorize(int, otypes=[object])
+    assert (topk._exact_products(a, b) == whole(a) @ whole(b).T).all()
+    with pytest.raises(OverflowError, match="a score beyond"):
+        topk._exact_products(a * 64, b)
+    with pytest.raises(Exception, match="OverflowError"):
+        found(spark, [(0, [1e12, 1.0], "x"), (1, [1e12, 1.0], "x")])
