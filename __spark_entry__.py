@@ -22,7 +22,7 @@ from cellmart.plans import audit, batch, bi, conform, daily, lookup, upkeep
 from cellmart.schemas import TABLES
 from cellmart.session import scratch_path, shared_dir
 from cellmart.sources import keyed, readers, writers
-from cellmart.streaming import jobs, marts, windows
+from cellmart.streaming import alerts, jobs, marts, windows
 
 try:
     import corpus_pipeline
@@ -337,11 +337,15 @@ def _window(job: str, minute: str | None, spark: SparkSession, d: str) -> DataFr
     return _plain(_CORES[job](_FACTS[job](spark, d), a.bts(spark, d), minute))
 
 
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    """The events file as a stream."""
+    fields = spark.read.parquet(f"{d}/events.parquet").schema
+    return spark.readStream.schema(fields).option("pathGlobFilter", "events.parquet").parquet(d)
+
+
 def _started(job: str, minute: str | None, spark: SparkSession, d: str, sink: str, versions: DataFrame | None = None):
     """The job as a stream over the events file, which ends when it is drained."""
-    fields = spark.read.parquet(f"{d}/events.parquet").schema
-    source = spark.readStream.schema(fields).option("pathGlobFilter", "events.parquet").parquet(d)
-    facts = (a.mdt_raw_of if job == "mdt" else a.cdr_of)(source)
+    facts = (a.mdt_raw_of if job == "mdt" else a.cdr_of)(_events(spark, d))
     state = scratch_path(spark, f"state-{job}")
     stations = a.bts(spark, d) if versions is None else versions
     result = jobs.closed_windows(job, facts, stations, minute=minute, versioned=versions is not None)
@@ -520,6 +524,28 @@ def q_latency_alerts(spark: SparkSession, d: str) -> DataFrame:
     return _plain(alerts.withColumn("worst_p95_sec", F.round("worst_p95_sec", 6)))
 
 
+def _drain(rows: DataFrame, label: str) -> DataFrame:
+    """An append-mode stream run until its source is drained; what it has emitted."""
+    spark = rows.sparkSession
+    sink, settings, name = scratch_path(spark, label), spark.conf, "spark.sql.shuffle.partitions"
+    before = settings.get(name)
+    settings.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        writer = rows.writeStream.outputMode("append").option("checkpointLocation", scratch_path(spark, f"state-{label}"))
+        query = writer.trigger(availableNow=True).format("parquet").start(sink)
+    finally:
+        settings.set(name, before)
+    query.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(sink)
+
+
+def q_stream_latency_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """The alert on a stream of the same timings, from sketches; stretches that the stream has closed."""
+    timings = a.timings_of(_events(spark, d)).withWatermark("started_at", jobs.LATENESS)
+    found = _drain(alerts.latency_alerts(timings, limit=100.0, every="1 hour"), "alerts")
+    return _plain(found.withColumn("worst_p95_sec", F.round("worst_p95_sec", 3)))
+
+
 def q_recent_history(spark: SparkSession, d: str) -> DataFrame:
     log = a.history(spark, d)
     return _plain(audit.recent_history(log, log.agg(F.max("start_time")).first()[0]))
@@ -552,7 +578,7 @@ def queries() -> dict[str, Query]:
         q_volte_drop, q_partition_count, q_region_total, q_mart_rsrp, q_mart_volte, q_lookup_hash, q_lookup_part,
         q_lookup_by_call, q_lookup_batch, q_upsert, q_upsert_delta, q_pit_join, q_win_ltas_versioned, q_fk_repair, q_domain_repair,
         q_clip_fill, q_time_keys, q_row_ids, q_dim_expand, q_load_summary, q_row_count_audit, q_eligible_counts,
-        q_stream_batch_parity, q_latest_windows, q_window_checks, q_latency_summary, q_latency_alerts,
+        q_stream_batch_parity, q_latest_windows, q_window_checks, q_latency_summary, q_latency_alerts, q_stream_latency_alerts,
         q_recent_history, q_time_range, q_stored_days, q_stored_day, q_ingested_slices, q_loaded_drop, q_seed_csv,
         q_compacted, q_mart_rsrp_stored, q_mart_volte_stored, q_mart_volte_incremental, q_mart_rsrp_incremental,
     ]
@@ -962,6 +988,24 @@ def oracle_sql() -> dict[str, str]:
         SELECT engine, min(slot) AS first_slot, max(slot) AS last_slot, COUNT(*) AS slots,
                round(max(p95), 6) AS worst_p95_sec FROM runs GROUP BY engine, run HAVING COUNT(*) >= 5""",
     )
+    # counts per bucket of one percent of relative error; the quantile of each bucket's middle
+    factor = "(1.01 / 0.99)"
+    row_of = {"lo": "floor(0.95 * (total - 1))", "hi": "ceil(0.95 * (total - 1))"}
+    middles = {s: f"2 / ({factor} + 1) * pow({factor}, min(bucket) FILTER (WHERE upto > {r}))" for s, r in row_of.items()}
+    sql["q_stream_latency_alerts"] = a.with_views(
+        "timings",
+        f""", counted AS (SELECT engine, date_trunc('hour', started_at) AS slot,
+                   ceil(ln(greatest(elapsed_sec, 1e-9)) / ln({factor})) AS bucket, count(*) AS n
+                   FROM timings WHERE elapsed_sec >= 0 GROUP BY ALL),
+        running AS (SELECT *, sum(n) OVER (PARTITION BY engine, slot ORDER BY bucket) AS upto,
+                           sum(n) OVER (PARTITION BY engine, slot) AS total FROM counted),
+        slots AS (SELECT engine, slot, any_value(total) AS total, {middles["lo"]} AS lo, {middles["hi"]} AS hi FROM running GROUP BY ALL),
+        high AS (SELECT engine, slot, lo + (hi - lo) * (0.95 * (total - 1) - floor(0.95 * (total - 1))) AS p95 FROM slots WHERE p95 > 100),
+        runs AS (SELECT *, epoch(slot) / 3600 - row_number() OVER (PARTITION BY engine ORDER BY slot) AS run FROM high)
+        SELECT engine, min(slot) AS first_slot, max(slot) AS last_slot, COUNT(*) AS slots, round(max(p95), 3) AS worst_p95_sec
+        FROM runs GROUP BY engine, run
+        HAVING COUNT(*) >= 5 AND max(slot) + INTERVAL 150 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND""",
+    )
     sql["q_recent_history"] = """SELECT event_id AS query_id, event_type AS stmt, ts AS start_time,
         floor(value * 1000)::BIGINT / 1000 AS duration_sec FROM events
         WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 24 HOUR ORDER BY ts DESC, event_id LIMIT 50"""

@@ -194,8 +194,12 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Response times: purchases play failed runs (-1)."""
-    return _read(spark, sf_dir, "events").select(
+    return timings_of(_read(spark, sf_dir, "events"))
+
+
+def timings_of(events: DataFrame) -> DataFrame:
+    """Response times from an events frame, batch or stream: purchases play failed runs (-1)."""
+    return events.select(
         F.when(F.col("user_id") % 2 == 0, "bucketed").otherwise("partitioned").alias("engine"),
         F.when(F.col("event_type") == "purchase", -1.0).otherwise(F.col("value")).alias("elapsed_sec"),
         F.col("ts").cast("timestamp").alias("started_at"),
