@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from cellmart import analogs as a
 from cellmart.operators.grid_join import grid_join
-from cellmart.operators.or_join import or_bridge, or_join, or_weights
+from cellmart.operators.or_join import or_bridge, or_join, or_weights, through_bridge
 from cellmart.operators.pit_join import pit_join, with_validity
 from cellmart.operators.upsert import upsert
 from cellmart.functions.geo import with_segments
@@ -20,7 +20,7 @@ from cellmart.functions import predicates
 from cellmart.functions.predicates import LINE_CNT_METRES, SIGNALS, USE_FLAGS
 from cellmart.plans import audit, batch, bi, conform, daily, lookup, upkeep
 from cellmart.schemas import TABLES
-from cellmart.session import scratch_path, shared_dir
+from cellmart.session import scratch_path, shared_dir, stored
 from cellmart.sources import keyed, readers, writers
 from cellmart.streaming import alerts, jobs, marts, windows
 
@@ -35,6 +35,8 @@ except ModuleNotFoundError as missing:  # the corpus operators may be left out;
 Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE_DIR = "/root/testdata/sf0.001"
+# the key columns whose statistics are kept
+STATISTICS = {t: [c for c in dict.fromkeys([TABLES[t].sort_by, TABLES[t].bucket_by, *TABLES[t].key]) if c] for t in ("cdr_sgi_raw", "bts_master")}
 UPSERT_ORDER = ["base_date", "call_id", "rsrp", "rsrq", "drop_flag", "detail_json"]
 
 
@@ -89,6 +91,12 @@ def q_or_bridge(spark: SparkSession, d: str) -> DataFrame:
     return or_bridge(a.cdr(spark, d), _stations(spark, d))
 
 
+def q_through_bridge(spark: SparkSession, d: str) -> DataFrame:
+    """The OR join through its stored matches of key pairs."""
+    records = a.cdr(spark, d).select("sgi_id", "cell_id", "alt_cell_id")
+    return through_bridge(records, stored(or_bridge(records, _stations(spark, d)), "bridge"))
+
+
 def q_or_weights(spark: SparkSession, d: str) -> DataFrame:
     """The stored form of the OR join: weights per key and region."""
     return or_weights(a.bts(spark, d), ["region_cd"]).drop("d_leg")
@@ -158,6 +166,13 @@ def q_lookup_hash(spark: SparkSession, d: str) -> DataFrame:
     return lookup.by_key(_keyed(spark, d, "call_quality_kudu"), "LOOKUP_KEY_00001")
 
 
+def q_lookup_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """A call, and a call and a key that do not exist, in the table that is laid out by another key."""
+    table = _keyed(spark, d, "call_quality_kudu")
+    asked = [{"call_id": "CALL_00099"}, {"call_id": "CALL_00099x"}, {"lookup_key": "LOOKUP_KEY_00001x"}]
+    return reduce(DataFrame.unionByName, [lookup.by_other_key(table, **x) for x in asked])
+
+
 def q_lookup_part(spark: SparkSession, d: str) -> DataFrame:
     """One key of the day that holds the first order, in the table partitioned by day."""
     day = spark.read.parquet(f"{d}/orders.parquet").where("o_orderkey = 1").agg(F.max("o_orderdate")).first()[0]
@@ -181,6 +196,14 @@ def q_upsert(spark: SparkSession, d: str) -> DataFrame:
     return upsert(base, a.quality_changes(spark, d), ["lookup_key"], UPSERT_ORDER)
 
 
+def q_published_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """The merged table as a new version behind a catalog view, read through the view."""
+    view = f"quality_{uuid.uuid4().hex}"
+    base = _keyed(spark, d, "call_quality_kudu")
+    writers.publish_upsert(spark, base, a.quality_changes(spark, d), ["lookup_key"], UPSERT_ORDER, view)
+    return spark.table(view)
+
+
 def q_upsert_delta(spark: SparkSession, d: str) -> DataFrame:
     """The change set in three parts as delta files; the buckets with many changes are folded after the second, the last part comes twice."""
     fields = a.quality(spark, d).select(*lookup.QUALITY).schema
@@ -274,6 +297,29 @@ def q_compacted(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("etl_date", "cell_id").agg(F.count(F.lit(1)).alias("row_cnt"), F.sum("val").alias("total_val"))
 
 
+def _database(spark: SparkSession, d: str) -> str:
+    """A database with the raw records and the stations, declared and filled."""
+    name = f"upkeep_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    for table, rows in (("cdr_sgi_raw", a.cdr(spark, d)), ("bts_master", a.bts(spark, d))):
+        spec = TABLES[table]
+        path = scratch_path(spark, table)
+        writers.append(rows.select(*spec.schema.names), path, table)
+        writers.create_table(spark, table, name, path)
+    upkeep.analyze(spark, name, ("cdr_sgi_raw", "bts_master"))
+    return name
+
+
+def q_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and NULL keys as the catalog knows them after statistics were collected."""
+    return upkeep.statistics(spark, _database(spark, d), ("cdr_sgi_raw", "bts_master"))
+
+
+def q_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """The partitions that the catalog has found behind a table."""
+    return upkeep.partitions(spark, "cdr_sgi_raw", _database(spark, d))
+
+
 def _mart(spark: SparkSession, table: str, runs: dict[str, DataFrame], order: tuple[str, ...]) -> DataFrame:
     """Runs stored one after the other; the mart as it is after the last."""
     tables = daily.Warehouse(spark, scratch_path(spark, "marts"))
@@ -380,6 +426,22 @@ def _stream(job: str, spark: SparkSession, d: str) -> DataFrame:
     return _plain(_streamed(job, windows.MINUTE, spark, d))
 
 
+def q_tail_restart(spark: SparkSession, d: str) -> DataFrame:
+    """A job that tails its raw table: drained, stopped, and started again with its checkpoint after the later half has arrived."""
+    records = a.cdr(spark, d)
+    ends = records.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high")).first()
+    if ends["low"] is None:
+        return _stream("ltas", spark, d)
+    half = ends["low"] + (ends["high"] - ends["low"]) / 2
+    raw, sink, state = (scratch_path(spark, x) for x in ("raw", "sink", "state"))
+    for part in (F.col("event_time") <= half, F.col("event_time") > half):
+        writers.append(records.where(part).select(*TABLES["cdr_sgi_raw"].schema.names), raw, "cdr_sgi_raw")
+        jobs.start(
+            spark, "ltas", raw, a.bts(spark, d), sink, state, available_now=True, state_partitions=spark.sparkContext.defaultParallelism
+        ).awaitTermination()
+    return _plain(jobs.read_sink(spark, "ltas", sink))
+
+
 def q_pit_join(spark: SparkSession, d: str) -> DataFrame:
     versions = with_validity(a.station_versions(spark, d), "cell_id")
     records = a.cdr(spark, d).select("sgi_id", "cell_id", "event_time")
@@ -479,6 +541,17 @@ def q_stream_batch_parity(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def q_parity_digests(spark: SparkSession, d: str) -> DataFrame:
+    """The keys in which a batch core and its stream differ, from digests: the windows the stream has not closed."""
+    parts, sinks = [], _drained(spark, d, {"ltas": None, "mdt": windows.MINUTE})
+    for job, minute in (("ltas", None), ("mdt", windows.MINUTE)):
+        expected = stored(_CORES[job](_FACTS[job](spark, d), a.bts(spark, d), minute), "expected")
+        on = [c for c in expected.columns if c not in ("total_val", "record_cnt")]
+        found = audit.parity_digests(expected, jobs.read_sink(spark, job, sinks[job]), on, ["record_cnt"])
+        parts.append(found.select(F.lit(job).alias("job"), "window_start", "bts_alt_key", "batch_record_cnt", "stream_record_cnt", "side"))
+    return _plain(reduce(DataFrame.unionByName, parts))
+
+
 def _sinks(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """What each job has written to its sink."""
     sinks = _drained(spark, d, dict.fromkeys(_CORES, windows.MINUTE))
@@ -574,13 +647,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     plain = [
-        q_ltas_hourly, q_sgi_use_v1, q_sgi_use_v2, q_mdt_merge, q_grid_join, q_or_bridge, q_or_weights, q_rsrp_bad_rate,
-        q_volte_drop, q_partition_count, q_region_total, q_mart_rsrp, q_mart_volte, q_lookup_hash, q_lookup_part,
-        q_lookup_by_call, q_lookup_batch, q_upsert, q_upsert_delta, q_pit_join, q_win_ltas_versioned, q_fk_repair, q_domain_repair,
+        q_ltas_hourly, q_sgi_use_v1, q_sgi_use_v2, q_mdt_merge, q_grid_join, q_or_bridge, q_through_bridge, q_or_weights, q_rsrp_bad_rate,
+        q_volte_drop, q_partition_count, q_region_total, q_mart_rsrp, q_mart_volte, q_lookup_hash, q_lookup_filtered, q_lookup_part,
+        q_lookup_by_call, q_lookup_batch, q_upsert, q_published_upsert, q_upsert_delta, q_pit_join, q_win_ltas_versioned, q_fk_repair, q_domain_repair,
         q_clip_fill, q_time_keys, q_row_ids, q_dim_expand, q_load_summary, q_row_count_audit, q_eligible_counts,
         q_stream_batch_parity, q_latest_windows, q_window_checks, q_latency_summary, q_latency_alerts, q_stream_latency_alerts,
         q_recent_history, q_time_range, q_stored_days, q_stored_day, q_ingested_slices, q_loaded_drop, q_seed_csv,
-        q_compacted, q_mart_rsrp_stored, q_mart_volte_stored, q_mart_volte_incremental, q_mart_rsrp_incremental,
+        q_compacted, q_statistics, q_partitions, q_tail_restart, q_parity_digests, q_mart_rsrp_stored, q_mart_volte_stored, q_mart_volte_incremental, q_mart_rsrp_incremental,
     ]
     found: dict[str, Query] = {f.__name__: f for f in plain}
     found["q_or_join_left"] = partial(_or_join, "left")
@@ -721,6 +794,7 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT sgi_id, cdr.cell_id, cdr.alt_cell_id, bts_alt_key, region_cd
             FROM cdr {how.upper()} JOIN bts ON {_EITHER}""",
         )
+    sql["q_through_bridge"] = sql["q_or_join_left"]
     sql["q_or_bridge"] = a.with_views(
         "cdr bts",
         f"""SELECT DISTINCT cdr.cell_id, cdr.alt_cell_id, bts_alt_key, region_cd
@@ -782,6 +856,7 @@ def oracle_sql() -> dict[str, str]:
     sql["q_lookup_hash"] = a.with_views(
         "quality", f"SELECT {columns} FROM quality WHERE lookup_key = 'LOOKUP_KEY_00001'"
     )
+    sql["q_lookup_filtered"] = a.with_views("quality", f"SELECT {columns} FROM quality WHERE call_id = 'CALL_00099'")
     sql["q_lookup_part"] = a.with_views(
         "quality",
         f"""SELECT {columns} FROM quality WHERE lookup_key = 'LOOKUP_KEY_00001' AND base_date IN
@@ -809,7 +884,7 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT {columns} FROM (SELECT {columns} FROM quality UNION ALL SELECT {columns} FROM quality_changes)
         QUALIFY row_number() OVER (PARTITION BY lookup_key ORDER BY {newest}) = 1""",
     )
-    sql["q_upsert_delta"] = sql["q_upsert"]
+    sql["q_upsert_delta"] = sql["q_published_upsert"] = sql["q_upsert"]
     for job in _CORES:
         sql[f"q_win_{job}"] = _window_sql(job, _MINUTE_45)
         sql[f"q_win_{job}_all"] = _window_sql(job, "true")
@@ -878,6 +953,18 @@ def oracle_sql() -> dict[str, str]:
     sql["q_compacted"] = a.with_views(
         "cdr", "SELECT etl_date, cell_id, count(*) AS row_cnt, sum(val)::BIGINT AS total_val FROM cdr GROUP BY ALL"
     )
+    keys = {"cdr_sgi_raw": ("cdr", STATISTICS["cdr_sgi_raw"]), "bts_master": ("bts", STATISTICS["bts_master"])}
+    sql["q_statistics"] = a.with_views(
+        "cdr bts",
+        " UNION ALL ".join(
+            f"SELECT '{table}' AS tbl, count(*) AS row_cnt, {f"'{c}'" if c else "NULL"} AS column_name,"
+            f" {f'count(*) - count({c})' if c else 'NULL::BIGINT'} AS null_cnt FROM {view}"
+            for table, (view, columns) in keys.items()
+            for c in columns or [None]
+        ),
+    )
+    sql["q_partitions"] = "SELECT DISTINCT 'event_date=' || strftime(ts, '%Y-%m-%d') AS partition FROM events"
+    sql["q_tail_restart"] = sql["q_stream_ltas"]
     both_runs = "FROM ({}) CROSS JOIN (VALUES ('R1'), ('R2')) runs(run_id)"
     rsrp = _rsrp_sql(
         "base_date, sido_name, gungu_name",
@@ -954,6 +1041,12 @@ def oracle_sql() -> dict[str, str]:
               FROM ({_window_body(job, "true" if minute is None else _MINUTE_45)}))"""
         for job, minute in _PARITY_MINUTE.items()
     )
+    open_keys = " UNION ALL ".join(
+        f"""SELECT '{job}' AS job, window_start, bts_alt_key, record_cnt AS batch_record_cnt, NULL::BIGINT AS stream_record_cnt, 'batch' AS side
+        FROM ({_window_body(job, "true" if job == "ltas" else _MINUTE_45)}) WHERE window_end > (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"""
+        for job in ("ltas", "mdt")
+    )
+    sql["q_parity_digests"] = a.with_views("cdr mdt_raw bts", open_keys)
     sql["q_stream_batch_parity"] = a.with_views("cdr mdt_raw bts", both_sides)
     lacking = {"sgi_v2": {"region_cd"}, "mdt": {"region_cd", "total_val"}}
     newest_rows = " UNION ALL ".join(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,11 @@ def by_key_and_date(table: DataFrame, key: str, base_date: str) -> DataFrame:
     return table.where((F.col("lookup_key") == key) & (F.col("base_date") == base_date)).select(*QUALITY)
 
 
+def by_other_key(table: DataFrame, **wanted: str) -> DataFrame:
+    """Rows with the wanted values in columns that the table is not laid out by; its Bloom filters tell which row groups may hold them."""
+    return table.where(reduce(lambda a, b: a & b, [F.col(c) == v for c, v in wanted.items()])).select(*QUALITY)
+
+
 def by_call(table: DataFrame, call_id: str, first: str, last: str) -> DataFrame:
     """One call over a date range, on the table keyed by call."""
     return table.where((F.col("call_id") == call_id) & F.col("base_date").between(first, last)).select(*BY_CALL)

@@ -50,6 +50,23 @@ def analyze_partition(spark: SparkSession, table: str, value: str, database: str
     spark.sql(f"ANALYZE TABLE {database}.{table} PARTITION ({column}='{value}') COMPUTE STATISTICS")
 
 
+def statistics(spark: SparkSession, database: str = MAIN, tables: tuple[str, ...] = STATS_TABLES) -> DataFrame:
+    """What :func:`analyze` has stored: rows per table, and NULLs per key column (one row for a table without). Read from the catalog alone."""
+    found = []
+    for name in tables:
+        spec = TABLES[name]
+        stored = {r["col_name"]: r["data_type"] for r in describe(spark, name, database).collect()}.get("Statistics") or ""
+        rows = next((int(part.split()[0]) for part in stored.split(", ") if part.endswith(" rows")), None)
+        columns = [c for c in dict.fromkeys([spec.sort_by, spec.bucket_by, *spec.key]) if c]
+        if not columns:
+            found.append((name, rows, None, None))
+        for column in columns:
+            facts = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {database}.{name} {column}").collect()}
+            nulls = facts.get("num_nulls")
+            found.append((name, rows, column, int(nulls) if nulls not in (None, "NULL") else None))
+    return spark.createDataFrame(found, "tbl string, row_cnt long, column_name string, null_cnt long")
+
+
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Files behind a stored table with their sizes. Only the listing is used, no file is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")

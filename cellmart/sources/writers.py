@@ -18,10 +18,27 @@ def _partitioned(df: DataFrame, spec: Table) -> DataFrame:
     return df
 
 
+# fixed values: the keys that lookups ask for one at a time
+LOOKUP_KEYS = {
+    "call_quality_iceberg": ("lookup_key", "call_id"),
+    "call_quality_kudu": ("lookup_key", "call_id"),
+    "call_quality_kudu_by_call": ("call_id",),
+}
+
+
+def _with_filters(writer, table: str):
+    """Bloom filters on the lookup keys, as large as each row group's keys need: a row group without a key is not read even where its
+    smallest and largest key enclose it."""
+    for column in LOOKUP_KEYS.get(table, ()):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true") if table in LOOKUP_KEYS else writer
+
+
 def _target(df: DataFrame, spec: Table, mode: str):
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
     if spec.name == "call_quality_iceberg":
         writer = writer.option("parquet.block.size", 128 * 1024 * 1024)
+    writer = _with_filters(writer, spec.name)
     return writer.partitionBy(spec.partition_column) if spec.partition_column else writer
 
 
@@ -151,6 +168,7 @@ def write_bucketed(
     bucket = F.pmod(F.hash(spec.bucket_by), F.lit(count))
     placed = df.withColumn("_task", bucket * files + F.pmod(spread_key(df), F.lit(files)).cast("int"))
     writer = placed.repartitionById(count * files, "_task").drop("_task").write.mode("overwrite").format("parquet")
+    writer = _with_filters(writer, table)
     if path:
         writer = writer.option("path", path)
     writer.bucketBy(count, spec.bucket_by).sortBy(spec.bucket_by).saveAsTable(name)

@@ -86,3 +86,29 @@ def test_empty_tables(spark):
     assert store.read().collect() == [] and store.lookup("a").collect() == [] and store.fold(1) == []
     store.apply(spark.createDataFrame([("a", None, 1), ("a", "1", 2)], FIELDS), 5)
     assert [tuple(r) for r in store.read().collect()] == [("a", "1", 2)]
+
+
+def test_bloom_filters_skip_row_groups_of_absent_keys(spark):
+    """Calls are scattered over all buckets and row groups: only a filter, not a smallest and largest value, can rule a group out."""
+    from pyspark.sql import functions as F
+
+    from cellmart.plans import lookup
+    from cellmart.sources import writers
+
+    rows = spark.range(40_000).select(
+        F.format_string("KEY_%05d", "id").alias("lookup_key"), F.format_string("CALL_%05d", (F.col("id") * 7919) % 20_000 * 2).alias("call_id"),
+        F.lit(-70).alias("rsrp"), F.lit(-9).alias("rsrq"), F.lit("N").alias("drop_flag"), F.lit("20251201").alias("base_date"), F.lit("{}").alias("detail_json"),
+    )
+    writers.write_bucketed(rows, "call_quality_kudu", "filtered", path=scratch_path(spark, "filtered"), buckets=4, files=1)
+
+    def read(**wanted):
+        """Rows found, and rows that the scan gave out."""
+        df = lookup.by_other_key(spark.table("filtered"), **wanted)
+        found = df.collect()
+        text = df._jdf.queryExecution().executedPlan()
+        scans = [text.collectLeaves().apply(i) for i in range(text.collectLeaves().size())]
+        return len(found), sum(s.metrics().apply("numOutputRows").value() for s in scans)
+
+    assert read(call_id="CALL_00011") == (0, 0)
+    found, scanned = read(call_id="CALL_00010")
+    assert found == 2 and 2 <= scanned < 40_000
