@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 
@@ -94,3 +95,27 @@ def test_formulas_and_literal_text_stay(model):
     text = html_extract.main_text(page, model)
     assert text.count(P.strip()) == 3 and "So E=mc2 holds." in text and "if a <b> c &amp; d" in text
     assert "Label" in text and "icon" not in text and text.endswith("end")
+
+
+@pytest.mark.parametrize(
+    "unit", ["<a '", "<a ", "<a<a", '<a "x" ', "<div>", "<select>", "<p><b>", "<li><ul><div>", "<td>", "<svg ", "<b =a", "<noscript>", "<script", "</div>", "<!--"]
+)
+def test_broken_pages_take_time_that_follows_their_length(unit):
+    """A third of a megabyte of what is never closed: a search from every tag to the end of the page would take minutes."""
+    page = unit * (300_000 // len(unit))
+    started = time.process_time()
+    tree = parse(page)
+    assert time.process_time() - started < 10
+    assert sum(len(t) for _, t, _ in tree.texts) <= len(page)
+
+
+def test_quotes_decide_where_tags_end():
+    for page, texts in (
+        ("""<p title="a > b" class='x'>one</p>two""", ["one", "two"]),
+        ("""<p title="a > b>one</p>two""", ["""<p title="a > b>one""", "two"]),
+        ("""x <a"b c>y""", ["x ", "y"]),
+        ("1 < 2 <3 </ b> <b>4</b>", ["1 < 2 <3 </ b> ", "4"]),
+        ("""<svg class=a/>in<text>label</text></svg>out""", ["in", "label", "out"]),
+        ("""<svg class="a"/>out""", ["out"]),
+    ):
+        assert [t for _, t, _ in parse(page).texts] == texts
