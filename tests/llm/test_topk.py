@@ -66,6 +66,6 @@ def test_products_by_halves_are_exact_or_stop(spark):
     whole = np.vectorize(int, otypes=[object])
     assert (topk._exact_products(a, b) == whole(a) @ whole(b).T).all()
     with pytest.raises(OverflowError, match="a score beyond"):
-        topk._exact_products(a * 64, b)
+        topk._exact_products(a * 2.0**16, b)
     with pytest.raises(Exception, match="OverflowError"):
         found(spark, [(0, [1e12, 1.0], "x"), (1, [1e12, 1.0], "x")])
