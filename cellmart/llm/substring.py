@@ -169,7 +169,7 @@ def repeated_spans(
     found = found.withColumn("place", F.struct(*[F.coalesce(c, F.lit(0)).alias(f"p{i}") for i, c in enumerate(place)]))
     owners = found.groupBy("digest").agg(F.min("place").alias("first"))
     owners = owners.withColumn("owner", F.col("first.p0"))
-    # AQE splits a digest that very many documents share
+    # the rows of one digest are in one task here: the minimum stands between shuffle and join
     copies = found.join(owners, "digest").where("place <> first")
     # repeated rows have the same units
     copies = copies.groupBy("rank", "mark", "unit").agg(*[F.first(c).alias(c) for c in ("start", "end", "sizes", "owner")])
