@@ -22,7 +22,7 @@ from cellmart.plans import audit, batch, bi, conform, daily, lookup, upkeep
 from cellmart.schemas import TABLES
 from cellmart.session import scratch_path, shared_dir, stored
 from cellmart.sources import keyed, readers, writers
-from cellmart.streaming import alerts, jobs, marts, windows
+from cellmart.streaming import alerts, jobs, late, marts, windows
 
 try:
     import corpus_pipeline
@@ -442,6 +442,32 @@ def q_tail_restart(spark: SparkSession, d: str) -> DataFrame:
     return _plain(jobs.read_sink(spark, "ltas", sink))
 
 
+def _sorted_out(spark: SparkSession, d: str) -> tuple[str, T.StructType]:
+    """Call records that come in four batches, each over the whole time, so that all but the first are mostly late."""
+    events = spark.read.parquet(f"{d}/events.parquet")
+    source, path = scratch_path(spark, "arrivals"), scratch_path(spark, "sorted-out")
+    for k in range(4):
+        events.where(F.col("event_id") % 4 == k).coalesce(1).write.mode("append").parquet(source)
+    rows = a.cdr_of(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source))
+    late.sort_out(rows, path, scratch_path(spark, "state"), available_now=True).awaitTermination()
+    return path, rows.schema
+
+
+def q_stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _plain(late.late_counts(spark, *_sorted_out(spark, d)))
+
+
+def q_stream_late_corrected(spark: SparkSession, d: str) -> DataFrame:
+    """Closed windows of a job over the rows in time, corrected by the late ones: as if none had been late."""
+    path, fields = _sorted_out(spark, d)
+    result = jobs.closed_windows("ltas", late.in_time(spark, path, fields), a.bts(spark, d))
+    sink = scratch_path(spark, "sink")
+    cores = spark.sparkContext.defaultParallelism
+    jobs.write_windows(result, sink, scratch_path(spark, "state"), available_now=True, state_partitions=cores).awaitTermination()
+    missed = windows.ltas(late.late_rows(spark, path, fields), a.bts(spark, d))
+    return _plain(late.corrected(jobs.read_sink(spark, "ltas", sink), missed))
+
+
 def q_pit_join(spark: SparkSession, d: str) -> DataFrame:
     versions = with_validity(a.station_versions(spark, d), "cell_id")
     records = a.cdr(spark, d).select("sgi_id", "cell_id", "event_time")
@@ -653,7 +679,7 @@ def queries() -> dict[str, Query]:
         q_clip_fill, q_time_keys, q_row_ids, q_dim_expand, q_load_summary, q_row_count_audit, q_eligible_counts,
         q_stream_batch_parity, q_latest_windows, q_window_checks, q_latency_summary, q_latency_alerts, q_stream_latency_alerts,
         q_recent_history, q_time_range, q_stored_days, q_stored_day, q_ingested_slices, q_loaded_drop, q_seed_csv,
-        q_compacted, q_statistics, q_partitions, q_tail_restart, q_parity_digests, q_mart_rsrp_stored, q_mart_volte_stored, q_mart_volte_incremental, q_mart_rsrp_incremental,
+        q_compacted, q_statistics, q_partitions, q_tail_restart, q_stream_late_rows, q_stream_late_corrected, q_parity_digests, q_mart_rsrp_stored, q_mart_volte_stored, q_mart_volte_incremental, q_mart_rsrp_incremental,
     ]
     found: dict[str, Query] = {f.__name__: f for f in plain}
     found["q_or_join_left"] = partial(_or_join, "left")
@@ -964,6 +990,11 @@ def oracle_sql() -> dict[str, str]:
         ),
     )
     sql["q_partitions"] = "SELECT DISTINCT 'event_date=' || strftime(ts, '%Y-%m-%d') AS partition FROM events"
+    sql["q_stream_late_rows"] = f"""WITH arrivals AS (SELECT event_id % 4 AS batch, ts AS event_time FROM events),
+        marks AS (SELECT k AS batch, (SELECT max(event_time) FROM arrivals WHERE arrivals.batch < k) AS mark FROM range(4) AS t(k))
+        SELECT batch::BIGINT AS batch, {_START} AS window_start, count(*) AS late_cnt FROM arrivals JOIN marks USING (batch)
+        WHERE {_START} + INTERVAL 5 MINUTE <= mark - INTERVAL 10 SECOND GROUP BY ALL"""
+    sql["q_stream_late_corrected"] = sql["q_stream_ltas"]
     sql["q_tail_restart"] = sql["q_stream_ltas"]
     both_runs = "FROM ({}) CROSS JOIN (VALUES ('R1'), ('R2')) runs(run_id)"
     rsrp = _rsrp_sql(
