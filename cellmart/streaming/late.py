@@ -11,6 +11,7 @@ from cellmart.sources.readers import exists
 from cellmart.streaming.windows import WINDOW
 
 LATENESS_SECONDS = 10
+WINDOW_MICROS = 300 * 1_000_000
 POLL = "30 seconds"
 
 
@@ -44,7 +45,9 @@ def sort_out(
             mark = _mark(spark, path, batch)
             behind = F.lit(False)
             if mark is not None:
-                behind = F.window(at, WINDOW)["end"] <= F.lit(mark) - F.make_dt_interval(secs=F.lit(lateness))
+                # by hand, since window() would leave out rows without a time
+                end = (F.floor(F.unix_micros(at) / WINDOW_MICROS) + 1) * WINDOW_MICROS
+                behind = end + lateness * 1_000_000 <= F.unix_micros(F.lit(mark).cast("timestamp"))
             # rows without a time are in no window
             split = rows.withColumn("late", F.coalesce(behind, F.lit(False)).cast("string"))
             split.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("late").parquet(folder)
