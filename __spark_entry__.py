@@ -152,14 +152,13 @@ def _keyed(spark: SparkSession, d: str, table: str) -> DataFrame:
     return spark.table(_once(spark, table, d, build))
 
 
-def _dated(spark: SparkSession, d: str) -> DataFrame:
-    """The table partitioned by day."""
+def _dated(spark: SparkSession, d: str) -> str:
+    """Where the table partitioned by day is."""
 
     def build(name: str) -> None:
         writers.write_clustered(a.quality(spark, d), f"{shared_dir(spark)}/{name}", "call_quality_iceberg")
 
-    path = f"{shared_dir(spark)}/{_once(spark, 'dated', d, build)}"
-    return readers.read_table(spark, path, "call_quality_iceberg")
+    return f"{shared_dir(spark)}/{_once(spark, 'dated', d, build)}"
 
 
 def q_lookup_hash(spark: SparkSession, d: str) -> DataFrame:
@@ -176,7 +175,8 @@ def q_lookup_filtered(spark: SparkSession, d: str) -> DataFrame:
 def q_lookup_part(spark: SparkSession, d: str) -> DataFrame:
     """One key of the day that holds the first order, in the table partitioned by day."""
     day = spark.read.parquet(f"{d}/orders.parquet").where("o_orderkey = 1").agg(F.max("o_orderdate")).first()[0]
-    return lookup.by_key_and_date(_dated(spark, d), "LOOKUP_KEY_00001", f"{day:%Y%m%d}")
+    table = readers.read_days(spark, _dated(spark, d), "call_quality_iceberg", [f"{day:%Y%m%d}"])
+    return lookup.by_key_and_date(table, "LOOKUP_KEY_00001", f"{day:%Y%m%d}")
 
 
 def q_lookup_by_call(spark: SparkSession, d: str) -> DataFrame:

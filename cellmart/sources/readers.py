@@ -21,6 +21,19 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(fields).parquet(path)
 
 
+def read_days(spark: SparkSession, path: str, table: str, days: list[str]) -> DataFrame:
+    """Some partitions of a stored table. Only their folders are listed, not those of all days; a day without a folder has no rows."""
+    spec = TABLES[table]
+    fields = spec.schema
+    if spec.day_of:
+        fields = T.StructType([*fields.fields, T.StructField(spec.partition_column, T.DateType(), True)])
+    folders = [f"{path}/{spec.partition_column}={day}" for day in days]
+    folders = [f for f in folders if exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], fields)
+    return spark.read.schema(fields).option("basePath", path).parquet(*folders)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder is there, in whatever store the path names; nothing below it is listed."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

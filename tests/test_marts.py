@@ -70,3 +70,6 @@ def test_every_slice_is_copied_and_a_copy_starts_again(spark, bag):
     for _ in range(2):
         writers.ingest_slices(spark, source, path, "cdr_sgi", at_once=4)
     assert bag(readers.read_table(spark, path, "cdr_sgi"), "sgi_id", "etl_date", "val") == bag(source, "sgi_id", "etl_date", "val")
+    some = readers.read_days(spark, path, "cdr_sgi", ["20251203", "20990101"])
+    assert bag(some, "sgi_id", "etl_date") == bag(source.where("etl_date = '20251203'"), "sgi_id", "etl_date")
+    assert readers.read_days(spark, path, "cdr_sgi", ["20990101"]).collect() == []
