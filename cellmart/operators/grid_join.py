@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellmart.functions.geo import distance
+from cellmart.functions.geo import distance, segment_distance
 from cellmart.operators.sizing import dim_join, row_bytes
+from cellmart.session import stored
 
 # lines are cut to pieces of this many cells, so a diagonal's box stays small
 PIECE_CELLS = 4
@@ -14,6 +17,11 @@ PIECE_CELLS = 4
 LINE_CELLS = 1024
 # a line's own cells are numbered below this on its level (see _cell_side), so no point beyond can match there
 CELLS_OUT = 1e13
+# a cell with more pairs of a point and a line is cut into SPLIT x SPLIT smaller ones
+CELL_PAIRS = 1 << 20
+SPLIT = 4
+# the points of dense cells are counted once for this many cuts in a row
+CUTS = 3
 # stands for lengths that overflow
 LONGEST = 1.7e308
 
@@ -82,6 +90,91 @@ def _segments_near(segs: Column, reach: Column, size: Column, gx: Column, gy: Co
     return F.filter(segs, lambda s: meets(s["x1"], s["x2"], gx) & meets(s["y1"], s["y2"], gy))
 
 
+def _touched(segs: Column, reach: Column, size: Column, gx: Column, gy: Column) -> Column:
+    """The segments that come within ``reach`` of a cell, and few others: its middle is at most 0.71 cells from any of its points."""
+    middle = (gx + 0.5) * size, (gy + 0.5) * size
+
+    def near(s: Column) -> Column:
+        outmost = F.greatest(*[F.abs(v) for v in (*middle, s["x1"], s["y1"], s["x2"], s["y2"])])
+        # the margin covers rounding; beyond 1e100 squares overflow
+        bound = reach + size + F.lit(1e-6) + outmost * F.lit(1e-11)
+        return (segment_distance(*middle, s) <= bound) | (outmost > 1e100)
+
+    return F.filter(segs, near)
+
+
+def _counted(rows: DataFrame, cell: list[str], n: Column, x0: Column, x1: Column, y0: Column, y1: Column) -> DataFrame:
+    sums = [F.sum(n).alias("_n"), F.min(x0).alias("_x0"), F.max(x1).alias("_x1"), F.min(y0).alias("_y0"), F.max(y1).alias("_y1")]
+    return rows.groupBy(*cell).agg(*sums)
+
+
+def _dense(counts: DataFrame, cell: list[str], depth: int) -> DataFrame:
+    """Cells of ``counts`` with more than CELL_PAIRS pairs, whose points do not all coincide and whose smaller cells can be numbered."""
+    finer = F.pow(F.lit(4.0), F.col("_level")) / float(SPLIT ** (depth + 1))
+    outmost = F.greatest(*[F.abs(c) for c in ("_x0", "_x1", "_y0", "_y1")])
+    apart = (F.col("_x0") < F.col("_x1")) | (F.col("_y0") < F.col("_y1"))
+    many = F.col("_n").cast("double") * F.col("_m") > CELL_PAIRS
+    return stored(counts.where(many & apart & (outmost / finer < CELLS_OUT)).select(*cell), "dense")
+
+
+def _cut_dense(
+    located: DataFrame, placed: DataFrame, listed: DataFrame, size: int, by: list[str], x: str, y: str, reach: Column
+) -> tuple[DataFrame, DataFrame, bool]:
+    """Points and lines by ``_depth``, the number of cuts of their cell, and whether any was cut.
+
+    Pairs are counted per cell, and cells with more than CELL_PAIRS are cut again and again. A line moves to those of the smaller cells
+    that it comes near to and that hold points, so it is listed under no cell and its parts at once. A point looks into its
+    cell at every depth in use, if its first cell was cut at all; others have depth 0. ``listed`` holds the number of lines per cell of
+    ``placed`` and is of at most ``size`` bytes.
+    """
+    cell = [*by, "_level", "_gx", "_gy"]
+    one, px, py = F.lit(1), F.col(x), F.col(y)
+    met = dim_join(located.select(*cell, x, y), listed, cell, "inner", size=size)
+    roots = dense = _dense(_counted(met, [*cell, "_m"], one, px, px, py, py), cell, 0)
+    if roots.isEmpty():
+        return located.withColumn("_depth", F.lit(0)), placed.withColumn("_depth", F.lit(0)), False
+
+    side = F.pow(F.lit(4.0), F.col("_level"))
+    done = [placed.join(dense, cell, "left_anti").withColumn("_depth", F.lit(0))]
+    lines = placed.join(dense, cell, "left_semi")
+    depth = 0
+    while not dense.isEmpty():
+        # the points of cells still dense, counted at the depth of the last of these cuts; the others are sums of that
+        last = float(SPLIT ** (depth + CUTS))
+        here = side / float(SPLIT**depth)
+        inside = located.select(*by, "_level", x, y).withColumn("_gx", _cell(px, here)).withColumn("_gy", _cell(py, here))
+        inside = dim_join(inside, dense, cell, "inner").withColumn("_gx", _cell(px, side / last)).withColumn("_gy", _cell(py, side / last))
+        finest = stored(_counted(inside, cell, one, px, px, py, py), "counts")
+        for cut in range(1, CUTS + 1):
+            depth += 1
+            up = SPLIT ** (CUTS - cut)
+            coarse = finest.withColumns({c: F.floor(F.col(c) / F.lit(up)).cast("long") for c in ("_gx", "_gy")}) if up > 1 else finest
+            counts = stored(_counted(coarse, cell, *[F.col(c) for c in ("_n", "_x0", "_x1", "_y0", "_y1")]), "counts")
+            part = F.explode(F.sequence(F.lit(0), F.lit(SPLIT * SPLIT - 1)))
+            size = side / float(SPLIT**depth)
+            moved = (
+                lines.withColumn("_part", part)
+                .withColumn("_gx", F.col("_gx") * SPLIT + F.col("_part") % SPLIT)
+                .withColumn("_gy", F.col("_gy") * SPLIT + F.floor(F.col("_part") / SPLIT))
+                .drop("_part")
+                .withColumn("_near", _touched(F.col("_near"), reach, size, F.col("_gx"), F.col("_gy")))
+                .where(F.size("_near") > 0)
+            )
+            lines = stored(moved.join(counts.select(*cell), cell, "left_semi").select(*placed.columns), "lines")
+            listed = lines.groupBy(*cell).agg(F.count(one).alias("_m"))
+            dense = _dense(counts.join(listed, cell), cell, depth)
+            done.append(lines.join(dense, cell, "left_anti").withColumn("_depth", F.lit(depth)))
+            if dense.isEmpty():
+                break
+            lines = lines.join(dense, cell, "left_semi")
+
+    depths = F.when(F.col("_cut"), F.sequence(F.lit(1), F.lit(depth))).otherwise(F.array(F.lit(0)))
+    probes = dim_join(located, roots.withColumn("_cut", F.lit(True)), cell, "left").withColumn("_depth", F.explode(depths)).drop("_cut")
+    size = side / F.pow(F.lit(float(SPLIT)), F.col("_depth"))
+    probes = probes.withColumn("_gx", _cell(px, size)).withColumn("_gy", _cell(py, size))
+    return probes, reduce(DataFrame.unionByName, done), True
+
+
 def grid_join(
     points: DataFrame,
     lines: DataFrame,
@@ -100,8 +193,11 @@ def grid_join(
     listed once under each cell it can reach into, with only the segments near that
     cell; a point looks into its own cell on each level in use. So a line meets a point at most once, duplicates on
     either side survive, and a few far-reaching lines do not coarsen the grid for
-    the rest. Candidates that share a cell are checked by exact distance before
-    anything is emitted.
+    the rest. Cells where points and lines are dense are cut further (see
+    :func:`_cut_dense`): none holds more than CELL_PAIRS pairs unless its points
+    coincide. Candidates that share a cell are checked by exact distance before
+    anything is emitted. ``points`` is read twice, and dense parts of it once more
+    for every CUTS cuts.
     """
     kept = [c for c in lines.columns if c != segs]
     width = F.col(reach).cast("double")
@@ -120,8 +216,11 @@ def grid_join(
         .select(*kept, "_level", "_gx", "_gy", "_near")
     )
 
-    # one pass for the levels in use (a few dozen at most) and the size
-    sizes = placed.groupBy("_level").agg(F.sum(row_bytes(placed)).alias("bytes")).collect()
+    placed = stored(placed, "placed")
+    listed = placed.groupBy(*by, "_level", "_gx", "_gy").agg(F.count(F.lit(1)).alias("_m"), F.sum(row_bytes(placed)).alias("_bytes"))
+    # the levels in use (a few dozen at most) and the sizes
+    cells = listed.drop("_bytes")
+    sizes = listed.groupBy("_level").agg(F.sum("_bytes").alias("bytes"), F.sum(row_bytes(cells)).alias("cells")).collect()
     if not sizes:
         extra = [c for c in kept if c not in by]
         return points.where(F.lit(False)).select(
@@ -136,6 +235,8 @@ def grid_join(
         .withColumn("_gx", _cell(F.col(x), side))
         .withColumn("_gy", _cell(F.col(y), side))
     )
+    located, placed, cut = _cut_dense(located, placed, cells, sum(r["cells"] for r in sizes), by, x, y, width)
+    size = None if cut else size
     close = distance(F.col(x), F.col(y), F.col("_near")) < F.col(reach)
-    joined = dim_join(located, placed, [*by, "_level", "_gx", "_gy"], "inner", where=close, size=size)
-    return joined.drop("_level", "_gx", "_gy", "_near")
+    joined = dim_join(located, placed, [*by, "_level", "_depth", "_gx", "_gy"], "inner", where=close, size=size)
+    return joined.drop("_level", "_depth", "_gx", "_gy", "_near")

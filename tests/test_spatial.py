@@ -1,5 +1,6 @@
 """Geometry expressions and the grid join against brute force."""
 
+import importlib
 import random
 
 import pytest
@@ -75,6 +76,49 @@ def test_grid_equals_brute_force(spark, bag, monkeypatch, small, seed):
     assert bag(got, "id", "line") == wanted and len(wanted) > 100
 
 
+@pytest.mark.parametrize("small", [True, False], ids=["broadcast", "salted"])
+@pytest.mark.parametrize("pairs", [4, 40], ids=["deep", "some"])
+def test_dense_cells_are_cut(spark, bag, monkeypatch, small, pairs):
+    """Clusters of points on long lines, and many equal points: no match is lost or doubled."""
+    module = importlib.import_module("cellmart.operators.grid_join")
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 1 << 40 if small else -1)
+    monkeypatch.setattr(module, "CELL_PAIRS", pairs)
+    rng = random.Random(5)
+    points = [(i, rng.gauss(0, 120), rng.gauss(0, 60), "v1") for i in range(200)]
+    points += [(200 + i, 7.25, -3.5, "v1") for i in range(60)] + [(300 + i, rng.uniform(-400, 400), 3.0, "v2") for i in range(60)]
+    p = spark.createDataFrame(points, "id long, x double, y double, vendor string")
+    through = [(500 + i, f"LINESTRING(-200 {i}, 200 -{i + 4})", 4, "v1") for i in range(4)]
+    shapes = spark.createDataFrame([*random_lines(rng, 40), *through], "line long, g string, cnt int, vendor string")
+    shapes = shapes.withColumn("reach", F.col("cnt").cast("long") * 3)
+    got = grid_join(p, with_segments(shapes, "g"), ["vendor"], "x", "y")
+    brute = p.join(shapes, "vendor").where(wkt_distance(F.col("x"), F.col("y"), F.col("g")) < F.col("reach"))
+    wanted = bag(brute, "id", "line")
+    assert bag(got, "id", "line") == wanted and len(wanted) > 100
+
+
+def test_no_cell_keeps_more_pairs_than_stated(spark, monkeypatch):
+    module = importlib.import_module("cellmart.operators.grid_join")
+    monkeypatch.setattr(module, "CELL_PAIRS", 200)
+    seen = []
+
+    def join(located, listed, on, *rest, **options):
+        if "_depth" in on:
+            per = [df.groupBy(*on).count().withColumnRenamed("count", n) for df, n in ((located, "n"), (listed, "m"))]
+            spread = located.groupBy(*on).agg((F.count_distinct("x", "y") > 1).alias("apart"))
+            seen.extend(per[0].join(per[1], on).join(spread, on).select(F.col("n") * F.col("m"), "apart").collect())
+        return dim_join(located, listed, on, *rest, **options)
+
+    dim_join = sizing.dim_join
+    monkeypatch.setattr(module, "dim_join", join)
+    rng = random.Random(6)
+    points = [(i, rng.gauss(0, 3), rng.gauss(0, 3), "v") for i in range(2000)] + [(5000 + i, 1.0, 1.0, "v") for i in range(300)]
+    p = spark.createDataFrame(points, "id long, x double, y double, vendor string")
+    lines = spark.createDataFrame([(f"POINT({i % 5} {i // 5})", 2, "v") for i in range(25)], "g string, reach int, vendor string")
+    matches = grid_join(p, with_segments(lines, "g"), ["vendor"], "x", "y").count()
+    apart = [n for n, several in seen if several]
+    assert matches > 5000 and max(apart) <= 200 and max(n for n, _ in seen) > 200
+
+
 def test_threshold_is_open(spark):
     p = spark.createDataFrame([(1, 3.0, 0.0, "v"), (2, 2.999999, 0.0, "v")], "id long, x double, y double, vendor string")
     line = spark.createDataFrame([("POINT(0 0)", 3, "v")], "g string, reach int, vendor string")
