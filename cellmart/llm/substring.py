@@ -20,6 +20,8 @@ BLOCK = 1 << 20
 _POWERS = np.cumprod(np.full(1024, 0x9E3779B97F4A7C15 | 1, np.uint64))
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _LAST_ID = (1 << 63) - 1
+# a digest with more than this share of all pairs of units meets its owner by broadcast, so there are fewer than 1 / HOT of them
+HOT = 1 / 1024
 
 
 def _lower() -> np.ndarray:
@@ -137,6 +139,32 @@ def pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     return given.mapInArrow(run, "rank long, mark long, unit int, digest long, start long, end long, sizes int")
 
 
+def _later(found: DataFrame, within: bool) -> DataFrame:
+    """The rows of :func:`pairs` whose digest has an earlier place, with its ``owner``.
+
+    Frequent digests (Misra-Gries, so every one above HOT is among them) are not shuffled by digest: their first places, summed in the
+    scan tasks, are broadcast. Of what is shuffled no digest holds more than HOT of the rows.
+    """
+    # rows without an id are told apart by their mark, others are documents by their id
+    nameless = F.when(F.col("rank") == _LAST_ID, F.col("mark"))
+    parts = ["rank", nameless] if not within else ["rank", "mark", "unit"]
+    place = F.struct(*[F.coalesce(c, F.lit(0)).alias(f"p{i}") for i, c in enumerate(parts)])
+    first = F.min(place).alias("first")
+
+    frequent = found.stat.freqItems(["digest"], HOT).select(F.explode("digest_freqItems").alias("digest"))
+    frequent = stored(frequent, "frequent")
+    hot = found.join(F.broadcast(frequent), "digest", "left_semi")
+    heads = stored(hot.groupBy("digest").agg(first), "heads")
+    hot = hot.join(F.broadcast(heads), "digest")
+
+    # few digests occur twice; only their rows are compared
+    cold = found.join(F.broadcast(frequent), "digest", "left_anti")
+    twice = cold.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    cold = stored(cold.join(twice, "digest", "left_semi"), "repeated")
+    cold = cold.join(cold.groupBy("digest").agg(first), "digest")
+    return hot.unionByName(cold).where(place != F.col("first")).withColumn("owner", F.col("first.p0"))
+
+
 def repeated_spans(
     docs: DataFrame,
     min_words: int = MIN_WORDS,
@@ -159,18 +187,7 @@ def repeated_spans(
     ``keep_id`` is NULL if such a row keeps. Repeated rows are one document. NULL, empty and white texts have no units. An empty table
     gives an empty result. Other columns are not read; ids are integers.
     """
-    found = stored(pairs(docs, doc_id, text, window), "pairs")
-    # few digests occur twice; only their rows are compared
-    twice = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    found = stored(found.join(twice, "digest", "left_semi"), "repeated")
-    # rows without an id are told apart by their mark, others are documents by their id
-    nameless = F.when(F.col("rank") == _LAST_ID, F.col("mark"))
-    place = ["rank", nameless] if not within else ["rank", "mark", "unit"]
-    found = found.withColumn("place", F.struct(*[F.coalesce(c, F.lit(0)).alias(f"p{i}") for i, c in enumerate(place)]))
-    owners = found.groupBy("digest").agg(F.min("place").alias("first"))
-    owners = owners.withColumn("owner", F.col("first.p0"))
-    # the rows of one digest are in one task here: the minimum stands between shuffle and join
-    copies = found.join(owners, "digest").where("place <> first")
+    copies = _later(stored(pairs(docs, doc_id, text, window), "pairs"), within)
     # repeated rows have the same units
     copies = copies.groupBy("rank", "mark", "unit").agg(*[F.first(c).alias(c) for c in ("start", "end", "sizes", "owner")])
     order = Window.partitionBy("rank", "mark").orderBy("unit")

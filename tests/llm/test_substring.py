@@ -99,3 +99,23 @@ def test_repeats_within_documents_and_among_rows_without_an_id(docs_of, words):
     twins = sorted(len(r.text.split()) for r in cleaned if r.doc_id == 3)
     assert twins[0] <= 2 * substring.WINDOW and twins[1] >= 60
     assert {r.keep_id for r in spans.collect() if r.doc_id is None} == {None}
+
+
+def test_frequent_digests_are_not_shuffled(docs_of, words, plan, monkeypatch):
+    """A passage of a third of all rows meets its owner by broadcast, whatever share counts as frequent."""
+    passage = " ".join(words(7, 60, 1 << 40))
+    rows = [(i, f"{' '.join(words(i + 50, 30, 1 << 40))} {passage if i % 3 == 0 else ''}") for i in range(300)]
+    rows += [(None, rows[0][1]), (None, rows[0][1])]
+    found = substring.stored(substring.pairs(docs_of(rows, 9)), "pairs")
+    columns = ["rank", "mark", "unit", "owner"]
+    results = []
+    for share in (1 / 20, 1 / 1024):
+        monkeypatch.setattr(substring, "HOT", share)
+        later = substring._later(found, True)
+        results.append(sorted(map(tuple, later.select(*columns).collect())))
+    assert results[0] == results[1] and len(results[0]) > 400
+    monkeypatch.setattr(substring, "HOT", 1 / 20)
+    top = found.groupBy("digest").count().orderBy("count", ascending=False).first()
+    frequent = found.stat.freqItems(["digest"], substring.HOT).first()[0]
+    assert top["digest"] in frequent and len(frequent) <= 20
+    assert plan(substring._later(found, True)).count("BroadcastHashJoin") >= 2
