@@ -21,7 +21,7 @@ from cellmart.functions.predicates import LINE_CNT_METRES, SIGNALS, USE_FLAGS
 from cellmart.plans import audit, batch, bi, conform, daily, lookup, upkeep
 from cellmart.schemas import TABLES
 from cellmart.session import scratch_path, shared_dir, stored
-from cellmart.sources import keyed, readers, writers
+from cellmart.sources import keyed, located, readers, writers
 from cellmart.streaming import alerts, jobs, late, marts, windows
 
 try:
@@ -78,6 +78,21 @@ def q_grid_join(spark: SparkSession, d: str) -> DataFrame:
     return grid_join(points, lines, ["bts_market_nm"], "gnss_utmkx", "gnss_utmky")
 
 
+# metres: west, south, east, north
+BOX = (200.0, 100.0, 600.0, 400.0)
+
+
+def q_points_in_box(spark: SparkSession, d: str) -> DataFrame:
+    """Measurements in a box, from a table laid out by both coordinates."""
+
+    def build(name: str) -> None:
+        located.write_located(a.mdt(spark, d), f"{shared_dir(spark)}/{name}", "gnss_utmkx", "gnss_utmky")
+
+    table = spark.read.parquet(f"{shared_dir(spark)}/{_once(spark, 'located', d, build)}")
+    found = located.points_in_box(table, "gnss_utmkx", "gnss_utmky", *BOX)
+    return found.select("mdt_id", "gnss_utmkx", "gnss_utmky", "bts_market_nm", "rsrp")
+
+
 def _stations(spark: SparkSession, d: str) -> DataFrame:
     return a.bts(spark, d).select("cell_id", "alt_cell_id", "bts_alt_key", "region_cd")
 
@@ -673,7 +688,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     plain = [
-        q_ltas_hourly, q_sgi_use_v1, q_sgi_use_v2, q_mdt_merge, q_grid_join, q_or_bridge, q_through_bridge, q_or_weights, q_rsrp_bad_rate,
+        q_ltas_hourly, q_sgi_use_v1, q_sgi_use_v2, q_mdt_merge, q_grid_join, q_points_in_box, q_or_bridge, q_through_bridge, q_or_weights, q_rsrp_bad_rate,
         q_volte_drop, q_partition_count, q_region_total, q_mart_rsrp, q_mart_volte, q_lookup_hash, q_lookup_filtered, q_lookup_part,
         q_lookup_by_call, q_lookup_batch, q_upsert, q_published_upsert, q_upsert_delta, q_pit_join, q_win_ltas_versioned, q_fk_repair, q_domain_repair,
         q_clip_fill, q_time_keys, q_row_ids, q_dim_expand, q_load_summary, q_row_count_audit, q_eligible_counts,
@@ -838,6 +853,11 @@ def oracle_sql() -> dict[str, str]:
         SELECT p.mdt_id, p.gnss_utmkx, p.gnss_utmky, p.bts_market_nm, n.rpot_seq::INTEGER AS rpot_seq,
                CAST(n.cnt * 3 AS INTEGER) AS reach FROM near n JOIN points p ON n.rid = p.rid""",
     )
+    sql["q_points_in_box"] = a.with_views(
+        "mdt",
+        f"""SELECT mdt_id, gnss_utmkx, gnss_utmky, bts_market_nm, rsrp FROM mdt
+        WHERE gnss_utmkx BETWEEN {BOX[0]} AND {BOX[2]} AND gnss_utmky BETWEEN {BOX[1]} AND {BOX[3]}""",
+    )
     sql["q_mdt_merge"] = a.with_views(
         "mdt bts rpot",
         f"""{_near(_TRIGGER)}, {_SEGS.format(t="bts", cols="cell_id, bts_alt_key, bts_market_nm")},
