@@ -6,6 +6,7 @@ import random
 from pyspark.sql import types as T
 
 from cellmart.session import scratch_path
+from cellmart.sources import keyed
 from cellmart.sources.keyed import KeyedStore
 
 FIELDS = T.StructType().add("k", "string").add("day", "string").add("v", "long")
@@ -112,3 +113,18 @@ def test_bloom_filters_skip_row_groups_of_absent_keys(spark):
     assert read(call_id="CALL_00011") == (0, 0)
     found, scanned = read(call_id="CALL_00010")
     assert found == 2 and 2 <= scanned < 40_000
+
+
+def test_a_large_change_set_moves_each_side_once(spark, tmp_path, bag, plan, monkeypatch):
+    """Beyond what is broadcast, base and changes meet in one full join, with the same rows."""
+    fields = "k string, v long, at long"
+    base = spark.range(60).selectExpr("concat('k', id) AS k", "id AS v", "5L AS at")
+    changes = spark.range(30, 90).selectExpr("concat('k', id) AS k", "id * 10 AS v", "id % 10 AS at")
+    store = keyed.KeyedStore(spark, str(tmp_path), T.StructType.fromDDL(fields), "k", ["at"], buckets=4)
+    store.create(base)
+    store.apply(changes, 0)
+    small = bag(store.read())
+    monkeypatch.setattr(keyed, "is_small", lambda size: False)
+    large = store.read()
+    assert bag(large) == small and len(small) == 90
+    assert plan(large).count("FullOuter") >= 1 and "Generate" not in plan(large)
