@@ -202,3 +202,19 @@ def test_mdt_merge_plan(spark, plan, tmp_path):
     text = plan(mdt_merge(spark.read.schema(literal_rows(spark, "cdr_mdt_smsng", rows, MDT).schema).parquet(path), bts, rpot, "20251201"))
     assert "NestedLoop" not in text and "Cartesian" not in text and "SortMergeJoin" not in text
     assert "PartitionFilters: [isnotnull(base_date" in text
+
+
+def test_points_far_from_every_line_are_not_moved(spark, monkeypatch):
+    """Points whose coarse cell holds no line drop out before any join that may move them."""
+    module = importlib.import_module("cellmart.operators.grid_join")
+    moved, joined = [], sizing.dim_join
+
+    def join(located, listed, on, *rest, **options):
+        moved.append(located.count())
+        return joined(located, listed, on, *rest, **options)
+
+    monkeypatch.setattr(module, "dim_join", join)
+    p = spark.range(1000).selectExpr("id", "CAST(id * 5000 AS double) AS x", "0.0D AS y", "'v' AS vendor")
+    lines = spark.createDataFrame([("POINT(3 0)", 9, "v"), ("POINT(-5000 0)", 9, "v")], "g string, reach int, vendor string")
+    assert [r["id"] for r in grid_join(p, with_segments(lines, "g"), ["vendor"], "x", "y").collect()] == [0]
+    assert moved and max(moved) <= 2
