@@ -262,3 +262,21 @@ def test_stations_replaced_under_a_running_stream(spark, tmp_path):
     assert read_table(spark, dim, "bts_master").count() == 1
     dated = read_versions(spark, dim, "bts_master")
     assert dated.groupBy("valid_from").count().orderBy("valid_from").select("count").collect() == [(10,), (1,)]
+
+
+def test_rows_of_stations_are_not_grouped(spark, bag, plan):
+    """A station under several vendors, one under none of the reporting ones, stations without key, and unknown vendors."""
+    stations = spark.createDataFrame(
+        [("A", "s1"), ("A", "s1"), ("B", "s1"), ("B", "s2"), ("C", "s3"), ("A", None), (None, "s4"), ("B", "s5"), ("C", "s5")],
+        "bts_market_nm string, bts_alt_key string",
+    )
+    facts = spark.createDataFrame(
+        [(v, "20260803124500", seed.at("12:45:30")) for v in ("A", "A", "A", "B", "B", "X", "Y", None)],
+        "bts_market_nm string, rqt_st_dt string, event_time timestamp",
+    )
+    out = windows.mdt(facts, stations)
+    assert sorted((r["bts_alt_key"] or "", r["record_cnt"]) for r in out.collect()) == [("", 6), ("s1", 8), ("s2", 2), ("s5", 2)]
+    text = plan(out)
+    joins = [i for i, line in enumerate(text.splitlines()) if "Join" in line]
+    grouped = [line for line in text.splitlines()[: joins[0]] if "Aggregate" in line]
+    assert grouped == []
