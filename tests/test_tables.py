@@ -240,3 +240,18 @@ def test_declared_tables_and_statistics(spark):
     assert upkeep.list_tables(spark).count() >= 24
     columns = spark.table("cellmart.call_quality_kudu").columns
     assert columns == schema("call_quality_kudu").names
+
+
+def test_compaction_sorts_a_bounded_share_per_task(spark, tmp_path, monkeypatch):
+    """A table whose compressed files are small but whose rows are many is compacted by several tasks."""
+    from cellmart import analogs
+    from cellmart.plans import upkeep
+    from cellmart.schemas import TABLES
+    from cellmart.sources import writers
+
+    path = str(tmp_path / "many")
+    rows = analogs.cdr(spark, "/root/testdata/sf0.001").select(*TABLES["cdr_sgi"].schema.names)
+    writers.overwrite_partitions(rows, path, "cdr_sgi")
+    assert upkeep.compact(spark, path, "cdr_sgi", str(tmp_path / "one")) == 1
+    monkeypatch.setattr(upkeep, "TASK_BYTES", upkeep.measured_bytes(rows) // 3 + 1)
+    assert upkeep.compact(spark, path, "cdr_sgi", str(tmp_path / "few")) == 3
