@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from cellmart.plans import bi
 from cellmart.session import scratch_path
 from cellmart.sources import readers, writers
@@ -73,3 +75,17 @@ def test_every_slice_is_copied_and_a_copy_starts_again(spark, bag):
     some = readers.read_days(spark, path, "cdr_sgi", ["20251203", "20990101"])
     assert bag(some, "sgi_id", "etl_date") == bag(source.where("etl_date = '20251203'"), "sgi_id", "etl_date")
     assert readers.read_days(spark, path, "cdr_sgi", ["20990101"]).collect() == []
+
+
+def test_a_kept_mart_takes_batches_of_several_files(spark, monkeypatch):
+    """The facts of a batch lie in as many files as there are tasks, so no task holds a fourth of them all."""
+    import __spark_entry__ as entry
+
+    seen, add = [], marts.add_batch
+    monkeypatch.setattr(entry.marts, "add_batch", lambda mart, rows, *rest: (seen.append(rows.select(F.input_file_name()).distinct().count()), add(mart, rows, *rest)))
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        rows = entry.q_mart_volte_incremental(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert rows and sorted(set(seen)) == [3]
