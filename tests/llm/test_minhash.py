@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from test_simhash import slow_components
 
-from cellmart.llm import minhash
+from cellmart.llm import minhash, simhash
 
 
 def similarity(a, b):
@@ -105,3 +105,21 @@ def test_awkward_rows(awkward, docs_of):
     assert minhash.similar_groups(awkward.limit(0)).count() == 0
     nameless = docs_of([(None, "same words here"), (None, "same words  here"), (None, "other words there")])
     assert minhash.drop_similar(nameless).count() == 2
+
+
+def test_fingerprints_name_candidates(docs_of, words, spark):
+    """The near stage goes by SimHash too: fingerprints near each other name pairs, whole sets decide, without any band."""
+    rows = [(i, " ".join(words(i, 400, 1 << 40))) for i in range(6)]
+    rows += [(10 + i, rows[i][1] + f" other{i}") for i in range(6)] + [(20, "one two three four five"), (21, "")]
+    prints = {i: simhash.fingerprint(t, minhash.SHINGLE) for i, t in rows if t}
+    near = slow_components(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= simhash.DISTANCE)
+    found = minhash.signatures(docs_of(rows))
+    nodes = found.selectExpr("node", "n", "bands", "parity", "struct(doc_id, mark, fp) AS row").cache()
+    ids = {r.node: r.row.doc_id for r in nodes.collect()}
+    pairs = minhash.fingerprint_pairs(nodes)
+    met = {tuple(sorted((ids[r.u], ids[r.v]))) for r in pairs.collect()}
+    assert slow_components(sorted(prints), lambda a, b: (a, b) in met or (b, a) in met) == near and len(set(near.values())) < len(near)
+    members = nodes.selectExpr("0L AS key", "0 AS band", "node", "n", "parity").where("false")
+    sets = minhash._sets(docs_of(rows), nodes, "doc_id", "text", minhash.SHINGLE).cache()
+    stars = minhash.components(members, nodes, sets, named=pairs.cache()).collect()
+    assert {frozenset((ids[r.node], ids[r.root])) for r in stars} == {frozenset(p) for p in met}
