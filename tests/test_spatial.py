@@ -218,3 +218,20 @@ def test_points_far_from_every_line_are_not_moved(spark, monkeypatch):
     lines = spark.createDataFrame([("POINT(3 0)", 9, "v"), ("POINT(-5000 0)", 9, "v")], "g string, reach int, vendor string")
     assert [r["id"] for r in grid_join(p, with_segments(lines, "g"), ["vendor"], "x", "y").collect()] == [0]
     assert moved and max(moved) <= 2
+
+
+def test_many_stations_are_dealt_out(spark, bag, plan, monkeypatch):
+    """Stations beyond what is broadcast meet few hits without being repeated or sorted."""
+    mdt = literal_rows(spark, "cdr_mdt_smsng", [(f"m{i}", float(i), 1.0, "NOKIA", None, "20251201") for i in range(30)], MDT)
+    rpot = literal_rows(spark, "tbm_rpot_m", [(1, "POINT(0 0)", 2, "NOKIA")])
+    shapes = ["POINT({i} 2)", "LINESTRING({i} 9, {i} 3)", "LINESTRING(90 90, 80 {i}, 70 70, 1 {i}, -9 4)", None]
+    stations = [("n", f"N{i}", "NOKIA", (shapes[i % 4] or "POLYGON").format(i=i)) for i in range(400)]
+    bts = literal_rows(spark, "bts_master", stations, ["cell_id", "bts_alt_key", "bts_market_nm", "rpot_geom"])
+    few = mdt_merge(mdt, bts, rpot)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 4 * 8000)
+    many = mdt_merge(mdt, bts, rpot)
+    assert "SortMergeJoin" not in plan(many)
+    parsed = bts.withColumn("d", wkt_distance(F.lit(3.0), F.lit(1.0), F.col("rpot_geom")))
+    direct = {r["bts_alt_key"]: r["d"] for r in parsed.collect()}
+    assert {r["bts_alt_key"]: r["distance_m"] for r in many.where("mdt_id = 'm3'").collect()} == direct
+    assert many.count() == 6 * 400 and bag(many) == bag(few)
