@@ -70,3 +70,28 @@ def test_long_versions_take_few_rows(spark, bag):
     events = spark.createDataFrame([(i, "a", t) for i, t in enumerate(times)], EVENTS)
     got = {r["event_time"]: r["station"] for r in pit_join(events, versions, "cell_id").collect()}
     assert got == {t: next((f"v{i}" for i in range(4, -1, -1) if starts[i] <= t), None) for t in times}
+
+
+def test_events_are_moved_once_for_keys_of_few_versions(spark, bag, monkeypatch):
+    """Versions of a key are one row while they are few, so events meet them in one join; keys of many go by cells."""
+    ends = [timedelta(0), timedelta(hours=5), timedelta(days=70), timedelta(days=71), timedelta(days=3000)]
+    rows = [(k, f"{k}{i}", T0 + t) for k in "abc" for i, t in enumerate(ends)]
+    versions = with_validity(spark.createDataFrame(rows, VERSIONS), "cell_id")
+    events = spark.createDataFrame([(i, "abcd"[i % 4], T0 + timedelta(hours=i * 9)) for i in range(400)], EVENTS)
+    joins, join = [], module.dim_join
+
+    def counted(fact, dim, on, *rest, **options):
+        joins.append(on)
+        return join(fact, dim, on, *rest, **options)
+
+    monkeypatch.setattr(module, "dim_join", counted)
+    once = bag(pit_join(events, versions, "cell_id"))
+    assert joins == [["cell_id"]]
+    monkeypatch.setattr(module, "PACKED", 0)
+    assert bag(pit_join(events, versions, "cell_id")) == once
+    assert len(joins) > 3
+    monkeypatch.setattr(module, "PACKED", 4)
+    more = spark.createDataFrame([*rows, ("e", "e0", T0), ("d", None, T0 + timedelta(days=9000))], VERSIONS)
+    assert bag(pit_join(events, with_validity(more, "cell_id"), "cell_id")) == once
+    monkeypatch.setattr(module, "measured_bytes", lambda df: 1 << 30)
+    assert bag(pit_join(events, with_validity(more, "cell_id"), "cell_id")) == once
