@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellmart.operators import or_join as module
+from cellmart.operators import sizing
 from cellmart.operators.or_join import or_bridge, or_join, or_join_sums, or_weights, through_bridge
 
 
@@ -72,6 +73,16 @@ def test_bridge_equals_direct_join(spark, bag, how):
     assert bag(through_bridge(facts, bridge).select(columns)) == bag(direct(facts, dim, how).select(columns))
 
 
+def test_bridge_beyond_a_broadcast(spark, bag, monkeypatch):
+    """The distinct pairs of all facts are made once, also where the join counts them first."""
+    facts, dim = frames(spark, 6)
+    wanted, made, store = bag(or_bridge(facts, dim)), [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, label: made.append(label) or store(df, label))
+    assert bag(or_bridge(facts, dim)) == wanted and made == []
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 4_000)
+    assert bag(or_bridge(facts, dim)) == wanted and made == ["pairs"]
+
+
 def test_empty_dimension(spark):
     facts, dim = frames(spark, 7)
     none = dim.where("false")
@@ -113,3 +124,24 @@ def test_hot_keys_do_not_multiply(spark):
     got = or_join_sums(facts, or_weights(dim, ["station"]), ["day"], ["n"], ["station"])
     hot = {r["n"] for r in got.where("substr(station, 2) % 3 = 0").collect()}
     assert hot == {20000}  # 10,000 by cell and 10,000 by alternate cell, each station once
+
+
+def test_membership_is_broadcast_beside_a_dimension_that_is_not(spark, bag, plan, monkeypatch):
+    """Which keys a dimension has is much smaller than its rows: facts do not move to learn it."""
+    facts, dim = frames(spark, 9)
+    ones = facts.withColumn("n", F.lit(1).cast("long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("left", "inner"):
+            monkeypatch.undo()
+            wanted = bag(or_join(facts, dim, how))
+            monkeypatch.setattr(sizing, "BROADCAST_BYTES", 4_000)
+            joined = or_join(facts, dim, how)
+            text = plan(joined).split("\n\n")[0]
+            assert text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 1
+            assert bag(joined) == wanted
+        sums = or_join_sums(ones, or_weights(dim, ["station"]), ["day"], ["n"], ["station"], "left")
+        text = plan(sums).split("\n\n")[0]
+        assert text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
