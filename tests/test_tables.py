@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import seed
+from cellmart.operators import sizing
 from cellmart.operators.upsert import upsert
 from cellmart.plans import lookup, upkeep
 from cellmart.schemas import RESULTS, STAGING, TABLES, schema
@@ -151,6 +152,24 @@ def test_key_list(spark, quality):
     assert sum(r["found"] for r in out) == 2
 
 
+def test_long_key_list_moves_the_table_once(spark, quality, bag, plan, monkeypatch):
+    """Beyond a broadcast there is one join, and the list is grouped once; a listed key that is hot or missing changes nothing."""
+    keys = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "LOOKUP_KEY_00001").otherwise(F.format_string("LOOKUP_KEY_%05d", "id")).alias("lookup_key"))
+    keys = keys.unionByName(spark.createDataFrame([(None,)], "lookup_key string"))
+    few = lookup.by_keys(quality, keys)
+    wanted = bag(few)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 4_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = lookup.by_keys(quality, keys)
+        text = plan(many).split("\n\n")[0]
+        assert text.count("Join") == 1 and text.count("Exchange") == 2 and "Aggregate" not in text
+        assert bag(many) == wanted and len(wanted) == 3001
+        assert "BroadcastHashJoin" in plan(few)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_upsert(spark):
     base = spark.createDataFrame([("a", 1, "old"), ("b", 5, "old"), ("c", 1, "old")], "k string, seq int, v string")
     changes = spark.createDataFrame(
