@@ -2,12 +2,13 @@
 
 import datetime as dt
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from cellmart.operators import pit_sums
+from cellmart.operators import pit_sums, sizing
 from cellmart.operators.pit_join import with_validity
 from cellmart.streaming import windows
 
@@ -117,3 +118,21 @@ def test_rows_follow_changes_and_stations_not_records(spark, plan):
     got = {r.bts_alt_key: r.record_cnt for r in out.collect()}
     assert len(got) == 304 and got["bts299"] == 200_000 and got["bts3"] + got["new3"] == 200_000 and got["bts3"] > got["bts0"] > 0
     assert "NestedLoop" not in plan(out) and "Cartesian" not in plan(out)
+
+
+@pytest.mark.parametrize("hot", [False, True], ids=["stations", "one station of many versions"])
+def test_rows_of_windows_and_stations_are_not_moved(spark, bag, plan, monkeypatch, hot):
+    """Few windows and very many dated stations: stations are dealt before they meet the windows, unless one has too many rows."""
+    named = [(f"c{i}", None, "SEN"[i % 3], "bts0" if hot and i % 2 else f"bts{i}", None, at(-86400)) for i in range(2000)]
+    changed = [(f"c{i}", None, "SEN"[i % 3], "bts0" if hot else f"new{i % 90}", None, at(7 * i - 300)) for i in range(0, 400, 4)]
+    versions, _ = dated_rows(spark, [*named, *changed])
+    records = spark.range(900).select(
+        F.element_at(F.array(*map(F.lit, "SEX")), (F.col("id") % 3 + 1).cast("int")).alias("bts_market_nm"), F.lit("20251201004500").alias("rqt_st_dt"),
+        (F.lit(BASE).cast("timestamp") + F.make_dt_interval(secs=(F.col("id") % 800).cast("decimal(18,6)"))).alias("event_time"),
+    )
+    wanted = bag(windows.mdt_versioned(records, versions))
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 64_000)
+    out = windows.mdt_versioned(records, versions)
+    dealt = re.findall(r"hashpartitioning\((.*?)\)", plan(out))
+    assert any("window" in d and "bts_alt_key" in d for d in dealt) == hot
+    assert bag(out) == wanted and len(wanted) > 1000
